@@ -116,4 +116,94 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
   GROUP BY 1, 2
 ) WHERE rn <= {P.TOP_SESSIONS}
 """
+    q.update(_jump_sql())
+    q.update(_area_sql())
     return q
+
+
+def _flow_pages() -> list[str]:
+    return [x.strip() for x in P.TARGET_PAGE_FLOW.split(",") if x.strip()]
+
+
+NEXT = """
+nx AS (
+  SELECT session_id, event_id, page_id,
+         lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS next_page
+  FROM visits
+)
+"""
+
+
+def _jump_sql() -> dict[str, str]:
+    pages = _flow_pages()
+    from_pages = ", ".join(pages[:-1])
+    pairs = ", ".join(f"'{a}-{b}'" for a, b in zip(pages, pages[1:]))
+    pc = f"""
+pc AS (SELECT page_id, count(*) AS n FROM visits WHERE page_id IN ({from_pages}) GROUP BY page_id)
+"""
+    jc = f"""
+jc AS (
+  SELECT jump, count(*) AS n FROM (
+    SELECT CAST(page_id AS VARCHAR) || '-' || CAST(next_page AS VARCHAR) AS jump FROM nx WHERE next_page IS NOT NULL
+  ) WHERE jump IN ({pairs}) GROUP BY jump
+)
+"""
+    return {
+        "session_next_page": _with(NEXT) + "SELECT session_id, event_id, page_id, next_page FROM nx\n",
+        "single_page_count": _with(pc) + "SELECT page_id, n FROM pc\n",
+        "single_jump_count": _with(NEXT, jc) + "SELECT jump, n FROM jc\n",
+        "page_jump_ratio": _with(NEXT, jc, pc) + f"""
+SELECT '{P.TASK_ID}' AS task_id, jc.jump,
+       CAST(jc.n AS DOUBLE) / CAST(coalesce(pc.n, 1) AS DOUBLE) AS ratio
+FROM jc LEFT JOIN pc ON split_part(jc.jump, '-', 1) = CAST(pc.page_id AS VARCHAR)
+""",
+    }
+
+
+AREA = """
+ac AS (
+  SELECT c.area, c.city_name, v.click_product_id
+  FROM visits v JOIN cities c ON v.city_id = c.city_id WHERE v.click_product_id > 0
+),
+apc AS (SELECT area, click_product_id AS product_id, city_name, count(*) AS n FROM ac GROUP BY 1, 2, 3),
+tot AS (SELECT area, product_id, sum(n) AS total FROM apc GROUP BY 1, 2),
+top2 AS (
+  SELECT area, product_id, city_name, n,
+         row_number() OVER (PARTITION BY area, product_id ORDER BY n DESC, city_name) AS rn
+  FROM apc WHERE city_name IS NOT NULL
+  QUALIFY rn <= 2
+),
+pct AS (
+  SELECT t.area, t.product_id, t.rn, t.city_name, floor(CAST(t.n AS DOUBLE) * 1000.0 / CAST(o.total AS DOUBLE) + 0.5) / 10.0 AS p
+  FROM top2 t JOIN tot o USING (area, product_id)
+),
+share AS (
+  SELECT o.area, o.product_id,
+         coalesce(max(CASE WHEN p.rn = 1 THEN p.city_name || ':' || CAST(p.p AS VARCHAR) || '%,' END), '')
+      || coalesce(max(CASE WHEN p.rn = 2 THEN p.city_name || ':' || CAST(p.p AS VARCHAR) || '%,' END), '')
+      || '其他:' || CAST(floor((CAST(100.0 AS DOUBLE) - coalesce(max(CASE WHEN p.rn = 1 THEN p.p END), 0.0)
+                                 - coalesce(max(CASE WHEN p.rn = 2 THEN p.p END), 0.0)) * 10.0 + 0.5) / 10.0 AS VARCHAR)
+      || '%' AS city_click_ratio
+  FROM tot o LEFT JOIN pct p USING (area, product_id)
+  GROUP BY o.area, o.product_id
+)
+"""
+
+
+def _area_sql() -> dict[str, str]:
+    return {
+        "area_city_clicks": _with(AREA) + "SELECT area, city_name, click_product_id FROM ac\n",
+        "area_product_counts": _with(AREA)
+        + "SELECT area, product_id, CAST(sum(n) AS BIGINT) AS product_count FROM apc GROUP BY 1, 2\n",
+        "city_click_share": _with(AREA) + "SELECT area, product_id, city_click_ratio FROM share\n",
+        "area_product_top3": _with(AREA) + f"""
+, pp AS (SELECT area, product_id, sum(n) AS product_count FROM apc GROUP BY 1, 2),
+ranked AS (
+  SELECT pp.*, pr.product_name, rank() OVER (PARTITION BY pp.area ORDER BY pp.product_count DESC) AS rk
+  FROM pp JOIN products pr USING (product_id)
+)
+SELECT '{P.TASK_ID}' AS task_id, r.area, r.product_name, CAST(r.product_count AS BIGINT) AS product_count,
+       s.city_click_ratio
+FROM ranked r JOIN share s USING (area, product_id) WHERE r.rk <= {P.TOP_PRODUCTS}
+""",
+    }

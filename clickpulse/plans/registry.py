@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.operators import area as A
+from clickpulse.operators import jumps as J
 from clickpulse.operators import visits as V
 from clickpulse.plans import params as P
 from clickpulse.sources.testdata import TestTables
@@ -49,8 +51,53 @@ def q_category_session_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.category_session_top_n(fv, top, P.TOP_SESSIONS, P.TASK_ID)
 
 
+def q_session_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nx = J.session_next_page(TestTables(spark, sf_dir).visits)
+    return nx.select("session_id", "event_id", "page_id", "next_page")
+
+
+def q_single_page_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.single_page_count(TestTables(spark, sf_dir).visits, P.TARGET_PAGE_FLOW)
+
+
+def q_single_jump_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.single_jump_count(TestTables(spark, sf_dir).visits, P.TARGET_PAGE_FLOW)
+
+
+def q_page_jump_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.page_jump_ratio(TestTables(spark, sf_dir).visits, P.TARGET_PAGE_FLOW, P.TASK_ID)
+
+
+def q_area_city_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = TestTables(spark, sf_dir)
+    return A.area_city_clicks(t.visits, t.cities)
+
+
+def q_area_product_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = TestTables(spark, sf_dir)
+    return A.area_product_counts(A.area_city_clicks(t.visits, t.cities))
+
+
+def q_city_click_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = TestTables(spark, sf_dir)
+    return A.city_click_share(A.area_product_city_counts(A.area_city_clicks(t.visits, t.cities)))
+
+
+def q_area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = TestTables(spark, sf_dir)
+    return A.area_product_top_n(t.visits, t.cities, t.products, P.TOP_PRODUCTS, P.TASK_ID)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "session_next_page": q_session_next_page,
+        "single_page_count": q_single_page_count,
+        "single_jump_count": q_single_jump_count,
+        "page_jump_ratio": q_page_jump_ratio,
+        "area_city_clicks": q_area_city_clicks,
+        "area_product_counts": q_area_product_counts,
+        "city_click_share": q_city_click_share,
+        "area_product_top3": q_area_product_top3,
         "visit_profile": q_visit_profile,
         "visit_filter": q_visit_filter,
         "category_counts": q_category_counts,
