@@ -36,7 +36,7 @@ products AS (
 ),
 ads AS (
   SELECT e.event_id, e.ts,
-         epoch_ms(e.ts) AS "timestamp",
+         epoch_us(e.ts) // 1000 AS "timestamp",
          replace(c.area, ' ', '_') AS area, replace(c.city_name, ' ', '_') AS city,
          CAST(e.user_id AS VARCHAR) AS userid, CAST(e.k % 6 + 1 AS VARCHAR) AS adid,
          strftime(e.ts, '%Y-%m-%d') AS date
@@ -118,6 +118,7 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
 """
     q.update(_jump_sql())
     q.update(_area_sql())
+    q.update(_ads_sql())
     return q
 
 
@@ -207,3 +208,85 @@ SELECT '{P.TASK_ID}' AS task_id, r.area, r.product_name, CAST(r.product_count AS
 FROM ranked r JOIN share s USING (area, product_id) WHERE r.rk <= {P.TOP_PRODUCTS}
 """,
     }
+
+
+GUARD = f"""
+ab AS (
+  SELECT *, CAST(floor(date_diff('day', DATE '1970-01-01', CAST(date AS DATE)) / {P.GUARD_DAYS_PER_BATCH}) AS BIGINT)
+         AS batch_id
+  FROM ads
+),
+pb AS (SELECT date, userid, adid, batch_id, count(*) AS c FROM ab GROUP BY ALL),
+run AS (
+  SELECT *, sum(c) OVER (PARTITION BY date, userid, adid ORDER BY batch_id ROWS UNBOUNDED PRECEDING) AS cum FROM pb
+),
+blk AS (SELECT userid, min(batch_id) AS block_batch FROM run WHERE cum >= {P.GUARD_THRESHOLD} GROUP BY userid)
+"""
+
+DAC = f"""
+dacc AS (SELECT date, area, city, adid, count(*) AS n FROM ads GROUP BY ALL),
+dac AS (SELECT date, area, adid, CAST(sum(n) AS BIGINT) AS n FROM dacc GROUP BY ALL),
+top3 AS (
+  SELECT date, area, adid, n, row_number() OVER (PARTITION BY date, area ORDER BY n DESC, adid) AS rn
+  FROM dac QUALIFY rn <= {P.TOP_ADS}
+)
+"""
+
+MINUTES = """
+mc AS (SELECT adid, date_trunc('minute', ts) AS minute, count(*) AS n FROM ads GROUP BY ALL)
+"""
+
+
+def _ads_sql() -> dict[str, str]:
+    k = P.SLIDING_LENGTH_MINUTES // P.SLIDING_SLIDE_MINUTES
+    slide_us = P.SLIDING_SLIDE_MINUTES * 60 * 1_000_000
+    return {
+        "ads_log_parse": _with() + 'SELECT event_id, "timestamp", area, city, userid, adid, date FROM ads\n',
+        "ads_user_day_counts": _with() + "SELECT date, userid, adid, count(*) AS n FROM ads GROUP BY ALL\n",
+        "ads_blacklist": _with() + f"""
+SELECT DISTINCT userid FROM (SELECT userid, count(*) AS n FROM ads GROUP BY date, userid, adid)
+WHERE n >= {P.GUARD_THRESHOLD}
+""",
+        "ads_blacklist_filter": _with() + f"""
+SELECT event_id, userid, adid, date FROM ads
+WHERE userid NOT IN (
+  SELECT userid FROM ads GROUP BY date, userid, adid HAVING count(*) >= {P.GUARD_THRESHOLD})
+""",
+        "ads_guard_blocked": _with(GUARD) + "SELECT userid, block_batch FROM blk\n",
+        "ads_guard_batches": _with(GUARD) + """
+SELECT a.event_id, a.batch_id, a.userid, a.adid, a.date
+FROM ab a LEFT JOIN blk b USING (userid)
+WHERE b.block_batch IS NULL OR a.batch_id <= b.block_batch
+""",
+        "ads_day_area_city_counts": _with(DAC) + "SELECT date, area, city, adid, n FROM dacc\n",
+        "ads_day_area_counts": _with(DAC) + "SELECT date, area, adid, n FROM dac\n",
+        "ads_day_area_top3": _with(DAC) + """
+SELECT date, area,
+       '[' || string_agg('{"' || adid || '":' || CAST(n AS VARCHAR) || '}', ',' ORDER BY rn) || ']' AS top_json
+FROM top3 GROUP BY date, area
+""",
+        "ads_minute_counts": _with(MINUTES) + "SELECT adid, strftime(minute, '%Y-%m-%d %H:%M') AS minute, n FROM mc\n",
+        "ads_sliding_counts": _with() + f"""
+, mb AS (SELECT adid, epoch_us(ts) // {slide_us} AS bucket, count(*) AS c FROM ads GROUP BY ALL),
+sw AS (SELECT adid, bucket - r.range AS sb, c FROM mb CROSS JOIN range({k}) r)
+SELECT adid,
+       strftime(make_timestamp(sb * {slide_us}), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(sb * {slide_us}) + INTERVAL {P.SLIDING_LENGTH_MINUTES} MINUTE, '%Y-%m-%d %H:%M:%S')
+         AS window_end,
+       CAST(sum(c) AS BIGINT) AS n
+FROM sw GROUP BY adid, sb
+""",
+        "ads_last_hour_trend": _with(MINUTES) + f"""
+, nowm AS (SELECT max(minute) AS m FROM mc)
+SELECT adid,
+       '[' || string_agg('{{"' || strftime(minute, '%H:%M') || '":' || CAST(n AS VARCHAR) || '}}', ',' ORDER BY minute)
+       || ']' AS trend_json
+FROM mc, nowm
+WHERE minute > m - INTERVAL {P.TREND_LENGTH_MINUTES} MINUTE AND minute <= m
+GROUP BY adid
+""",
+        "word_count": """
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
+WHERE word <> '' GROUP BY word
+""",
+    }

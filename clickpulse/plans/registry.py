@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.operators import ads as AD
 from clickpulse.operators import area as A
 from clickpulse.operators import jumps as J
 from clickpulse.operators import visits as V
@@ -88,8 +89,91 @@ def q_area_product_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.area_product_top_n(t.visits, t.cities, t.products, P.TOP_PRODUCTS, P.TASK_ID)
 
 
+def _ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TestTables(spark, sf_dir).ads
+
+
+def _ads_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = _ads(spark, sf_dir)
+    return ads.withColumn("batch_id", AD.batch_of_day(F.col("date"), P.GUARD_DAYS_PER_BATCH))
+
+
+def q_ads_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ads(spark, sf_dir).select("event_id", "timestamp", "area", "city", "userid", "adid", "date")
+
+
+def q_ads_user_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.ads_user_day_counts(_ads(spark, sf_dir))
+
+
+def q_ads_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.ads_blacklist(_ads(spark, sf_dir), P.GUARD_THRESHOLD)
+
+
+def q_ads_blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = _ads(spark, sf_dir)
+    kept = AD.ads_blacklist_filter(ads, AD.ads_blacklist(ads, P.GUARD_THRESHOLD))
+    return kept.select("event_id", "userid", "adid", "date")
+
+
+def q_ads_guard_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.ads_guard_blocked(_ads_batched(spark, sf_dir), P.GUARD_THRESHOLD)
+
+
+def q_ads_guard_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acc = AD.ads_guard_accepted(_ads_batched(spark, sf_dir), P.GUARD_THRESHOLD)
+    return acc.select("event_id", "batch_id", "userid", "adid", "date")
+
+
+def q_ads_day_area_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.day_area_city_ad_counts(_ads(spark, sf_dir))
+
+
+def q_ads_day_area_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.day_area_ad_counts(AD.day_area_city_ad_counts(_ads(spark, sf_dir)))
+
+
+def q_ads_day_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.day_area_ad_top_n(AD.day_area_ad_counts(AD.day_area_city_ad_counts(_ads(spark, sf_dir))), P.TOP_ADS)
+
+
+def q_ads_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.ad_minute_rows(AD.ad_minute_counts(_ads(spark, sf_dir)))
+
+
+def q_ads_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sw = AD.ad_sliding_counts(_ads(spark, sf_dir), P.SLIDING_LENGTH_MINUTES, P.SLIDING_SLIDE_MINUTES)
+    return sw.select(
+        "adid",
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+        "n",
+    )
+
+
+def q_ads_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.ad_last_hour_trend(AD.ad_minute_counts(_ads(spark, sf_dir)), P.TREND_LENGTH_MINUTES)
+
+
+def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AD.word_count(TestTables(spark, sf_dir).raw("documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "ads_log_parse": q_ads_log_parse,
+        "ads_user_day_counts": q_ads_user_day_counts,
+        "ads_blacklist": q_ads_blacklist,
+        "ads_blacklist_filter": q_ads_blacklist_filter,
+        "ads_guard_blocked": q_ads_guard_blocked,
+        "ads_guard_batches": q_ads_guard_batches,
+        "ads_day_area_city_counts": q_ads_day_area_city_counts,
+        "ads_day_area_counts": q_ads_day_area_counts,
+        "ads_day_area_top3": q_ads_day_area_top3,
+        "ads_minute_counts": q_ads_minute_counts,
+        "ads_sliding_counts": q_ads_sliding_counts,
+        "ads_last_hour_trend": q_ads_last_hour_trend,
+        "word_count": q_word_count,
         "session_next_page": q_session_next_page,
         "single_page_count": q_single_page_count,
         "single_jump_count": q_single_jump_count,

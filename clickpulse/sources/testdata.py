@@ -96,7 +96,6 @@ def ads_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
     )
     return joined.select(
         F.col("event_id"),
-        F.col("ts"),
         F.concat_ws(
             " ",
             epoch_millis_of_ntz(F.col("ts")).cast("string"),
@@ -137,3 +136,10 @@ class TestTables:
     @property
     def ads_lines(self) -> DataFrame:
         return ads_lines_from_events(self.raw("events"), self.cities)
+
+    @property
+    def ads(self) -> DataFrame:
+        """Parsed ad clicks (``event_id`` carried through for checks)."""
+        from clickpulse.operators.ads import parse_ads_lines
+
+        return parse_ads_lines(self.ads_lines)[0]
