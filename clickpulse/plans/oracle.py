@@ -119,6 +119,18 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
     q.update(_jump_sql())
     q.update(_area_sql())
     q.update(_ads_sql())
+    # Streaming forms must equal their batch formulas.
+    q["ads_guard_stream"] = _with(GUARD) + """
+SELECT a.event_id, a.userid, a.adid, a.date
+FROM ab a LEFT JOIN blk b USING (userid)
+WHERE b.block_batch IS NULL OR a.batch_id <= b.block_batch
+"""
+    q["ads_guard_stream_blocked"] = _with(GUARD) + "SELECT userid FROM blk\n"
+    q["stream_day_area_city_ads"] = q["ads_day_area_city_counts"]
+    q["stream_day_area_top3"] = q["ads_day_area_top3"]
+    q["stream_ads_minute_counts"] = q["ads_minute_counts"]
+    q["stream_ads_last_hour_trend"] = q["ads_last_hour_trend"]
+    q["stream_word_count"] = q["word_count"]
     return q
 
 

@@ -159,6 +159,12 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AD.word_count(TestTables(spark, sf_dir).raw("documents"))
 
 
+def _stream_queries() -> dict[str, Query]:
+    from clickpulse.plans.streams import stream_queries
+
+    return stream_queries()
+
+
 def queries() -> dict[str, Query]:
     return {
         "ads_log_parse": q_ads_log_parse,
@@ -174,6 +180,7 @@ def queries() -> dict[str, Query]:
         "ads_sliding_counts": q_ads_sliding_counts,
         "ads_last_hour_trend": q_ads_last_hour_trend,
         "word_count": q_word_count,
+        **_stream_queries(),
         "session_next_page": q_session_next_page,
         "single_page_count": q_single_page_count,
         "single_jump_count": q_single_jump_count,
