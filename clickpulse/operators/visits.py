@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.functions.idlists import split_ids
+from clickpulse.operators.joins import bounded_broadcast
 
 
 def _present(v) -> bool:
@@ -51,7 +52,9 @@ def visit_filter(
     v = visits.where(reduce(lambda a, b: a & b, vpreds)) if vpreds else visits
     u = users.select("user_id", "age")
     u = u.where(reduce(lambda a, b: a & b, upreds)) if upreds else u
-    return v.join(u.select("user_id"), "user_id", "inner").select(*visits.columns)
+    # The user dimension is broadcast only after a row-count check; beyond it a
+    # shuffle join (AQE splits a hot user's partition).
+    return v.join(bounded_broadcast(u.select("user_id")), "user_id", "inner").select(*visits.columns)
 
 
 def action_categories(visits: DataFrame) -> DataFrame:
