@@ -131,6 +131,27 @@ WHERE b.block_batch IS NULL OR a.batch_id <= b.block_batch
     q["stream_ads_minute_counts"] = q["ads_minute_counts"]
     q["stream_ads_last_hour_trend"] = q["ads_last_hour_trend"]
     q["stream_word_count"] = q["word_count"]
+    # The whole app: Q7 / Q8 over the rows the guard accepts.
+    acc = """
+acc AS (
+  SELECT a.* FROM ab a LEFT JOIN blk b USING (userid)
+  WHERE b.block_batch IS NULL OR a.batch_id <= b.block_batch
+)
+"""
+    q["ads_app_day_area_top3"] = _with(GUARD, acc, DAC.replace("FROM ads", "FROM acc")) + """
+SELECT date, area,
+       '[' || string_agg('{"' || adid || '":' || CAST(n AS VARCHAR) || '}', ',' ORDER BY rn) || ']' AS top_json
+FROM top3 GROUP BY date, area
+"""
+    q["ads_app_last_hour_trend"] = _with(GUARD, acc, MINUTES.replace("FROM ads", "FROM acc")) + f"""
+, nowm AS (SELECT max(minute) AS m FROM mc)
+SELECT adid,
+       '[' || string_agg('{{"' || strftime(minute, '%H:%M') || '":' || CAST(n AS VARCHAR) || '}}', ',' ORDER BY minute)
+       || ']' AS trend_json
+FROM mc, nowm
+WHERE minute > m - INTERVAL {P.TREND_LENGTH_MINUTES} MINUTE AND minute <= m
+GROUP BY adid
+"""
     return q
 
 

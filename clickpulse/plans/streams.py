@@ -21,6 +21,7 @@ from clickpulse.operators.ads import batch_of_day, parse_ads_lines
 from clickpulse.plans import params as P
 from clickpulse.session import scratch_dir
 from clickpulse.sources.testdata import TestTables
+from clickpulse.streaming.app import AdsApp
 from clickpulse.streaming.counts import DayAreaAdTables, WordCountTable, day_area_city_counts_stream, word_count_stream
 from clickpulse.streaming.feed import ReplayFeed, start_foreach_batch
 from clickpulse.streaming.guard import AdClickGuard
@@ -100,6 +101,17 @@ def run_word_count(spark: SparkSession, sf_dir: str) -> WordCountTable:
     return table
 
 
+def run_app(spark: SparkSession, sf_dir: str) -> AdsApp:
+    """The whole ad app: guard over the replayed feed, then the fan-out queries."""
+    root = scratch_dir(spark, "app")
+    app = AdsApp(spark, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES)
+    feed = ReplayFeed(spark, root)
+    feed.run(ads_feed(spark, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA)))
+    for q in app.start_downstream():
+        q.awaitTermination()
+    return app
+
+
 # registered queries -------------------------------------------------------------
 
 def q_ads_guard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +143,14 @@ def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_word_count(spark, sf_dir).table.read()
 
 
+def q_ads_app_day_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_app(spark, sf_dir).day_area.top.read()
+
+
+def q_ads_app_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_app(spark, sf_dir).trend.trend.read()
+
+
 def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ads_guard_stream": q_ads_guard_stream,
@@ -140,4 +160,6 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ads_minute_counts": q_stream_ads_minute_counts,
         "stream_ads_last_hour_trend": q_stream_ads_last_hour_trend,
         "stream_word_count": q_stream_word_count,
+        "ads_app_day_area_top3": q_ads_app_day_area_top3,
+        "ads_app_last_hour_trend": q_ads_app_last_hour_trend,
     }

@@ -13,8 +13,9 @@ ads, for ever. One ``foreachBatch`` does the whole step:
    -> users at or over the threshold and not yet blocked -> ``blocked/batch_id=n``.
 
 Every write replaces only its own ``batch_id`` partitions (dynamic partition
-overwrite) and every read takes versions <= n, so a replayed batch gives the
-same state: exactly-once on top of the checkpointed source offsets.
+overwrite), accepted rows are written once per batch, and every read takes
+versions <= n, so a replayed batch gives the same state: exactly-once on top
+of the checkpointed source offsets.
 """
 
 from __future__ import annotations
@@ -92,14 +93,21 @@ class AdClickGuard:
         return rows.groupBy("date", "userid", "adid").agg(F.sum("n").cast("long").alias("n"))
 
     # the micro-batch step -------------------------------------------------------
+    def accepted_written(self, batch_id: int) -> bool:
+        """Whether ``accepted/batch_id=n`` already holds rows (partition-pruned probe)."""
+        return not self.accepted().where(F.col("batch_id") == int(batch_id)).isEmpty()
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
         before = self.blocked(before_batch=n).select("userid")
-        accepted = batch.join(bounded_broadcast(before, self.max_broadcast_rows), "userid", "left_anti")
-        accepted = accepted.select(*[f.name for f in ACCEPTED_SCHEMA.fields if f.name != "batch_id"]).withColumn(
-            "batch_id", F.lit(n).cast("long")
-        )
-        _overwrite_partitions(accepted, self.accepted_path, ["batch_id"])
+        # Accepted rows are write-once: downstream file streams read this table, so a
+        # replayed batch must not put new files next to the ones already read.
+        if not self.accepted_written(n):
+            accepted = batch.join(bounded_broadcast(before, self.max_broadcast_rows), "userid", "left_anti")
+            accepted = accepted.select(*[f.name for f in ACCEPTED_SCHEMA.fields if f.name != "batch_id"]).withColumn(
+                "batch_id", F.lit(n).cast("long")
+            )
+            _overwrite_partitions(accepted, self.accepted_path, ["batch_id"])
 
         # Re-read what was just written instead of recomputing the batch.
         written = self.accepted().where(F.col("batch_id") == n)
