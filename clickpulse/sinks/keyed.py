@@ -21,6 +21,26 @@ from pyspark.sql import types as T
 VERSION = "_version"
 
 
+def drop_versions_below(spark: SparkSession, path: str, version: int, partitioned: bool) -> int:
+    """Delete ``_version=k`` folders with ``k < version`` (housekeeping through the Hadoop FS API)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    pattern = jvm.org.apache.hadoop.fs.Path(path + ("/*/" if partitioned else "/") + VERSION + "=*")
+    dropped = 0
+    for st in fs.globStatus(pattern) or []:
+        name = st.getPath().getName()
+        try:
+            v = int(name.split("=", 1)[1])
+        except ValueError:
+            continue
+        if v < version:
+            fs.delete(st.getPath(), True)
+            dropped += 1
+    return dropped
+
+
 def _write_versioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
     (
         df.write.mode("overwrite")
@@ -55,6 +75,24 @@ class KeyedTable:
         parts = ([self.partition_col] if self.partition_col else []) + [VERSION]
         _write_versioned(rows, self.path, parts)
 
+    def compact(self, batch_id: int) -> None:
+        """Rewrite the current values as version ``batch_id`` and drop older versions.
+
+        Call after ``upsert(df, batch_id)`` of the same batch: the compacted rows include
+        that batch, so readers see the same values before, during and after the drop.
+        """
+        current = self.read()
+        parts = ([self.partition_col] if self.partition_col else []) + [VERSION]
+        staged = self.path + f".compact-{int(batch_id)}"
+        # Materialise into a side folder first: the source and the target must differ.
+        current.write.mode("overwrite").parquet(staged)
+        rows = self.spark.read.schema(self.schema).parquet(staged).withColumn(VERSION, F.lit(int(batch_id)).cast("long"))
+        _write_versioned(rows, self.path, parts)
+        drop_versions_below(self.spark, self.path, int(batch_id), self.partition_col is not None)
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(staged)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def versions(self) -> DataFrame:
         """All stored rows with their version."""
         return self.spark.read.schema(self._stored_schema()).parquet(self.path)
@@ -88,10 +126,10 @@ class SnapshotTable:
         rows = df.select(*[f.name for f in self.schema.fields]).withColumn(VERSION, F.lit(int(batch_id)).cast("long"))
         if rows.isEmpty():
             # An empty snapshot still has to replace the previous one: write a marker row set.
-            marker = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (int(batch_id),)], self._stored_schema())
-            _write_versioned(marker, self.path, [VERSION])
-            return
+            rows = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (int(batch_id),)], self._stored_schema())
         _write_versioned(rows, self.path, [VERSION])
+        # Keep the previous snapshot for readers in flight; older ones go.
+        drop_versions_below(self.spark, self.path, int(batch_id) - 1, partitioned=False)
 
     def read(self) -> DataFrame:
         rows = self.spark.read.schema(self._stored_schema()).parquet(self.path)

@@ -52,9 +52,10 @@ def word_count_stream(lines: DataFrame, column: str = "text", sep: str = " ") ->
 class DayAreaAdTables:
     """Sinks of Q6 (per city) and Q7 (top-n per day and area)."""
 
-    def __init__(self, spark: SparkSession, root: str, top_n: int = 3):
+    def __init__(self, spark: SparkSession, root: str, top_n: int = 3, compact_every: int = 50):
         self.spark = spark
         self.top_n = top_n
+        self.compact_every = compact_every
         self.city_counts = KeyedTable(spark, os.path.join(root, "day_area_city_ads"),
                                       ["date", "area", "city", "adid"], DAY_AREA_CITY_SCHEMA, partition_col="date")
         self.top = KeyedTable(spark, os.path.join(root, "day_area_top"), ["date", "area"], TOP_SCHEMA,
@@ -69,11 +70,17 @@ class DayAreaAdTables:
         current = self.city_counts.read().where(F.col("date").isin(days))
         top = day_area_ad_top_n(day_area_ad_counts(current), self.top_n)
         self.top.upsert(top, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.city_counts.compact(batch_id)
+            self.top.compact(batch_id)
 
 
 class WordCountTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 50):
         self.table = KeyedTable(spark, os.path.join(root, "word_count"), ["word"], WORD_SCHEMA)
+        self.compact_every = compact_every
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
         self.table.upsert(updates, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.table.compact(batch_id)

@@ -54,10 +54,12 @@ def minute_counts_stream(ads_stream: DataFrame, length_minutes: int = 60) -> Dat
 
 
 class TrendTables:
-    def __init__(self, spark: SparkSession, root: str, length_minutes: int = 60):
+    def __init__(self, spark: SparkSession, root: str, length_minutes: int = 60, compact_every: int = 50):
         self.spark = spark
         self.length = length_minutes
-        self.minutes = KeyedTable(spark, os.path.join(root, "ad_minutes"), ["adid", "minute"], MINUTE_SCHEMA,
+        self.compact_every = compact_every
+        # date is a function of minute; keeping it in the key lets date filters reach the partitions.
+        self.minutes = KeyedTable(spark, os.path.join(root, "ad_minutes"), ["date", "adid", "minute"], MINUTE_SCHEMA,
                                   partition_col="date")
         self.clock = KeyedTable(spark, os.path.join(root, "clock"), ["clock"], CLOCK_SCHEMA)
         self.trend = SnapshotTable(spark, os.path.join(root, "last_hour_trend"), TREND_SCHEMA)
@@ -85,3 +87,6 @@ class TrendTables:
             F.array_sort(F.collect_list(F.struct("minute", minute_label(F.col("minute")).alias("k"), "n"))).alias("items")
         )
         self.trend.replace(lists.select("adid", pairs_json(F.col("items")).alias("trend_json")), n)
+        if self.compact_every and n > 0 and n % self.compact_every == 0:
+            self.minutes.compact(n)
+            self.clock.compact(n)

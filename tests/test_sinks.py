@@ -77,3 +77,26 @@ def test_condition_params(spark, tmp_root):
     assert "\\" not in join_continued_lines(text)
     strict = parse_conditions(spark.createDataFrame([('{"startAge": "1"}',)], "value string")).first()
     assert strict.startAge == "1"
+
+
+def test_keyed_table_compaction_keeps_values(spark, tmp_root):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
+                           T.StructField("date", T.StringType())])
+    path = os.path.join(tmp_root, "kc")
+    t = KeyedTable(spark, path, ["date", "k"], schema, partition_col="date")
+    for b in range(4):
+        t.upsert(spark.createDataFrame([("a", b, "d1"), (f"x{b}", 1, f"d{b}")], schema), b)
+    before = sorted(map(tuple, t.read().collect()))
+    t.compact(3)
+    assert sorted(map(tuple, t.read().collect())) == before
+    assert sorted(r[0] for r in t.versions().select("_version").distinct().collect()) == [3]
+
+
+def test_snapshot_keeps_two_versions(spark, tmp_root):
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    s = SnapshotTable(spark, os.path.join(tmp_root, "sv"), schema)
+    for b in range(5):
+        s.replace(spark.createDataFrame([(f"k{b}",)], schema), b)
+    versions = sorted(os.listdir(os.path.join(tmp_root, "sv")))
+    assert [v for v in versions if v.startswith("_version=")] == ["_version=3", "_version=4"]
+    assert [r.k for r in s.read().collect()] == ["k4"]
