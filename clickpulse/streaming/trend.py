@@ -70,8 +70,12 @@ class TrendTables:
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
-        self.minutes.upsert(updates.withColumn("date", F.date_format("minute", "yyyy-MM-dd")), n)
-        latest = updates.agg(F.max("minute")).first()[0]
+        updates = updates.persist()  # two actions below; do not re-run the stateful aggregation
+        try:
+            self.minutes.upsert(updates.withColumn("date", F.date_format("minute", "yyyy-MM-dd")), n)
+            latest = updates.agg(F.max("minute")).first()[0]
+        finally:
+            updates.unpersist()
         prev = self.now(upto_version=n - 1)
         now = max(x for x in (latest, prev) if x is not None) if (latest or prev) else None
         if now is None:
