@@ -131,6 +131,7 @@ WHERE b.block_batch IS NULL OR a.batch_id <= b.block_batch
     q["stream_ads_minute_counts"] = q["ads_minute_counts"]
     q["stream_ads_last_hour_trend"] = q["ads_last_hour_trend"]
     q["stream_word_count"] = q["word_count"]
+    q["stream_ads_sliding_counts"] = q["ads_sliding_counts"]
     # The whole app: Q7 / Q8 over the rows the guard accepts.
     acc = """
 acc AS (

@@ -25,7 +25,7 @@ from clickpulse.streaming.app import AdsApp
 from clickpulse.streaming.counts import DayAreaAdTables, WordCountTable, day_area_city_counts_stream, word_count_stream
 from clickpulse.streaming.feed import ReplayFeed, start_foreach_batch
 from clickpulse.streaming.guard import AdClickGuard
-from clickpulse.streaming.trend import TrendTables, minute_counts_stream
+from clickpulse.streaming.trend import SlidingTables, TrendTables, minute_counts_stream, sliding_counts_stream
 
 LINE_FEED_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())])
 DOC_FEED_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
@@ -91,6 +91,17 @@ def run_trend(spark: SparkSession, sf_dir: str) -> TrendTables:
     return tables
 
 
+def run_sliding(spark: SparkSession, sf_dir: str) -> SlidingTables:
+    root = scratch_dir(spark, "sliding")
+    tables = SlidingTables(spark, os.path.join(root, "tables"))
+    run_replay(
+        spark, "sliding", ads_feed(spark, sf_dir), LINE_FEED_SCHEMA,
+        lambda s: sliding_counts_stream(_parsed(s), P.SLIDING_LENGTH_MINUTES, P.SLIDING_SLIDE_MINUTES),
+        tables.process, "update", root=root,
+    )
+    return tables
+
+
 def run_word_count(spark: SparkSession, sf_dir: str) -> WordCountTable:
     root = scratch_dir(spark, "words")
     table = WordCountTable(spark, os.path.join(root, "tables"))
@@ -139,6 +150,16 @@ def q_stream_ads_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_trend(spark, sf_dir).trend.read()
 
 
+def q_stream_ads_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = run_sliding(spark, sf_dir).counts.read()
+    return c.select(
+        "adid",
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+        "n",
+    )
+
+
 def q_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_word_count(spark, sf_dir).table.read()
 
@@ -159,6 +180,7 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_day_area_top3": q_stream_day_area_top3,
         "stream_ads_minute_counts": q_stream_ads_minute_counts,
         "stream_ads_last_hour_trend": q_stream_ads_last_hour_trend,
+        "stream_ads_sliding_counts": q_stream_ads_sliding_counts,
         "stream_word_count": q_stream_word_count,
         "ads_app_day_area_top3": q_ads_app_day_area_top3,
         "ads_app_last_hour_trend": q_ads_app_last_hour_trend,

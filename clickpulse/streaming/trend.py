@@ -53,6 +53,51 @@ def minute_counts_stream(ads_stream: DataFrame, length_minutes: int = 60) -> Dat
     return counted.select("adid", minute.alias("minute"), "n")
 
 
+SLIDING_SCHEMA = T.StructType(
+    [
+        T.StructField("adid", T.StringType()),
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("date", T.StringType()),
+    ]
+)
+
+
+def sliding_counts_stream(ads_stream: DataFrame, length_minutes: int = 3, slide_minutes: int = 1,
+                          watermark_minutes: int | None = None) -> DataFrame:
+    """Streaming clicks per (adid, sliding event-time window); run in update mode.
+
+    Spark's ``window`` assigns each row to ``length / slide`` windows, so keep that
+    ratio small here (the batch form ``ad_sliding_counts`` pre-aggregates per slide
+    bucket for large ratios). The watermark (default: the window length) bounds state.
+    """
+    event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts")))
+    counted = (
+        ads_stream.withColumn("_et", event_time)
+        .withWatermark("_et", f"{watermark_minutes or length_minutes} minutes")
+        .groupBy("adid", F.window("_et", f"{length_minutes} minutes", f"{slide_minutes} minutes").alias("w"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _epoch_ntz())
+    end = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.end")), _epoch_ntz())
+    return counted.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
+
+
+class SlidingTables:
+    """Upserted sliding-window counts, partitioned by the window's start day."""
+
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 50):
+        self.compact_every = compact_every
+        self.counts = KeyedTable(spark, os.path.join(root, "sliding"), ["date", "adid", "window_start"],
+                                 SLIDING_SCHEMA, partition_col="date")
+
+    def process(self, updates: DataFrame, batch_id: int) -> None:
+        self.counts.upsert(updates.withColumn("date", F.date_format("window_start", "yyyy-MM-dd")), batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.counts.compact(batch_id)
+
+
 class TrendTables:
     def __init__(self, spark: SparkSession, root: str, length_minutes: int = 60, compact_every: int = 50):
         self.spark = spark
