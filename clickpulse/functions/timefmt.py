@@ -28,6 +28,20 @@ def ntz_of_epoch_millis(ms: Column, tz: str = "UTC") -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
+def utc_wallclock(df_schema, column: str) -> Column:
+    """``column`` as a UTC wall-clock ``timestamp_ntz`` whatever type the reader gave it.
+
+    Parquet timestamps without a zone read as ``timestamp_ntz``; if a session reads them
+    as zoned instants instead, convert through epoch microseconds, never the session zone.
+    """
+    from pyspark.sql import types as T
+
+    dtype = df_schema[column].dataType
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(F.col(column)), _epoch_ntz())
+    return F.col(column).cast("timestamp_ntz")
+
+
 def day_key(ts: Column) -> Column:
     """``yyyy-MM-dd`` of a wall-clock timestamp."""
     return F.date_format(ts, "yyyy-MM-dd")

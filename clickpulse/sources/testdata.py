@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.functions.timefmt import epoch_millis_of_ntz
+from clickpulse.functions.timefmt import epoch_millis_of_ntz, utc_wallclock
 from clickpulse.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, check_schema
 from clickpulse.sources.tables import read_table
 
@@ -28,6 +28,7 @@ def visits_from_events(events: DataFrame) -> DataFrame:
     k = _k(F.col("props"))
     cat = (k % 20 + 1).cast("long")
     is_click = F.col("event_type") == "click"
+    events = events.withColumn("ts", utc_wallclock(events.schema, "ts"))
     out = events.select(
         F.to_date("ts").alias("date"),
         F.col("user_id"),
@@ -90,6 +91,7 @@ def ads_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
     wire format is split on single spaces. ``event_id`` is kept for batch splitting.
     """
     k = _k(F.col("props"))
+    events = events.withColumn("ts", utc_wallclock(events.schema, "ts"))
     # cities is a 25-row dimension (nation x region): bounded, so broadcast it.
     joined = events.withColumn("city_id", (F.col("event_id") % N_CITIES).cast("long")).join(
         F.broadcast(cities), "city_id"

@@ -40,6 +40,14 @@ def _epoch_ntz():
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def _micros(ts):
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts)
+
+
+def _from_micros(us):
+    return F.timestamp_add("MICROSECOND", us, _epoch_ntz())
+
+
 def minute_counts_stream(ads_stream: DataFrame, length_minutes: int = 60) -> DataFrame:
     """Streaming clicks per (adid, minute) with a ``length_minutes`` watermark; run in update mode."""
     event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts")))
@@ -109,24 +117,26 @@ class TrendTables:
         self.clock = KeyedTable(spark, os.path.join(root, "clock"), ["clock"], CLOCK_SCHEMA)
         self.trend = SnapshotTable(spark, os.path.join(root, "last_hour_trend"), TREND_SCHEMA)
 
-    def now(self, upto_version: int | None = None):
-        rows = self.clock.read(upto_version).collect()  # one row
-        return rows[0]["now"] if rows else None
+    def now_micros(self, upto_version: int | None = None) -> int | None:
+        """Latest minute seen, as epoch microseconds (no Python datetimes: zone-free)."""
+        rows = self.clock.read(upto_version).select(_micros(F.col("now"))).collect()  # one row
+        return rows[0][0] if rows else None
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
         updates = updates.persist()  # two actions below; do not re-run the stateful aggregation
         try:
             self.minutes.upsert(updates.withColumn("date", F.date_format("minute", "yyyy-MM-dd")), n)
-            latest = updates.agg(F.max("minute")).first()[0]
+            latest = updates.agg(F.max(_micros(F.col("minute")))).first()[0]
         finally:
             updates.unpersist()
-        prev = self.now(upto_version=n - 1)
-        now = max(x for x in (latest, prev) if x is not None) if (latest or prev) else None
-        if now is None:
+        prev = self.now_micros(upto_version=n - 1)
+        known = [x for x in (latest, prev) if x is not None]
+        if not known:
             return
-        self.clock.upsert(self.spark.createDataFrame([("clock", now)], CLOCK_SCHEMA), n)
-        now_col = F.lit(now).cast("timestamp_ntz")
+        now_col = _from_micros(F.lit(max(known)))
+        clock = self.spark.range(1).select(F.lit("clock").alias("clock"), now_col.alias("now"))
+        self.clock.upsert(clock, n)
         cut = F.timestamp_add("MINUTE", F.lit(-self.length), now_col)
         first_day = F.date_format(cut, "yyyy-MM-dd")
         recent = self.minutes.read().where(
