@@ -10,7 +10,10 @@ ads, for ever. One ``foreachBatch`` does the whole step:
 2. accepted rows -> ``accepted/batch_id=n`` (the fan-out table for Q6-Q8);
 3. per-batch increments per (date, user, ad) -> ``counts/date=d/batch_id=n``;
 4. totals for the days this batch touched only (partition pruning on ``date``)
-   -> users at or over the threshold and not yet blocked -> ``blocked/batch_id=n``.
+   -> users at or over the threshold and not yet blocked -> ``blocked/batch_id=n``;
+5. every ``compact_every`` batches the touched days' increments are folded into
+   one base snapshot per day, so a batch reads one snapshot plus a few increments
+   per day, not every increment since midnight.
 
 Every write replaces only its own ``batch_id`` partitions (dynamic partition
 overwrite), accepted rows are written once per batch, and every read takes
@@ -51,6 +54,32 @@ COUNTS_SCHEMA = T.StructType(
     ]
 )
 BLOCKED_SCHEMA = T.StructType([T.StructField("userid", T.StringType()), T.StructField("batch_id", T.LongType())])
+BASE_SCHEMA = T.StructType(
+    [
+        T.StructField("userid", T.StringType()),
+        T.StructField("adid", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("date", T.StringType()),
+        T.StructField("upto", T.LongType()),
+    ]
+)
+
+
+def _drop_below(spark: SparkSession, folder: str, key: str | None, bound: int) -> None:
+    """Delete ``folder/key=v`` for ``v < bound`` (or ``folder`` itself when ``key`` is None)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if key is None:
+        fs.delete(path, True)
+        return
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder + f"/{key}=*")) or []:
+        try:
+            v = int(st.getPath().getName().split("=", 1)[1])
+        except ValueError:
+            continue
+        if v < bound:
+            fs.delete(st.getPath(), True)
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -58,16 +87,20 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) ->
 
 
 class AdClickGuard:
-    def __init__(self, spark: SparkSession, root: str, threshold: int = 100, max_broadcast_rows: int = 2_000_000):
+    def __init__(self, spark: SparkSession, root: str, threshold: int = 100, max_broadcast_rows: int = 2_000_000,
+                 compact_every: int = 20):
         self.spark = spark
         self.threshold = threshold
         self.max_broadcast_rows = max_broadcast_rows
+        self.compact_every = compact_every
         self.accepted_path = os.path.join(root, "accepted")
         self.counts_path = os.path.join(root, "counts")
+        self.base_path = os.path.join(root, "counts_base")
         self.blocked_path = os.path.join(root, "blocked")
         for path, schema, parts in (
             (self.accepted_path, ACCEPTED_SCHEMA, ["batch_id"]),
             (self.counts_path, COUNTS_SCHEMA, ["date", "batch_id"]),
+            (self.base_path, BASE_SCHEMA, ["date", "upto"]),
             (self.blocked_path, BLOCKED_SCHEMA, ["batch_id"]),
         ):
             spark.createDataFrame([], schema).write.mode("append").partitionBy(*parts).parquet(path)
@@ -84,13 +117,46 @@ class AdClickGuard:
         return rows.groupBy("userid").agg(F.min("batch_id").alias("block_batch"))
 
     def user_day_counts(self, upto_batch: int | None = None, dates: list[str] | None = None) -> DataFrame:
-        """Running accepted clicks per (date, userid, adid)."""
-        rows = self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
+        """Running accepted clicks per (date, userid, adid).
+
+        = the newest base snapshot of each day (``upto <= upto_batch``) plus the per-batch
+        increments after it. Both reads prune by ``date`` (and version) partitions.
+        """
+        inc = self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
+        base = self.spark.read.schema(BASE_SCHEMA).parquet(self.base_path)
         if upto_batch is not None:
-            rows = rows.where(F.col("batch_id") <= upto_batch)
+            inc = inc.where(F.col("batch_id") <= upto_batch)
+            base = base.where(F.col("upto") <= upto_batch)
         if dates is not None:
-            rows = rows.where(F.col("date").isin(dates))
-        return rows.groupBy("date", "userid", "adid").agg(F.sum("n").cast("long").alias("n"))
+            inc = inc.where(F.col("date").isin(dates))
+            base = base.where(F.col("date").isin(dates))
+        # One row per day: bounded by the days read, so broadcasting it is safe.
+        newest = F.broadcast(base.groupBy("date").agg(F.max("upto").alias("upto")))
+        base_rows = base.join(newest, ["date", "upto"], "left_semi").select("date", "userid", "adid", "n")
+        inc_rows = (
+            inc.join(newest, "date", "left")
+            .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
+            .select("date", "userid", "adid", "n")
+        )
+        return base_rows.unionByName(inc_rows).groupBy("date", "userid", "adid").agg(F.sum("n").cast("long").alias("n"))
+
+    def compact_days(self, batch_id: int, dates: list[str]) -> None:
+        """Fold the days' counts up to ``batch_id`` into ``counts_base/date=d/upto=batch_id``.
+
+        Keeps each batch's read to one snapshot plus < ``compact_every`` increments per day
+        (instead of every increment of the day). Rerunning it gives the same snapshot, and
+        readers ignore the folded increments even before they are deleted.
+        """
+        n = int(batch_id)
+        totals = self.user_day_counts(upto_batch=n, dates=dates)
+        staged = self.base_path + f".stage-{n}"
+        totals.write.mode("overwrite").parquet(staged)  # source and target must differ
+        folded = self.spark.read.schema(totals.schema).parquet(staged).withColumn("upto", F.lit(n).cast("long"))
+        _overwrite_partitions(folded, self.base_path, ["date", "upto"])
+        for d in dates:
+            _drop_below(self.spark, os.path.join(self.counts_path, f"date={d}"), "batch_id", n + 1)
+            _drop_below(self.spark, os.path.join(self.base_path, f"date={d}"), "upto", n)
+        _drop_below(self.spark, staged, None, 0)
 
     # the micro-batch step -------------------------------------------------------
     def accepted_written(self, batch_id: int) -> bool:
@@ -121,3 +187,5 @@ class AdClickGuard:
         over = self.user_day_counts(upto_batch=n, dates=days).where(F.col("n") >= self.threshold)
         newly = over.select("userid").distinct().join(before, "userid", "left_anti")
         _overwrite_partitions(newly.withColumn("batch_id", F.lit(n).cast("long")), self.blocked_path, ["batch_id"])
+        if self.compact_every and n > 0 and n % self.compact_every == 0:
+            self.compact_days(n, days)
