@@ -75,20 +75,35 @@ class KeyedTable:
         parts = ([self.partition_col] if self.partition_col else []) + [VERSION]
         _write_versioned(rows, self.path, parts)
 
-    def compact(self, batch_id: int) -> None:
-        """Rewrite the current values as version ``batch_id`` and drop older versions.
-
-        Call after ``upsert(df, batch_id)`` of the same batch: the compacted rows include
-        that batch, so readers see the same values before, during and after the drop.
+    def compact(self, batch_id: int, partitions: list[str] | None = None) -> None:
+        """Fold every version below ``batch_id`` into version ``batch_id - 1`` and drop the rest.
+
+        Runs inside batch ``batch_id``: only batch ``batch_id`` itself can still be replayed,
+        and its upsert writes version ``batch_id``, which the fold never touches. The fold is
+        staged in a side folder first (a job cannot overwrite what it reads), and readers
+        get the same values before, during and after it. ``partitions`` limits the fold
+        to some values of the partition column (e.g. the days a batch touched).
         """
-        current = self.read()
+        target = int(batch_id) - 1
+        if target < 0:
+            return
+        current = self.read(upto_version=target)
+        if partitions is not None and self.partition_col:
+            current = current.where(F.col(self.partition_col).isin(partitions))
         parts = ([self.partition_col] if self.partition_col else []) + [VERSION]
-        staged = self.path + f".compact-{int(batch_id)}"
-        # Materialise into a side folder first: the source and the target must differ.
+        staged = self.path + f".compact-{target}"
         current.write.mode("overwrite").parquet(staged)
-        rows = self.spark.read.schema(self.schema).parquet(staged).withColumn(VERSION, F.lit(int(batch_id)).cast("long"))
+        rows = self.spark.read.schema(self.schema).parquet(staged).withColumn(VERSION, F.lit(target).cast("long"))
         _write_versioned(rows, self.path, parts)
-        drop_versions_below(self.spark, self.path, int(batch_id), self.partition_col is not None)
+        if self.partition_col:
+            folders = [f"{self.path}/{self.partition_col}={p}" for p in partitions] if partitions is not None else None
+            if folders is None:
+                drop_versions_below(self.spark, self.path, target, partitioned=True)
+            else:
+                for folder in folders:
+                    drop_versions_below(self.spark, folder, target, partitioned=False)
+        else:
+            drop_versions_below(self.spark, self.path, target, partitioned=False)
         jvm = self.spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(staged)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

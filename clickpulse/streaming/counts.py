@@ -77,8 +77,9 @@ class DayAreaAdTables:
         top = day_area_ad_top_n(day_area_ad_counts(current), self.top_n)
         self.top.upsert(top, batch_id)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.city_counts.compact(batch_id)
-            self.top.compact(batch_id)
+            # Only the days this batch touched are read again soon: fold those.
+            self.city_counts.compact(batch_id, days)
+            self.top.compact(batch_id, days)
 
 
 class WordCountTable:

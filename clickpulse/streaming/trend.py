@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from clickpulse.functions.jsonpairs import pairs_json
 from clickpulse.functions.timefmt import minute_label
-from clickpulse.sinks.keyed import KeyedTable, SnapshotTable
+from clickpulse.sinks.keyed import VERSION, KeyedTable, SnapshotTable
 
 MINUTE_SCHEMA = T.StructType(
     [
@@ -147,5 +147,7 @@ class TrendTables:
         )
         self.trend.replace(lists.select("adid", pairs_json(F.col("items")).alias("trend_json")), n)
         if self.compact_every and n > 0 and n % self.compact_every == 0:
-            self.minutes.compact(n)
+            days = [r[0] for r in self.minutes.versions().where(F.col(VERSION) == n)
+                    .select("date").distinct().collect()]  # days this batch touched
+            self.minutes.compact(n, days)
             self.clock.compact(n)

@@ -79,17 +79,22 @@ def test_condition_params(spark, tmp_root):
     assert strict.startAge == "1"
 
 
-def test_keyed_table_compaction_keeps_values(spark, tmp_root):
+def test_keyed_table_compaction_keeps_values_and_survives_replay(spark, tmp_root):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
                            T.StructField("date", T.StringType())])
     path = os.path.join(tmp_root, "kc")
     t = KeyedTable(spark, path, ["date", "k"], schema, partition_col="date")
+    batch = {b: spark.createDataFrame([("a", b, "d1"), (f"x{b}", 1, f"d{b % 2}")], schema) for b in range(5)}
     for b in range(4):
-        t.upsert(spark.createDataFrame([("a", b, "d1"), (f"x{b}", 1, f"d{b}")], schema), b)
+        t.upsert(batch[b], b)
     before = sorted(map(tuple, t.read().collect()))
-    t.compact(3)
+    t.compact(3, ["d1"])  # folds versions <= 2 of day d1 into version 2
+    assert sorted(map(tuple, t.read().collect())) == before
+    assert sorted(r[0] for r in t.versions().where("date = 'd1'").select("_version").distinct().collect()) == [2, 3]
+    t.upsert(batch[3], 3)  # replay of the current batch after the fold
+    assert sorted(map(tuple, t.read().collect())) == before
+    t.compact(4)  # whole table
     assert sorted(map(tuple, t.read().collect())) == before
-    assert sorted(r[0] for r in t.versions().select("_version").distinct().collect()) == [3]
 
 
 def test_snapshot_keeps_two_versions(spark, tmp_root):

@@ -102,3 +102,27 @@ def test_guard_compaction_keeps_counts_and_blocks(spark, tmp_root):
     assert folded.accepted().count() == plain.accepted().count()
     left = [d for d in os.listdir(os.path.join(tmp_root, "folded", "counts", "date=2020-08-27")) if "=" in d]
     assert all(int(d.split("=")[1]) > 4 for d in left)  # increments up to the last fold are gone
+
+
+def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
+    """Q6/Q7 and Q8 sinks give the same tables when folding on every batch."""
+    batches = [[(0, "1"), (70, "2")], [(5, "1"), (130, "1")], [(200, "2"), (3700, "1")], [(3800, "2")]]
+    results = []
+    for every in (0, 1):
+        root = os.path.join(tmp_root, f"c{every}")
+        da = DayAreaAdTables(spark, os.path.join(root, "da"), 3, compact_every=every)
+        tr = TrendTables(spark, os.path.join(root, "tr"), 60, compact_every=every)
+        run_replay(spark, "da", _feed(spark, batches), LINE_FEED_SCHEMA,
+                   lambda s: day_area_city_counts_stream(parse_ads_lines(s)[0]), da.process, "update",
+                   root=os.path.join(root, "f1"))
+        run_replay(spark, "tr", _feed(spark, batches), LINE_FEED_SCHEMA,
+                   lambda s: minute_counts_stream(parse_ads_lines(s)[0], 60), tr.process, "update",
+                   root=os.path.join(root, "f2"))
+        results.append((
+            sorted(map(tuple, da.city_counts.read().collect())),
+            sorted(map(tuple, da.top.read().collect())),
+            sorted(map(tuple, tr.minutes.read().collect())),
+            sorted(map(tuple, tr.trend.read().collect())),
+        ))
+    assert results[0] == results[1]
+    assert results[0][3] == [("1", '[{"04:48":1}]'), ("2", '[{"04:50":1}]')]
