@@ -63,12 +63,19 @@ def ads_blacklist(ads: DataFrame, threshold: int = 100) -> DataFrame:
     return ads_user_day_counts(ads).where(F.col("n") >= threshold).select("userid").distinct()
 
 
-def ads_blacklist_filter(ads: DataFrame, blocked: DataFrame, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def ads_blacklist_filter(ads: DataFrame, blocked: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows whose user is not blocked (``left_anti``; a null user id is kept).
 
-    The blocked set grows with the data, so it is broadcast only after a row-count check.
+    The blocked set grows with the data. With ``max_broadcast_rows`` it is broadcast
+    after a row-count check (use for a stored table); by default the choice is left
+    to AQE, which measures the blocked side at run time and broadcasts it only under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else a sort-merge anti join),
+    without computing a lazily derived set twice.
     """
-    return ads.join(bounded_broadcast(blocked.select("userid").distinct(), max_broadcast_rows), "userid", "left_anti")
+    side = blocked.select("userid").distinct()
+    if max_broadcast_rows is not None:
+        side = bounded_broadcast(side, max_broadcast_rows)
+    return ads.join(side, "userid", "left_anti")
 
 
 def batch_of_day(date: Column, days_per_batch: int) -> Column:

@@ -27,15 +27,31 @@ def _flow(flow: str | list) -> list[str]:
     return [x.strip() for x in items if x.strip()]
 
 
+SLICE_BYTES = 256 * 1024 * 1024
+
+
+def default_slices(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
+    """Slice count for ``df``: the optimizer's size estimate / ``slice_bytes``, at least the shuffle partitions."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: fall back to the shuffle partitions
+        return floor
+    if est >= 2**62:  # Spark's "size unknown" placeholder (spark.sql.defaultSizeInBytes)
+        return floor
+    return int(min(max(floor, -(-est // slice_bytes)), 2**31 - 1))
+
+
 def session_next_page(visits: DataFrame, slices: int | None = None) -> DataFrame:
     """Each visit with the page of the next visit in its session (null for the last).
 
     Order inside a session is ``(action_time, event_id)``, a total order.
     Returns ``session_id, page_id, action_time, event_id, next_page``.
+    ``slices`` defaults to about one slice per 256 MB of the four needed columns.
     """
-    spark = visits.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = visits.select("session_id", "page_id", "action_time", "event_id")
+    n = slices or default_slices(keyed)
     ranged = keyed.repartitionByRange(n, "session_id", "action_time", "event_id").withColumn(
         "_slice", F.spark_partition_id()
     )

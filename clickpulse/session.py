@@ -24,6 +24,23 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB inputs, ~1000 executors). AQE coalesces the
+# many shuffle partitions down to ~advisory size and splits skewed join partitions;
+# RocksDB keeps large streaming state off the JVM heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def get_spark(
     app: str = "clickpulse",
     master: str | None = None,
