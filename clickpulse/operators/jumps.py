@@ -2,7 +2,9 @@
 
 ``session_next_page`` is the hard part at scale: pages must be paired in
 session order, and one session may hold a large share of all rows. A plain
-``Window.partitionBy(session)`` would put such a session in one task, so:
+``Window.partitionBy(session)`` would put such a session in one task, so hot
+sessions (more than ``hot_rows`` visits, found by a partial aggregate; at most
+``total / hot_rows`` of them) take a sliced path, the rest one plain window:
 
 1. ``repartitionByRange`` on the full sort key ``(session, time, event_id)``:
    the range partitioner samples the keys, so a hot session is cut into many
@@ -27,31 +29,41 @@ def _flow(flow: str | list) -> list[str]:
     return [x.strip() for x in items if x.strip()]
 
 
-SLICE_BYTES = 256 * 1024 * 1024
+HOT_SESSION_ROWS = 1_000_000
 
 
-def default_slices(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
-    """Slice count for ``df``: the optimizer's size estimate / ``slice_bytes``, at least the shuffle partitions."""
-    spark = df.sparkSession
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the shuffle partitions
-        return floor
-    if est >= 2**62:  # Spark's "size unknown" placeholder (spark.sql.defaultSizeInBytes)
-        return floor
-    return int(min(max(floor, -(-est // slice_bytes)), 2**31 - 1))
-
-
-def session_next_page(visits: DataFrame, slices: int | None = None) -> DataFrame:
+def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
     """Each visit with the page of the next visit in its session (null for the last).
 
     Order inside a session is ``(action_time, event_id)``, a total order.
     Returns ``session_id, page_id, action_time, event_id, next_page``.
-    ``slices`` defaults to about one slice per 256 MB of the four needed columns.
+
+    Sessions are first counted (partial aggregate). Sessions with more than
+    ``hot_rows`` visits -- at most ``total / hot_rows`` of them, a proven bound --
+    go through the range-sliced path; all others through one plain session window.
+    ``slices`` defaults to one slice per ``hot_rows`` hot visits (at least the
+    shuffle partitions).
     """
     keyed = visits.select("session_id", "page_id", "action_time", "event_id")
-    n = slices or default_slices(keyed)
+    spark = keyed.sparkSession
+    counts = keyed.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col("n") > hot_rows).collect()  # bounded: total rows / hot_rows
+    if not hot:
+        return _window_next(keyed)
+    hot_df = F.broadcast(spark.createDataFrame([(r["session_id"],) for r in hot], keyed.select("session_id").schema))
+    hot_total = sum(r["n"] for r in hot)
+    n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // max(hot_rows, 1)))
+    normal = _window_next(keyed.join(hot_df, "session_id", "left_anti"))
+    heavy = _sliced_next(keyed.join(hot_df, "session_id", "left_semi"), int(n))
+    return normal.unionByName(heavy)
+
+
+def _window_next(keyed: DataFrame) -> DataFrame:
+    w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
+    return keyed.select("session_id", "page_id", "action_time", "event_id", F.lead("page_id").over(w).alias("next_page"))
+
+
+def _sliced_next(keyed: DataFrame, n: int) -> DataFrame:
     ranged = keyed.repartitionByRange(n, "session_id", "action_time", "event_id").withColumn(
         "_slice", F.spark_partition_id()
     )
@@ -100,20 +112,23 @@ def jump_pairs(next_pages: DataFrame, flow: str | list) -> DataFrame:
     return next_pages.where(F.col("next_page").isNotNull()).select(jump.alias("jump")).where(F.col("jump").isin(pairs))
 
 
-def single_jump_count(visits: DataFrame, flow: str | list, slices: int | None = None) -> DataFrame:
+def single_jump_count(visits: DataFrame, flow: str | list, slices: int | None = None,
+                      hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
     """Occurrences of each flow pair ``"a-b"`` as consecutive visits in a session."""
-    return jump_pairs(session_next_page(visits, slices), flow).groupBy("jump").agg(F.count(F.lit(1)).alias("n"))
+    nx = session_next_page(visits, slices, hot_rows)
+    return jump_pairs(nx, flow).groupBy("jump").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_jump_ratio(
-    visits: DataFrame, flow: str | list, task_id: str | None = None, slices: int | None = None
+    visits: DataFrame, flow: str | list, task_id: str | None = None, slices: int | None = None,
+    hot_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """``jump, ratio`` = jumps a->b / visits of a (denominator 1 when a has no visits).
 
     Pairs that never occur are absent; the denominator counts every visit of the
     from-page, including the last one of a session.
     """
-    jumps = single_jump_count(visits, flow, slices)
+    jumps = single_jump_count(visits, flow, slices, hot_rows)
     pages = single_page_count(visits, flow).select(F.col("page_id").cast("string").alias("from_page"), F.col("n").alias("den"))
     ratio = (
         jumps.withColumn("from_page", F.split("jump", "-").getItem(0))

@@ -57,9 +57,9 @@ def test_hot_session_split_across_slices_matches_brute_force(spark):
     rnd.shuffle(rows)
     visits = spark.createDataFrame(rows, USER_VISIT_ACTION).repartition(7)
     want = _brute_next(rows)
-    for slices in (1, 3, 16, 64):
-        got = {r.event_id: r.next_page for r in J.session_next_page(visits, slices).collect()}
-        assert got == want, slices
+    for slices, hot_rows in ((1, 0), (3, 0), (16, 100), (64, 0), (None, 100), (None, 10**6)):
+        got = {r.event_id: r.next_page for r in J.session_next_page(visits, slices, hot_rows).collect()}
+        assert got == want, (slices, hot_rows)
 
 
 def test_hot_session_really_spans_many_slices(spark):

@@ -19,10 +19,11 @@ visit_lists = st.lists(
 
 
 @SETTINGS
-@given(rows=visit_lists, slices=st.integers(1, 12))
-def test_next_page_matches_brute_force(spark, rows, slices):
+@given(rows=visit_lists, slices=st.integers(1, 12), hot_rows=st.sampled_from([0, 3, 20, 10**6]))
+def test_next_page_matches_brute_force(spark, rows, slices, hot_rows):
     data = [visit_row(i, 1, s, page, sec) for i, (s, page, sec) in enumerate(rows)]
-    got = {r.event_id: r.next_page for r in J.session_next_page(spark.createDataFrame(data, USER_VISIT_ACTION), slices).collect()}
+    visits = spark.createDataFrame(data, USER_VISIT_ACTION)
+    got = {r.event_id: r.next_page for r in J.session_next_page(visits, slices, hot_rows).collect()}
     want = {}
     for s in {r[2] for r in data}:
         seq = sorted((r for r in data if r[2] == s), key=lambda r: (r[4], r[13]))
@@ -83,5 +84,8 @@ def test_city_share_adds_up(spark, counts):
 
 def test_page_jump_plan_is_range_sliced(spark):
     data = [visit_row(i, 1, "s", 1 + i % 3, i) for i in range(10)]
-    plan = J.page_jump_ratio(spark.createDataFrame(data, USER_VISIT_ACTION), "1,2,3", "t")._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(session_id" in plan
+    visits = spark.createDataFrame(data, USER_VISIT_ACTION)
+    plan = J.page_jump_ratio(visits, "1,2,3", "t", hot_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(session_id" in plan  # the 10-visit session is hot
+    plain = J.page_jump_ratio(visits, "1,2,3", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plain
