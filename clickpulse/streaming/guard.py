@@ -53,7 +53,13 @@ COUNTS_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-BLOCKED_SCHEMA = T.StructType([T.StructField("userid", T.StringType()), T.StructField("batch_id", T.LongType())])
+BLOCKED_SCHEMA = T.StructType(
+    [
+        T.StructField("userid", T.StringType()),
+        T.StructField("block_batch", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 BASE_SCHEMA = T.StructType(
     [
         T.StructField("userid", T.StringType()),
@@ -114,7 +120,7 @@ class AdClickGuard:
         rows = self.spark.read.schema(BLOCKED_SCHEMA).parquet(self.blocked_path)
         if before_batch is not None:
             rows = rows.where(F.col("batch_id") < before_batch)
-        return rows.groupBy("userid").agg(F.min("batch_id").alias("block_batch"))
+        return rows.groupBy("userid").agg(F.min("block_batch").alias("block_batch"))
 
     def user_day_counts(self, upto_batch: int | None = None, dates: list[str] | None = None) -> DataFrame:
         """Running accepted clicks per (date, userid, adid).
@@ -182,10 +188,31 @@ class AdClickGuard:
 
         # Days this batch touched: bounded by the batch's time span.
         days = [r[0] for r in inc.select("date").distinct().collect()]
-        if not days:
-            return
-        over = self.user_day_counts(upto_batch=n, dates=days).where(F.col("n") >= self.threshold)
-        newly = over.select("userid").distinct().join(before, "userid", "left_anti")
-        _overwrite_partitions(newly.withColumn("batch_id", F.lit(n).cast("long")), self.blocked_path, ["batch_id"])
+        if days:
+            over = self.user_day_counts(upto_batch=n, dates=days).where(F.col("n") >= self.threshold)
+            newly = over.select("userid").distinct().join(before, "userid", "left_anti")
+            stamp = F.lit(n).cast("long")
+            _overwrite_partitions(newly.select("userid", stamp.alias("block_batch"), stamp.alias("batch_id")),
+                                  self.blocked_path, ["batch_id"])
         if self.compact_every and n > 0 and n % self.compact_every == 0:
-            self.compact_days(n, days)
+            if days:
+                self.compact_days(n, days)
+            self.compact_blocked(n)
+
+    def compact_blocked(self, batch_id: int) -> None:
+        """Fold blocked-user partitions below ``batch_id`` into ``batch_id - 1``.
+
+        Keeps the per-batch read of the blocked set to a few files; ``block_batch`` is a
+        column, so folding keeps when each user was blocked. The current batch's own
+        partition is never touched, so a replay of it stays exact.
+        """
+        target = int(batch_id) - 1
+        if target < 0:
+            return
+        rows = self.blocked(before_batch=int(batch_id))
+        staged = self.blocked_path + f".stage-{target}"
+        rows.write.mode("overwrite").parquet(staged)
+        folded = self.spark.read.schema(rows.schema).parquet(staged).withColumn("batch_id", F.lit(target).cast("long"))
+        _overwrite_partitions(folded, self.blocked_path, ["batch_id"])
+        _drop_below(self.spark, self.blocked_path, "batch_id", target)
+        _drop_below(self.spark, staged, None, 0)

@@ -102,6 +102,8 @@ def test_guard_compaction_keeps_counts_and_blocks(spark, tmp_root):
     assert folded.accepted().count() == plain.accepted().count()
     left = [d for d in os.listdir(os.path.join(tmp_root, "folded", "counts", "date=2020-08-27")) if "=" in d]
     assert all(int(d.split("=")[1]) > 4 for d in left)  # increments up to the last fold are gone
+    blocked_parts = [d for d in os.listdir(os.path.join(tmp_root, "folded", "blocked")) if "=" in d]
+    assert all(int(d.split("=")[1]) >= 5 for d in blocked_parts)  # folded into batch 5 (fold at 6)
 
 
 def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
