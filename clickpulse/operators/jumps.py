@@ -30,9 +30,11 @@ def _flow(flow: str | list) -> list[str]:
 
 
 HOT_SESSION_ROWS = 1_000_000
+SLICE_ROWS = 1_000_000  # rows per slice of the hot path (~50 MB of the four columns)
 
 
-def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
+def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: int = HOT_SESSION_ROWS,
+                      slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Each visit with the page of the next visit in its session (null for the last).
 
     Order inside a session is ``(action_time, event_id)``, a total order.
@@ -41,7 +43,7 @@ def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: in
     Sessions are first counted (partial aggregate). Sessions with more than
     ``hot_rows`` visits -- at most ``total / hot_rows`` of them, a proven bound --
     go through the range-sliced path; all others through one plain session window.
-    ``slices`` defaults to one slice per ``hot_rows`` hot visits (at least the
+    ``slices`` defaults to one slice per ``slice_rows`` hot visits (at least the
     shuffle partitions).
     """
     keyed = visits.select("session_id", "page_id", "action_time", "event_id")
@@ -52,7 +54,7 @@ def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: in
         return _window_next(keyed)
     hot_df = F.broadcast(spark.createDataFrame([(r["session_id"],) for r in hot], keyed.select("session_id").schema))
     hot_total = sum(r["n"] for r in hot)
-    n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // max(hot_rows, 1)))
+    n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // max(slice_rows, 1)))
     normal = _window_next(keyed.join(hot_df, "session_id", "left_anti"))
     heavy = _sliced_next(keyed.join(hot_df, "session_id", "left_semi"), int(n))
     return normal.unionByName(heavy)

@@ -116,7 +116,7 @@ def category_session_top_n(
 
 
 def visit_profile(visits: DataFrame) -> DataFrame:
-    """Dataset profile as one row: row count, first/last action time, distinct sessions."""
+    """Dataset profile as one row: row count, first/last action time, first/last day (one partial aggregate)."""
     return visits.agg(
         F.count(F.lit(1)).alias("rows"),
         F.date_format(F.min("action_time"), "yyyy-MM-dd HH:mm:ss").alias("first_action"),

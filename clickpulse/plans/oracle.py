@@ -117,6 +117,8 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
 ) WHERE rn <= {P.TOP_SESSIONS}
 """
     q.update(_jump_sql())
+    q["page_jump_ratio_hot"] = q["page_jump_ratio"]
+    q["session_next_page_hot"] = q["session_next_page"]
     q.update(_area_sql())
     q.update(_ads_sql())
     # Streaming forms must equal their batch formulas.

@@ -12,6 +12,8 @@ START_AGE = 20
 END_AGE = 50
 TARGET_PAGE_FLOW = "1,2,3,4,5,6,7"
 TOP_CATEGORIES = 10
+# Sessions above this many visits take the range-sliced path in the *_hot check keys.
+HOT_SESSION_ROWS_CHECK = 50
 TOP_SESSIONS = 10
 TOP_PRODUCTS = 3
 TOP_ADS = 3

@@ -69,6 +69,17 @@ def q_page_jump_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.page_jump_ratio(TestTables(spark, sf_dir).visits, P.TARGET_PAGE_FLOW, P.TASK_ID)
 
 
+def q_page_jump_ratio_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 with a low hot-session bound: most sessions go through the range-sliced path."""
+    visits = TestTables(spark, sf_dir).visits
+    return J.page_jump_ratio(visits, P.TARGET_PAGE_FLOW, P.TASK_ID, hot_rows=P.HOT_SESSION_ROWS_CHECK)
+
+
+def q_session_next_page_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nx = J.session_next_page(TestTables(spark, sf_dir).visits, hot_rows=P.HOT_SESSION_ROWS_CHECK)
+    return nx.select("session_id", "event_id", "page_id", "next_page")
+
+
 def q_area_city_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
     return A.area_city_clicks(t.visits, t.cities)
@@ -185,6 +196,8 @@ def queries() -> dict[str, Query]:
         "single_page_count": q_single_page_count,
         "single_jump_count": q_single_jump_count,
         "page_jump_ratio": q_page_jump_ratio,
+        "page_jump_ratio_hot": q_page_jump_ratio_hot,
+        "session_next_page_hot": q_session_next_page_hot,
         "area_city_clicks": q_area_city_clicks,
         "area_product_counts": q_area_product_counts,
         "city_click_share": q_city_click_share,
