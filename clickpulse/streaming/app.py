@@ -14,6 +14,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import functions as F
+
 from clickpulse.operators.ads import parse_ads_lines
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
 from clickpulse.streaming.feed import start_foreach_batch
@@ -31,6 +33,9 @@ class AdsApp:
         self.guard = AdClickGuard(spark, os.path.join(root, "guard"), threshold)
         self.day_area = DayAreaAdTables(spark, os.path.join(root, "day_area"), top_n)
         self.trend = TrendTables(spark, os.path.join(root, "trend"), trend_minutes)
+        self.rejects_path = os.path.join(root, "rejects")
+        spark.createDataFrame([], "line string, reason string, batch_id long").write.mode("append") \
+            .partitionBy("batch_id").parquet(self.rejects_path)
 
     def _ckpt(self, name: str) -> str:
         return os.path.join(self.root, "checkpoints", name)
@@ -38,10 +43,25 @@ class AdsApp:
     def accepted_stream(self) -> DataFrame:
         return self.spark.readStream.schema(ACCEPTED_SCHEMA).parquet(self.guard.accepted_path)
 
+    def process_lines(self, lines: DataFrame, batch_id: int) -> None:
+        """One micro-batch of raw lines: rejects to ``rejects/batch_id=n``, the rest through the guard."""
+        lines = lines.persist()  # parsed twice (rejects, accepted); read the source once
+        try:
+            parsed, rejects = parse_ads_lines(lines, self.tz)
+            (rejects.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(self.rejects_path))
+            self.guard.process(parsed, batch_id)
+        finally:
+            lines.unpersist()
+
+    def rejects(self) -> DataFrame:
+        """Malformed lines with their reason and batch."""
+        return self.spark.read.schema("line string, reason string, batch_id long").parquet(self.rejects_path)
+
     def start_guard(self, lines: DataFrame, available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
         """``lines``: a stream with a string ``value`` column (Kafka value, text file line, ...)."""
-        parsed = parse_ads_lines(lines, self.tz)[0]
-        return start_foreach_batch(parsed, self.guard.process, self._ckpt("guard"), "append",
+        return start_foreach_batch(lines, self.process_lines, self._ckpt("guard"), "append",
                                    available_now, processing_time)
 
     def start_downstream(self, available_now: bool = True, processing_time: str | None = None) -> list[StreamingQuery]:

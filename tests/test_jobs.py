@@ -31,6 +31,7 @@ def test_ads_app_end_to_end(spark, tmp_root):
         (2, "1598500002000 A C2 u2 1", 0),
         (3, "1598500003000 A C1 u1 2", 1),  # u1 blocked after batch 0
         (4, "1598500004000 A C2 u2 2", 1),
+        (5, "garbage", 1),
     ]
     feed_df = spark.createDataFrame(lines, "event_id long, value string, batch long")
     app = AdsApp(spark, os.path.join(tmp_root, "app"), threshold=2, top_n=3, trend_minutes=60)
@@ -44,3 +45,4 @@ def test_ads_app_end_to_end(spark, tmp_root):
     assert {r.adid: r.trend_json for r in app.trend.trend.read().collect()} == {
         "1": '[{"03:46":3}]', "2": '[{"03:46":1}]'}
     assert [r.userid for r in app.guard.blocked().collect()] == ["u1"]
+    assert [tuple(r) for r in app.rejects().collect()] == [("garbage", "too few fields", 1)]
