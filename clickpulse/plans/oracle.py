@@ -118,8 +118,10 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
 """
     q.update(_jump_sql())
     q["page_jump_ratio_hot"] = q["page_jump_ratio"]
+    q["category_top10_sql"] = q["category_top10"]
     q["session_next_page_hot"] = q["session_next_page"]
     q.update(_area_sql())
+    q["area_product_top3_sql"] = q["area_product_top3"]
     q.update(_ads_sql())
     # Streaming forms must equal their batch formulas.
     q["ads_guard_stream"] = _with(GUARD) + """

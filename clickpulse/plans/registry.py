@@ -80,6 +80,27 @@ def q_session_next_page_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nx.select("session_id", "event_id", "page_id", "next_page")
 
 
+def _sql_views(spark: SparkSession, sf_dir: str) -> None:
+    from clickpulse.plans.sql_jobs import register_views
+
+    t = TestTables(spark, sf_dir)
+    register_views(t.visits, t.users, t.cities, t.products)
+
+
+def q_category_top10_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.plans.sql_jobs import category_top_n_sql
+
+    _sql_views(spark, sf_dir)
+    return category_top_n_sql(spark, P.TASK_ID, P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE, P.TOP_CATEGORIES)
+
+
+def q_area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.plans.sql_jobs import area_product_top_n_sql
+
+    _sql_views(spark, sf_dir)
+    return area_product_top_n_sql(spark, P.TASK_ID, P.TOP_PRODUCTS)
+
+
 def q_area_city_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
     return A.area_city_clicks(t.visits, t.cities)
@@ -202,6 +223,8 @@ def queries() -> dict[str, Query]:
         "area_product_counts": q_area_product_counts,
         "city_click_share": q_city_click_share,
         "area_product_top3": q_area_product_top3,
+        "category_top10_sql": q_category_top10_sql,
+        "area_product_top3_sql": q_area_product_top3_sql,
         "visit_profile": q_visit_profile,
         "visit_filter": q_visit_filter,
         "category_counts": q_category_counts,
