@@ -3,9 +3,9 @@
 Production reads the ad log from Kafka (``kafka_line_stream``); text folders
 work for line files (``text_line_stream``). ``ReplayFeed`` turns a DataFrame
 that Spark derived from the given tables into a sequence of micro-batches:
-for each batch it appends that batch's rows (written in parallel, any number
-of files) to an inbox folder and runs the query once with ``availableNow``
-on the same checkpoint. So batch boundaries are exact, every run resumes from
+it writes the feed once (in parallel, partitioned by batch), then for each
+batch moves that batch's files into an inbox folder and runs the query once
+with ``availableNow`` on the same checkpoint. So batch boundaries are exact, every run resumes from
 the checkpoint (the restart path), and no batch is funnelled through one task.
 """
 
@@ -15,7 +15,6 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -55,20 +54,34 @@ class ReplayFeed:
         """The inbox as a parquet file stream."""
         return self.spark.readStream.schema(schema).parquet(self.inbox)
 
-    def batch_ids(self, df: DataFrame, batch_col: str) -> list:
-        # A handful of batch numbers (bounded by the replay plan), not data.
-        return [r[0] for r in df.select(batch_col).distinct().orderBy(batch_col).collect()]
-
     def run(self, df: DataFrame, batch_col: str, start: Callable[[], StreamingQuery]) -> int:
-        """Feed ``df`` batch by batch; after each append run the query to completion."""
-        ids = self.batch_ids(df, batch_col)
-        for b in ids:
-            df.where(F.col(batch_col) == F.lit(b)).drop(batch_col).write.mode("append").parquet(self.inbox)
+        """Feed ``df`` batch by batch; after each batch arrives run the query to completion.
+
+        The feed is written once, partitioned by ``batch_col`` (one parallel job, one
+        scan of the source); each batch then arrives by renaming its files into the
+        inbox while no query runs, so every run sees exactly one whole batch.
+        """
+        stage = self.inbox + "-stage"
+        df.write.mode("overwrite").partitionBy(batch_col).parquet(stage)
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        fs = path(stage).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path(self.inbox))
+        folders = []
+        for st in fs.globStatus(path(f"{stage}/{batch_col}=*")) or []:
+            value = st.getPath().getName().split("=", 1)[1]
+            folders.append((int(value) if value.lstrip("-").isdigit() else value, st.getPath()))
+        for b, folder in sorted(folders, key=lambda x: (isinstance(x[0], str), x[0])):
+            for f in fs.listStatus(folder):
+                name = f.getPath().getName()
+                if not name.startswith(("_", ".")):
+                    fs.rename(f.getPath(), path(f"{self.inbox}/b{b}-{name}"))
             q = start()
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(f"stream failed at feed batch {b}: {q.exception()}")
-        return len(ids)
+        fs.delete(path(stage), True)
+        return len(folders)
 
 
 def start_foreach_batch(
