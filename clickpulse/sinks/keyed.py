@@ -139,10 +139,10 @@ class SnapshotTable:
 
     def replace(self, df: DataFrame, batch_id: int) -> None:
         rows = df.select(*[f.name for f in self.schema.fields]).withColumn(VERSION, F.lit(int(batch_id)).cast("long"))
-        if rows.isEmpty():
-            # An empty snapshot still has to replace the previous one: write a marker row set.
-            rows = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (int(batch_id),)], self._stored_schema())
-        _write_versioned(rows, self.path, [VERSION])
+        # One all-null marker row makes the new version exist even when the snapshot is
+        # empty (so it still replaces the previous one); readers drop it.
+        marker = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (int(batch_id),)], self._stored_schema())
+        _write_versioned(rows.unionByName(marker), self.path, [VERSION])
         # Keep the previous snapshot for readers in flight; older ones go.
         drop_versions_below(self.spark, self.path, int(batch_id) - 1, partitioned=False)
 
