@@ -10,10 +10,3 @@ def pairs_json(items: Column, key: str = "k", value: str = "n") -> Column:
     """``items`` = ordered array<struct<key, value>> -> JSON array of one-field objects."""
     return F.to_json(F.transform(items, lambda x: F.create_map(x[key].cast("string"), x[value])))
 
-
-def ordered_pairs(key: Column, value: Column, order: Column) -> Column:
-    """Aggregate: collect (order, key, value) and sort by ``order`` (use on bounded groups only)."""
-    return F.transform(
-        F.array_sort(F.collect_list(F.struct(order.alias("o"), key.alias("k"), value.alias("n")))),
-        lambda x: F.struct(x["k"].alias("k"), x["n"].alias("n")),
-    )

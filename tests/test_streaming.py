@@ -128,3 +128,21 @@ def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
         ))
     assert results[0] == results[1]
     assert results[0][3] == [("1", '[{"04:48":1}]'), ("2", '[{"04:50":1}]')]
+
+
+def test_text_line_stream_word_count(spark, tmp_root):
+    """S7 / A15: a folder of text files as a stream, running word counts across two runs."""
+    from clickpulse.streaming.counts import WordCountTable, word_count_stream
+    from clickpulse.streaming.feed import start_foreach_batch, text_line_stream
+
+    inbox = os.path.join(tmp_root, "texts")
+    os.makedirs(inbox)
+    table = WordCountTable(spark, os.path.join(tmp_root, "wc"))
+    ckpt = os.path.join(tmp_root, "ckpt")
+    for i, text in enumerate(["a b a", "b c"]):
+        with open(os.path.join(inbox, f"f{i}.txt"), "w", encoding="utf-8") as fh:
+            fh.write(text + "\n")
+        q = start_foreach_batch(word_count_stream(text_line_stream(spark, inbox), column="value"), table.process,
+                                ckpt, "update")
+        q.awaitTermination()
+    assert sorted(map(tuple, table.table.read().collect())) == [("a", 2), ("b", 2), ("c", 1)]
