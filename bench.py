@@ -43,20 +43,31 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    conf = {"spark.driver.memory": "8g"}
+    event_dir = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Event log to a fresh scratch folder; summarise with tools/stage_report.py.
+        import tempfile
+
+        event_dir = tempfile.mkdtemp(prefix="clickpulse-events-")
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = get_spark(
         app="clickpulse-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=int(cpus),
-        conf={"spark.driver.memory": "8g"},
+        conf=conf,
     )
     qs = registry.queries()
     sq = stream_queries()
     out: dict[str, float] = {}
+    sc = spark.sparkContext
     for key in BATCH_KEYS:
         fn = qs[key]
+        sc.setJobDescription(f"{key} warm-up")
         _run(fn(spark, sf_dir))  # warm-up
         times = []
-        for _ in range(runs):
+        for i in range(runs):
+            sc.setJobDescription(f"{key} run {i}")
             t0 = time.perf_counter()
             _run(fn(spark, sf_dir))
             times.append(time.perf_counter() - t0)
@@ -64,7 +75,9 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     for key in STREAM_KEYS:
         if os.path.isdir(warm_dir):
+            sc.setJobDescription(f"{key} warm-up")
             _run(sq[key](spark, warm_dir))  # warm-up on the smallest tables (streams replay 5-6 batches)
+        sc.setJobDescription(f"{key} run 0")
         t0 = time.perf_counter()
         _run(sq[key](spark, sf_dir))
         out[key] = round(time.perf_counter() - t0, 3)
@@ -80,6 +93,7 @@ def main() -> None:
                 "cpus": int(cpus),
                 "spark": spark.version,
                 "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
+                **({"event_log": event_dir} if event_dir else {}),
             }
         )
     )
