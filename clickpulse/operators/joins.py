@@ -23,3 +23,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     if row_count_at_most(df, max_rows):
         return F.broadcast(df)
     return df
+
+
+def materialized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A join side derived from the data: compute it once, then broadcast it if checked small.
+
+    The side is written as a parquet table under the session's shared checkpoint folder
+    (lineage is cut; a lost executor does not lose it) and read back, so the row-count
+    check and the join reuse one result instead of recomputing it, the planner sees its
+    real file size, and the big side is never shuffled when the check passes.
+    """
+    from clickpulse.session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, "join-side")
+    df.write.mode("overwrite").parquet(path)
+    return bounded_broadcast(spark.read.schema(df.schema).parquet(path), max_rows)
