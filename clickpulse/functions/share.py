@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the label of the remainder item.
-OTHER_LABEL = "其他"
+from clickpulse.constants import OTHER_LABEL  # fixed value, see constants.py
 
 
 def round_half_up_1(x: Column) -> Column:

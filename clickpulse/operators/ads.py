@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpulse import constants as C
 from clickpulse.functions.jsonpairs import pairs_json
 from clickpulse.functions.timefmt import day_key, minute_label, minute_start, minute_text, ntz_of_epoch_millis
 from clickpulse.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialized_side
@@ -58,7 +59,7 @@ def ads_user_day_counts(ads: DataFrame) -> DataFrame:
     return ads.groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ads_blacklist(ads: DataFrame, threshold: int = 100) -> DataFrame:
+def ads_blacklist(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD) -> DataFrame:
     """Users with at least ``threshold`` clicks on one ad in one day (distinct userid)."""
     return ads_user_day_counts(ads).where(F.col("n") >= threshold).select("userid").distinct()
 
@@ -78,7 +79,7 @@ def batch_of_day(date: Column, days_per_batch: int) -> Column:
     return F.floor(F.unix_date(F.to_date(date)) / F.lit(days_per_batch)).cast("long")
 
 
-def ads_guard_blocked(ads: DataFrame, threshold: int = 100, batch_col: str = "batch_id") -> DataFrame:
+def ads_guard_blocked(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD, batch_col: str = "batch_id") -> DataFrame:
     """Batch formula of the stream guard: ``userid, block_batch``.
 
     A user is blocked after the first batch in which the running accepted count
@@ -92,7 +93,7 @@ def ads_guard_blocked(ads: DataFrame, threshold: int = 100, batch_col: str = "ba
     return running.where(F.col("cum") >= threshold).groupBy("userid").agg(F.min(batch_col).alias("block_batch"))
 
 
-def ads_guard_accepted(ads: DataFrame, threshold: int = 100, batch_col: str = "batch_id",
+def ads_guard_accepted(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD, batch_col: str = "batch_id",
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows the stream guard accepts: the user is unblocked, or blocked in this batch or later.
 
@@ -114,7 +115,7 @@ def day_area_ad_counts(city_counts: DataFrame) -> DataFrame:
     return city_counts.groupBy("date", "area", "adid").agg(F.sum("n").cast("long").alias("n"))
 
 
-def day_area_ad_top_n(area_counts: DataFrame, n: int = 3) -> DataFrame:
+def day_area_ad_top_n(area_counts: DataFrame, n: int = C.TOP_ADS) -> DataFrame:
     """Per (date, area) the ``n`` ads with most clicks (ties by adid) as JSON ``[{"ad":count},...]``."""
     w = Window.partitionBy("date", "area").orderBy(F.desc("n"), F.asc("adid"))
     best = area_counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
@@ -127,7 +128,8 @@ def ad_minute_counts(ads: DataFrame) -> DataFrame:
     return ads.groupBy("adid", minute_start(F.col("ts")).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ad_sliding_counts(ads: DataFrame, length_minutes: int = 3, slide_minutes: int = 1) -> DataFrame:
+def ad_sliding_counts(ads: DataFrame, length_minutes: int = C.SLIDING_LENGTH_MINUTES,
+                      slide_minutes: int = C.SLIDING_SLIDE_MINUTES) -> DataFrame:
     """Clicks per (adid, sliding window) aligned to the epoch like ``F.window(ts, length, slide)``.
 
     Rows are first counted per slide bucket; each bucket count then adds to the
@@ -147,7 +149,8 @@ def ad_sliding_counts(ads: DataFrame, length_minutes: int = 3, slide_minutes: in
     return summed.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
 
 
-def ad_last_hour_trend(minute_counts: DataFrame, length_minutes: int = 60, now: Column | None = None) -> DataFrame:
+def ad_last_hour_trend(minute_counts: DataFrame, length_minutes: int = C.TREND_MINUTES,
+                       now: Column | None = None) -> DataFrame:
     """Per ad the per-minute counts of the last ``length_minutes`` minutes as JSON ``[{"HH:mm":n},...]``.
 
     ``now`` (default: the latest minute in the data) closes the range; minutes in

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpulse import constants as C
 from clickpulse.functions.share import OTHER_LABEL, share_text
 from clickpulse.operators.joins import bounded_broadcast
 
@@ -66,7 +67,7 @@ def city_click_share(city_counts: DataFrame, other_label: str = OTHER_LABEL) ->
     Top two cities by clicks (ties by name; null cities never shown but counted
     in the total), each as a one-decimal percentage, plus the remainder label.
     """
-    summary = product_city_summary(city_counts, 2)
+    summary = product_city_summary(city_counts, C.TOP_SHARE_CITIES)
     return summary.select(
         "area", "product_id", share_text(F.col("top"), F.col("total"), other_label).alias("city_click_ratio")
     )
@@ -76,7 +77,7 @@ def area_product_top_n(
     visits: DataFrame,
     cities: DataFrame,
     products: DataFrame,
-    n: int = 3,
+    n: int = C.TOP_PRODUCTS,
     task_id: str | None = None,
     other_label: str = OTHER_LABEL,
 ) -> DataFrame:
@@ -84,7 +85,7 @@ def area_product_top_n(
 
     Output: ``task_id, area, product_name, product_count, city_click_ratio``.
     """
-    summary = product_city_summary(area_product_city_counts(area_city_clicks(visits, cities)), 2)
+    summary = product_city_summary(area_product_city_counts(area_city_clicks(visits, cities)), C.TOP_SHARE_CITIES)
     named = summary.join(bounded_broadcast(products.select("product_id", "product_name")), "product_id")
     w = Window.partitionBy("area").orderBy(F.desc("total"))
     ranked = named.withColumn("rk", F.rank().over(w)).where(F.col("rk") <= n)

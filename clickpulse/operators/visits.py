@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpulse import constants as C
 from clickpulse.functions.idlists import split_ids
 from clickpulse.operators.joins import bounded_broadcast
 
@@ -65,7 +66,7 @@ def action_categories(visits: DataFrame) -> DataFrame:
         return F.transform(split_ids(F.col(ids)), lambda c: F.struct(F.lit(action).alias("action"), c.alias("category")))
 
     acts = (
-        F.when(F.col("click_category_id") != -1, click)
+        F.when(F.col("click_category_id") != C.NO_CLICK, click)
         .when(F.col("order_category_ids").isNotNull(), listed("order", "order_category_ids"))
         .when(F.col("pay_category_ids").isNotNull(), listed("pay", "pay_category_ids"))
     )
@@ -85,7 +86,7 @@ def category_counts(visits: DataFrame) -> DataFrame:
     )
 
 
-def category_top_n(visits: DataFrame, n: int = 10, task_id: str | None = None) -> DataFrame:
+def category_top_n(visits: DataFrame, n: int = C.TOP_CATEGORIES, task_id: str | None = None) -> DataFrame:
     """Top-n categories by clicks, then orders, then payments (desc); ties by category."""
     ranked = category_counts(visits).orderBy(
         F.desc("click"), F.desc("order"), F.desc("pay"), F.asc("category")
@@ -96,14 +97,14 @@ def category_top_n(visits: DataFrame, n: int = 10, task_id: str | None = None) -
 def category_session_counts(visits: DataFrame) -> DataFrame:
     """Clicks per (category, session)."""
     return (
-        visits.where(F.col("click_category_id") != -1)
+        visits.where(F.col("click_category_id") != C.NO_CLICK)
         .groupBy(F.col("click_category_id").alias("category"), "session_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def category_session_top_n(
-    visits: DataFrame, top_categories: DataFrame, n: int = 10, task_id: str | None = None
+    visits: DataFrame, top_categories: DataFrame, n: int = C.TOP_SESSIONS, task_id: str | None = None
 ) -> DataFrame:
     """For each category of ``top_categories`` the n sessions with most clicks (ties by session id)."""
     # top_categories holds at most a top-n list: bounded by construction, safe to broadcast.

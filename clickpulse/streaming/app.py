@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pyspark.sql import functions as F
 
+from clickpulse import constants as C
 from clickpulse.operators.ads import parse_ads_lines
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
 from clickpulse.streaming.feed import start_foreach_batch
@@ -24,8 +25,8 @@ from clickpulse.streaming.trend import TrendTables, minute_counts_stream
 
 
 class AdsApp:
-    def __init__(self, spark: SparkSession, root: str, threshold: int = 100, top_n: int = 3,
-                 trend_minutes: int = 60, tz: str = "UTC"):
+    def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD, top_n: int = C.TOP_ADS,
+                 trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC"):
         self.spark = spark
         self.root = root
         self.tz = tz

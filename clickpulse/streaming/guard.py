@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickpulse import constants as C
 from clickpulse.operators.joins import bounded_broadcast
 
 ACCEPTED_SCHEMA = T.StructType(
@@ -93,7 +94,8 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) ->
 
 
 class AdClickGuard:
-    def __init__(self, spark: SparkSession, root: str, threshold: int = 100, max_broadcast_rows: int = 2_000_000,
+    def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD,
+                 max_broadcast_rows: int = 2_000_000,
                  compact_every: int = 20):
         self.spark = spark
         self.threshold = threshold
