@@ -26,8 +26,9 @@ from clickpulse.streaming.trend import TrendTables, minute_counts_stream
 
 class AdsApp:
     def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD, top_n: int = C.TOP_ADS,
-                 trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC"):
+                 trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC", retain_days: int | None = None):
         self.spark = spark
+        self.retain_days = retain_days  # None: keep running counts for ever (exact)
         self.root = root
         self.tz = tz
         self.trend_minutes = trend_minutes
@@ -67,7 +68,8 @@ class AdsApp:
 
     def start_downstream(self, available_now: bool = True, processing_time: str | None = None) -> list[StreamingQuery]:
         acc = self.accepted_stream()
-        q6 = start_foreach_batch(day_area_city_counts_stream(acc), self.day_area.process, self._ckpt("day_area"),
+        q6 = start_foreach_batch(day_area_city_counts_stream(acc, self.retain_days), self.day_area.process,
+                                 self._ckpt("day_area"),
                                  "update", available_now, processing_time)
         q8 = start_foreach_batch(minute_counts_stream(acc, self.trend_minutes), self.trend.process,
                                  self._ckpt("trend"), "update", available_now, processing_time)

@@ -38,9 +38,26 @@ TOP_SCHEMA = T.StructType(
 WORD_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def day_area_city_counts_stream(ads_stream: DataFrame) -> DataFrame:
-    """Streaming running clicks per (date, area, city, adid); run in update mode."""
-    return ads_stream.groupBy("date", "area", "city", "adid").agg(F.count(F.lit(1)).alias("n"))
+def day_area_city_counts_stream(ads_stream: DataFrame, retain_days: int | None = None) -> DataFrame:
+    """Streaming running clicks per (date, area, city, adid); run in update mode.
+
+    By default every key is kept for ever (exact, like the surveyed job). With
+    ``retain_days`` the count runs over event-time day windows under a watermark of
+    that many days, so the state of older days is dropped (and rows arriving later
+    than that for those days are ignored): state stays bounded on an endless stream.
+    """
+    if retain_days is None:
+        return ads_stream.groupBy("date", "area", "city", "adid").agg(F.count(F.lit(1)).alias("n"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("ts")))
+    counted = (
+        ads_stream.withColumn("_et", event_time)
+        .withWatermark("_et", f"{int(retain_days)} days")
+        .groupBy(F.window("_et", "1 day").alias("d"), "area", "city", "adid")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    day = F.date_format(F.timestamp_add("MICROSECOND", F.unix_micros(F.col("d.start")), epoch), "yyyy-MM-dd")
+    return counted.select(day.alias("date"), "area", "city", "adid", "n")
 
 
 def word_count_stream(lines: DataFrame, column: str = "text", sep: str = " ") -> DataFrame:
