@@ -173,6 +173,8 @@ class AdClickGuard:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
+        if "event_id" not in batch.columns:  # line sources (Kafka value, text files) carry no id
+            batch = batch.withColumn("event_id", F.lit(None).cast("long"))
         before = self.blocked(before_batch=n).select("userid")
         # Accepted rows are write-once: downstream file streams read this table, so a
         # replayed batch must not put new files next to the ones already read.

@@ -46,3 +46,39 @@ def test_ads_app_end_to_end(spark, tmp_root):
         "1": '[{"03:46":3}]', "2": '[{"03:46":1}]'}
     assert [r.userid for r in app.guard.blocked().collect()] == ["u1"]
     assert [tuple(r) for r in app.rejects().collect()] == [("garbage", "too few fields", 1)]
+
+
+def test_cli_batch_jobs(spark, tmp_root, fixture_visits, fixture_users, fixture_cities, fixture_products):
+    from clickpulse.plans.cli import main
+
+    paths = {}
+    for name, df in (("visits", fixture_visits), ("users", fixture_users), ("cities", fixture_cities),
+                     ("products", fixture_products)):
+        paths[name] = os.path.join(tmp_root, name)
+        df.write.parquet(paths[name])
+    props = os.path.join(tmp_root, "conditions.properties")
+    with open(props, "w", encoding="utf-8") as fh:
+        fh.write('condition.params.json={startAge: "20", \\\n  endAge: "50", \\\n  targetPageFlow:"1,2,3"}\n')
+    out = os.path.join(tmp_root, "out")
+    common = ["--visits", paths["visits"], "--users", paths["users"], "--cities", paths["cities"],
+              "--products", paths["products"], "--conditions", props, "--out", out]
+    for job in ("category", "jump", "area"):
+        main([job, *common])
+    assert [r.category for r in spark.read.parquet(os.path.join(out, "category_top10")).orderBy("click", "order", "pay",
+            ascending=False).collect()] == ["2", "1"]
+    assert spark.read.parquet(os.path.join(out, "jump_page_ratio")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "area_count_info")).count() == 2
+
+
+def test_cli_ads_app_on_text_files(spark, tmp_root):
+    from clickpulse.plans.cli import main
+    from clickpulse.streaming.counts import DayAreaAdTables
+
+    lines_dir = os.path.join(tmp_root, "lines")
+    os.makedirs(lines_dir)
+    with open(os.path.join(lines_dir, "part-0.txt"), "w", encoding="utf-8") as fh:
+        fh.write("1598500000000 A C1 u1 1\n1598500001000 A C1 u1 1\n1598500002000 A C2 u2 2\nbad\n")
+    root = os.path.join(tmp_root, "app")
+    main(["ads-app", "--lines-dir", lines_dir, "--state-root", root, "--threshold", "2", "--available-now"])
+    counts = DayAreaAdTables(spark, os.path.join(root, "day_area"), 3).city_counts.read()
+    assert sorted((r.city, r.adid, r.n) for r in counts.collect()) == [("C1", "1", 2), ("C2", "2", 1)]
