@@ -73,6 +73,7 @@ def build_parser() -> argparse.ArgumentParser:
     ap.add_argument("--lines-dir", help="folder of text files with ad lines (instead of Kafka)")
     ap.add_argument("--state-root", help="shared folder for the app's tables and checkpoints")
     ap.add_argument("--threshold", type=int, default=C.BLOCK_THRESHOLD)
+    ap.add_argument("--state-partitions", type=int, help="state partitions of the streaming aggregations")
     ap.add_argument("--trigger", default="3 seconds")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     return ap
@@ -86,7 +87,7 @@ def main(argv: list[str] | None = None) -> None:
         from clickpulse.streaming.feed import kafka_line_stream, text_line_stream
 
         root = args.state_root or os.path.join(spark.conf.get("spark.checkpoint.dir"), "clickpulse-ads-app")
-        app = AdsApp(spark, root, args.threshold)
+        app = AdsApp(spark, root, args.threshold, state_partitions=args.state_partitions)
         lines = (text_line_stream(spark, args.lines_dir) if args.lines_dir
                  else kafka_line_stream(spark, args.kafka_servers, args.topic))
         trigger = None if args.available_now else args.trigger

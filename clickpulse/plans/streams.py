@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from clickpulse.functions.timefmt import day_key, minute_text, ntz_of_epoch_millis
 from clickpulse.operators.ads import batch_of_day, parse_ads_lines
 from clickpulse.plans import params as P
-from clickpulse.session import scratch_dir
+from clickpulse.session import scratch_dir, stream_session
 from clickpulse.sources.testdata import TestTables
 from clickpulse.streaming.app import AdsApp
 from clickpulse.streaming.counts import DayAreaAdTables, WordCountTable, day_area_city_counts_stream, word_count_stream
@@ -49,6 +49,7 @@ def run_replay(
     output_mode: str = "append",
     root: str | None = None,
 ) -> str:
+    """Replay ``feed_df`` through ``build`` -> ``process``; ``spark`` is the session the stream runs in."""
     root = root or scratch_dir(spark, name)
     feed = ReplayFeed(spark, root)
     checkpoint = os.path.join(root, "checkpoint")
@@ -64,38 +65,45 @@ def _parsed(stream: DataFrame) -> DataFrame:
     return parse_ads_lines(stream)[0]
 
 
+# Each runner streams in its own session (``stream_session``): the state-partition count is
+# the cluster's parallelism, whatever the caller's ``spark.sql.shuffle.partitions`` is.
+
 def run_guard(spark: SparkSession, sf_dir: str, threshold: int = P.GUARD_THRESHOLD) -> AdClickGuard:
-    root = scratch_dir(spark, "guard")
-    guard = AdClickGuard(spark, os.path.join(root, "tables"), threshold)
-    run_replay(spark, "guard", ads_feed(spark, sf_dir), LINE_FEED_SCHEMA, _parsed, guard.process, root=root)
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "guard")
+    guard = AdClickGuard(ss, os.path.join(root, "tables"), threshold)
+    run_replay(ss, "guard", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA, _parsed, guard.process, root=root)
     return guard
 
 
 def run_day_area(spark: SparkSession, sf_dir: str) -> DayAreaAdTables:
-    root = scratch_dir(spark, "day-area")
-    tables = DayAreaAdTables(spark, os.path.join(root, "tables"), P.TOP_ADS)
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "day-area")
+    tables = DayAreaAdTables(ss, os.path.join(root, "tables"), P.TOP_ADS)
     run_replay(
-        spark, "day-area", ads_feed(spark, sf_dir), LINE_FEED_SCHEMA,
+        ss, "day-area", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA,
         lambda s: day_area_city_counts_stream(_parsed(s)), tables.process, "update", root=root,
     )
     return tables
 
 
 def run_trend(spark: SparkSession, sf_dir: str) -> TrendTables:
-    root = scratch_dir(spark, "trend")
-    tables = TrendTables(spark, os.path.join(root, "tables"), P.TREND_LENGTH_MINUTES)
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "trend")
+    tables = TrendTables(ss, os.path.join(root, "tables"), P.TREND_LENGTH_MINUTES)
     run_replay(
-        spark, "trend", ads_feed(spark, sf_dir), LINE_FEED_SCHEMA,
+        ss, "trend", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA,
         lambda s: minute_counts_stream(_parsed(s), P.TREND_LENGTH_MINUTES), tables.process, "update", root=root,
     )
     return tables
 
 
 def run_sliding(spark: SparkSession, sf_dir: str) -> SlidingTables:
-    root = scratch_dir(spark, "sliding")
-    tables = SlidingTables(spark, os.path.join(root, "tables"))
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "sliding")
+    tables = SlidingTables(ss, os.path.join(root, "tables"))
     run_replay(
-        spark, "sliding", ads_feed(spark, sf_dir), LINE_FEED_SCHEMA,
+        ss, "sliding", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA,
         lambda s: sliding_counts_stream(_parsed(s), P.SLIDING_LENGTH_MINUTES, P.SLIDING_SLIDE_MINUTES),
         tables.process, "update", root=root,
     )
@@ -103,21 +111,23 @@ def run_sliding(spark: SparkSession, sf_dir: str) -> SlidingTables:
 
 
 def run_word_count(spark: SparkSession, sf_dir: str) -> WordCountTable:
-    root = scratch_dir(spark, "words")
-    table = WordCountTable(spark, os.path.join(root, "tables"))
-    docs = TestTables(spark, sf_dir).raw("documents").select("doc_id", "text")
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "words")
+    table = WordCountTable(ss, os.path.join(root, "tables"))
+    docs = TestTables(ss, sf_dir).raw("documents").select("doc_id", "text")
     top = docs.agg(F.max("doc_id")).first()[0] or 0  # one number: sizes the doc-id ranges
     feed = docs.withColumn("batch", F.floor(F.col("doc_id") * WORD_COUNT_BATCHES / F.lit(top + 1)).cast("long"))
-    run_replay(spark, "words", feed, DOC_FEED_SCHEMA, word_count_stream, table.process, "update", root=root)
+    run_replay(ss, "words", feed, DOC_FEED_SCHEMA, word_count_stream, table.process, "update", root=root)
     return table
 
 
 def run_app(spark: SparkSession, sf_dir: str) -> AdsApp:
     """The whole ad app: guard over the replayed feed, then the fan-out queries."""
-    root = scratch_dir(spark, "app")
-    app = AdsApp(spark, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES)
-    feed = ReplayFeed(spark, root)
-    feed.run(ads_feed(spark, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA)))
+    ss = stream_session(spark)
+    root = scratch_dir(ss, "app")
+    app = AdsApp(ss, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES)
+    feed = ReplayFeed(ss, root)
+    feed.run(ads_feed(ss, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA)))
     for q in app.start_downstream():
         q.awaitTermination()
     return app

@@ -84,3 +84,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for streaming queries with their own state-partition count.
+
+    Stateful operators fix their partition count (``spark.sql.shuffle.partitions``) at the
+    first start of a checkpoint and AQE does not coalesce them, so a count sized for big
+    batch shuffles would make every micro-batch run that many state tasks. ``newSession``
+    shares the SparkContext (executors, cache) but has its own SQL conf, so the caller's
+    session is left untouched. Default: the cluster's default parallelism.
+    """
+    s = spark.newSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    s.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+    return s

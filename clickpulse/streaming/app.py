@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clickpulse import constants as C
 from clickpulse.operators.ads import parse_ads_lines
+from clickpulse.session import stream_session
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
 from clickpulse.streaming.feed import start_foreach_batch
 from clickpulse.streaming.guard import ACCEPTED_SCHEMA, AdClickGuard
@@ -26,8 +27,11 @@ from clickpulse.streaming.trend import TrendTables, minute_counts_stream
 
 class AdsApp:
     def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD, top_n: int = C.TOP_ADS,
-                 trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC", retain_days: int | None = None):
+                 trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC", retain_days: int | None = None,
+                 state_partitions: int | None = None):
         self.spark = spark
+        # Streams run in their own session when a state-partition count is given (see stream_session).
+        self.stream_spark = stream_session(spark, state_partitions) if state_partitions else spark
         self.retain_days = retain_days  # None: keep running counts for ever (exact)
         self.root = root
         self.tz = tz
@@ -43,7 +47,7 @@ class AdsApp:
         return os.path.join(self.root, "checkpoints", name)
 
     def accepted_stream(self) -> DataFrame:
-        return self.spark.readStream.schema(ACCEPTED_SCHEMA).parquet(self.guard.accepted_path)
+        return self.stream_spark.readStream.schema(ACCEPTED_SCHEMA).parquet(self.guard.accepted_path)
 
     def process_lines(self, lines: DataFrame, batch_id: int) -> None:
         """One micro-batch of raw lines: rejects to ``rejects/batch_id=n``, the rest through the guard."""
