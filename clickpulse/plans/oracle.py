@@ -157,6 +157,8 @@ FROM mc, nowm
 WHERE minute > m - INTERVAL {P.TREND_LENGTH_MINUTES} MINUTE AND minute <= m
 GROUP BY adid
 """
+    q["ads_app_inline_day_area_top3"] = q["ads_app_day_area_top3"]
+    q["ads_app_inline_last_hour_trend"] = q["ads_app_last_hour_trend"]
     return q
 
 

@@ -121,11 +121,11 @@ def run_word_count(spark: SparkSession, sf_dir: str) -> WordCountTable:
     return table
 
 
-def run_app(spark: SparkSession, sf_dir: str) -> AdsApp:
-    """The whole ad app: guard over the replayed feed, then the fan-out queries."""
+def run_app(spark: SparkSession, sf_dir: str, fanout: str = "stream") -> AdsApp:
+    """The whole ad app: guard over the replayed feed, then the fan-out (queries or inline)."""
     ss = stream_session(spark)
     root = scratch_dir(ss, "app")
-    app = AdsApp(ss, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES)
+    app = AdsApp(ss, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES, fanout=fanout)
     feed = ReplayFeed(ss, root)
     feed.run(ads_feed(ss, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA)))
     for q in app.start_downstream():
@@ -182,6 +182,14 @@ def q_ads_app_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_app(spark, sf_dir).trend.trend.read()
 
 
+def q_ads_app_inline_day_area_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_app(spark, sf_dir, "inline").day_area.top.read()
+
+
+def q_ads_app_inline_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_app(spark, sf_dir, "inline").trend.trend.read()
+
+
 def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ads_guard_stream": q_ads_guard_stream,
@@ -194,4 +202,6 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_word_count": q_stream_word_count,
         "ads_app_day_area_top3": q_ads_app_day_area_top3,
         "ads_app_last_hour_trend": q_ads_app_last_hour_trend,
+        "ads_app_inline_day_area_top3": q_ads_app_inline_day_area_top3,
+        "ads_app_inline_last_hour_trend": q_ads_app_inline_last_hour_trend,
     }

@@ -108,6 +108,20 @@ class KeyedTable:
         p = jvm.org.apache.hadoop.fs.Path(staged)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
+    def staged(self, df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+        """Write ``df`` next to the table and read it back (returns the DataFrame and its folder).
+
+        Use when new values are computed from this table's own earlier versions: the
+        write then never reads the table it overwrites. Drop the folder with ``unstage``.
+        """
+        folder = f"{self.path}.stage-{tag}"
+        df.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder), folder
+
+    def unstage(self, folder: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def versions(self) -> DataFrame:
         """All stored rows with their version."""
         return self.spark.read.schema(self._stored_schema()).parquet(self.path)

@@ -1,10 +1,16 @@
 """The ad-click streaming application: guard, then fan-out to Q6/Q7/Q8.
 
 One query runs the guard (``AdClickGuard.process`` in ``foreachBatch``) and
-writes the accepted rows once per batch. Two downstream queries stream from
-that accepted table as a file source: running per-(day, area, city, ad)
-counts with the day/area top-n (Q6, Q7), and the per-ad minute trend (Q8).
-Each query has its own checkpoint, so each resumes where it stopped.
+writes the accepted rows once per batch. The fan-out to running per-(day, area,
+city, ad) counts with the day/area top-n (Q6, Q7) and the per-ad minute trend
+(Q8) comes in two forms:
+
+- ``fanout="stream"`` (default): two more streaming queries read the accepted
+  table as a file source and keep their running counts in Spark's state store;
+  each has its own checkpoint.
+- ``fanout="inline"``: the guard's batch also adds its accepted rows' counts to
+  the versioned result tables (previous version + this batch, touched days only).
+  One query, no re-listing of the accepted files, exact (no watermark).
 """
 
 from __future__ import annotations
@@ -12,9 +18,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse import constants as C
 from clickpulse.operators.ads import parse_ads_lines
@@ -28,7 +33,10 @@ from clickpulse.streaming.trend import TrendTables, minute_counts_stream
 class AdsApp:
     def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD, top_n: int = C.TOP_ADS,
                  trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC", retain_days: int | None = None,
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, fanout: str = "stream"):
+        if fanout not in ("stream", "inline"):
+            raise ValueError("fanout must be 'stream' or 'inline'")
+        self.fanout = fanout
         self.spark = spark
         # Streams run in their own session when a state-partition count is given (see stream_session).
         self.stream_spark = stream_session(spark, state_partitions) if state_partitions else spark
@@ -60,6 +68,18 @@ class AdsApp:
             self.guard.process(parsed, batch_id)
         finally:
             lines.unpersist()
+        if self.fanout == "inline":
+            self._fan_out(int(batch_id))
+
+    def _fan_out(self, n: int) -> None:
+        """Inline fan-out of batch ``n``'s accepted rows (read back from the accepted table)."""
+        from clickpulse.functions.timefmt import minute_start
+
+        acc = self.guard.accepted().where(F.col("batch_id") == n)
+        self.day_area.add_increments(
+            acc.groupBy("date", "area", "city", "adid").agg(F.count(F.lit(1)).alias("n")), n)
+        self.trend.add_increments(
+            acc.groupBy("adid", minute_start(F.col("ts")).alias("minute")).agg(F.count(F.lit(1)).alias("n")), n)
 
     def rejects(self) -> DataFrame:
         """Malformed lines with their reason and batch."""
@@ -71,6 +91,8 @@ class AdsApp:
                                    available_now, processing_time)
 
     def start_downstream(self, available_now: bool = True, processing_time: str | None = None) -> list[StreamingQuery]:
+        if self.fanout == "inline":
+            return []  # done inside the guard's batches
         acc = self.accepted_stream()
         q6 = start_foreach_batch(day_area_city_counts_stream(acc, self.retain_days), self.day_area.process,
                                  self._ckpt("day_area"),

@@ -99,6 +99,29 @@ class DayAreaAdTables:
             self.top.compact(batch_id, days)
 
 
+    def add_increments(self, inc: DataFrame, batch_id: int) -> None:
+        """Inline fan-out: add one batch's per-(date, area, city, ad) counts ``inc`` to the totals.
+
+        Previous totals are read as of version ``batch_id - 1`` and only for the days the
+        batch touched (partition pruning), so a replayed batch writes the same version.
+        """
+        keys = ["date", "area", "city", "adid"]
+        inc = inc.persist()
+        try:
+            days = [r[0] for r in inc.select("date").distinct().collect()]  # bounded by the batch's span
+            if not days:
+                return
+            prev = self.city_counts.read(upto_version=int(batch_id) - 1).where(F.col("date").isin(days))
+            totals = inc.join(prev.withColumnRenamed("n", "prev"), keys, "left").select(
+                *keys, (F.coalesce(F.col("prev"), F.lit(0)) + F.col("n")).cast("long").alias("n")
+            )
+            staged, folder = self.city_counts.staged(totals, f"add-{int(batch_id)}")
+            self.process(staged, batch_id)
+            self.city_counts.unstage(folder)
+        finally:
+            inc.unpersist()
+
+
 class WordCountTable:
     def __init__(self, spark: SparkSession, root: str, compact_every: int = 50):
         self.table = KeyedTable(spark, os.path.join(root, "word_count"), ["word"], WORD_SCHEMA)

@@ -117,6 +117,28 @@ class TrendTables:
         self.clock = KeyedTable(spark, os.path.join(root, "clock"), ["clock"], CLOCK_SCHEMA)
         self.trend = SnapshotTable(spark, os.path.join(root, "last_hour_trend"), TREND_SCHEMA)
 
+    def add_increments(self, inc: DataFrame, batch_id: int) -> None:
+        """Inline fan-out: add one batch's per-(adid, minute) counts ``inc`` to the minute totals.
+
+        Previous totals are read as of version ``batch_id - 1`` for the touched days only,
+        so a replayed batch writes the same version; then the trend snapshot is rebuilt.
+        """
+        inc = inc.withColumn("date", F.date_format("minute", "yyyy-MM-dd")).persist()
+        try:
+            days = [r[0] for r in inc.select("date").distinct().collect()]  # bounded by the batch's span
+            if not days:
+                return
+            prev = self.minutes.read(upto_version=int(batch_id) - 1).where(F.col("date").isin(days))
+            keys = ["date", "adid", "minute"]
+            totals = inc.join(prev.withColumnRenamed("n", "prev"), keys, "left").select(
+                "adid", "minute", (F.coalesce(F.col("prev"), F.lit(0)) + F.col("n")).cast("long").alias("n")
+            )
+            staged, folder = self.minutes.staged(totals, f"add-{int(batch_id)}")
+            self.process(staged, batch_id)
+            self.minutes.unstage(folder)
+        finally:
+            inc.unpersist()
+
     def now_micros(self, upto_version: int | None = None) -> int | None:
         """Latest minute seen, as epoch microseconds (no Python datetimes: zone-free)."""
         rows = self.clock.read(upto_version).select(_micros(F.col("now"))).collect()  # one row

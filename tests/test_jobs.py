@@ -23,7 +23,11 @@ def test_batch_jobs_write_to_sink(spark, tmp_root, fixture_visits, fixture_users
         assert spark.read.parquet(os.path.join(tmp_root, name)).count() == rows, name
 
 
-def test_ads_app_end_to_end(spark, tmp_root):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("fanout", ["stream", "inline"])
+def test_ads_app_end_to_end(spark, tmp_root, fanout):
     """Guard (threshold 2) then fan-out; the blocked user's later clicks never reach Q6-Q8."""
     lines = [
         (0, "1598500000000 A C1 u1 1", 0),
@@ -34,7 +38,7 @@ def test_ads_app_end_to_end(spark, tmp_root):
         (5, "garbage", 1),
     ]
     feed_df = spark.createDataFrame(lines, "event_id long, value string, batch long")
-    app = AdsApp(spark, os.path.join(tmp_root, "app"), threshold=2, top_n=3, trend_minutes=60)
+    app = AdsApp(spark, os.path.join(tmp_root, "app"), threshold=2, top_n=3, trend_minutes=60, fanout=fanout)
     feed = ReplayFeed(spark, tmp_root)
     feed.run(feed_df, "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA)))
     for q in app.start_downstream():
@@ -82,3 +86,27 @@ def test_cli_ads_app_on_text_files(spark, tmp_root):
     main(["ads-app", "--lines-dir", lines_dir, "--state-root", root, "--threshold", "2", "--available-now"])
     counts = DayAreaAdTables(spark, os.path.join(root, "day_area"), 3).city_counts.read()
     assert sorted((r.city, r.adid, r.n) for r in counts.collect()) == [("C1", "1", 2), ("C2", "2", 1)]
+
+
+def test_ads_app_inline_replay_is_idempotent(spark, tmp_root):
+    """Inline fan-out: processing batch 1 twice gives the same tables as processing it once."""
+    from clickpulse.streaming.app import AdsApp
+
+    batches = [
+        ["1598500000000 A C1 u1 1", "1598500001000 A C1 u2 1"],
+        ["1598500060000 A C2 u1 2", "1598500061000 A C1 u3 1"],
+        ["1598500120000 A C1 u2 1"],
+    ]
+    results = []
+    for replay in (False, True):
+        app = AdsApp(spark, os.path.join(tmp_root, f"r{replay}"), threshold=5, fanout="inline")
+        for b, lines in enumerate(batches):
+            df = spark.createDataFrame([(x,) for x in lines], "value string")
+            app.process_lines(df, b)
+            if replay and b == 1:
+                app.process_lines(df, b)
+        results.append((sorted(map(tuple, app.day_area.city_counts.read().collect())),
+                        sorted(map(tuple, app.day_area.top.read().collect())),
+                        sorted(map(tuple, app.trend.trend.read().collect()))))
+    assert results[0] == results[1]
+    assert results[0][1] == [("2020-08-27", "A", '[{"1":4},{"2":1}]')]
