@@ -41,6 +41,13 @@ def drop_versions_below(spark: SparkSession, path: str, version: int, partitione
     return dropped
 
 
+def _unescape(value: str) -> str:
+    """Partition folder value -> original text (Spark escapes special characters as %XX)."""
+    from urllib.parse import unquote
+
+    return unquote(value)
+
+
 def _write_versioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
     (
         df.write.mode("overwrite")
@@ -108,6 +115,19 @@ class KeyedTable:
         p = jvm.org.apache.hadoop.fs.Path(staged)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
+    def partitions_of_version(self, batch_id: int) -> list[str]:
+        """Values of the partition column that version ``batch_id`` wrote (a folder listing, no job)."""
+        if not self.partition_col:
+            return []
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.partition_col}=*/{VERSION}={int(batch_id)}")
+        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = []
+        for st in fs.globStatus(pattern) or []:
+            folder = st.getPath().getParent().getName()
+            out.append(_unescape(folder.split("=", 1)[1]))
+        return sorted(out)
+
     def staged(self, df: DataFrame, tag: str) -> tuple[DataFrame, str]:
         """Write ``df`` next to the table and read it back (returns the DataFrame and its folder).
 

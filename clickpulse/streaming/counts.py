@@ -79,15 +79,10 @@ class DayAreaAdTables:
                               partition_col="date")
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
-        # Two actions use the micro-batch: keep it for this call instead of re-running the
-        # stateful aggregation (blocks lost with an executor are recomputed from lineage).
-        updates = updates.persist()
-        try:
-            self.city_counts.upsert(updates, batch_id)
-            # Days changed by this batch: bounded by the batch's time span.
-            days = [r[0] for r in updates.select("date").distinct().collect()]
-        finally:
-            updates.unpersist()
+        # One action on the micro-batch (the upsert); the days it changed are the date
+        # folders of the version just written (a listing, bounded by the batch's span).
+        self.city_counts.upsert(updates, batch_id)
+        days = self.city_counts.partitions_of_version(batch_id)
         if not days:
             return
         current = self.city_counts.read().where(F.col("date").isin(days))

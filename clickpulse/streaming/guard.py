@@ -168,8 +168,10 @@ class AdClickGuard:
 
     # the micro-batch step -------------------------------------------------------
     def accepted_written(self, batch_id: int) -> bool:
-        """Whether ``accepted/batch_id=n`` already holds rows (partition-pruned probe)."""
-        return not self.accepted().where(F.col("batch_id") == int(batch_id)).isEmpty()
+        """Whether ``accepted/batch_id=n`` was already written (a folder check, no job)."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.accepted_path}/batch_id={int(batch_id)}")
+        return bool(folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
@@ -190,8 +192,8 @@ class AdClickGuard:
         inc = written.groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("n"))
         _overwrite_partitions(inc.withColumn("batch_id", F.lit(n).cast("long")), self.counts_path, ["date", "batch_id"])
 
-        # Days this batch touched: bounded by the batch's time span.
-        days = [r[0] for r in inc.select("date").distinct().collect()]
+        # Days this batch touched: the date folders just written for batch n (a listing).
+        days = self._days_of_batch(n)
         if days:
             over = self.user_day_counts(upto_batch=n, dates=days).where(F.col("n") >= self.threshold)
             newly = over.select("userid").distinct().join(before, "userid", "left_anti")
@@ -203,6 +205,12 @@ class AdClickGuard:
                 self.compact_days(n, days)
             self.compact_blocked(n)
 
+    def _days_of_batch(self, batch_id: int) -> list[str]:
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.counts_path}/date=*/batch_id={int(batch_id)}")
+        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(st.getPath().getParent().getName().split("=", 1)[1] for st in (fs.globStatus(pattern) or []))
+
     def compact_blocked(self, batch_id: int) -> None:
         """Fold blocked-user partitions below ``batch_id`` into ``batch_id - 1``.
 

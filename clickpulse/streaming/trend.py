@@ -146,12 +146,14 @@ class TrendTables:
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
-        updates = updates.persist()  # two actions below; do not re-run the stateful aggregation
-        try:
-            self.minutes.upsert(updates.withColumn("date", F.date_format("minute", "yyyy-MM-dd")), n)
-            latest = updates.agg(F.max(_micros(F.col("minute")))).first()[0]
-        finally:
-            updates.unpersist()
+        # One action on the micro-batch (the upsert); the batch's latest minute is then read
+        # from the version just written (partition-pruned), not by re-running the stream plan.
+        self.minutes.upsert(updates.withColumn("date", F.date_format("minute", "yyyy-MM-dd")), n)
+        days = self.minutes.partitions_of_version(n)
+        latest = None
+        if days:
+            written = self.minutes.versions().where(F.col("date").isin(days) & (F.col(VERSION) == n))
+            latest = written.agg(F.max(_micros(F.col("minute")))).first()[0]
         prev = self.now_micros(upto_version=n - 1)
         known = [x for x in (latest, prev) if x is not None]
         if not known:
@@ -169,7 +171,5 @@ class TrendTables:
         )
         self.trend.replace(lists.select("adid", pairs_json(F.col("items")).alias("trend_json")), n)
         if self.compact_every and n > 0 and n % self.compact_every == 0:
-            days = [r[0] for r in self.minutes.versions().where(F.col(VERSION) == n)
-                    .select("date").distinct().collect()]  # days this batch touched
-            self.minutes.compact(n, days)
+            self.minutes.compact(n, days)  # days this batch touched
             self.clock.compact(n)
