@@ -119,6 +119,8 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
     q.update(_jump_sql())
     q["page_jump_ratio_hot"] = q["page_jump_ratio"]
     q["category_top10_sql"] = q["category_top10"]
+    q["category_session_top10_sql"] = q["category_session_top10"]
+    q["page_jump_ratio_sql"] = q["page_jump_ratio"]
     q["session_next_page_hot"] = q["session_next_page"]
     q.update(_area_sql())
     q["area_product_top3_sql"] = q["area_product_top3"]

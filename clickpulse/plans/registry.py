@@ -94,6 +94,22 @@ def q_category_top10_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_top_n_sql(spark, P.TASK_ID, P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE, P.TOP_CATEGORIES)
 
 
+def q_category_session_top10_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.plans.sql_jobs import category_session_top_n_sql, category_top_n_sql
+
+    _sql_views(spark, sf_dir)
+    top = category_top_n_sql(spark, P.TASK_ID, P.START_DATE, P.END_DATE, P.START_AGE, P.END_AGE, P.TOP_CATEGORIES)
+    top.createOrReplaceTempView("category_top10")
+    return category_session_top_n_sql(spark, P.TASK_ID, "category_top10", P.TOP_SESSIONS)
+
+
+def q_page_jump_ratio_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.plans.sql_jobs import page_jump_ratio_sql
+
+    _sql_views(spark, sf_dir)
+    return page_jump_ratio_sql(spark, P.TASK_ID, P.TARGET_PAGE_FLOW)
+
+
 def q_area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.plans.sql_jobs import area_product_top_n_sql
 
@@ -225,6 +241,8 @@ def queries() -> dict[str, Query]:
         "area_product_top3": q_area_product_top3,
         "category_top10_sql": q_category_top10_sql,
         "area_product_top3_sql": q_area_product_top3_sql,
+        "category_session_top10_sql": q_category_session_top10_sql,
+        "page_jump_ratio_sql": q_page_jump_ratio_sql,
         "visit_profile": q_visit_profile,
         "visit_filter": q_visit_filter,
         "category_counts": q_category_counts,

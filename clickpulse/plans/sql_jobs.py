@@ -1,4 +1,4 @@
-"""Jobs Q1 and Q4 written as Spark SQL over temp views (the reference's own style).
+"""Jobs Q1-Q4 written as Spark SQL over temp views (the reference's own style).
 
 ``register_views`` names the input DataFrames ``user_visit_action``,
 ``user_info``, ``city_info`` and ``product_info``; the SQL below then runs as
@@ -63,6 +63,51 @@ def category_top_n_sql(spark: SparkSession, task_id: str, start_date=None, end_d
     """)
 
 
+def category_session_top_n_sql(spark: SparkSession, task_id: str, top_categories_view: str = "category_top10",
+                               n: int = 10) -> DataFrame:
+    """Q2 in SQL over ``filtered_visit_action`` (made by ``category_top_n_sql``) and the top-category view.
+
+    The top list is at most a top-n: a broadcast semi join. ``row_number <= n`` becomes a
+    ``WindowGroupLimit`` that trims each task before the shuffle.
+    """
+    return spark.sql(f"""
+        SELECT {_lit(task_id)} AS task_id, category, session_id, n FROM (
+          SELECT v.click_category_id AS category, v.session_id, count(*) AS n,
+                 row_number() OVER (PARTITION BY v.click_category_id
+                                    ORDER BY count(*) DESC, v.session_id) AS rn
+          FROM filtered_visit_action v
+          LEFT SEMI JOIN (SELECT /*+ BROADCAST(t) */ CAST(category AS BIGINT) AS category
+                          FROM {top_categories_view} t) t
+            ON v.click_category_id = t.category
+          GROUP BY v.click_category_id, v.session_id
+        ) WHERE rn <= {int(n)}
+    """)
+
+
+def page_jump_ratio_sql(spark: SparkSession, task_id: str, flow: str = "1,2,3,4,5,6,7") -> DataFrame:
+    """Q3 in SQL with one session window (the plain plan; the DataFrame operator
+    ``jumps.page_jump_ratio`` also splits hot sessions)."""
+    pages = [p.strip() for p in flow.split(",") if p.strip()]
+    from_pages = ", ".join(str(int(p)) for p in pages[:-1])
+    pairs = ", ".join(_lit(f"{a}-{b}") for a, b in zip(pages, pages[1:]))
+    return spark.sql(f"""
+        WITH nx AS (
+          SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS next_page
+          FROM user_visit_action
+        ),
+        jc AS (
+          SELECT jump, count(*) AS n FROM (
+            SELECT concat_ws('-', CAST(page_id AS STRING), CAST(next_page AS STRING)) AS jump
+            FROM nx WHERE next_page IS NOT NULL
+          ) WHERE jump IN ({pairs}) GROUP BY jump
+        ),
+        pc AS (SELECT page_id, count(*) AS n FROM user_visit_action WHERE page_id IN ({from_pages}) GROUP BY page_id)
+        SELECT {_lit(task_id)} AS task_id, jc.jump,
+               CAST(jc.n AS DOUBLE) / CAST(coalesce(pc.n, 1) AS DOUBLE) AS ratio
+        FROM jc LEFT JOIN pc ON split(jc.jump, '-')[0] = CAST(pc.page_id AS STRING)
+    """)
+
+
 def area_product_top_n_sql(spark: SparkSession, task_id: str, n: int = 3) -> DataFrame:
     """Q4 in SQL: rank filter after the window, city share via ``cp_city_share``."""
     return spark.sql(f"""
