@@ -102,3 +102,15 @@ def start_foreach_batch(
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def start_console(stream: DataFrame, output_mode: str = "update", num_rows: int = 20, truncate: bool = False,
+                  checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Print each micro-batch on the driver's console (development only, like ``DStream.print``)."""
+    writer = (stream.writeStream.format("console").outputMode(output_mode)
+              .option("numRows", str(num_rows)).option("truncate", str(truncate).lower()))
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

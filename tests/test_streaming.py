@@ -162,3 +162,17 @@ def test_day_area_with_retention_equals_exact_for_in_order_data(spark, tmp_root)
         results.append(sorted(map(tuple, da.city_counts.read().collect())))
     assert results[0] == results[1]
     assert len({r[0] for r in results[0]}) == 4
+
+
+def test_console_sink_runs(spark, tmp_root):
+    from clickpulse.streaming.counts import word_count_stream
+    from clickpulse.streaming.feed import start_console, text_line_stream
+
+    inbox = os.path.join(tmp_root, "t")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.txt"), "w", encoding="utf-8") as fh:
+        fh.write("x y x\n")
+    q = start_console(word_count_stream(text_line_stream(spark, inbox), column="value"),
+                      checkpoint=os.path.join(tmp_root, "ck"), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
