@@ -31,6 +31,7 @@ def _flow(flow: str | list) -> list[str]:
 
 HOT_SESSION_ROWS = 1_000_000
 SLICE_ROWS = 1_000_000  # rows per slice of the hot path (~50 MB of the four columns)
+LISTED_HOT_SESSIONS = 100_000  # at most this many hot sessions travel through the driver
 
 
 def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: int = HOT_SESSION_ROWS,
@@ -49,11 +50,19 @@ def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: in
     keyed = visits.select("session_id", "page_id", "action_time", "event_id")
     spark = keyed.sparkSession
     counts = keyed.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > hot_rows).collect()  # bounded: total rows / hot_rows
-    if not hot:
+    hot = counts.where(F.col("n") > hot_rows)
+    probe = hot.limit(LISTED_HOT_SESSIONS + 1).collect()  # at most LISTED + 1 rows reach the driver
+    if not probe:
         return _window_next(keyed)
-    hot_df = F.broadcast(spark.createDataFrame([(r["session_id"],) for r in hot], keyed.select("session_id").schema))
-    hot_total = sum(r["n"] for r in hot)
+    if len(probe) <= LISTED_HOT_SESSIONS:
+        hot_df = F.broadcast(spark.createDataFrame([(r["session_id"],) for r in probe], keyed.select("session_id").schema))
+        hot_total = sum(r["n"] for r in probe)
+    else:  # very many hot sessions: keep the list on the executors (written once, size-checked)
+        from clickpulse.operators.joins import materialized_side
+
+        hot_df = materialized_side(hot)
+        hot_total = hot_df.agg(F.sum("n")).first()[0]
+        hot_df = hot_df.select("session_id")
     n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // max(slice_rows, 1)))
     normal = _window_next(keyed.join(hot_df, "session_id", "left_anti"))
     heavy = _sliced_next(keyed.join(hot_df, "session_id", "left_semi"), int(n))

@@ -70,3 +70,14 @@ def test_hot_session_really_spans_many_slices(spark):
     ranged = visits.repartitionByRange(8, "session_id", "action_time", "event_id")
     sizes = [r.c for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert len(sizes) >= 6 and max(sizes) < 200
+
+
+def test_many_hot_sessions_stay_on_executors(spark, monkeypatch):
+    """Above the listed bound the hot list is a written table, not a driver list; results unchanged."""
+    rnd = random.Random(9)
+    rows = [visit_row(i, 1, f"s{i % 12}", rnd.randint(1, 4), rnd.randint(0, 30)) for i in range(300)]
+    visits = spark.createDataFrame(rows, USER_VISIT_ACTION)
+    want = _brute_next(rows)
+    monkeypatch.setattr(J, "LISTED_HOT_SESSIONS", 3)
+    got = {r.event_id: r.next_page for r in J.session_next_page(visits, 8, hot_rows=5).collect()}
+    assert got == want
