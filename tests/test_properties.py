@@ -89,3 +89,24 @@ def test_page_jump_plan_is_range_sliced(spark):
     assert "rangepartitioning(session_id" in plan  # the 10-visit session is hot
     plain = J.page_jump_ratio(visits, "1,2,3", "t")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plain
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=clicks, threshold=st.integers(1, 3))
+def test_stream_guard_matches_simulation(spark, rows, threshold):
+    """The foreachBatch guard, fed batch by batch, accepts exactly what the simulation accepts."""
+    import tempfile
+
+    from clickpulse.streaming.guard import AdClickGuard
+
+    guard = AdClickGuard(spark, tempfile.mkdtemp(prefix="guard-prop-"), threshold, compact_every=2)
+    day = {"d1": "2020-08-27", "d2": "2020-08-28"}
+    for b in sorted({r[0] for r in rows}):
+        batch = [(u, ad, day[d]) for bb, u, ad, d in rows if bb == b]
+        df = spark.createDataFrame(batch, "userid string, adid string, date string").selectExpr(
+            "CAST(NULL AS BIGINT) AS event_id", "0L AS timestamp", "'A' AS area", "'C' AS city", "userid", "adid",
+            "CAST(NULL AS TIMESTAMP_NTZ) AS ts", "date")
+        guard.process(df, b)
+    got = sorted((r.batch_id, r.userid, r.adid, {v: k for k, v in day.items()}[r.date])
+                 for r in guard.accepted().collect())
+    assert got == _simulate(rows, threshold)
