@@ -3,10 +3,11 @@
 Production reads the ad log from Kafka (``kafka_line_stream``); text folders
 work for line files (``text_line_stream``). ``ReplayFeed`` turns a DataFrame
 that Spark derived from the given tables into a sequence of micro-batches:
-it writes the feed once (in parallel, partitioned by batch), then for each
-batch moves that batch's files into an inbox folder and runs the query once
-with ``availableNow`` on the same checkpoint. So batch boundaries are exact, every run resumes from
-the checkpoint (the restart path), and no batch is funnelled through one task.
+it writes the feed once (in parallel, partitioned by batch), then moves one
+batch at a time into an inbox folder (one atomic folder rename) and waits until
+the query has processed it. So batch boundaries are exact and no batch is
+funnelled through one task; ``availableNow`` queries are restarted from their
+checkpoint for each batch (the restart path).
 """
 
 from __future__ import annotations
@@ -51,15 +52,17 @@ class ReplayFeed:
         self.inbox = os.path.join(root, "inbox")
 
     def stream(self, schema) -> DataFrame:
-        """The inbox as a parquet file stream."""
-        return self.spark.readStream.schema(schema).parquet(self.inbox)
+        """The inbox as a parquet file stream (each batch arrives as one sub-folder)."""
+        return self.spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(self.inbox)
 
     def run(self, df: DataFrame, batch_col: str, start: Callable[[], StreamingQuery]) -> int:
-        """Feed ``df`` batch by batch; after each batch arrives run the query to completion.
+        """Feed ``df`` batch by batch; after each batch arrives, wait until the query has processed it.
 
-        The feed is written once, partitioned by ``batch_col`` (one parallel job, one
-        scan of the source); each batch then arrives by renaming its files into the
-        inbox while no query runs, so every run sees exactly one whole batch.
+        The feed is written once, partitioned by ``batch_col`` (one parallel job, one scan of
+        the source). Each batch then arrives by one atomic folder rename into the inbox, so a
+        micro-batch always sees a whole batch. A running query is driven with
+        ``processAllAvailable``; a query that has stopped (``availableNow``) is restarted from
+        its checkpoint for the next batch.
         """
         stage = self.inbox + "-stage"
         df.write.mode("overwrite").partitionBy(batch_col).parquet(stage)
@@ -71,19 +74,30 @@ class ReplayFeed:
         for st in fs.globStatus(path(f"{stage}/{batch_col}=*")) or []:
             value = st.getPath().getName().split("=", 1)[1]
             folders.append((int(value) if value.lstrip("-").isdigit() else value, st.getPath()))
+        q = None
         for b, folder in sorted(folders, key=lambda x: (isinstance(x[0], str), x[0])):
-            for f in fs.listStatus(folder):
-                name = f.getPath().getName()
-                if not name.startswith(("_", ".")):
-                    fs.rename(f.getPath(), path(f"{self.inbox}/b{b}-{name}"))
-            q = start()
-            q.awaitTermination()
+            fs.rename(folder, path(f"{self.inbox}/b{b}"))
+            if q is None or not q.isActive:
+                q = start()
+            q.processAllAvailable()
             if q.exception() is not None:
                 raise RuntimeError(f"stream failed at feed batch {b}: {q.exception()}")
+        if q is not None and q.isActive:
+            _stop_when_idle(q)
         fs.delete(path(stage), True)
         return len(folders)
 
 
+def _stop_when_idle(q: StreamingQuery, wait_s: float = 30.0) -> None:
+    """Stop ``q`` between triggers (never in the middle of a foreachBatch write)."""
+    import time
+
+    deadline = time.time() + wait_s
+    while q.isActive and q.status.get("isTriggerActive") and time.time() < deadline:
+        time.sleep(0.05)
+    q.stop()
+
+
 def start_foreach_batch(
     stream: DataFrame,
     fn: Callable[[DataFrame, int], None],
