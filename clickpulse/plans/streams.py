@@ -58,7 +58,7 @@ def run_replay(
         # One long-running query for the whole replay (no availableNow restarts per batch).
         return start_foreach_batch(build(feed.stream(schema)), process, checkpoint, output_mode, available_now=False)
 
-    feed.run(feed_df, "batch", start)
+    feed.run(feed_df, "batch", start, continuous=True)
     return root
 
 
@@ -128,7 +128,8 @@ def run_app(spark: SparkSession, sf_dir: str, fanout: str = "stream") -> AdsApp:
     root = scratch_dir(ss, "app")
     app = AdsApp(ss, os.path.join(root, "app"), P.GUARD_THRESHOLD, P.TOP_ADS, P.TREND_LENGTH_MINUTES, fanout=fanout)
     feed = ReplayFeed(ss, root)
-    feed.run(ads_feed(ss, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA), available_now=False))
+    feed.run(ads_feed(ss, sf_dir), "batch", lambda: app.start_guard(feed.stream(LINE_FEED_SCHEMA), available_now=False),
+             continuous=True)
     for q in app.start_downstream():
         q.awaitTermination()
     return app

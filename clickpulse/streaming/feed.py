@@ -55,14 +55,16 @@ class ReplayFeed:
         """The inbox as a parquet file stream (each batch arrives as one sub-folder)."""
         return self.spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(self.inbox)
 
-    def run(self, df: DataFrame, batch_col: str, start: Callable[[], StreamingQuery]) -> int:
+    def run(self, df: DataFrame, batch_col: str, start: Callable[[], StreamingQuery],
+            continuous: bool = False) -> int:
         """Feed ``df`` batch by batch; after each batch arrives, wait until the query has processed it.
 
         The feed is written once, partitioned by ``batch_col`` (one parallel job, one scan of
         the source). Each batch then arrives by one atomic folder rename into the inbox, so a
-        micro-batch always sees a whole batch. A running query is driven with
-        ``processAllAvailable``; a query that has stopped (``availableNow``) is restarted from
-        its checkpoint for the next batch.
+        micro-batch always sees a whole batch. ``continuous=True``: ``start`` returns a query
+        with a repeating trigger, started once and driven with ``processAllAvailable``.
+        Otherwise ``start`` returns an ``availableNow`` query (its data is fixed when it
+        starts), so each batch gets a fresh run from the checkpoint, awaited to its end.
         """
         stage = self.inbox + "-stage"
         df.write.mode("overwrite").partitionBy(batch_col).parquet(stage)
@@ -77,12 +79,16 @@ class ReplayFeed:
         q = None
         for b, folder in sorted(folders, key=lambda x: (isinstance(x[0], str), x[0])):
             fs.rename(folder, path(f"{self.inbox}/b{b}"))
-            if q is None or not q.isActive:
+            if continuous:
+                if q is None:
+                    q = start()
+                q.processAllAvailable()
+            else:
                 q = start()
-            q.processAllAvailable()
+                q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(f"stream failed at feed batch {b}: {q.exception()}")
-        if q is not None and q.isActive:
+        if continuous and q is not None and q.isActive:
             _stop_when_idle(q)
         fs.delete(path(stage), True)
         return len(folders)
