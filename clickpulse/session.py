@@ -1,17 +1,18 @@
 """Session construction and the shared scratch folder.
 
-The scratch folder is the one the cluster names in ``spark.checkpoint.dir``.
-We only pick our own when it is unset (tests, laptops).
+The scratch folder is the one the cluster names in ``spark.checkpoint.dir``. Only a session
+with a local master and no such setting (tests, laptops) gets a temporary folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from clickpulse import storage
+
 # Defaults sized for local[8]; on a cluster the submitter overrides them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -62,27 +63,33 @@ def get_spark(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a private one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession, path: str | None = None) -> str:
+    """The shared folder for intermediate tables.
+
+    In this order: the context's checkpoint folder, ``spark.checkpoint.dir`` (session, then
+    context), ``path``. If none is set, a local master gets a private temporary folder; any
+    other master is an error, because executors could not see a folder of the driver's machine.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or path
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "clickpulse", f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    """A fresh folder name under the shared checkpoint folder, removed when the driver's JVM ends.
+
+    Spark's writers create the folder through the Hadoop file system; nothing is made locally.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickpulse/{name}-{uuid.uuid4().hex[:12]}"
+    storage.delete_on_exit(spark, path)
     return path
 
 
