@@ -11,7 +11,6 @@ only links that join two parts, never all pairs. Components of the confirmed lin
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickpulse.llm.common import small_arrow_batches, written
 from clickpulse.llm.components import connected_components
@@ -227,7 +227,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     edges = keys.join(shared.select("band", "first"), "band").select(F.col("rep").alias("u"), F.col("first").alias("v"))
     groups = written(connected_components(edges, "candidates").select(F.col("component").alias("grp"), F.col("node").alias("id")), "groups")
 
-    chosen = source.join(groups, "id").select("grp", "id", "text").dropDuplicates(["id", "text"])
+    # The group list grows with the corpus: never broadcast it, at any size.
+    chosen = source.join(groups.hint("merge"), "id").select("grp", "id", "text").dropDuplicates(["id", "text"])
     sets = written(chosen.mapInArrow(_sets(shingle_words, hashes), "grp long, id long, hashes binary, sig binary").where("length(hashes) > 0"), "sets")
     first = sets.where("id = grp").select("grp", F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
     star = sets.where("id <> grp").join(first, "grp").select("grp", "id", "hashes", "sig", "first_hashes", "first_sig")
@@ -272,3 +273,16 @@ def near_duplicate_report(docs: DataFrame, shingle_words: int = 3, percent: int
     real = lambda c: F.when(F.col(c) < F.lit(SURROGATE), F.col(c))
     return found.select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"),
                         (F.col("id") == F.col("component")).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (columns unchanged) whose id is their component's smallest; of rows that share an id, one."""
+    with_id = document_ids(docs.withColumnsRenamed({"id": "_doc_own_id"}) if "id" in docs.columns else docs)
+    found = near_duplicates(with_id.select("id", "text"), shingle_words, percent)
+    kept = found.where("id = component").select("id").distinct()
+    # Both sides grow with the corpus: a merge join at any size.
+    rows = with_id.join(kept.hint("merge"), "id")
+    first = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))).where("_nth = 1").drop("_nth")
+    if "id" not in docs.columns:
+        return first.select(*[f"`{c}`" for c in docs.columns])
+    return first.select(*[F.col("_doc_own_id").alias("id") if c == "id" else F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.llm import sql
 from clickpulse.llm.common import read_table
+from clickpulse.llm.langid import language_report
 from clickpulse.llm.minhash import near_duplicate_report
+from clickpulse.llm.mixing import mix_report
+from clickpulse.llm.pieces import piece_report
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(read_table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(read_table(spark, sf_dir, "documents"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +32,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
+        "op5_language_id": op5_language_id,
+        "op7_sentencepiece": op7_sentencepiece,
         "op10_minhash": op10_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_minhash": sql.OP10}
+    return {"op1_mixing": sql.OP1, "op10_minhash": sql.OP10}

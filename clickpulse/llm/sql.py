@@ -16,3 +16,26 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.co
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) c ON c.node = d.doc_id
 """
+
+OP1 = r"""
+WITH best AS (SELECT doc_id, max(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+d AS (SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        -ln((('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)
+          / CASE q WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END AS key
+      FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source),
+w AS (SELECT source, source_size, CASE (n - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w, source_size * 2.0::DOUBLE AS most FROM s),
+r AS (SELECT *, most / w AS ratio, sum(most) OVER o AS most_sum, sum(w) OVER o AS w_sum FROM w
+      WINDOW o AS (ORDER BY most / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT sum(source_size)::DOUBLE AS total, sum(w) AS all_w FROM w),
+l AS (SELECT min_by(level, ratio) AS level FROM (SELECT ratio, (1.5 * total - (most_sum - most)) / (all_w - (w_sum - w)) AS level FROM r, t) WHERE level <= ratio),
+g AS (SELECT source, source_size, least(most, level * w) AS target FROM w, l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM g),
+f AS (SELECT d.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+        sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+c AS (SELECT source, max(upto) AS last FROM f WHERE size > 0 AND upto - size / 2.0 <= rest GROUP BY source)
+SELECT f.doc_id, f.size, f.source_size, f.target,
+       (f.size * (f.epochs + CASE WHEN f.upto <= coalesce(c.last, -1) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM f LEFT JOIN c ON f.source IS NOT DISTINCT FROM c.source
+"""
