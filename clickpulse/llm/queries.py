@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpulse.llm import sql
 from clickpulse.llm.common import read_table
 from clickpulse.llm.langid import language_report
+from clickpulse.llm.lzprint import fingerprint_report
 from clickpulse.llm.minhash import near_duplicate_report
 from clickpulse.llm.mixing import mix_report
 from clickpulse.llm.pieces import piece_report
+from clickpulse.llm.pivots import search_report
+from clickpulse.llm.urlfilter import url_report
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_report(read_table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +37,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(read_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -33,11 +48,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_top_k": op2_top_k,
+        "op3_url_filter": op3_url_filter,
         "op5_language_id": op5_language_id,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_lz_fingerprint": op8_lz_fingerprint,
         "op10_minhash": op10_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": sql.OP1, "op10_minhash": sql.OP10}
+    return {"op1_mixing": sql.OP1, "op2_top_k": sql.OP2, "op3_url_filter": sql.OP3, "op10_minhash": sql.OP10}
