@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.llm import sql
 from clickpulse.llm.common import read_table
+from clickpulse.llm.crossentropy import lm_report
 from clickpulse.llm.langid import language_report
 from clickpulse.llm.lzprint import fingerprint_report
 from clickpulse.llm.minhash import near_duplicate_report
 from clickpulse.llm.mixing import mix_report
 from clickpulse.llm.pieces import piece_report
 from clickpulse.llm.pivots import search_report
+from clickpulse.llm.quotes import reply_ordered
+from clickpulse.llm.tokencounts import token_report
 from clickpulse.llm.urlfilter import url_report
 
 
@@ -29,10 +32,18 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_report(read_table(spark, sf_dir, "pages"))
 
 
+def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(read_table(spark, sf_dir, "conversations"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(read_table(spark, sf_dir, "documents"))
 
@@ -41,6 +52,10 @@ def op8_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(read_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -50,9 +65,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_top_k": op2_top_k,
         "op3_url_filter": op3_url_filter,
+        "op4_quotation_links": op4_quotation_links,
         "op5_language_id": op5_language_id,
+        "op6_token_counts": op6_token_counts,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_lz_fingerprint": op8_lz_fingerprint,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_minhash": op10_minhash,
     }
 
