@@ -29,7 +29,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_arrow_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 8) -> None:
+def small_arrow_batches(spark: SparkSession, rows: int = 500, megabytes: int = 4) -> None:
     """Bound what one Arrow batch hands to a Python worker (session settings; long texts count by bytes)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))

@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from clickpulse.llm.common import small_arrow_batches, uniform
 
 # The classifier is fitted on a sample of labelled documents and keeps the most frequent units.
-SAMPLE_DOCS = 3000  # expected per language
-MAX_WORDS = 200_000
-MAX_GRAMS = 200_000
+SAMPLE_DOCS = 2000  # expected per language
+MAX_WORDS = 60_000
+MAX_GRAMS = 60_000
+MAX_LANGS = 1000  # the most frequent labels
 ORDER = 5
 SMOOTH = 0.5
-CACHE = 200_000  # unknown words a worker remembers
+CACHE = 100_000  # unknown words a worker remembers
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -71,36 +72,38 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.array(list(seen.values()), pa.int64())], names=["lang", "unit", "n"])
 
 
-def _frequent(counts: DataFrame, most: int) -> list:
-    return counts.orderBy(F.desc("n"), "unit", "lang").limit(most).collect()
+def _frequent(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
+    top = counts.orderBy(F.desc("n"), "unit", "lang").limit(most).toArrow()
+    return list(zip(*[top.column(c).to_pylist() for c in ("lang", "unit", "n")]))
 
 
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """labelled (doc_id, text, lang), null-free -> Model. Bounded by the parameters at every corpus size.
 
     Each language gives about ``sample_docs`` documents, chosen by a hash of the id (all, if it has
-    fewer); the driver holds at most ``max_words`` + ``max_grams`` counted units.
+    fewer), at most MAX_LANGS of them; the driver holds at most ``max_words`` + ``max_grams`` counted units.
     """
     small_arrow_batches(labelled.sparkSession)
-    rates = labelled.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count("*")).alias("rate")).withColumnRenamed("lang", "_lang")
-    sample = labelled.join(rates, F.col("lang") == F.col("_lang")).where(uniform(5, F.col("doc_id")) < F.col("rate"))
+    rates = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    rates = rates.select(F.col("lang").alias("_lang"), (F.lit(float(sample_docs)) / F.col("n")).alias("rate"))
+    sample = labelled.join(F.broadcast(rates), F.col("lang") == F.col("_lang")).where(uniform(5, F.col("doc_id")) < F.col("rate"))
     unit = "lang string, unit string, n long"
     words = sample.select("lang", "text").mapInArrow(_count_words, unit).groupBy("lang", "unit").agg(F.sum("n").alias("n")).persist()
     top_words = _frequent(words, max_words)
     grams = words.mapInArrow(_count_grams, unit).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
     top_grams = _frequent(grams, max_grams)
     words.unpersist()
-    langs = sorted({r["lang"] for r in top_words})
+    langs = sorted({lang for lang, _, _ in top_words})
     at = {lang: i for i, lang in enumerate(langs)}
 
     def table(found, start):
         index: dict[str, int] = {}
-        for r in found:
-            index.setdefault(r["unit"], start + len(index))
+        for _, unit, _ in found:
+            index.setdefault(unit, start + len(index))
         counts = np.zeros((len(index), len(langs)))
-        for r in found:
-            if r["lang"] in at:
-                counts[index[r["unit"]] - start, at[r["lang"]]] += r["n"]
+        for lang, unit, n in found:
+            if lang in at:
+                counts[index[unit] - start, at[lang]] += n
         return index, counts
 
     word_at, word_n = table(top_words, 0)

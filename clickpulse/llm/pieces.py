@@ -24,7 +24,7 @@ from clickpulse.llm.common import small_arrow_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 700_000  # words, and pairs, a worker remembers
+CACHE = 300_000  # words, and pairs, a worker remembers
 
 
 @dataclass

@@ -15,7 +15,7 @@ from clickpulse.llm.common import running_sums, small_arrow_batches, written
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public pre-tokenisation pattern that goes with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 700_000  # spaced words a worker remembers
+CACHE = 500_000  # spaced words a worker remembers
 LONGEST = 64  # characters of a word that is remembered
 
 _TWO_WHITE = re.compile(r"\s\s")
