@@ -177,7 +177,7 @@ def language_report(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text"), train(labelled_rows(docs)))
 
 
-def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose whole text has a language (score ``least`` or more); a null lang takes the predicted one.
 
     Other columns and repeated rows stay as they are.
