@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickpulse import constants as C
 from clickpulse.functions.jsonpairs import pairs_json
 from clickpulse.functions.timefmt import day_key, minute_label, minute_start, minute_text, ntz_of_epoch_millis
-from clickpulse.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialized_side
+from clickpulse.operators.joins import materialized_side
 
 FIELDS = ("timestamp", "area", "city", "userid", "adid")
 
@@ -64,14 +64,13 @@ def ads_blacklist(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD) -> DataFra
     return ads_user_day_counts(ads).where(F.col("n") >= threshold).select("userid").distinct()
 
 
-def ads_blacklist_filter(ads: DataFrame, blocked: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def ads_blacklist_filter(ads: DataFrame, blocked: DataFrame) -> DataFrame:
     """Rows whose user is not blocked (``left_anti``; a null user id is kept).
 
     The blocked set grows with the data: it is materialised once and broadcast only
-    when a row-count check passes, else a sort-merge anti join.
+    when the bytes written are few, else a sort-merge anti join.
     """
-    return ads.join(materialized_side(blocked.select("userid").distinct(), max_broadcast_rows), "userid", "left_anti")
+    return ads.join(materialized_side(blocked.select("userid").distinct()), "userid", "left_anti")
 
 
 def batch_of_day(date: Column, days_per_batch: int) -> Column:
@@ -93,14 +92,13 @@ def ads_guard_blocked(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD, batch_
     return running.where(F.col("cum") >= threshold).groupBy("userid").agg(F.min(batch_col).alias("block_batch"))
 
 
-def ads_guard_accepted(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD, batch_col: str = "batch_id",
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def ads_guard_accepted(ads: DataFrame, threshold: int = C.BLOCK_THRESHOLD, batch_col: str = "batch_id") -> DataFrame:
     """Rows the stream guard accepts: the user is unblocked, or blocked in this batch or later.
 
     The per-user block table (one row per blocked user) is materialised once and
-    broadcast when checked small, so the rows themselves are not shuffled.
+    broadcast when its files are small, so the rows themselves are not shuffled.
     """
-    blocked = materialized_side(ads_guard_blocked(ads, threshold, batch_col), max_broadcast_rows)
+    blocked = materialized_side(ads_guard_blocked(ads, threshold, batch_col))
     joined = ads.join(blocked, "userid", "left")
     return joined.where(F.col("block_batch").isNull() | (F.col(batch_col) <= F.col("block_batch"))).drop("block_batch")
 

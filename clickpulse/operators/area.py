@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from clickpulse import constants as C
 from clickpulse.functions.share import OTHER_LABEL, share_text
-from clickpulse.operators.joins import bounded_broadcast
 
 
 def area_city_clicks(visits: DataFrame, cities: DataFrame) -> DataFrame:
     """``area, city_name, click_product_id`` for every product click."""
     clicks = visits.where(F.col("click_product_id") > 0).select("city_id", "click_product_id")
-    dim = bounded_broadcast(cities.select("city_id", "city_name", "area"))
+    dim = cities.select("city_id", "city_name", "area")
     return clicks.join(dim, "city_id").select("area", "city_name", "click_product_id")
 
 
@@ -86,7 +85,7 @@ def area_product_top_n(
     Output: ``task_id, area, product_name, product_count, city_click_ratio``.
     """
     summary = product_city_summary(area_product_city_counts(area_city_clicks(visits, cities)), C.TOP_SHARE_CITIES)
-    named = summary.join(bounded_broadcast(products.select("product_id", "product_name")), "product_id")
+    named = summary.join(products.select("product_id", "product_name"), "product_id")
     w = Window.partitionBy("area").orderBy(F.desc("total"))
     ranked = named.withColumn("rk", F.rank().over(w)).where(F.col("rk") <= n)
     if task_id is None:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpulse import storage
+from clickpulse.session import scratch_dir
+
 # Rows a broadcast side may hold when its size is only known at run time.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -25,17 +28,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df
 
 
-def materialized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A join side derived from the data: compute it once, then broadcast it if checked small.
+# Bytes on disk a written side may have to be broadcast (columnar files; a few times that in memory).
+BROADCAST_BYTES = 64 << 20
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the session's shared checkpoint folder and read it back.
 
-    The side is written as a parquet table under the session's shared checkpoint folder
-    (lineage is cut; a lost executor does not lose it) and read back, so the row-count
-    check and the join reuse one result instead of recomputing it, the planner sees its
-    real file size, and the big side is never shuffled when the check passes.
+    Lineage is cut, a lost executor does not lose it, and all readers see one result.
     """
-    from clickpulse.session import scratch_dir
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def materialized_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A join side derived from the data: compute it once, then broadcast it if its files are small.
+
+    The check is on the bytes just written, so neither a second job nor a guess is needed.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, "join-side")
-    df.write.mode("overwrite").parquet(path)
-    return bounded_broadcast(spark.read.schema(df.schema).parquet(path), max_rows)
+    df.write.parquet(path)
+    side = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(side) if storage.size_of(spark, path) <= max_bytes else side

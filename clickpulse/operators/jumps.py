@@ -1,19 +1,14 @@
 """Page-to-page jump conversion along a target page flow (job Q3).
 
-``session_next_page`` is the hard part at scale: pages must be paired in
-session order, and one session may hold a large share of all rows. A plain
-``Window.partitionBy(session)`` would put such a session in one task, so hot
-sessions (more than ``hot_rows`` visits, found by a partial aggregate; at most
-``total / hot_rows`` of them) take a sliced path, the rest one plain window:
-
-1. ``repartitionByRange`` on the full sort key ``(session, time, event_id)``:
-   the range partitioner samples the keys, so a hot session is cut into many
-   balanced *slices* (contiguous runs of the global order).
-2. ``lead`` within ``(slice, session)``: every group is at most one slice.
-3. The last row of a (slice, session) group takes the first row of the next
-   non-empty slice when that slice starts with the same session. Only the last
-   session of a slice can continue, so this link table has at most
-   ``slices - 1`` rows: a proven bound, broadcast to the big side.
+``session_next_page`` is the hard part at scale: pages must be paired in session order, and one
+session (or the null session) may hold a large share of all rows. All rows take one path:
+
+1. ``repartitionByRange`` on the full sort key (session, time, tie-break) cuts the rows into
+   balanced *slices*, runs of the global order; a hot session spans several. The slices are
+   written once under the shared scratch folder, so both steps below read the same cuts.
+2. ``lead`` within (slice, session): a group is at most one slice.
+3. The last row of a slice takes the first row of the next slice if that has the same session
+   (null-safe). One row per slice, at most the number of range partitions, is broadcast.
 """
 
 from __future__ import annotations
@@ -22,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.functions.idlists import adjacent_pairs
+from clickpulse.operators.joins import written_once
 
 
 def _flow(flow: str | list) -> list[str]:
@@ -29,85 +25,37 @@ def _flow(flow: str | list) -> list[str]:
     return [x.strip() for x in items if x.strip()]
 
 
-HOT_SESSION_ROWS = 1_000_000
-SLICE_ROWS = 1_000_000  # rows per slice of the hot path (~50 MB of the four columns)
-LISTED_HOT_SESSIONS = 100_000  # at most this many hot sessions travel through the driver
+def tie_break(visits: DataFrame) -> list[str]:
+    """Columns that order visits of one session and time: event_id, or else all other columns by name."""
+    if "event_id" in visits.columns:
+        return ["event_id"]
+    return sorted(c for c in visits.columns if c not in ("session_id", "action_time"))
 
 
-def session_next_page(visits: DataFrame, slices: int | None = None, hot_rows: int = HOT_SESSION_ROWS,
-                      slice_rows: int = SLICE_ROWS) -> DataFrame:
+def session_next_page(visits: DataFrame, slices: int | None = None) -> DataFrame:
     """Each visit with the page of the next visit in its session (null for the last).
 
-    Order inside a session is ``(action_time, event_id)``, a total order.
-    Returns ``session_id, page_id, action_time, event_id, next_page``.
-
-    Sessions are first counted (partial aggregate). Sessions with more than
-    ``hot_rows`` visits -- at most ``total / hot_rows`` of them, a proven bound --
-    go through the range-sliced path; all others through one plain session window.
-    ``slices`` defaults to one slice per ``slice_rows`` hot visits (at least the
-    shuffle partitions).
+    Order inside a session is (action_time, event_id); without ``event_id`` the remaining columns
+    break ties, so rows equal in all of them are interchangeable. Rows without a session are one
+    session. Returns ``session_id, page_id, action_time``, ``event_id`` if there is one, ``next_page``.
+    ``slices`` defaults to the shuffle partitions.
     """
-    keyed = visits.select("session_id", "page_id", "action_time", "event_id")
-    spark = keyed.sparkSession
-    counts = keyed.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > hot_rows)
-    probe = hot.limit(LISTED_HOT_SESSIONS + 1).collect()  # at most LISTED + 1 rows reach the driver
-    if not probe:
-        return _window_next(keyed)
-    if len(probe) <= LISTED_HOT_SESSIONS:
-        hot_df = F.broadcast(spark.createDataFrame([(r["session_id"],) for r in probe], keyed.select("session_id").schema))
-        hot_total = sum(r["n"] for r in probe)
-    else:  # very many hot sessions: keep the list on the executors (written once, size-checked)
-        from clickpulse.operators.joins import materialized_side
-
-        hot_df = materialized_side(hot)
-        hot_total = hot_df.agg(F.sum("n")).first()[0]
-        hot_df = hot_df.select("session_id")
-    n = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot_total // max(slice_rows, 1)))
-    normal = _window_next(keyed.join(hot_df, "session_id", "left_anti"))
-    heavy = _sliced_next(keyed.join(hot_df, "session_id", "left_semi"), int(n))
-    return normal.unionByName(heavy)
-
-
-def _window_next(keyed: DataFrame) -> DataFrame:
-    w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
-    return keyed.select("session_id", "page_id", "action_time", "event_id", F.lead("page_id").over(w).alias("next_page"))
-
-
-def _sliced_next(keyed: DataFrame, n: int) -> DataFrame:
-    ranged = keyed.repartitionByRange(n, "session_id", "action_time", "event_id").withColumn(
-        "_slice", F.spark_partition_id()
-    )
-
-    # First and last row of every non-empty slice: one row per slice.
-    bounds = ranged.groupBy("_slice").agg(
-        F.min(F.struct("session_id", "action_time", "event_id", "page_id")).alias("first"),
-        F.max(F.struct("session_id", "action_time", "event_id")).alias("last"),
-    )
-    # <= slices rows in total, so an unpartitioned window here is bounded.
-    links = (
-        bounds.select(
-            "_slice",
-            F.col("last.session_id").alias("session_id"),
-            F.lead("first").over(Window.orderBy("_slice")).alias("nxt"),
-        )
-        .where(F.col("nxt.session_id") == F.col("session_id"))
-        .select("_slice", "session_id", F.col("nxt.page_id").alias("link_page"))
-    )
-
-    w = Window.partitionBy("_slice", "session_id").orderBy("action_time", "event_id")
-    local = ranged.select(
-        "*",
-        F.lead("page_id").over(w).alias("next_page"),
-        F.lead("event_id").over(w).isNull().alias("_tail"),
-    )
-    return local.join(F.broadcast(links), ["_slice", "session_id"], "left").select(
-        "session_id",
-        "page_id",
-        "action_time",
-        "event_id",
-        F.when(F.col("_tail"), F.col("link_page")).otherwise(F.col("next_page")).alias("next_page"),
-    )
+    ties = tie_break(visits)
+    order = ["session_id", "action_time", *ties]
+    keyed = visits.select(*dict.fromkeys(["session_id", "page_id", "action_time", *ties]))
+    ranged = keyed.repartitionByRange(slices, *order) if slices else keyed.repartitionByRange(*order)
+    cut = written_once(ranged.withColumn("_slice", F.spark_partition_id()), "visit-slices")
+    bounds = cut.groupBy("_slice").agg(
+        F.min(F.struct(*order, F.col("page_id").alias("_page"))).alias("first"), F.max(F.struct(*order)).alias("last"))
+    following = F.lead("first").over(Window.orderBy("_slice"))  # one row per slice
+    links = bounds.select("_slice", F.col("last.session_id").alias("_session"), following.alias("nxt")).where(
+        F.col("nxt.session_id").eqNullSafe(F.col("_session"))).select("_slice", "_session", F.col("nxt._page").alias("_link"))
+    w = Window.partitionBy("_slice", "session_id").orderBy("action_time", *ties)
+    local = cut.select("*", F.lead("page_id").over(w).alias("next_page"), F.lead(F.lit(1)).over(w).isNull().alias("_tail"))
+    links = links.withColumnRenamed("_slice", "_of")
+    joined = local.join(F.broadcast(links), (F.col("_slice") == F.col("_of")) & F.col("session_id").eqNullSafe(F.col("_session")), "left")
+    kept = [c for c in ("session_id", "page_id", "action_time", "event_id") if c in keyed.columns]
+    return joined.select(*kept, F.when(F.col("_tail"), F.col("_link")).otherwise(F.col("next_page")).alias("next_page"))
 
 
 def single_page_count(visits: DataFrame, flow: str | list) -> DataFrame:
@@ -123,23 +71,21 @@ def jump_pairs(next_pages: DataFrame, flow: str | list) -> DataFrame:
     return next_pages.where(F.col("next_page").isNotNull()).select(jump.alias("jump")).where(F.col("jump").isin(pairs))
 
 
-def single_jump_count(visits: DataFrame, flow: str | list, slices: int | None = None,
-                      hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
+def single_jump_count(visits: DataFrame, flow: str | list, slices: int | None = None) -> DataFrame:
     """Occurrences of each flow pair ``"a-b"`` as consecutive visits in a session."""
-    nx = session_next_page(visits, slices, hot_rows)
+    nx = session_next_page(visits, slices)
     return jump_pairs(nx, flow).groupBy("jump").agg(F.count(F.lit(1)).alias("n"))
 
 
 def page_jump_ratio(
     visits: DataFrame, flow: str | list, task_id: str | None = None, slices: int | None = None,
-    hot_rows: int = HOT_SESSION_ROWS,
 ) -> DataFrame:
     """``jump, ratio`` = jumps a->b / visits of a (denominator 1 when a has no visits).
 
     Pairs that never occur are absent; the denominator counts every visit of the
     from-page, including the last one of a session.
     """
-    jumps = single_jump_count(visits, flow, slices, hot_rows)
+    jumps = single_jump_count(visits, flow, slices)
     pages = single_page_count(visits, flow).select(F.col("page_id").cast("string").alias("from_page"), F.col("n").alias("den"))
     ratio = (
         jumps.withColumn("from_page", F.split("jump", "-").getItem(0))

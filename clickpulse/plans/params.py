@@ -24,5 +24,5 @@ SLIDING_LENGTH_MINUTES = C.SLIDING_LENGTH_MINUTES
 SLIDING_SLIDE_MINUTES = C.SLIDING_SLIDE_MINUTES
 GUARD_THRESHOLD = 3
 GUARD_DAYS_PER_BATCH = 6
-# Sessions above this many visits take the range-sliced path in the *_hot check keys.
-HOT_SESSION_ROWS_CHECK = 50
+# Slices of the *_hot check keys (far more than the data needs, so sessions span several).
+JUMP_SLICES_CHECK = 64

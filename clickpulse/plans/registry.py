@@ -70,13 +70,13 @@ def q_page_jump_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_page_jump_ratio_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3 with a low hot-session bound: most sessions go through the range-sliced path."""
+    """Q3 with many more slices than sessions would need: most sessions span slices."""
     visits = TestTables(spark, sf_dir).visits
-    return J.page_jump_ratio(visits, P.TARGET_PAGE_FLOW, P.TASK_ID, hot_rows=P.HOT_SESSION_ROWS_CHECK)
+    return J.page_jump_ratio(visits, P.TARGET_PAGE_FLOW, P.TASK_ID, slices=P.JUMP_SLICES_CHECK)
 
 
 def q_session_next_page_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nx = J.session_next_page(TestTables(spark, sf_dir).visits, hot_rows=P.HOT_SESSION_ROWS_CHECK)
+    nx = J.session_next_page(TestTables(spark, sf_dir).visits, slices=P.JUMP_SLICES_CHECK)
     return nx.select("session_id", "event_id", "page_id", "next_page")
 
 

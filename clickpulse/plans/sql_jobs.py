@@ -1,4 +1,4 @@
-"""Jobs Q1-Q4 written as Spark SQL over temp views (the reference's own style).
+"""Jobs Q1-Q4 written as Spark SQL over temp views (for users who prefer SQL).
 
 ``register_views`` names the input DataFrames ``user_visit_action``,
 ``user_info``, ``city_info`` and ``product_info``; the SQL below then runs as
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.functions.sql import register_sql_functions
+from clickpulse.operators.jumps import session_next_page
 
 
 def register_views(visits: DataFrame, users: DataFrame, cities: DataFrame, products: DataFrame) -> None:
@@ -29,18 +30,12 @@ def _lit(v) -> str:
 def category_top_n_sql(spark: SparkSession, task_id: str, start_date=None, end_date=None, start_age=None,
                        end_age=None, n: int = 10) -> DataFrame:
     """Q1 in SQL. Empty/None parameters add no predicate; the age range is inclusive."""
-    preds = ["1 = 1"]
-    if start_date not in (None, ""):
-        preds.append(f"v.date >= DATE {_lit(start_date)}")
-    if end_date not in (None, ""):
-        preds.append(f"v.date <= DATE {_lit(end_date)}")
-    if start_age not in (None, ""):
-        preds.append(f"u.age >= {int(start_age)}")
-    if end_age not in (None, ""):
-        preds.append(f"u.age <= {int(end_age)}")
-    spark.sql(
-        "SELECT v.* FROM user_visit_action v JOIN user_info u ON v.user_id = u.user_id WHERE " + " AND ".join(preds)
-    ).createOrReplaceTempView("filtered_visit_action")
+    when = [f"date {op} DATE {_lit(x)}" for op, x in ((">=", start_date), ("<=", end_date)) if x not in (None, "")]
+    ages = [f"age {op} {int(x)}" for op, x in ((">=", start_age), ("<=", end_age)) if x not in (None, "")]
+    # Each filter stands beside its own scan; the users then only lend their key.
+    visits = "SELECT * FROM user_visit_action" + (f" WHERE {' AND '.join(when)}" if when else "")
+    people = "SELECT user_id FROM user_info" + (f" WHERE {' AND '.join(ages)}" if ages else "")
+    spark.sql(f"SELECT * FROM ({visits}) JOIN ({people}) USING (user_id)").createOrReplaceTempView("filtered_visit_action")
     return spark.sql(f"""
         WITH classified AS (
           SELECT CASE
@@ -85,39 +80,32 @@ def category_session_top_n_sql(spark: SparkSession, task_id: str, top_categories
 
 
 def page_jump_ratio_sql(spark: SparkSession, task_id: str, flow: str = "1,2,3,4,5,6,7") -> DataFrame:
-    """Q3 in SQL with one session window (the plain plan; the DataFrame operator
-    ``jumps.page_jump_ratio`` also splits hot sessions)."""
+    """Q3 in SQL over the view ``next_pages``, which the sliced ``jumps.session_next_page`` provides."""
     pages = [p.strip() for p in flow.split(",") if p.strip()]
-    from_pages = ", ".join(str(int(p)) for p in pages[:-1])
-    pairs = ", ".join(_lit(f"{a}-{b}") for a, b in zip(pages, pages[1:]))
+    session_next_page(spark.table("user_visit_action")).createOrReplaceTempView("next_pages")
+    steps = ", ".join(f"({int(a)}, {int(b)})" for a, b in zip(pages, pages[1:]))
     return spark.sql(f"""
-        WITH nx AS (
-          SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS next_page
-          FROM user_visit_action
-        ),
-        jc AS (
-          SELECT jump, count(*) AS n FROM (
-            SELECT concat_ws('-', CAST(page_id AS STRING), CAST(next_page AS STRING)) AS jump
-            FROM nx WHERE next_page IS NOT NULL
-          ) WHERE jump IN ({pairs}) GROUP BY jump
-        ),
-        pc AS (SELECT page_id, count(*) AS n FROM user_visit_action WHERE page_id IN ({from_pages}) GROUP BY page_id)
-        SELECT {_lit(task_id)} AS task_id, jc.jump,
-               CAST(jc.n AS DOUBLE) / CAST(coalesce(pc.n, 1) AS DOUBLE) AS ratio
-        FROM jc LEFT JOIN pc ON split(jc.jump, '-')[0] = CAST(pc.page_id AS STRING)
+        WITH steps AS (SELECT DISTINCT * FROM VALUES {steps} AS t(here, there)),
+        jumps AS (SELECT page_id, next_page, count(*) AS n FROM next_pages GROUP BY page_id, next_page),
+        seen AS (SELECT page_id, count(*) AS n FROM user_visit_action GROUP BY page_id)
+        SELECT {_lit(task_id)} AS task_id, concat(here, '-', there) AS jump,
+               CAST(jumps.n AS DOUBLE) / CAST(coalesce(seen.n, 1) AS DOUBLE) AS ratio
+        FROM steps JOIN jumps ON jumps.page_id = here AND jumps.next_page = there
+        LEFT JOIN seen ON seen.page_id = here
     """)
 
 
 def area_product_top_n_sql(spark: SparkSession, task_id: str, n: int = 3) -> DataFrame:
     """Q4 in SQL: rank filter after the window, city share via ``cp_city_share``."""
     return spark.sql(f"""
-        WITH clicks AS (
-          SELECT ci.area, ci.city_name, uv.click_product_id AS product_id
-          FROM user_visit_action uv JOIN city_info ci ON uv.city_id = ci.city_id
-          WHERE uv.click_product_id > 0
+        WITH counted AS (
+          SELECT city_id, click_product_id AS product_id, count(*) AS n
+          FROM user_visit_action WHERE click_product_id > 0 GROUP BY ALL
         ),
         per_city AS (
-          SELECT area, product_id, city_name, count(*) AS n FROM clicks GROUP BY area, product_id, city_name
+          SELECT area, product_id, city_name, sum(n) AS n
+          FROM counted JOIN (SELECT city_id, area, city_name FROM city_info) USING (city_id)
+          GROUP BY ALL
         ),
         ranked_city AS (
           SELECT *, row_number() OVER (PARTITION BY area, product_id

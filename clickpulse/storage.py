@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    p, fs = _path(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.mkdirs(p)

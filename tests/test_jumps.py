@@ -57,9 +57,9 @@ def test_hot_session_split_across_slices_matches_brute_force(spark):
     rnd.shuffle(rows)
     visits = spark.createDataFrame(rows, USER_VISIT_ACTION).repartition(7)
     want = _brute_next(rows)
-    for slices, hot_rows in ((1, 0), (3, 0), (16, 100), (64, 0), (None, 100), (None, 10**6)):
-        got = {r.event_id: r.next_page for r in J.session_next_page(visits, slices, hot_rows).collect()}
-        assert got == want, (slices, hot_rows)
+    for slices in (1, 3, 16, 64, None):
+        got = {r.event_id: r.next_page for r in J.session_next_page(visits, slices).collect()}
+        assert got == want, slices
 
 
 def test_hot_session_really_spans_many_slices(spark):
@@ -72,12 +72,19 @@ def test_hot_session_really_spans_many_slices(spark):
     assert len(sizes) >= 6 and max(sizes) < 200
 
 
-def test_many_hot_sessions_stay_on_executors(spark, monkeypatch):
-    """Above the listed bound the hot list is a written table, not a driver list; results unchanged."""
+def test_null_session_without_exchange_reuse_and_without_event_id(spark):
     rnd = random.Random(9)
-    rows = [visit_row(i, 1, f"s{i % 12}", rnd.randint(1, 4), rnd.randint(0, 30)) for i in range(300)]
+    rows = [visit_row(i, 1, None if i % 3 else f"s{i % 5}", rnd.randint(1, 4), i % 60) for i in range(300)]
     visits = spark.createDataFrame(rows, USER_VISIT_ACTION)
     want = _brute_next(rows)
-    monkeypatch.setattr(J, "LISTED_HOT_SESSIONS", 3)
-    got = {r.event_id: r.next_page for r in J.session_next_page(visits, 8, hot_rows=5).collect()}
-    assert got == want
+    for key in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"):
+        spark.conf.set(key, "false")
+        try:
+            got = {r.event_id: r.next_page for r in J.session_next_page(visits, 16).collect()}
+        finally:
+            spark.conf.unset(key)
+        assert got == want, key
+    plain = [visit_row(0, 1, "s", 1 + i % 3, i % 60, day=f"2019-11-{10 + i // 60}") for i in range(300)]
+    bare = spark.createDataFrame(plain, USER_VISIT_ACTION).drop("event_id")
+    got = {r.jump: r.n for r in J.single_jump_count(bare, "1,2,3", 16).collect()}
+    assert got == {"1-2": 100, "2-3": 100}

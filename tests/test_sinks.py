@@ -63,20 +63,16 @@ def test_snapshot_replace_including_empty(spark, tmp_root):
 
 
 def test_condition_params(spark, tmp_root):
-    text = (
-        'condition.params.json={startDate:"2018-11-01", \\\n  endDate:"2019-12-11", \\\n  startAge: "20", \\\n'
-        '  endAge: "50", \\\n  professionals: "",  \\\n  targetPageFlow:"1,2,3,4,5,6,7"}\n'
-    )
+    """Unquoted names, continued lines, empty and missing fields."""
     path = os.path.join(tmp_root, "conditions.properties")
     with open(path, "w", encoding="utf-8") as fh:
-        fh.write(text)
+        fh.write('condition.params.json={endAge: "31", targetPageFlow:"9,4",\\\n startDate:"2021-03-05", professionals:""}\n')
     r = read_properties_value(spark, path).first()
-    assert (r.startDate, r.endDate, r.startAge, r.endAge, r.targetPageFlow) == (
-        "2018-11-01", "2019-12-11", "20", "50", "1,2,3,4,5,6,7")
-    assert r.professionals == "" and r.city is None
-    assert "\\" not in join_continued_lines(text)
-    strict = parse_conditions(spark.createDataFrame([('{"startAge": "1"}',)], "value string")).first()
-    assert strict.startAge == "1"
+    assert (r.startDate, r.endAge, r.targetPageFlow, r.professionals) == ("2021-03-05", "31", "9,4", "")
+    assert r.endDate is None and r.startAge is None and r.city is None
+    assert join_continued_lines("a=1,\\\n 2") == join_continued_lines("a=1,\\\n2")
+    strict = parse_conditions(spark.createDataFrame([('{"endAge": "8"}',)], "value string")).first()
+    assert strict.endAge == "8"
 
 
 def test_keyed_table_compaction_keeps_values_and_survives_replay(spark, tmp_root):
