@@ -133,16 +133,24 @@ def ad_sliding_counts(ads: DataFrame, length_minutes: int = C.SLIDING_LENGTH_MIN
     Rows are first counted per slide bucket; each bucket count then adds to the
     ``length / slide`` windows that contain it. Only windows holding a click appear.
     """
+    counts = ads.groupBy("adid", slide_bucket(F.col("ts"), slide_minutes).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return windows_of_buckets(counts, length_minutes, slide_minutes)
+
+
+def slide_bucket(ts: Column, slide_minutes: int) -> Column:
+    """Number of the slide bucket of a wall-clock time, counted from the epoch."""
+    epoch_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.floor(epoch_us / F.lit(slide_minutes * 60 * 1_000_000)).cast("long")
+
+
+def windows_of_buckets(counts: DataFrame, length_minutes: int, slide_minutes: int) -> DataFrame:
+    """(adid, bucket, n) -> (adid, window_start, window_end, n) of the windows that hold the buckets."""
     if length_minutes % slide_minutes:
         raise ValueError("length must be a multiple of slide")
     k = length_minutes // slide_minutes
-    slide_us = slide_minutes * 60 * 1_000_000
-    epoch_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    bucket = F.floor(epoch_us / F.lit(slide_us)).cast("long")
-    counts = ads.groupBy("adid", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("c"))
-    expanded = counts.select("adid", "c", F.explode(F.sequence(F.col("bucket") - (k - 1), F.col("bucket"))).alias("start_bucket"))
-    summed = expanded.groupBy("adid", "start_bucket").agg(F.sum("c").cast("long").alias("n"))
-    start = F.timestamp_add("MICROSECOND", F.col("start_bucket") * slide_us, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    expanded = counts.select("adid", "n", F.explode(F.sequence(F.col("bucket") - (k - 1), F.col("bucket"))).alias("start_bucket"))
+    summed = expanded.groupBy("adid", "start_bucket").agg(F.sum("n").cast("long").alias("n"))
+    start = F.timestamp_add("MICROSECOND", F.col("start_bucket") * (slide_minutes * 60 * 1_000_000), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     end = F.timestamp_add("MINUTE", F.lit(length_minutes), start)
     return summed.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
 

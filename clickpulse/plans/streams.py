@@ -25,7 +25,7 @@ from clickpulse.streaming.app import AdsApp
 from clickpulse.streaming.counts import DayAreaAdTables, WordCountTable, day_area_city_counts_stream, word_count_stream
 from clickpulse.streaming.feed import ReplayFeed, start_foreach_batch
 from clickpulse.streaming.guard import AdClickGuard
-from clickpulse.streaming.trend import SlidingTables, TrendTables, minute_counts_stream, sliding_counts_stream
+from clickpulse.streaming.trend import SlidingTables, TrendTables
 
 LINE_FEED_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.StringType())])
 DOC_FEED_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
@@ -62,6 +62,11 @@ def run_replay(
     return root
 
 
+def newest_first(feed: DataFrame) -> DataFrame:
+    """The same feed with its batches in reverse order, so every batch but the first is late."""
+    return feed.withColumn("batch", -F.col("batch"))
+
+
 def _parsed(stream: DataFrame) -> DataFrame:
     return parse_ads_lines(stream)[0]
 
@@ -93,8 +98,8 @@ def run_trend(spark: SparkSession, sf_dir: str) -> TrendTables:
     root = scratch_dir(ss, "trend")
     tables = TrendTables(ss, os.path.join(root, "tables"), P.TREND_LENGTH_MINUTES)
     run_replay(
-        ss, "trend", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA,
-        lambda s: minute_counts_stream(_parsed(s), P.TREND_LENGTH_MINUTES), tables.process, "update", root=root,
+        ss, "trend", newest_first(ads_feed(ss, sf_dir)), LINE_FEED_SCHEMA,
+        lambda s: _parsed(s).select("adid", "ts"), tables.add_rows, root=root,
     )
     return tables
 
@@ -102,11 +107,10 @@ def run_trend(spark: SparkSession, sf_dir: str) -> TrendTables:
 def run_sliding(spark: SparkSession, sf_dir: str) -> SlidingTables:
     ss = stream_session(spark)
     root = scratch_dir(ss, "sliding")
-    tables = SlidingTables(ss, os.path.join(root, "tables"))
+    tables = SlidingTables(ss, os.path.join(root, "tables"), P.SLIDING_LENGTH_MINUTES, P.SLIDING_SLIDE_MINUTES)
     run_replay(
-        ss, "sliding", ads_feed(ss, sf_dir), LINE_FEED_SCHEMA,
-        lambda s: sliding_counts_stream(_parsed(s), P.SLIDING_LENGTH_MINUTES, P.SLIDING_SLIDE_MINUTES),
-        tables.process, "update", root=root,
+        ss, "sliding", newest_first(ads_feed(ss, sf_dir)), LINE_FEED_SCHEMA,
+        lambda s: _parsed(s).select("adid", "ts"), tables.add_rows, root=root,
     )
     return tables
 
@@ -163,7 +167,7 @@ def q_stream_ads_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_ads_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = run_sliding(spark, sf_dir).counts.read()
+    c = run_sliding(spark, sf_dir).read()
     return c.select(
         "adid",
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),

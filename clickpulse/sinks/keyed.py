@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "_version"
+MARKER = "_marker"  # true on the one row that makes a snapshot version exist
 
 
 def drop_versions_below(spark: SparkSession, path: str, version: int, partitioned: bool) -> int:
@@ -169,13 +170,13 @@ class SnapshotTable:
         empty.write.mode("append").partitionBy(VERSION).parquet(path)
 
     def _stored_schema(self) -> T.StructType:
-        return T.StructType(list(self.schema.fields) + [T.StructField(VERSION, T.LongType())])
+        return T.StructType([*self.schema.fields, T.StructField(MARKER, T.BooleanType()), T.StructField(VERSION, T.LongType())])
 
     def replace(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.select(*[f.name for f in self.schema.fields]).withColumn(VERSION, F.lit(int(batch_id)).cast("long"))
+        rows = df.select(*[f.name for f in self.schema.fields], F.lit(False).alias(MARKER), F.lit(int(batch_id)).cast("long").alias(VERSION))
         # One all-null marker row makes the new version exist even when the snapshot is
         # empty (so it still replaces the previous one); readers drop it.
-        marker = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (int(batch_id),)], self._stored_schema())
+        marker = self.spark.createDataFrame([(None,) * len(self.schema.fields) + (True, int(batch_id))], self._stored_schema())
         _write_versioned(rows.unionByName(marker), self.path, [VERSION])
         # Keep the previous snapshot for readers in flight; older ones go.
         drop_versions_below(self.spark, self.path, int(batch_id) - 1, partitioned=False)
@@ -183,5 +184,4 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         rows = self.spark.read.schema(self._stored_schema()).parquet(self.path)
         newest = rows.select(F.max(VERSION)).scalar()
-        first = self.schema.fields[0].name
-        return rows.where((F.col(VERSION) == newest) & F.col(first).isNotNull()).drop(VERSION)
+        return rows.where((F.col(VERSION) == newest) & ~F.col(MARKER)).drop(MARKER, VERSION)

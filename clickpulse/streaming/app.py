@@ -27,7 +27,7 @@ from clickpulse.session import stream_session
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
 from clickpulse.streaming.feed import start_foreach_batch
 from clickpulse.streaming.guard import ACCEPTED_SCHEMA, AdClickGuard
-from clickpulse.streaming.trend import TrendTables, minute_counts_stream
+from clickpulse.streaming.trend import TrendTables
 
 
 class AdsApp:
@@ -97,8 +97,8 @@ class AdsApp:
         q6 = start_foreach_batch(day_area_city_counts_stream(acc, self.retain_days), self.day_area.process,
                                  self._ckpt("day_area"),
                                  "update", available_now, processing_time)
-        q8 = start_foreach_batch(minute_counts_stream(acc, self.trend_minutes), self.trend.process,
-                                 self._ckpt("trend"), "update", available_now, processing_time)
+        q8 = start_foreach_batch(acc.select("adid", "ts"), self.trend.add_rows,
+                                 self._ckpt("trend"), "append", available_now, processing_time)
         return [q6, q8]
 
     def run_available(self, lines: DataFrame) -> None:

@@ -1,27 +1,27 @@
-"""Per-ad minute trend over the last hour (job Q8) on a stream.
-
-The stream counts clicks per (ad, event-time minute) with a watermark of
-``length`` minutes, so the state store only keeps minutes that can still be in
-the trend. Each batch upserts the changed minute totals into a ``KeyedTable``
-(partitioned by day), advances a one-row clock (latest minute seen) and
-replaces the trend snapshot with the minutes in ``(now - length, now]``; the
-snapshot read prunes to the days that range covers.
-
-Event time: the wall-clock ``ts`` (``timestamp_ntz``) is turned into an instant
-via its epoch microseconds, so watermarking works and no session time zone
-leaks into the keys.
+"""Per-ad minute trend over the last hour (job Q8) and sliding counts on a stream.
+
+No row is ever late: each micro-batch adds its own counts per (ad, event-time minute), or per slide
+bucket, to a versioned total, so rows may arrive in any order and the totals equal the batch formulas.
+Nothing is kept in a state store, and there is no watermark that could drop rows. Totals are
+partitioned by day and a batch touches only the days it holds.
+
+The trend's clock is the latest minute seen that is not in the future of the batch's arrival (plus a
+tolerance): a wrongly dated line is counted, but does not move the clock. Times are wall-clock
+(``timestamp_ntz``), so no session time zone leaks into the keys.
 """
 
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.functions.jsonpairs import pairs_json
-from clickpulse.functions.timefmt import minute_label
+from clickpulse.functions.timefmt import minute_label, minute_start
+from clickpulse.operators.ads import slide_bucket, windows_of_buckets
 from clickpulse.sinks.keyed import VERSION, KeyedTable, SnapshotTable
 
 MINUTE_SCHEMA = T.StructType(
@@ -48,62 +48,62 @@ def _from_micros(us):
     return F.timestamp_add("MICROSECOND", us, _epoch_ntz())
 
 
-def minute_counts_stream(ads_stream: DataFrame, length_minutes: int = 60) -> DataFrame:
-    """Streaming clicks per (adid, minute) with a ``length_minutes`` watermark; run in update mode."""
-    event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts")))
-    counted = (
-        ads_stream.withColumn("_et", event_time)
-        .withWatermark("_et", f"{length_minutes} minutes")
-        .groupBy("adid", F.window("_et", "1 minute").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    minute = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _epoch_ntz())
-    return counted.select("adid", minute.alias("minute"), "n")
-
-
-SLIDING_SCHEMA = T.StructType(
+BUCKET_SCHEMA = T.StructType(
     [
         T.StructField("adid", T.StringType()),
-        T.StructField("window_start", T.TimestampNTZType()),
-        T.StructField("window_end", T.TimestampNTZType()),
+        T.StructField("bucket", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("date", T.StringType()),
     ]
 )
+FUTURE_MINUTES = 60  # how far ahead of its arrival a line may be dated and still move the clock
 
 
-def sliding_counts_stream(ads_stream: DataFrame, length_minutes: int = 3, slide_minutes: int = 1,
-                          watermark_minutes: int | None = None) -> DataFrame:
-    """Streaming clicks per (adid, sliding event-time window); run in update mode.
+def added_totals(table: KeyedTable, inc: DataFrame, batch_id: int) -> DataFrame | None:
+    """``inc`` (keys, n) plus the totals before ``batch_id``, for the days the batch touches; None without rows.
 
-    Spark's ``window`` assigns each row to ``length / slide`` windows, so keep that
-    ratio small here (the batch form ``ad_sliding_counts`` pre-aggregates per slide
-    bucket for large ratios). The watermark (default: the window length) bounds state.
+    Previous totals are read as of version ``batch_id - 1``, so a replayed batch gives the same totals.
+    One aggregate over old and new rows: null keys add up like any other.
     """
-    event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts")))
-    counted = (
-        ads_stream.withColumn("_et", event_time)
-        .withWatermark("_et", f"{watermark_minutes or length_minutes} minutes")
-        .groupBy("adid", F.window("_et", f"{length_minutes} minutes", f"{slide_minutes} minutes").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _epoch_ntz())
-    end = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.end")), _epoch_ntz())
-    return counted.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
+    days = [r[0] for r in inc.select("date").distinct().collect()]  # bounded by the batch's span
+    if not days:
+        return None
+    known = [d for d in days if d is not None]
+    same_day = F.col("date").isin(known) if known else F.lit(False)
+    if len(known) < len(days):
+        same_day = same_day | F.col("date").isNull()
+    before = table.read(upto_version=int(batch_id) - 1).where(same_day)
+    keys = list(table.keys)
+    both = inc.select(*keys, "n").unionByName(before.select(*keys, "n"))
+    return both.groupBy(*keys).agg(F.sum("n").cast("long").alias("n"))
 
 
 class SlidingTables:
-    """Upserted sliding-window counts, partitioned by the window's start day."""
+    """Clicks per (ad, slide bucket), added batch by batch; windows are summed when they are read."""
 
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 50):
+    def __init__(self, spark: SparkSession, root: str, length_minutes: int = 3, slide_minutes: int = 1, compact_every: int = 50):
+        self.length, self.slide = length_minutes, slide_minutes
         self.compact_every = compact_every
-        self.counts = KeyedTable(spark, os.path.join(root, "sliding"), ["date", "adid", "window_start"],
-                                 SLIDING_SCHEMA, partition_col="date")
+        self.buckets = KeyedTable(spark, os.path.join(root, "buckets"), ["date", "adid", "bucket"], BUCKET_SCHEMA, partition_col="date")
 
-    def process(self, updates: DataFrame, batch_id: int) -> None:
-        self.counts.upsert(updates.withColumn("date", F.date_format("window_start", "yyyy-MM-dd")), batch_id)
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.counts.compact(batch_id)
+    def add_rows(self, rows: DataFrame, batch_id: int) -> None:
+        """One micro-batch of clicks (adid, ts)."""
+        n = int(batch_id)
+        inc = rows.groupBy("adid", slide_bucket(F.col("ts"), self.slide).alias("bucket"), F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count(F.lit(1)).alias("n")).persist()
+        try:
+            totals = added_totals(self.buckets, inc, n)
+            if totals is None:
+                return
+            staged, folder = self.buckets.staged(totals, f"add-{n}")
+            self.buckets.upsert(staged, n)
+            self.buckets.unstage(folder)
+        finally:
+            inc.unpersist()
+        if self.compact_every and n > 0 and n % self.compact_every == 0:
+            self.buckets.compact(n, self.buckets.partitions_of_version(n))
+
+    def read(self) -> DataFrame:
+        return windows_of_buckets(self.buckets.read().select("adid", "bucket", "n"), self.length, self.slide)
 
 
 class TrendTables:
@@ -118,27 +118,22 @@ class TrendTables:
         self.trend = SnapshotTable(spark, os.path.join(root, "last_hour_trend"), TREND_SCHEMA)
 
     def add_increments(self, inc: DataFrame, batch_id: int) -> None:
-        """Inline fan-out: add one batch's per-(adid, minute) counts ``inc`` to the minute totals.
-
-        Previous totals are read as of version ``batch_id - 1`` for the touched days only,
-        so a replayed batch writes the same version; then the trend snapshot is rebuilt.
-        """
+        """Add one batch's per-(adid, minute) counts ``inc`` to the minute totals and rebuild the trend."""
         inc = inc.withColumn("date", F.date_format("minute", "yyyy-MM-dd")).persist()
         try:
-            days = [r[0] for r in inc.select("date").distinct().collect()]  # bounded by the batch's span
-            if not days:
+            totals = added_totals(self.minutes, inc, batch_id)
+            if totals is None:
                 return
-            prev = self.minutes.read(upto_version=int(batch_id) - 1).where(F.col("date").isin(days))
-            keys = ["date", "adid", "minute"]
-            totals = inc.join(prev.withColumnRenamed("n", "prev"), keys, "left").select(
-                "adid", "minute", (F.coalesce(F.col("prev"), F.lit(0)) + F.col("n")).cast("long").alias("n")
-            )
             staged, folder = self.minutes.staged(totals, f"add-{int(batch_id)}")
             self.process(staged, batch_id)
             self.minutes.unstage(folder)
         finally:
             inc.unpersist()
 
+    def add_rows(self, rows: DataFrame, batch_id: int) -> None:
+        """One micro-batch of clicks (adid, ts)."""
+        self.add_increments(rows.groupBy("adid", minute_start(F.col("ts")).alias("minute")).agg(F.count(F.lit(1)).alias("n")), batch_id)
+
     def now_micros(self, upto_version: int | None = None) -> int | None:
         """Latest minute seen, as epoch microseconds (no Python datetimes: zone-free)."""
         rows = self.clock.read(upto_version).select(_micros(F.col("now"))).collect()  # one row
@@ -153,7 +148,8 @@ class TrendTables:
         latest = None
         if days:
             written = self.minutes.versions().where(F.col("date").isin(days) & (F.col(VERSION) == n))
-            latest = written.agg(F.max(_micros(F.col("minute")))).first()[0]
+            arrival = F.lit(int(time.time() * 1_000_000) + FUTURE_MINUTES * 60_000_000)
+            latest = written.where(_micros(F.col("minute")) <= arrival).agg(F.max(_micros(F.col("minute")))).first()[0]
         prev = self.now_micros(upto_version=n - 1)
         known = [x for x in (latest, prev) if x is not None]
         if not known:

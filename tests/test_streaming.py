@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
-from clickpulse.operators.ads import parse_ads_lines
+from clickpulse.operators.ads import ad_sliding_counts, parse_ads_lines
 from clickpulse.plans.streams import LINE_FEED_SCHEMA, run_replay
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
 from clickpulse.streaming.guard import AdClickGuard
-from clickpulse.streaming.trend import TrendTables, minute_counts_stream
+from clickpulse.streaming.trend import SlidingTables, TrendTables
 
 
 def _ads_df(spark, rows):
@@ -67,12 +68,36 @@ def test_trend_stream_adds_one_minute_split_over_batches(spark, tmp_root):
     # 03:46:40 and 03:46:50 are one minute, in two micro-batches
     feed = _feed(spark, [[(0, "3")], [(10, "3"), (25, "2")]])
     tables = TrendTables(spark, os.path.join(tmp_root, "t"), 60)
-    run_replay(spark, "t", feed, LINE_FEED_SCHEMA, lambda s: minute_counts_stream(parse_ads_lines(s)[0], 60),
-               tables.process, "update", root=tmp_root)
+    run_replay(spark, "t", feed, LINE_FEED_SCHEMA, lambda s: parse_ads_lines(s)[0], tables.add_rows, root=tmp_root)
     got = {r.adid: r.trend_json for r in tables.trend.read().collect()}
     assert got == {"3": '[{"03:46":2}]', "2": '[{"03:47":1}]'}
 
 
+def test_late_and_future_rows(spark, tmp_root):
+    """Rows hours late are counted in both tables; a line dated 400 days ahead does not move the clock."""
+    ahead = int(time.time()) - 1598500000 + 400 * 86400
+    feed = _feed(spark, [[(0, "1")], [(7200, "1")], [(5, "1"), (ahead, "9")], [(7260, "1"), (3, "2")], [(-90000, "1")]])
+    trend = TrendTables(spark, os.path.join(tmp_root, "t"), 60)
+    sliding = SlidingTables(spark, os.path.join(tmp_root, "s"), 3, 1)
+    run_replay(spark, "t", feed, LINE_FEED_SCHEMA, lambda s: parse_ads_lines(s)[0], trend.add_rows, root=os.path.join(tmp_root, "f1"))
+    run_replay(spark, "s", feed, LINE_FEED_SCHEMA, lambda s: parse_ads_lines(s)[0], sliding.add_rows, root=os.path.join(tmp_root, "f2"))
+    assert trend.minutes.read().agg(F.sum("n")).first()[0] == 7
+    assert {r.adid: r.trend_json for r in trend.trend.read().collect()} == {"1": '[{"05:46":1},{"05:47":1}]'}
+    lines = feed.select("event_id", "value")
+    want = ad_sliding_counts(parse_ads_lines(lines)[0], 3, 1)
+    assert sorted(map(tuple, sliding.read().collect())) == sorted(map(tuple, want.collect()))
+    trend.add_rows(parse_ads_lines(feed.where("batch = 3").select("event_id", "value"))[0], 3)  # a replay changes nothing older
+    assert trend.minutes.read(upto_version=3).agg(F.sum("n")).first()[0] == 6
+
+
+def test_null_keys_keep_their_totals(spark, tmp_root):
+    table = SlidingTables(spark, os.path.join(tmp_root, "n"), 3, 1)
+    rows = spark.createDataFrame([(None, "2020-01-01 00:00:05")], "adid string, t string").select("adid", F.col("t").cast("timestamp_ntz").alias("ts"))
+    for n in range(3):
+        table.add_rows(rows, n)
+    assert table.buckets.read().first().n == 3
+
+
 def test_restart_resumes_from_checkpoint(spark, tmp_root):
     """Two separate feed runs on one checkpoint: the second only sees new files."""
     tables = DayAreaAdTables(spark, os.path.join(tmp_root, "t"), 3)
@@ -118,7 +143,7 @@ def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
                    lambda s: day_area_city_counts_stream(parse_ads_lines(s)[0]), da.process, "update",
                    root=os.path.join(root, "f1"))
         run_replay(spark, "tr", _feed(spark, batches), LINE_FEED_SCHEMA,
-                   lambda s: minute_counts_stream(parse_ads_lines(s)[0], 60), tr.process, "update",
+                   lambda s: parse_ads_lines(s)[0], tr.add_rows,
                    root=os.path.join(root, "f2"))
         results.append((
             sorted(map(tuple, da.city_counts.read().collect())),
