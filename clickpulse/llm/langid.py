@@ -22,12 +22,12 @@ from clickpulse.llm.common import small_arrow_batches, uniform
 
 # The classifier is fitted on a sample of labelled documents and keeps the most frequent units.
 SAMPLE_DOCS = 2000  # expected per language
-MAX_WORDS = 60_000
+MAX_WORDS = 120_000
 MAX_GRAMS = 60_000
 MAX_LANGS = 1000  # the most frequent labels
 ORDER = 5
 SMOOTH = 0.5
-CACHE = 100_000  # unknown words a worker remembers
+CACHE = 200_000  # unknown words a worker remembers
 
 _WORD = regex.compile(r"\p{L}+")
 
