@@ -84,7 +84,10 @@ def ensure_checkpoint_dir(spark: SparkSession, path: str | None = None) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder, removed when the driver's JVM ends.
+    """A fresh folder name under the shared checkpoint folder, marked for removal when the driver's JVM ends.
+
+    A JVM that is killed, as at the end of a plain Python process, leaves the folder in place; clear the
+    checkpoint folder between jobs.
 
     Spark's writers create the folder through the Hadoop file system; nothing is made locally.
     """
