@@ -30,11 +30,11 @@ def parse_ads_lines(lines: DataFrame, tz: str = "UTC", column: str = "value") ->
     """Split wire lines ``"<epoch ms> <area> <city> <userid> <adid>"`` into typed rows.
 
     Returns ``(parsed, rejects)``. A line with fewer than five space-separated
-    fields or a non-integer timestamp goes to ``rejects`` with a reason instead of
+    fields (trailing spaces make no field) or a non-integer timestamp goes to ``rejects`` with a reason instead of
     failing the job. Other input columns are carried through on ``parsed``.
     Adds ``ts`` (wall clock in ``tz``) and ``date`` (``yyyy-MM-dd``).
     """
-    parts = F.split(F.col(column), " ")
+    parts = F.split(F.rtrim(F.col(column)), " ")
     ms = F.try_element_at(parts, F.lit(1)).try_cast("bigint")
     reason = (
         F.when(F.col(column).isNull(), F.lit("null line"))
@@ -172,6 +172,18 @@ def ad_last_hour_trend(minute_counts: DataFrame, length_minutes: int = C.TREND_M
     return lists.select("adid", pairs_json(F.col("items")).alias("trend_json"))
 
 
+def ad_recent_trend(ads: DataFrame, length_minutes: int = C.TREND_MINUTES) -> DataFrame:
+    """``ad_last_hour_trend`` straight from the rows: the latest ``ts`` closes the range.
+
+    Rows before the range are cut on ``date`` (folders of a partitioned table) and ``ts``
+    before they are counted, so only the kept minutes are aggregated.
+    """
+    now = minute_start(ads.select(F.max("ts")).scalar())
+    low = F.timestamp_add("MINUTE", F.lit(1 - length_minutes), now)
+    recent = ads.where((F.col("date") >= day_key(low)) & (F.col("ts") >= low))
+    return ad_last_hour_trend(ad_minute_counts(recent), length_minutes, now)
+
+
 def ad_minute_rows(minute_counts: DataFrame) -> DataFrame:
     """Minute counts with a text key (for sinks and checks)."""
     return minute_counts.select("adid", minute_text(F.col("minute")).alias("minute"), "n")

@@ -200,7 +200,7 @@ def q_ads_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ads_last_hour_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return AD.ad_last_hour_trend(AD.ad_minute_counts(_ads(spark, sf_dir)), P.TREND_LENGTH_MINUTES)
+    return AD.ad_recent_trend(_ads(spark, sf_dir), P.TREND_LENGTH_MINUTES)
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:

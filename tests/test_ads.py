@@ -31,6 +31,9 @@ def test_parse_and_rejects(spark):
 def test_parse_bad_timestamp_and_zone(spark):
     ok, bad = _parsed(spark, ["x a b c d", "1598500000000 a b c d"])
     assert [tuple(r) for r in bad.collect()] == [("x a b c d", "bad timestamp")]
+    ok, bad = _parsed(spark, ["1598500000000 a b c ", "1598500000000 a  c d", "1598500000000 a b c d "])
+    assert sorted(tuple(r)[1:5] for r in ok.select("timestamp", "area", "city", "userid", "adid").collect()) == [("a", "", "c", "d"), ("a", "b", "c", "d")]
+    assert [tuple(r) for r in bad.collect()] == [("1598500000000 a b c ", "too few fields")]
     shanghai, _ = AD.parse_ads_lines(spark.createDataFrame([("1598500000000 a b c d",)], "value string"), tz="Asia/Shanghai")
     assert str(shanghai.first().ts) == "2020-08-27 11:46:40"
 
@@ -56,6 +59,8 @@ def test_trend_cuts_to_last_length_minutes(spark):
     got = AD.ad_last_hour_trend(AD.ad_minute_counts(ads), 5).first().trend_json
     # now = 03:56; keep (03:51, 03:56]
     assert got == '[{"03:55":1},{"03:56":1}]'
+    assert AD.ad_recent_trend(ads, 5).first().trend_json == got
+    assert AD.ad_recent_trend(ads.limit(0), 5).count() == 0
 
 
 def test_top_n_ties_by_adid_and_limit(spark):
