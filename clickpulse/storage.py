@@ -51,6 +51,12 @@ def list_folders(spark: SparkSession, path: str, key: str | None = None) -> list
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}="))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern."""
+    p, fs = _path(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Remove the folder when the driver's JVM ends (scratch data of lazily read results)."""
     p, fs = _path(spark, path)

@@ -5,10 +5,10 @@ writes the accepted rows once per batch. The fan-out to running per-(day, area,
 city, ad) counts with the day/area top-n (Q6, Q7) and the per-ad minute trend
 (Q8) comes in two forms:
 
-- ``fanout="stream"`` (default): two more streaming queries read the accepted
+- ``fanout="stream"``: two more streaming queries read the accepted
   table as a file source and keep their running counts in Spark's state store;
   each has its own checkpoint.
-- ``fanout="inline"``: the guard's batch also adds its accepted rows' counts to
+- ``fanout="inline"`` (default): the guard's batch also adds its accepted rows' counts to
   the versioned result tables (previous version + this batch, touched days only).
   One query, no re-listing of the accepted files, exact (no watermark).
 """
@@ -33,7 +33,7 @@ from clickpulse.streaming.trend import TrendTables
 class AdsApp:
     def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD, top_n: int = C.TOP_ADS,
                  trend_minutes: int = C.TREND_MINUTES, tz: str = "UTC", retain_days: int | None = None,
-                 state_partitions: int | None = None, fanout: str = "stream"):
+                 state_partitions: int | None = None, fanout: str = "inline"):
         if fanout not in ("stream", "inline"):
             raise ValueError("fanout must be 'stream' or 'inline'")
         self.fanout = fanout
@@ -75,7 +75,7 @@ class AdsApp:
         """Inline fan-out of batch ``n``'s accepted rows (read back from the accepted table)."""
         from clickpulse.functions.timefmt import minute_start
 
-        acc = self.guard.accepted().where(F.col("batch_id") == n)
+        acc = self.guard.accepted_of(n)
         self.day_area.add_increments(
             acc.groupBy("date", "area", "city", "adid").agg(F.count(F.lit(1)).alias("n")), n)
         self.trend.add_increments(

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse import constants as C
+from clickpulse import storage
 from clickpulse.operators.joins import bounded_broadcast
 
 ACCEPTED_SCHEMA = T.StructType(
@@ -74,19 +75,12 @@ BASE_SCHEMA = T.StructType(
 
 def _drop_below(spark: SparkSession, folder: str, key: str | None, bound: int) -> None:
     """Delete ``folder/key=v`` for ``v < bound`` (or ``folder`` itself when ``key`` is None)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if key is None:
-        fs.delete(path, True)
+        storage.delete(spark, folder)
         return
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder + f"/{key}=*")) or []:
-        try:
-            v = int(st.getPath().getName().split("=", 1)[1])
-        except ValueError:
-            continue
-        if v < bound:
-            fs.delete(st.getPath(), True)
+    for v in storage.list_folders(spark, folder, key):
+        if v.isdigit() and int(v) < bound:
+            storage.delete(spark, f"{folder}/{key}={v}")
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -102,6 +96,7 @@ class AdClickGuard:
         self.max_broadcast_rows = max_broadcast_rows
         self.compact_every = compact_every
         self.accepted_path = os.path.join(root, "accepted")
+        self.commits_path = os.path.join(root, "commits")
         self.counts_path = os.path.join(root, "counts")
         self.base_path = os.path.join(root, "counts_base")
         self.blocked_path = os.path.join(root, "blocked")
@@ -117,6 +112,17 @@ class AdClickGuard:
     def accepted(self) -> DataFrame:
         return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.accepted_path)
 
+    def _folders(self, schema: T.StructType, root: str, folders: list[str]) -> DataFrame:
+        """Rows of some partition folders of a table; only these are listed, and missing ones are empty."""
+        paths = [p for p in (f"{root}/{f}" for f in folders) if storage.exists(self.spark, p)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+    def accepted_of(self, batch_id: int) -> DataFrame:
+        """The accepted rows of one batch."""
+        return self._folders(ACCEPTED_SCHEMA, self.accepted_path, [f"batch_id={int(batch_id)}"])
+
     def blocked(self, before_batch: int | None = None) -> DataFrame:
         """``userid, block_batch`` (the batch after which the user is blocked)."""
         rows = self.spark.read.schema(BLOCKED_SCHEMA).parquet(self.blocked_path)
@@ -128,16 +134,18 @@ class AdClickGuard:
         """Running accepted clicks per (date, userid, adid).
 
         = the newest base snapshot of each day (``upto <= upto_batch``) plus the per-batch
-        increments after it. Both reads prune by ``date`` (and version) partitions.
+        increments after it. With ``dates`` only the folders of these days are listed.
         """
-        inc = self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
-        base = self.spark.read.schema(BASE_SCHEMA).parquet(self.base_path)
+        if dates is None:
+            inc = self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
+            base = self.spark.read.schema(BASE_SCHEMA).parquet(self.base_path)
+        else:
+            days = [f"date={d}" for d in dates]
+            inc = self._folders(COUNTS_SCHEMA, self.counts_path, days)
+            base = self._folders(BASE_SCHEMA, self.base_path, days)
         if upto_batch is not None:
             inc = inc.where(F.col("batch_id") <= upto_batch)
             base = base.where(F.col("upto") <= upto_batch)
-        if dates is not None:
-            inc = inc.where(F.col("date").isin(dates))
-            base = base.where(F.col("date").isin(dates))
         # One row per day: bounded by the days read, so broadcasting it is safe.
         newest = F.broadcast(base.groupBy("date").agg(F.max("upto").alias("upto")))
         base_rows = base.join(newest, ["date", "upto"], "left_semi").select("date", "userid", "adid", "n")
@@ -168,10 +176,8 @@ class AdClickGuard:
 
     # the micro-batch step -------------------------------------------------------
     def accepted_written(self, batch_id: int) -> bool:
-        """Whether ``accepted/batch_id=n`` was already written (a folder check, no job)."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.accepted_path}/batch_id={int(batch_id)}")
-        return bool(folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder))
+        """Whether all rows of the batch are in ``accepted`` (its marker is made after the write)."""
+        return storage.exists(self.spark, f"{self.commits_path}/{int(batch_id)}")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
@@ -186,9 +192,10 @@ class AdClickGuard:
                 "batch_id", F.lit(n).cast("long")
             )
             _overwrite_partitions(accepted, self.accepted_path, ["batch_id"])
+            storage.make_dirs(self.spark, f"{self.commits_path}/{n}")
 
         # Re-read what was just written instead of recomputing the batch.
-        written = self.accepted().where(F.col("batch_id") == n)
+        written = self.accepted_of(n)
         inc = written.groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("n"))
         _overwrite_partitions(inc.withColumn("batch_id", F.lit(n).cast("long")), self.counts_path, ["date", "batch_id"])
 
@@ -200,16 +207,18 @@ class AdClickGuard:
             stamp = F.lit(n).cast("long")
             _overwrite_partitions(newly.select("userid", stamp.alias("block_batch"), stamp.alias("batch_id")),
                                   self.blocked_path, ["batch_id"])
-        if self.compact_every and n > 0 and n % self.compact_every == 0:
-            if days:
-                self.compact_days(n, days)
-            self.compact_blocked(n)
+        if self.compact_every:
+            # By the increments a day has gathered, so days that are touched seldom fold too.
+            full = [d for d in days if len(storage.list_folders(self.spark, f"{self.counts_path}/date={d}", "batch_id")) >= self.compact_every]
+            if full:
+                self.compact_days(n, full)
+            if n > 0 and n % self.compact_every == 0:
+                self.compact_blocked(n)
 
     def _days_of_batch(self, batch_id: int) -> list[str]:
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.counts_path}/date=*/batch_id={int(batch_id)}")
-        fs = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return sorted(st.getPath().getParent().getName().split("=", 1)[1] for st in (fs.globStatus(pattern) or []))
+        found = storage.matching(self.spark, f"{self.counts_path}/date=*/batch_id={int(batch_id)}")
+        days = {p.split("/")[-2].split("=", 1)[1] for p in found}
+        return sorted(days - {"__HIVE_DEFAULT_PARTITION__"})
 
     def compact_blocked(self, batch_id: int) -> None:
         """Fold blocked-user partitions below ``batch_id`` into ``batch_id - 1``.

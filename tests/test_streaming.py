@@ -131,6 +131,31 @@ def test_guard_compaction_keeps_counts_and_blocks(spark, tmp_root):
     assert all(int(d.split("=")[1]) >= 5 for d in blocked_parts)  # folded into batch 5 (fold at 6)
 
 
+def test_guard_folds_days_by_their_own_increments(spark, tmp_root):
+    """A day touched only in odd batches folds as well; each day keeps fewer than ``compact_every`` increments."""
+    guard = AdClickGuard(spark, tmp_root, threshold=100, compact_every=2)
+    day = lambda ms: parse_ads_lines(spark.createDataFrame([(ms, f"{ms} A C u1 1")], "event_id long, value string"))[0]
+    for b in range(6):
+        guard.process(day(1598500000000 + (b % 2) * 86_400_000), b)
+    for d in ("2020-08-27", "2020-08-28"):
+        assert len([x for x in os.listdir(os.path.join(tmp_root, "counts", f"date={d}")) if "=" in x]) < 2
+    assert {(r.date, r.n) for r in guard.user_day_counts().collect()} == {("2020-08-27", 3), ("2020-08-28", 3)}
+
+
+def test_guard_rewrites_a_batch_that_was_cut_short(spark, tmp_root):
+    """Rows of a batch without its marker are replaced when the batch is replayed."""
+    guard = AdClickGuard(spark, tmp_root, threshold=100)
+    batch = _ads_df(spark, [("u1", "1"), ("u2", "1"), ("u3", "1")])
+    part = AdClickGuard(spark, os.path.join(tmp_root, "part"), threshold=100)
+    part.process(batch.limit(1), 0)
+    part.accepted().write.mode("append").partitionBy("batch_id").parquet(guard.accepted_path)
+    assert not guard.accepted_written(0)
+    guard.process(batch, 0)
+    guard.process(batch, 0)
+    assert guard.accepted_written(0) and guard.accepted().count() == 3
+    assert sum(r.n for r in guard.user_day_counts().collect()) == 3
+
+
 def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
     """Q6/Q7 and Q8 sinks give the same tables when folding on every batch."""
     batches = [[(0, "1"), (70, "2")], [(5, "1"), (130, "1")], [(200, "2"), (3700, "1")], [(3800, "2")]]
