@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 from clickpulse import constants as C  # noqa: E402
 from clickpulse.plans.jobs import Conditions, area_job, category_jobs, jdbc_sink, jump_job, parquet_sink  # noqa: E402
-from clickpulse.session import get_spark  # noqa: E402
+from clickpulse.session import CLUSTER_CONF, get_spark  # noqa: E402
 
 
 def _table(spark, name_or_path: str):
@@ -72,6 +72,11 @@ def build_parser() -> argparse.ArgumentParser:
     ap.add_argument("--topic", default="ads_log")
     ap.add_argument("--lines-dir", help="folder of text files with ad lines (instead of Kafka)")
     ap.add_argument("--state-root", help="shared folder for the app's tables and checkpoints")
+    ap.add_argument("--fanout", choices=["inline", "stream"], default="inline")
+    ap.add_argument("--top-n", type=int, default=C.TOP_ADS)
+    ap.add_argument("--trend-minutes", type=int, default=C.TREND_MINUTES)
+    ap.add_argument("--retain-days", type=int, help="stream fan-out: drop running counts of older days")
+    ap.add_argument("--cluster", action="store_true", help="apply session.CLUSTER_CONF")
     ap.add_argument("--threshold", type=int, default=C.BLOCK_THRESHOLD)
     ap.add_argument("--state-partitions", type=int, help="state partitions of the streaming aggregations")
     ap.add_argument("--trigger", default="3 seconds")
@@ -80,14 +85,17 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = build_parser().parse_args(argv)
-    spark = get_spark(app=f"clickpulse-{args.job}")
+    parser = build_parser()
+    args = parser.parse_args(argv)
+    if args.job == "ads-app" and not args.state_root:
+        parser.error("ads-app needs --state-root")
+    spark = get_spark(app=f"clickpulse-{args.job}", conf=CLUSTER_CONF if args.cluster else None)
     if args.job == "ads-app":
         from clickpulse.streaming.app import AdsApp
         from clickpulse.streaming.feed import kafka_line_stream, text_line_stream
 
-        root = args.state_root or os.path.join(spark.conf.get("spark.checkpoint.dir"), "clickpulse-ads-app")
-        app = AdsApp(spark, root, args.threshold, state_partitions=args.state_partitions)
+        app = AdsApp(spark, args.state_root, args.threshold, args.top_n, args.trend_minutes, retain_days=args.retain_days,
+                     state_partitions=args.state_partitions, fanout=args.fanout)
         lines = (text_line_stream(spark, args.lines_dir) if args.lines_dir
                  else kafka_line_stream(spark, args.kafka_servers, args.topic))
         trigger = None if args.available_now else args.trigger

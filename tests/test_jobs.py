@@ -110,3 +110,12 @@ def test_ads_app_inline_replay_is_idempotent(spark, tmp_root):
                         sorted(map(tuple, app.trend.trend.read().collect()))))
     assert results[0] == results[1]
     assert results[0][1] == [("2020-08-27", "A", '[{"1":4},{"2":1}]')]
+
+
+def test_command_line_of_the_app():
+    from clickpulse.plans import cli
+
+    with pytest.raises(SystemExit):
+        cli.main(["ads-app"])  # no state root
+    args = cli.build_parser().parse_args(["ads-app", "--state-root", "s", "--top-n", "5", "--trend-minutes", "30", "--fanout", "stream", "--retain-days", "9"])
+    assert (args.top_n, args.trend_minutes, args.fanout, args.retain_days, args.cluster) == (5, 30, "stream", 9, False)
