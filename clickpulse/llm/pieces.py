@@ -24,7 +24,7 @@ from clickpulse.llm.common import small_arrow_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 300_000  # words, and pairs, a worker remembers
+CACHE = 300_000  # words of one generation, and pairs, a worker remembers
 
 
 @dataclass
@@ -36,9 +36,10 @@ class Vocabulary:
     bytes_: list[int]
     texts: list[bytes | None]  # what an id stands for; None: control
     runs: list[str]
-    tails: dict[str, list[int]]  # last two characters of a piece -> lengths of pieces that end so, longest first
+    tails: dict[str, list[int]]  # last three characters (two: of the two alone) -> lengths of pieces that end so, longest first
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     words: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)  # the generation of words before
 
 
 def read_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
@@ -64,7 +65,9 @@ def read_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
     tails: dict[str, set[int]] = {}
     for piece in scores:
         if len(piece) > 1:
-            tails.setdefault(piece[-2:], set()).add(len(piece))
+            tails.setdefault(piece[-3:], set()).add(len(piece))
+    for end in [k for k in tails if len(k) == 3 and k[1:] in scores]:
+        tails[end].add(2)
     return Vocabulary(ids, scores, bytes_, texts, sorted(runs, key=len, reverse=True),
                       {k: sorted(x, reverse=True) for k, x in tails.items()})
 
@@ -96,7 +99,7 @@ def forward(word: str, v: Vocabulary, states: list, start: int) -> None:
     del states[start + 1:]
     scores, tails, known = v.scores, v.tails, v.pairs
     for end in range(start + 1, len(word) + 1):
-        for size in tails.get(word[end - 2:end], ()) if end > 1 else ():
+        for size in (end > 2 and tails.get(word[end - 3:end])) or (end > 1 and tails.get(word[end - 2:end])) or ():
             if size > end:
                 continue
             piece = word[end - size:end]
@@ -176,16 +179,12 @@ _SPACED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 def encode_batch(texts: list[str | None], v: Vocabulary) -> pa.ListArray:
     cut = [marked_words(t, v) for t in texts]
     distinct = set().union(*cut)
-    missing = [w for w in distinct if w not in v.words]
-    fresh = encode_words(missing, v)
-    if len(v.words) + len(fresh) > CACHE:
-        known = {w: v.words[w] for w in distinct if w in v.words}
-        v.words.clear()
-    else:
-        known = v.words
-    known.update(fresh)
+    young, older = v.words, v.older
+    missing = [w for w in distinct if w not in young]
+    added = {w: older[w] for w in missing if w in older}
+    added.update(encode_words([w for w in missing if w not in added], v))
     at = {w: i for i, w in enumerate(distinct)}
-    found = [known[w] for w in at]
+    found = [young[w] if w in young else added[w] for w in at]
     sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
     flat = np.frombuffer(b"".join(found), np.int32)
     begins = np.cumsum(sizes) - sizes
@@ -197,8 +196,11 @@ def encode_batch(texts: list[str | None], v: Vocabulary) -> pa.ListArray:
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(w) for w in cut])]).astype(np.int64)]
     values = pa.array(flat[pick], pa.int32())
     offsets = pa.array([None if t is None else int(b) for t, b in zip([*texts, ""], bounds)], pa.int32())
-    if known is not v.words:
-        v.words.update(fresh)
+    # Two generations: a full one becomes the older, from which words in use come back without a new pass.
+    if len(young) + len(added) > CACHE:
+        v.words, v.older = added, young
+    else:
+        young.update(added)
     return pa.ListArray.from_arrays(offsets, values)
 
 
