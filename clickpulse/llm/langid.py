@@ -1,6 +1,6 @@
 """Language identification: word-first backoff to shorter and shorter character n-grams.
 
-Words the model knows score by their log frequency per language. An unknown word is scored by its
+Words the model knows score by their log frequency per language, against a word it lacks. An unknown word is scored by its
 longest known character n-grams (boundary marks included), falling back to shorter ones.
 """
 
@@ -14,32 +14,45 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import small_arrow_batches, uniform
 
-# The classifier is fitted on a sample of labelled documents and keeps the most frequent units.
+# The classifier is fitted on a sample of labelled documents and keeps every unit and every label of it.
 SAMPLE_DOCS = 2000  # expected per language
-MAX_WORDS = 120_000
-MAX_GRAMS = 60_000
-MAX_LANGS = 1000  # the most frequent labels
 ORDER = 5
 SMOOTH = 0.5
-CACHE = 200_000  # unknown words a worker remembers
+LEAST_MASS = 1000  # added to each language's count, so that a few words do not weigh like a language
+CACHE = 200_000  # unknown words a worker remembers (fewer with more than 8 languages)
 
 _WORD = regex.compile(r"\p{L}+")
 
 
 @dataclass
 class Model:
-    """langs in code point order; words and grams map a unit to its row in ``rows`` (unit x language)."""
+    """langs in code point order; words and grams map a unit to its number.
+
+    Unit i occurs in the languages ``where[starts[i]:starts[i + 1]]`` and adds ``gain`` of the same
+    places to their scores; it adds nothing to the others.
+    """
 
     langs: list[str]
     words: dict[str, int]
     grams: dict[str, int]
-    rows: np.ndarray
+    starts: np.ndarray
+    where: np.ndarray
+    gain: np.ndarray
+
+    def total(self, units: list[int]) -> np.ndarray:
+        """Sum of the gains of ``units`` per language."""
+        at = np.array(units, np.int64)
+        first, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = size.cumsum()
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+        return np.bincount(self.where[places], self.gain[places], len(self.langs)).astype(float)  # without units: integers
 
 
 def held_out(doc_id) -> F.Column:
@@ -72,50 +85,45 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.array(list(seen.values()), pa.int64())], names=["lang", "unit", "n"])
 
 
-def _frequent(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
-    top = counts.orderBy(F.desc("n"), "unit", "lang").limit(most).toArrow()
-    return list(zip(*[top.column(c).to_pylist() for c in ("lang", "unit", "n")]))
+def _numbered(counts: pa.Table, langs: list[str], by_size: bool) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """counts (lang, unit, n) -> units, and their starts, where and gain as in Model.
+
+    A gain is log((n + SMOOTH) / SMOOTH), with n scaled as if each language had as many units (of one
+    length, if ``by_size``) as the largest one: a unit that a language lacks then counts the same for all.
+    """
+    coded = counts.column("unit").combine_chunks().dictionary_encode()
+    units, unit = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    lang = pc.index_in(counts.column("lang").combine_chunks(), pa.array(langs, pa.string())).to_numpy().astype(np.int32)
+    n = counts.column("n").to_numpy().astype(float)
+    kind = (np.array([len(u) for u in units], np.int64) if by_size else np.zeros(len(units), np.int64))[unit]
+    mass = np.bincount(kind * len(langs) + lang, n, (ORDER + 1) * len(langs)).reshape(ORDER + 1, len(langs)) + LEAST_MASS
+    gain = np.log1p(n * (mass.max(axis=1, keepdims=True) / mass)[kind, lang] / SMOOTH)
+    order = np.argsort(unit, kind="stable")
+    return units, np.concatenate([[0], np.bincount(unit, minlength=len(units)).cumsum()]), lang[order], gain[order]
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """labelled (doc_id, text, lang), null-free -> Model. Bounded by the parameters at every corpus size.
+def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+    """labelled (doc_id, text, lang), null-free -> Model.
 
     Each language gives about ``sample_docs`` documents, chosen by a hash of the id (all, if it has
-    fewer), at most MAX_LANGS of them; the driver holds at most ``max_words`` + ``max_grams`` counted units.
+    fewer). The model holds every label, word and n-gram of the sample, so it grows with the number
+    of languages, not with the corpus.
     """
     small_arrow_batches(labelled.sparkSession)
-    rates = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    rates = rates.select(F.col("lang").alias("_lang"), (F.lit(float(sample_docs)) / F.col("n")).alias("rate"))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).toArrow()
+    langs = sorted(sizes.column("lang").to_pylist())
+    if not langs:
+        return Model([], {}, {}, np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0))
+    rates = labelled.sparkSession.createDataFrame(sizes).select(F.col("lang").alias("_lang"), (F.lit(float(sample_docs)) / F.col("n")).alias("rate"))
     sample = labelled.join(F.broadcast(rates), F.col("lang") == F.col("_lang")).where(uniform(5, F.col("doc_id")) < F.col("rate"))
     unit = "lang string, unit string, n long"
     words = sample.select("lang", "text").mapInArrow(_count_words, unit).groupBy("lang", "unit").agg(F.sum("n").alias("n")).persist()
-    top_words = _frequent(words, max_words)
+    word, word_starts, *word_rows = _numbered(words.toArrow(), langs, False)
     grams = words.mapInArrow(_count_grams, unit).groupBy("lang", "unit").agg(F.sum("n").alias("n"))
-    top_grams = _frequent(grams, max_grams)
+    gram, gram_starts, *gram_rows = _numbered(grams.toArrow(), langs, True)
     words.unpersist()
-    langs = sorted({lang for lang, _, _ in top_words})
-    at = {lang: i for i, lang in enumerate(langs)}
-
-    def table(found, start):
-        index: dict[str, int] = {}
-        for _, unit, _ in found:
-            index.setdefault(unit, start + len(index))
-        counts = np.zeros((len(index), len(langs)))
-        for lang, unit, n in found:
-            if lang in at:
-                counts[index[unit] - start, at[lang]] += n
-        return index, counts
-
-    word_at, word_n = table(top_words, 0)
-    gram_at, gram_n = table(top_grams, len(word_at))
-    parts = [np.log((word_n + SMOOTH) / (word_n.sum(axis=0) + SMOOTH * max(1, len(word_n))))]
-    size = np.array([len(g) for g in gram_at], dtype=int)
-    logs = np.zeros_like(gram_n)
-    for n in range(1, ORDER + 1):
-        own = size == n
-        if own.any():
-            logs[own] = np.log((gram_n[own] + SMOOTH) / (gram_n[own].sum(axis=0) + SMOOTH * own.sum()))
-    return Model(langs, word_at, gram_at, np.concatenate([*parts, logs]) if langs else np.zeros((0, 0)))
+    return Model(langs, {u: i for i, u in enumerate(word)}, {u: i for i, u in enumerate(gram, len(word))},
+                 np.concatenate([word_starts, gram_starts[1:] + word_starts[-1]]), *map(np.concatenate, zip(word_rows, gram_rows)))
 
 
 def unseen(word: str, model: Model) -> np.ndarray:
@@ -123,7 +131,7 @@ def unseen(word: str, model: Model) -> np.ndarray:
     for n in range(min(ORDER, len(word) + 2), 0, -1):
         known = [model.grams[g] for g in grams_of(word, n) if g in model.grams]
         if known:
-            return model.rows[known].sum(axis=0) / n
+            return model.total(known) / n
     return np.zeros(len(model.langs))
 
 
@@ -132,17 +140,16 @@ def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -
     words = _WORD.findall(text.lower()) if text else []
     if not words or not model.langs:
         return "und", 0.0
-    at, rest, total = [], [], np.zeros(len(model.langs))
+    at, rest = [], []
     find = model.words.get
     for w in words:
         i = find(w)
         (rest.append(w) if i is None else at.append(i))
-    if at:
-        total += model.rows[at].sum(axis=0)
+    total = model.total(at)
     for w in rest:
         v = cache.get(w)
         if v is None:
-            if len(cache) >= CACHE:
+            if len(cache) >= CACHE * 8 // max(8, len(model.langs)):
                 cache.clear()
             v = cache[w] = unseen(w, model)
         total += v

@@ -182,6 +182,17 @@ def test_language_backs_off(docs):
     assert np.abs(langid.unseen("語", model)).sum() == 0
 
 
+def test_language_keeps_rare_languages(spark):
+    """Three texts of one language beside 140,000 words of another, and more labels than 1,000."""
+    big = [(i, " ".join(f"w{i:03d}{j:03d}".translate(str.maketrans("0123456789", "abcdefghij")) for j in range(700)), "en") for i in range(200)]
+    rare = [(1000 + i, t, "ka") for i, t in enumerate(["თბილისი დიდი ქალაქია", "მდინარე მიედინება ნელა", "წიგნი მაგიდაზე დევს"])]
+    few = [(2000 + i, chr(0x4E00 + i) * 2, f"x{i:04d}") for i in range(1100)]
+    model = langid.train(spark.createDataFrame(big + rare + few, "doc_id long, text string, lang string"))
+    assert len(model.langs) == 1102 and len(model.words) > 140_000
+    for _, text, lang in (*big[::40], *rare, *few[::100], (0, "ქალაქია მდინარე", "ka"), (0, "ქალაქში", "ka"), (0, "waaabbb", "en")):
+        assert langid.predict_text(text, model, {})[0] == lang
+
+
 def test_token_counts(spark, rows, messy, empty):
     import tiktoken
 
