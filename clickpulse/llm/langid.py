@@ -136,7 +136,11 @@ def unseen(word: str, model: Model) -> np.ndarray:
 
 
 def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-    """(language, posterior); ('und', 0.0) for null, a text without letters, or a model without languages."""
+    """(language, posterior), or ('und', 0.0) without enough evidence for one language.
+
+    That is: null, a text without letters, a model without languages; more than half of the letters
+    in words without any known word or n-gram; or two languages with the same best score.
+    """
     words = _WORD.findall(text.lower()) if text else []
     if not words or not model.langs:
         return "und", 0.0
@@ -145,7 +149,7 @@ def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -
     for w in words:
         i = find(w)
         (rest.append(w) if i is None else at.append(i))
-    total = model.total(at)
+    total, blind = model.total(at), 0
     for w in rest:
         v = cache.get(w)
         if v is None:
@@ -153,7 +157,11 @@ def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -
                 cache.clear()
             v = cache[w] = unseen(w, model)
         total += v
+        if not v.any():
+            blind += len(w)
     best = int(total.argmax())
+    if 2 * blind > sum(map(len, words)) or (total == total[best]).sum() > 1 or total[best] <= 0:
+        return "und", 0.0
     return model.langs[best], float(1 / np.exp((total - total[best]) / math.sqrt(len(words))).sum())
 
 
@@ -187,10 +195,13 @@ def language_report(docs: DataFrame) -> DataFrame:
 def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose whole text has a language (score ``least`` or more); a null lang takes the predicted one.
 
-    Other columns and repeated rows stay as they are.
+    A text has a language if predict_text finds one, labelled or not. If no row can train a model, it
+    has one if it has letters, and lang stays as it is. Other columns and repeated rows stay as they are.
     """
     spark = docs.sparkSession
     model = train(labelled_rows(docs))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     small_arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 

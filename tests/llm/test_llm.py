@@ -193,6 +193,26 @@ def test_language_keeps_rare_languages(spark):
         assert langid.predict_text(text, model, {})[0] == lang
 
 
+def test_language_stage_needs_evidence(spark, docs):
+    """Planted rows in a script that the model never saw go, mixed ones by their letters; short clean ones stay."""
+    text = docs.where("lang is not null and text is not null").orderBy("doc_id").first().text
+    word = max(re.findall(r"[^\W\d_]+", text), key=len)
+    planted = [(10**6 + i, t, lang) for i, (t, lang) in enumerate([
+        ("გამარჯობა მსოფლიო", None), ("გამარჯობა მსოფლიო", "en"), (f"გამარჯობა მსოფლიო როგორ ხარ დღეს {word[:4]}", None), ("我喜欢这个很长的句子 a", None),
+        (word, None), (f"{word}x", None), (f"{text} გამარჯობა", None)])]
+    own = docs.where("lang is null or lang <> 'ka'").select("doc_id", "text", "lang")
+    rows = spark.createDataFrame([(i, t, lang) for i, t, lang in planted if lang is None], own.schema)
+    held = spark.createDataFrame([(i, t, lang) for i, t, lang in planted if lang is not None], own.schema)
+    held = held.withColumn("doc_id", F.lit(next(i for i in range(10**6, 10**6 + 99) if spark.range(1).where(langid.held_out(F.lit(i).cast("long"))).count())))
+    got = {r.text: r.lang for r in langid.known_language(own.union(rows).union(held)).collect()}
+    gone = {t for _, t, _ in planted[:4]}
+    assert gone.isdisjoint(got) and all(got[t] for _, t, _ in planted[4:])
+    # Without any label the stage keeps what has letters.
+    bare = own.withColumn("lang", F.lit(None).cast("string")).union(rows)
+    kept = langid.known_language(bare).collect()
+    assert {t for _, t, lang in planted if lang is None} <= {r.text for r in kept} and all(r.lang is None and re.search(r"[^\W\d_]", r.text) for r in kept)
+
+
 def test_token_counts(spark, rows, messy, empty):
     import tiktoken
 
