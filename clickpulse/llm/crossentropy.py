@@ -1,7 +1,8 @@
 """Cross-entropy difference scoring with matched target and background character models.
 
 Both models are trigram models over code points with one shared vocabulary, counted over whole
-texts: the target on documents of labelled quality, the background on as much text from all others.
+texts: the target on documents of labelled quality, the background on all others, its counts scaled
+down to the mass of the target (or, on request, on a sample of that size).
 A document's score is its mean loss per character under the target less that under the background;
 lower is more like the target.
 
@@ -94,22 +95,23 @@ def _score(key, docs: pa.Table, losses: pa.Table) -> pa.Table:
                      "score": pa.array(mean[0] - mean[1], pa.float64(), mask=empty)})
 
 
-def losses(counts: DataFrame, prior: float = PRIOR) -> DataFrame:
-    """counts (gram, t, b) over the corpus -> gram, loss_t, loss_b in bits.
+def losses(counts: DataFrame, prior: float = PRIOR, scale: float = 1.0) -> DataFrame:
+    """counts (gram, t, b) over the corpus -> gram, loss_t, loss_b in bits; every b counts ``scale`` times.
 
     Each order is smoothed with the next shorter one: (n + prior * shorter) / (n of context + prior);
     single characters with 1 / (vocabulary + 1) added once each, the vocabulary being all characters
     of the corpus.
     """
     total = [F.sum("t").alias("t"), F.sum("b").alias("b")]
+    part = {"t": F.lit(1.0), "b": F.lit(float(scale))}
     low1, low2 = F.lit(LOW1), F.lit(LOW2)
     two = counts.groupBy(F.col("gram").bitwiseAND(low2).alias("two")).agg(*total)
     two = written(two, "bigrams")
     one = two.groupBy(F.col("two").bitwiseAND(low1).alias("one")).agg(*total)
     n_t, n_b, size = one.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0)), F.count("*")).first()
-    one = one.select("one", *[((F.col(c) + 1) / F.lit(float(n + size + 1))).alias(f"p_{c}") for c, n in (("t", n_t), ("b", n_b))])
+    one = one.select("one", *[((F.col(c) * part[c] + 1) / F.lit(float(n + size + 1))).alias(f"p_{c}") for c, n in (("t", n_t), ("b", n_b * scale))])
     before1 = two.groupBy(F.shiftright("two", BITS).alias("ctx")).agg(F.sum("t").alias("c_t"), F.sum("b").alias("c_b"))
-    smooth = lambda c: ((F.col(c) + F.lit(prior) * F.col(f"p_{c}")) / (F.col(f"c_{c}") + F.lit(prior)))
+    smooth = lambda c: ((F.col(c) * part[c] + F.lit(prior) * F.col(f"p_{c}")) / (F.col(f"c_{c}") * part[c] + F.lit(prior)))
     two_p = two.withColumn("one", F.col("two").bitwiseAND(low1)).join(one, "one").join(before1, F.shiftright("two", BITS) == F.col("ctx"))
     two_p = two_p.select("two", smooth("t").alias("p_t"), smooth("b").alias("p_b"))
     before2 = counts.groupBy(F.shiftright("gram", BITS).alias("ctx")).agg(F.sum("t").alias("c_t"), F.sum("b").alias("c_b"))
@@ -117,30 +119,33 @@ def losses(counts: DataFrame, prior: float = PRIOR) -> DataFrame:
     return three.select("gram", (-F.log2(smooth("t"))).alias("loss_t"), (-F.log2(smooth("b"))).alias("loss_b"))
 
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame, whole_background: bool = False) -> DataFrame:
     """docs (doc_id, text), targets (doc_id) -> doc_id, n_tokens, target_loss, background_loss, score; one row per row.
 
     Losses are mean bits per character; null or empty texts have 0 tokens and null losses. Without
     targets the target model is uniform over the vocabulary; an empty table gives no rows.
+
+    The models are matched in mass. With ``whole_background`` all other documents are counted and the
+    counts scaled down; else a sample of them is counted, drawn by the id (without one, by the text).
     """
     small_arrow_batches(docs.sparkSession)
     wanted = written(targets.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
     sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
     sizes = sizes.join(wanted.withColumn("hit", F.lit(True)), "doc_id", "left")
     in_target, others = sizes.agg(F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)), F.coalesce(F.sum(F.when(F.col("hit").isNull(), F.col("n"))), F.lit(0))).first()
-    # Matched models: as much background text as target text, chosen by a hash of the id.
     rate = 1.0 if not in_target else min(1.0, in_target / max(1, others))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", block_of(F.col("doc_id"), F.col("text")).alias("block"))
-    flagged = rows.withColumn("background", uniform(23, F.col("doc_id")) < F.lit(rate))
+    drawn = uniform(23, F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))) < F.lit(rate)
+    flagged = rows.withColumn("background", F.lit(True) if whole_background else drawn)
     chosen = wanted.withColumn("block", block_of(F.col("doc_id"), F.lit("")))
     grams = flagged.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(_count, "block long, gram long, t long, b long")
     grams = written(grams, "block-trigrams")
     counts = written(grams.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "trigrams")
-    needed = grams.select("block", "gram").join(losses(counts).hint("merge"), "gram")
+    needed = grams.select("block", "gram").join(losses(counts, scale=rate if whole_background else 1.0).hint("merge"), "gram")
     return rows.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
         _score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def lm_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Target: documents labelled of quality; score every document."""
-    return cross_entropy_difference(docs, labels.where("quality = 1").select("doc_id"))
+    """Target: documents labelled of quality, background: all others; score every document."""
+    return cross_entropy_difference(docs, labels.where("quality = 1").select("doc_id"), whole_background=True)

@@ -326,6 +326,36 @@ def test_cross_entropy(spark, rows, messy, empty):
     assert crossentropy.lm_report(empty, labels).count() == 0
 
 
+def test_cross_entropy_counts_the_whole_background(spark, rows):
+    """Labels that stay few: the background is all other documents, rows without id too, at the target's mass."""
+    data = [(None if n % 5 == 4 else r.doc_id, r.text) for n, r in enumerate(rows[:40])]
+    wanted = {i for i, _ in data[:4]}
+    labels = spark.createDataFrame([(i, 1) for i in wanted], "doc_id long, quality int")
+    got = {(r.doc_id, r.n_tokens): r for r in crossentropy.lm_report(spark.createDataFrame(data, "doc_id long, text string"), labels).collect()}
+    other = [t for i, t in data if i not in wanted]
+    scale = min(1.0, sum(len(t) for i, t in data if i in wanted) / sum(map(len, other)))
+    assert scale < 0.5
+    vocab = {c for _, t in data for c in t}
+    c1, c2, c3, x1, x2 = (Counter() for _ in range(5))
+    for t in other:
+        s = "\0\0" + t
+        for j in range(len(t)):
+            for c, g in ((c3, s[j:j + 3]), (c2, s[j + 1:j + 3]), (c1, s[j + 2]), (x2, s[j:j + 2]), (x1, s[j + 1])):
+                c[g] += scale
+    k, n = crossentropy.PRIOR, sum(c1.values())
+
+    def loss(g):
+        p = (c1[g[2]] + 1) / (n + len(vocab) + 1)
+        p = (c2[g[1:]] + k * p) / (x1[g[1]] + k)
+        return -math.log2((c3[g] + k * p) / (x2[g[:2]] + k))
+
+    for i, t in data:
+        s = "\0\0" + t
+        r = got[i, len(t)]
+        assert r.background_loss == pytest.approx(sum(loss(s[j:j + 3]) for j in range(len(t))) / len(t), abs=1e-9)
+        assert r.score == pytest.approx(r.target_loss - r.background_loss, abs=1e-9)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (7, 7), (None, 3), (200, 201), (201, 200)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(chain, "u long, v long")).collect()))
