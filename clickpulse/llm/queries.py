@@ -16,6 +16,7 @@ from clickpulse.llm.mixing import mix_report
 from clickpulse.llm.pieces import piece_report
 from clickpulse.llm.pivots import search_report
 from clickpulse.llm.quotes import reply_ordered
+from clickpulse.llm.simhash import simhash_report
 from clickpulse.llm.tokencounts import token_report
 from clickpulse.llm.urlfilter import url_report
 
@@ -60,6 +61,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(read_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -72,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lz_fingerprint": op8_lz_fingerprint,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_minhash": op10_minhash,
+        "op11_simhash": op11_simhash,
     }
 
 
