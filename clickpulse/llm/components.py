@@ -15,13 +15,13 @@ def _oriented(edges: DataFrame) -> DataFrame:
 def large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour (itself included)."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
     return _oriented(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them (edges hold u > v)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _oriented(moved.union(least.select("u", F.col("m").alias("v"))))
 
@@ -30,7 +30,8 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
     """``edges`` (u long, v long) -> (node, component): the smallest node reachable, for every node of an edge.
 
     Each round is two aggregations and two joins on the node; minima are combined before the
-    shuffle, so a hub costs one row per task there. The edges of a round are written once, and
+    shuffle, so a hub costs one row per task there, and they are written, so that both sides of the
+    join are plain tables and Spark can split a hub's rows. The edges of a round are written once, and
     two scalars (count, sum of hashes) tell the driver when nothing changed. Loops, repeated and
     null edges are ignored; no edges give no rows.
     """
