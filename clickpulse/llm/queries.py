@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.llm import sql
+from clickpulse.llm.alignment import alignment_report
 from clickpulse.llm.common import read_table
 from clickpulse.llm.crossentropy import lm_report
 from clickpulse.llm.langid import language_report
@@ -65,6 +66,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lm_scoring": op9_lm_scoring,
         "op10_minhash": op10_minhash,
         "op11_simhash": op11_simhash,
+        "op13_alignment": op13_alignment,
     }
 
 
