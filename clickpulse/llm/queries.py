@@ -11,6 +11,7 @@ from clickpulse.llm.alignment import alignment_report
 from clickpulse.llm.common import read_table
 from clickpulse.llm.crossentropy import lm_report
 from clickpulse.llm.langid import language_report
+from clickpulse.llm.lexical import search_items
 from clickpulse.llm.lzprint import fingerprint_report
 from clickpulse.llm.minhash import near_duplicate_report
 from clickpulse.llm.mixing import mix_report
@@ -66,6 +67,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(read_table(spark, sf_dir, "documents"))
 
@@ -83,9 +88,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lm_scoring": op9_lm_scoring,
         "op10_minhash": op10_minhash,
         "op11_simhash": op11_simhash,
+        "op12_lexical_search": op12_lexical_search,
         "op13_alignment": op13_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": sql.OP1, "op2_top_k": sql.OP2, "op3_url_filter": sql.OP3, "op10_minhash": sql.OP10}
+    return {"op1_mixing": sql.OP1, "op2_top_k": sql.OP2, "op3_url_filter": sql.OP3, "op10_minhash": sql.OP10, "op12_lexical_search": sql.OP12}

@@ -64,3 +64,20 @@ SELECT page_id, host, path, rule, CASE
   WHEN regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
+
+# Terms of the lexical search's contract.
+_TERMS = r"regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+z AS (SELECT count(*)::BIGINT AS docs, sum(len(ts))::BIGINT AS length FROM d WHERE len(ts) > 0),
+t AS (SELECT doc_id, len(ts)::BIGINT AS n, unnest(ts) AS term FROM d),
+p AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM t GROUP BY ALL),
+f AS (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, z),
+i AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // length))))::BIGINT AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), z GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
