@@ -1,14 +1,12 @@
 """Page-to-page jump conversion along a target page flow (job Q3).
 
 ``session_next_page`` is the hard part at scale: pages must be paired in session order, and one
-session (or the null session) may hold a large share of all rows. All rows take one path:
-
-1. ``repartitionByRange`` on the full sort key (session, time, tie-break) cuts the rows into
-   balanced *slices*, runs of the global order; a hot session spans several. The slices are
-   written once under the shared scratch folder, so both steps below read the same cuts.
-2. ``lead`` within (slice, session): a group is at most one slice.
-3. The last row of a slice takes the first row of the next slice if that has the same session
-   (null-safe). One row per slice, at most the number of range partitions, is broadcast.
+session (or the null session) may hold a large share of all rows.
+
+1. ``slices.session_cuts`` sketches where long sessions must be cut (one pass, a few numbers).
+2. ``lead`` within (session, slice): a group is about one slice at most. One shuffle.
+3. The last row of a slice takes the first page of the session's next slice. First pages are found
+   in a second pass over the rows of cut sessions; there are about as many as slices, so they are broadcast.
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.functions.idlists import adjacent_pairs
-from clickpulse.operators.joins import written_once
+from clickpulse.operators.slices import SLICE, session_cuts, with_slices
 
 
 def _flow(flow: str | list) -> list[str]:
@@ -38,22 +36,22 @@ def session_next_page(visits: DataFrame, slices: int | None = None) -> DataFrame
     Order inside a session is (action_time, event_id); without ``event_id`` the remaining columns
     break ties, so rows equal in all of them are interchangeable. Rows without a session are one
     session. Returns ``session_id, page_id, action_time``, ``event_id`` if there is one, ``next_page``.
-    ``slices`` defaults to the shuffle partitions.
+    ``slices`` (default: the shuffle partitions) is the number of parts into which all rows would be
+    cut; rows of one session and second stay together. Building the result runs one small job, the
+    sketch, and writes nothing.
     """
     ties = tie_break(visits)
-    order = ["session_id", "action_time", *ties]
     keyed = visits.select(*dict.fromkeys(["session_id", "page_id", "action_time", *ties]))
-    ranged = keyed.repartitionByRange(slices, *order) if slices else keyed.repartitionByRange(*order)
-    cut = written_once(ranged.withColumn("_slice", F.spark_partition_id()), "visit-slices")
-    bounds = cut.groupBy("_slice").agg(
-        F.min(F.struct(*order, F.col("page_id").alias("_page"))).alias("first"), F.max(F.struct(*order)).alias("last"))
-    following = F.lead("first").over(Window.orderBy("_slice"))  # one row per slice
-    links = bounds.select("_slice", F.col("last.session_id").alias("_session"), following.alias("nxt")).where(
-        F.col("nxt.session_id").eqNullSafe(F.col("_session"))).select("_slice", "_session", F.col("nxt._page").alias("_link"))
-    w = Window.partitionBy("_slice", "session_id").orderBy("action_time", *ties)
-    local = cut.select("*", F.lead("page_id").over(w).alias("next_page"), F.lead(F.lit(1)).over(w).isNull().alias("_tail"))
-    links = links.withColumnRenamed("_slice", "_of")
-    joined = local.join(F.broadcast(links), (F.col("_slice") == F.col("_of")) & F.col("session_id").eqNullSafe(F.col("_session")), "left")
+    n = slices or int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = session_cuts(visits, "session_id", "action_time", n)
+    w = Window.partitionBy("session_id", SLICE).orderBy("action_time", *ties)
+    local = with_slices(keyed, "session_id", "action_time", cuts).select(
+        "*", F.lead("page_id").over(w).alias("next_page"), F.lead(F.lit(1)).over(w).isNull().alias("_tail"))
+    first = F.min(F.struct("action_time", *ties, F.col("page_id").alias("_page")))
+    heads = with_slices(keyed, "session_id", "action_time", cuts, only_cut=True).groupBy("session_id", SLICE).agg(first.alias("_first"))
+    following = F.lead("_first._page").over(Window.partitionBy("session_id").orderBy(SLICE))
+    links = heads.select(F.col("session_id").alias("_of"), F.col(SLICE).alias("_at"), following.alias("_link"))
+    joined = local.join(F.broadcast(links), F.col("session_id").eqNullSafe(F.col("_of")) & (F.col(SLICE) == F.col("_at")), "left")
     kept = [c for c in ("session_id", "page_id", "action_time", "event_id") if c in keyed.columns]
     return joined.select(*kept, F.when(F.col("_tail"), F.col("_link")).otherwise(F.col("next_page")).alias("next_page"))
 

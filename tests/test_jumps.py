@@ -1,9 +1,15 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
 
 from clickpulse.operators import jumps as J
+from clickpulse.operators.slices import SLICE, not_after, session_cuts, with_slices
 from clickpulse.schemas import USER_VISIT_ACTION
+from clickpulse.session import ensure_checkpoint_dir
 from tests.conftest import visit_row
 
 
@@ -63,13 +69,48 @@ def test_hot_session_split_across_slices_matches_brute_force(spark):
 
 
 def test_hot_session_really_spans_many_slices(spark):
-    rows = [visit_row(i, 1, "hot", 1 + i % 3, i % 50) for i in range(400)]
+    """A session with nearly all rows is cut into even slices; sessions beside it keep one."""
+    rows = [visit_row(i, 1, "hot", 1 + i % 3, i % 60, day=f"2019-11-{10 + i % 15}") for i in range(900)]
+    rows += [visit_row(1000 + i, 1, f"s{i}", 1, i % 60) for i in range(40)]
     visits = spark.createDataFrame(rows, USER_VISIT_ACTION)
-    from pyspark.sql import functions as F
-
-    ranged = visits.repartitionByRange(8, "session_id", "action_time", "event_id")
-    sizes = [r.c for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
-    assert len(sizes) >= 6 and max(sizes) < 200
+    cuts = session_cuts(visits, "session_id", "action_time", 16)
+    sliced = with_slices(visits, "session_id", "action_time", cuts)
+    sizes = {(r.session_id, r[SLICE]): r["count"] for r in sliced.groupBy("session_id", SLICE).count().collect()}
+    hot = [n for (s, _), n in sizes.items() if s == "hot"]
+    assert len(hot) >= 12 and max(hot) < 180 and sum(hot) == 900
+    assert sum(n for (s, _), n in sizes.items() if s != "hot") == 40
+    mixed = [r[0] for r in sliced.groupBy("session_id").agg((F.count_distinct(SLICE) > 1).alias("m")).where("m").select("session_id").collect()]
+    assert len(mixed) <= 16
+
+
+def test_building_the_plan_writes_nothing(spark, tmp_path):
+    visits = spark.createDataFrame([visit_row(i, 1, "hot", 1 + i % 3, i % 60) for i in range(200)], USER_VISIT_ACTION)
+    scratch = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {str(p) for p in scratch.rglob("*")}
+    out = J.page_jump_ratio(visits, "1,2,3", "t", slices=8)
+    out.explain()
+    assert out.count() == 2 and {str(p) for p in scratch.rglob("*")} == before
+
+
+def test_cuts_of_empty_tables_and_other_time_types(spark):
+    empty = spark.createDataFrame([], USER_VISIT_ACTION)
+    assert session_cuts(empty, "session_id", "action_time", 8) == [] and J.session_next_page(empty, 8).count() == 0
+    rows = [(f"s{i % 2}", i % 5, f"2019-11-26 00:00:{i:02d}", i) for i in range(40)]
+    text = spark.createDataFrame(rows, "session_id string, page_id long, action_time string, event_id long")
+    for kind in ("string", "timestamp", "timestamp_ntz", "date"):
+        visits = text.withColumn("action_time", F.col("action_time").cast(kind))
+        got = {r.event_id: r.next_page for r in J.session_next_page(visits, 8).collect()}
+        assert got == {i: (i + 2) % 5 if i < 38 else None for i in range(40)}, kind
+    nulls = text.withColumn("action_time", F.lit(None).cast("timestamp_ntz"))
+    assert {r.event_id: r.next_page for r in J.session_next_page(nulls, 8).collect()} == got
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 100])
+def test_binary_search_of_cuts(spark, n):
+    cuts = [3 * i for i in range(n)]
+    df = spark.range(-1, 3 * n + 2).withColumn("c", F.array(*[F.lit(x).cast("long") for x in cuts]))
+    for r in df.select("id", not_after(F.col("c"), F.col("id"), n).alias("k")).collect():
+        assert r.k == sum(c <= r.id for c in cuts)
 
 
 def test_null_session_without_exchange_reuse_and_without_event_id(spark):
@@ -77,7 +118,7 @@ def test_null_session_without_exchange_reuse_and_without_event_id(spark):
     rows = [visit_row(i, 1, None if i % 3 else f"s{i % 5}", rnd.randint(1, 4), i % 60) for i in range(300)]
     visits = spark.createDataFrame(rows, USER_VISIT_ACTION)
     want = _brute_next(rows)
-    for key in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"):
+    for key in ("spark.sql.exchange.reuse", "spark.sql.execution.reuseSubquery", "spark.sql.adaptive.enabled"):
         spark.conf.set(key, "false")
         try:
             got = {r.event_id: r.next_page for r in J.session_next_page(visits, 16).collect()}
