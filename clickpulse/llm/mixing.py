@@ -33,17 +33,20 @@ def quality_weights(labels: DataFrame, quality: dict[int, float] = QUALITY) -> D
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: runs of non-white characters in the whole text (null: 0)."""
+    """doc_id, source, size, mark: runs of non-white characters in the whole text (null: 0), a hash of the text."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id"), F.col("source"), size.alias("size"))
+    return docs.select(F.col("doc_id"), F.col("source"), size.alias("size"), F.xxhash64("text").alias("mark"))
 
 
 def keyed(rows: DataFrame, weights: DataFrame, seed: int = SEED) -> DataFrame:
-    """Rows with their exponential key; ``weights`` (doc_id, weight) may miss documents (weight 1)."""
+    """Rows with their exponential key; ``weights`` (doc_id, weight) may miss documents (weight 1).
+
+    A row's draw depends on its doc_id, or, without one, on its text.
+    """
     w = weights.select(F.col("doc_id").alias("_id"), F.col("weight").alias("_weight"))
     out = rows.join(w, rows["doc_id"] == w["_id"], "left")
-    key = -F.log(uniform(seed, F.col("doc_id"))) / F.coalesce("_weight", F.lit(1.0))
-    return out.select(*rows.columns, key.alias("key"))
+    draw = F.when(F.col("doc_id").isNull(), uniform(seed, F.col("doc_id"), F.col("mark"))).otherwise(uniform(seed, F.col("doc_id")))
+    return out.select(*rows.columns, (-F.log(draw) / F.coalesce("_weight", F.lit(1.0))).alias("key"))
 
 
 def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
@@ -71,11 +74,11 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, budget: floa
 def mixture(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> tuple[DataFrame, DataFrame]:
     """rows (doc_id, source, size, key) -> (rows, plan); plan has one row per source.
 
-    plan: source, source_size, target, epochs, last (the greatest (key, doc_id, size) that the
-    fractional selection takes, null if none). A document is taken ``epochs`` times, and once more
-    if it is not beyond ``last``; rows equal in all of these are taken or left together.
+    plan: source, source_size, target, epochs, last (the greatest place() that the fractional
+    selection takes, null if none) and equals (how many of the rows at that place it takes). A document
+    is taken ``epochs`` times, and once more if it comes before ``last`` or is one of ``equals`` there.
     """
-    order = [F.asc_nulls_last("source"), F.asc("key"), F.asc_nulls_last("doc_id"), F.asc("size")]
+    order = [F.asc_nulls_last("source"), F.asc("key"), F.asc_nulls_last("doc_id"), F.asc("mark"), F.asc("size")]
     run = written(running_sums(rows, order, {"upto": F.col("size")}, "mix-order"), "mix-sums")
     per_source = run.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(F.col("upto") - F.col("size")).alias("start"))
     plan = written(targets(per_source.select("source", "source_size"), weights, budget, cap), "mix-targets")
@@ -83,29 +86,43 @@ def mixture(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float =
     full = plan.join(starts, F.col("source").eqNullSafe(F.col("_s"))).select(F.col("source").alias("_s"), "rest", "start")
     near = run.join(full, F.col("source").eqNullSafe(F.col("_s"))).where(
         F.col("upto") - F.col("size") - F.col("start") + F.col("size") / 2 <= F.col("rest")).where("size > 0")
-    last = near.groupBy(F.col("source").alias("_s")).agg(F.max(place()).alias("last"))
-    plan = plan.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_size", "target", "epochs", "last")
+    # The last place first, then how many rows stand there: both combine before the shuffle.
+    last = near.groupBy(F.col("source").alias("_l")).agg(F.max(place()).alias("last"))
+    there = near.join(last, F.col("source").eqNullSafe(F.col("_l"))).where(place() == F.col("last"))
+    equals = there.groupBy(F.col("_l").alias("_s")).agg(F.first("last").alias("last"), F.count("*").alias("equals"))
+    plan = plan.join(equals, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_size", "target", "epochs", "last", "equals")
     return rows, written(plan, "mix-plan")
 
 
 def place():
-    """Where a document stands in its source's order."""
-    return F.struct(F.col("key").alias("key"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("size").alias("size"))
+    """Where a document stands in its source's order; rows equal in all of these are copies of one document."""
+    return F.struct(F.col("key").alias("key"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("mark").alias("mark"), F.col("size").alias("size"))
 
 
 def copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` with source_size, target and ``copies``, how often the mix takes the document (0 up)."""
+    """``rows`` with source_size, target and ``copies``, how often the mix takes the document (0 up).
+
+    Only the rows at a source's last place are numbered: mostly one, but a document may be given very often.
+    """
     p = plan.withColumnRenamed("source", "_s")
     out = rows.join(p, rows["source"].eqNullSafe(p["_s"]))
-    again = F.coalesce((place() <= F.col("last")).cast("long"), F.lit(0))
-    return out.withColumn("copies", F.col("epochs") + again).drop("_s", "epochs", "last")
+    plain = [*rows.columns, "source_size", "target"]
+    at_last = F.coalesce(place() == F.col("last"), F.lit(False))
+    before = out.where(~at_last).select(*plain, (F.col("epochs") + F.coalesce((place() < F.col("last")).cast("long"), F.lit(0))).alias("copies"))
+    tied = out.where(at_last).withColumn("_row", F.monotonically_increasing_id())
+    tied = running_sums(tied, [F.asc_nulls_last("source"), F.col("_row")], {"_nth": F.lit(1)}, "mix-ties")
+    first = tied.groupBy(F.col("source").alias("_f")).agg(F.min("_nth").alias("_first"))
+    tied = tied.join(first, F.col("source").eqNullSafe(F.col("_f")))
+    tied = tied.select(*plain, (F.col("epochs") + (F.col("_nth") - F.col("_first") < F.col("equals")).cast("long")).alias("copies"))
+    return before.unionByName(tied)
 
 
 def mix_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document.
 
     Null text has size 0; a null source is a source of its own, last in order; an empty table gives
-    no rows; documents of size 0 are taken with 0 words.
+    no rows; documents of size 0 are taken with 0 words. Rows without a doc_id are drawn by their
+    text; of repeated rows as many are taken as the target needs.
     """
     rows = written(keyed(sized(docs), quality_weights(labels)), "mix-rows")
     rows, plan = mixture(rows)
@@ -113,15 +130,14 @@ def mix_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The mixed corpus: each document as often as the mix takes it, columns unchanged."""
+    """The mixed corpus: each document as often as the mix takes it, columns unchanged, whatever their names.
+
+    Odd rows are treated as in mix_report. An empty table gives no rows.
+    """
     rows = written(keyed(sized(docs), quality_weights(labels)), "mix-rows")
     _, plan = mixture(rows)
-    w = quality_weights(labels)
-    own = docs.columns
-    kept = {c: f"_doc_{i}" for i, c in enumerate(own)}
     # The decision is a function of a document's own key and its source's row: the texts are not sorted.
-    whole = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in kept.items()], F.col("doc_id"), F.col("source"),
-                        F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"))
-    taken = copies(keyed(whole, w), plan)
-    again = taken.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return again.select(*[F.col(a).alias(c) for c, a in kept.items()])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id"), F.col("source"),
+                        F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("mark"))
+    taken = copies(keyed(whole, quality_weights(labels)), plan)
+    return taken.where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
