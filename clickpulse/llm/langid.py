@@ -26,7 +26,8 @@ SAMPLE_DOCS = 2000  # expected per language
 ORDER = 5
 SMOOTH = 0.5
 LEAST_MASS = 1000  # added to each language's count, so that a few words do not weigh like a language
-CACHE = 200_000  # unknown words a worker remembers (fewer with more than 8 languages)
+CACHE_BYTES = 56 << 20  # of unknown words that a worker remembers, by estimate
+LONGEST = 64  # characters of a word that is remembered
 
 _WORD = regex.compile(r"\p{L}+")
 
@@ -135,15 +136,15 @@ def unseen(word: str, model: Model) -> np.ndarray:
     return np.zeros(len(model.langs))
 
 
-def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-    """(language, posterior), or ('und', 0.0) without enough evidence for one language.
+def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -> tuple[str, float, bool]:
+    """(language, posterior, evidence), or ('und', 0.0, False) for null, a text without letters, or a model without languages.
 
-    That is: null, a text without letters, a model without languages; more than half of the letters
-    in words without any known word or n-gram; or two languages with the same best score.
+    Ties go to the first language in code point order. There is evidence if one language alone has the
+    best score, above zero, and at least half of the letters stand in words with a known word or n-gram.
     """
     words = _WORD.findall(text.lower()) if text else []
     if not words or not model.langs:
-        return "und", 0.0
+        return "und", 0.0, False
     at, rest = [], []
     find = model.words.get
     for w in words:
@@ -153,16 +154,17 @@ def predict_text(text: str | None, model: Model, cache: dict[str, np.ndarray]) -
     for w in rest:
         v = cache.get(w)
         if v is None:
-            if len(cache) >= CACHE * 8 // max(8, len(model.langs)):
-                cache.clear()
-            v = cache[w] = unseen(w, model)
+            v = unseen(w, model)
+            if len(w) <= LONGEST:
+                if len(cache) >= CACHE_BYTES // (260 + 8 * len(model.langs)):
+                    cache.clear()
+                cache[w] = v
         total += v
         if not v.any():
             blind += len(w)
     best = int(total.argmax())
-    if 2 * blind > sum(map(len, words)) or (total == total[best]).sum() > 1 or total[best] <= 0:
-        return "und", 0.0
-    return model.langs[best], float(1 / np.exp((total - total[best]) / math.sqrt(len(words))).sum())
+    sure = 2 * blind <= sum(map(len, words)) and (total == total[best]).sum() == 1 and total[best] > 0
+    return model.langs[best], float(1 / np.exp((total - total[best]) / math.sqrt(len(words))).sum()), bool(sure)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -188,15 +190,22 @@ def labelled_rows(docs: DataFrame) -> DataFrame:
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    """Predict every row of ``documents``; learn from labelled rows that are not held out."""
+    """doc_id, held_out, lang_pred, score for every row of ``documents``; learns from labelled rows that are not held out.
+
+    ``und`` with score 0 stands for a null text, one without letters, and, if no row can train a model,
+    for all; every other text has the best language, however weak. Repeated rows come back as often as
+    they are given; an empty table gives no rows; other columns are not read.
+    """
     return predict(docs.select("doc_id", "text"), train(labelled_rows(docs)))
 
 
 def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose whole text has a language (score ``least`` or more); a null lang takes the predicted one.
 
-    A text has a language if predict_text finds one, labelled or not. If no row can train a model, it
-    has one if it has letters, and lang stays as it is. Other columns and repeated rows stay as they are.
+    A text has a language if predict_text finds evidence for one, labelled or not: texts in a script the
+    model never saw, and ties, go. If no row can train a model, it has one if it has letters, and lang
+    stays as it is. Other columns, whatever their names, and repeated rows stay as they are; an empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     model = train(labelled_rows(docs))
@@ -205,11 +214,13 @@ def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     small_arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, sure boolean")
     def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache: dict[str, np.ndarray] = {}
         for batch in texts:
-            yield pd.DataFrame([predict_text(t, shared.value, cache) for t in batch], columns=["lang", "score"])
+            yield pd.DataFrame([predict_text(t, shared.value, cache) for t in batch], columns=["lang", "score", "sure"])
 
-    rows = docs.withColumn("_guess", guess(F.col("text"))).where((F.col("_guess.lang") != "und") & (F.col("_guess.score") >= least))
-    return rows.withColumn("lang", F.coalesce("lang", "_guess.lang")).select(*[f"`{c}`" for c in docs.columns])
+    # One struct holds the given columns, so no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), guess(F.col("text")).alias("guess"))
+    rows = rows.where(F.col("guess.sure") & (F.col("guess.score") >= least))
+    return rows.select(*[F.coalesce("doc.lang", "guess.lang").alias(c) if c.lower() == "lang" else F.col(f"doc.`{c}`") for c in docs.columns])
