@@ -1,12 +1,12 @@
 """MinHash near-duplicates: hash minima, banding, verification, connected components.
 
 Per document one pass over the whole text gives its set of word shingles (64-bit hashes), the
-minima of many universal hash functions, and band keys. Documents with the same set form a class
-and only the class's smallest id goes on. Documents that share a band key are gathered into
-groups (components of the graph member - smallest member of the bucket). Inside a group, every
-member is first compared with the group's smallest id; members that do not match are compared
-with all others in blocks of bounded size, first by signature, then on the full sets. Blocks emit
-only links that join two parts, never all pairs. Components of the confirmed links are the result.
+minima of many universal hash functions, and band keys. Documents with the same set form a class,
+and only one text of each class goes on. Classes that share a band key are candidates: every
+member of such a bucket is first compared with the bucket's first one, by signature, then on the
+full sets. Members that do not match it are compared with the others of the same bucket, in blocks of
+bounded size and only where the links so far leave them in different components. Blocks emit only
+links that join two parts, never all pairs. Components of the confirmed links are the result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clickpulse.llm.common import small_arrow_batches, written
 from clickpulse.llm.components import connected_components
@@ -83,10 +82,9 @@ def _sketches(k: int, hashes: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, keys, found = [], [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            sizes, keys, found = [], [], []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(2)):
                 s = shingle_hashes(text.as_py(), k)
-                ids.append(i)
                 sizes.append(len(s))
                 if not len(s):
                     keys.append(b"empty" + i.to_bytes(8, "little", signed=True))
@@ -98,8 +96,8 @@ def _sketches(k: int, hashes: int, rows: int):
                 for j in range(rows):
                     acc = _mixed(acc * _MIX[0] + m[:, j])
                 found.append(acc.view(np.int64))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                                   pa.array(found, pa.list_(pa.int64()))], names=["id", "n_shingles", "set_key", "bands"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                                   pa.array(found, pa.list_(pa.int64()))], names=["id", "mark", "n_shingles", "set_key", "bands"])
 
     return run
 
@@ -110,12 +108,11 @@ def _sets(k: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets, signs = [], []
-            for text in batch.column(2):
+            for text in batch.column(1):
                 s = shingle_hashes(text.as_py(), k)
                 sets.append(s.tobytes())
-                signs.append((minima(s, family) & np.uint32(255)).astype(np.uint8).tobytes() if len(s) else b"")
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())],
-                                  names=["grp", "id", "hashes", "sig"])
+                signs.append((minima(s, family) & np.uint32(255)).astype(np.uint8).tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())], names=["node", "hashes", "sig"])
 
     return run
 
@@ -132,7 +129,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _star(percent: int):
-    """Pairs (member, first of its group) -> whether they match."""
+    """Pairs (u, v) with their sets -> whether they match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = percent / 100 - MARGIN
@@ -141,16 +138,17 @@ def _star(percent: int):
             for h, s, fh, fs in zip(*[batch.column(c) for c in ("hashes", "sig", "first_hashes", "first_sig")]):
                 near = (np.frombuffer(s.as_py(), np.uint8) == np.frombuffer(fs.as_py(), np.uint8)).mean() >= floor
                 linked.append(bool(near) and _similar(np.frombuffer(h.as_py(), np.uint64), np.frombuffer(fh.as_py(), np.uint64), percent))
-            yield pa.record_batch([batch.column("grp"), batch.column("id"), pa.array(linked, pa.bool_())], names=["grp", "id", "linked"])
+            yield pa.record_batch([batch.column("u"), batch.column("v"), pa.array(linked, pa.bool_())], names=["u", "v", "linked"])
 
     return run
 
 
 def block_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links that join parts of one block; rows: (id, part, hashes, sig), part 0: already one component, 1 and 2: open.
+    """Links that join components within one block; rows: (node, part, component so far, hashes, sig).
 
-    Open rows are compared with all rows of part 0, or, if there are none, those of part 1 with those
-    of part 2 (or with each other, if the block holds one part). A pair that is joined already is skipped.
+    Part 0 is the component of the bucket's first member; parts 1 and 2 are open. Open rows are compared
+    with all rows of part 0, or, if there are none, those of part 1 with those of part 2 (or with each
+    other, if the block holds one part). A pair that is joined already is skipped.
     """
     floor = percent / 100 - MARGIN
     parts = {p: [r for r in rows if r[1] == p] for p in (0, 1, 2)}
@@ -158,9 +156,8 @@ def block_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
     right = parts[0] or parts[2] or parts[1]
     if not left or not right:
         return []
-    ids = [r[0] for r in right]
-    sig = np.stack([np.frombuffer(r[3], np.uint8) for r in right])
-    sets = [np.frombuffer(r[2], np.uint64) for r in right]
+    sig = np.stack([np.frombuffer(r[4], np.uint8) for r in right])
+    sets = [np.frombuffer(r[3], np.uint64) for r in right]
     up: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -168,18 +165,16 @@ def block_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
             x = up[x] = up.get(up[x], up[x])
         return x
 
-    for i in ids[1:] if parts[0] else ():
-        up[root(i)] = root(ids[0])
     out = []
-    for r in left:
-        own, own_set = r[0], np.frombuffer(r[2], np.uint64)
-        agree = (sig == np.frombuffer(r[3], np.uint8)).mean(axis=1)
+    for own, _, part_of, own_set, own_sig in left:
+        own_set = np.frombuffer(own_set, np.uint64)
+        agree = (sig == np.frombuffer(own_sig, np.uint8)).mean(axis=1)
         for j in np.argsort(-agree, kind="stable"):
             if agree[j] < floor:
                 break
-            if root(own) != root(ids[j]) and _similar(own_set, sets[j], percent):
-                up[root(own)] = root(ids[j])
-                out.append((own, ids[j]))
+            if root(part_of) != root(right[j][2]) and _similar(own_set, sets[j], percent):
+                up[root(part_of)] = root(right[j][2])
+                out.append((own, right[j][0]))
     return out
 
 
@@ -194,11 +189,11 @@ def _blocks(percent: int):
 
         for batch in batches:
             found = []
-            for *here, i, part, h, s in zip(*[c.to_pylist() for c in batch.columns]):
+            for *here, node, part, component, h, s in zip(*[c.to_pylist() for c in batch.columns]):
                 if here != key:
                     found += block_links(rows, percent)
                     key, rows = here, []
-                rows.append((i, part, h, s))
+                rows.append((node, part, component, h, s))
             yield done(found)
         yield done(block_links(rows, percent))
 
@@ -206,83 +201,98 @@ def _blocks(percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
-    """``docs`` (id long not null, text) -> (id, n_shingles, component): one row per row of ``docs``.
+    """``docs`` (id long not null, text) -> (id, mark, n_shingles, component, grp): one row per row of ``docs``.
 
     Two documents are linked if 100 * intersection >= percent * union of their distinct
     ``shingle_words``-word shingles (A-Z lower-cased; fewer words: the whole sequence is the one
-    shingle). ``component`` is the smallest id reachable. Empty sets (null or blank text) are
-    linked with nothing. Rows that share an id are
-    each judged by their own text. An empty table gives no rows.
+    shingle). ``component`` is the smallest id reachable, ``grp`` the component's own number, ``mark``
+    a hash of the row's text. Empty sets (null or blank text) are linked with nothing. Rows that share
+    an id are each judged by their own text: a link is between texts, never between ids. An empty table
+    gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     small_arrow_batches(spark)
     rows = band_rows(percent / 100, hashes)
-    source = docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    sketch = written(source.mapInArrow(_sketches(shingle_words, hashes, rows), "id long, n_shingles long, set_key binary, bands array<long>"), "sketch")
-
-    # Classes of equal sets; only the smallest id of each goes on.
-    classes = written(sketch.groupBy("set_key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    keys = classes.where("bands is not null").select(F.explode("bands").alias("band"), "rep")
-    shared = keys.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
-    edges = keys.join(shared.select("band", "first"), "band").select(F.col("rep").alias("u"), F.col("first").alias("v"))
-    groups = written(connected_components(edges, "candidates").select(F.col("component").alias("grp"), F.col("node").alias("id")), "groups")
-
-    # The group list grows with the corpus: never broadcast it, at any size.
-    chosen = source.join(groups.hint("merge"), "id").select("grp", "id", "text").dropDuplicates(["id", "text"])
-    sets = written(chosen.mapInArrow(_sets(shingle_words, hashes), "grp long, id long, hashes binary, sig binary").where("length(hashes) > 0"), "sets")
-    first = sets.where("id = grp").select("grp", F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
-    star = sets.where("id <> grp").join(first, "grp").select("grp", "id", "hashes", "sig", "first_hashes", "first_sig")
-    star = written(star.mapInArrow(_star(percent), "grp long, id long, linked boolean").groupBy("grp", "id").agg(F.max("linked").alias("linked")), "star")
-
-    # Groups that still have open members: compare those with all others, in blocks.
-    size = star.groupBy("grp").agg(F.count_if("linked").alias("n_in"), F.count_if(~F.col("linked")).alias("n_open")).where("n_open > 0")
-    size = size.select("grp", F.ceil((F.col("n_in") + 1) / block).cast("int").alias("in_cuts"), F.ceil(F.col("n_open") / block).cast("int").alias("open_cuts"))
-    members = sets.join(star, ["grp", "id"], "left").join(size, "grp")
-    joined = F.coalesce(F.col("linked"), F.lit(True))  # the group's first has no row in star
-    place = members.select("grp", "id", "hashes", "sig", "in_cuts", "open_cuts", joined.alias("joined"),
-                           F.pmod(F.xxhash64("id"), F.when(joined, F.col("in_cuts")).otherwise(F.col("open_cuts"))).cast("int").alias("cut"))
+    source = docs.select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
+    sketch = written(source.mapInArrow(_sketches(shingle_words, hashes, rows), "id long, mark long, n_shingles long, set_key binary, bands array<long>"), "sketch")
+
+    # Classes of equal sets; one text of each, that of the smallest id, goes on under the class's number.
+    classes = sketch.groupBy("set_key").agg(F.min(F.struct("id", "mark")).alias("rep"), F.first("bands").alias("bands"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    keys = classes.where("bands is not null").select(F.explode("bands").alias("band"), "node")
+    shared = keys.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
+    # Members of buckets; a hot bucket is one key of a plain join, which Spark can split.
+    member = written(keys.join(written(shared, "buckets").hint("merge"), "band"), "members")
+
+    # The list of members grows with the corpus: never broadcast it, at any size.
+    wanted = member.select("node").distinct().join(classes.select("node", "rep.id", "rep.mark"), "node")
+    chosen = source.join(wanted.hint("merge"), ["id", "mark"]).select("id", "mark", "node", "text").dropDuplicates(["id", "mark"])
+    sets = written(chosen.select("node", "text").mapInArrow(_sets(shingle_words, hashes), "node long, hashes binary, sig binary"), "sets")
+    first_sets = sets.select(F.col("node").alias("v"), F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
+    pairs = member.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    star = pairs.join(sets.withColumnRenamed("node", "u").hint("merge"), "u").join(first_sets.hint("merge"), "v")
+    star = star.select("u", "v", "hashes", "sig", "first_hashes", "first_sig").mapInArrow(_star(percent), "u long, v long, linked boolean")
+    links = written(star.where("linked").select("u", "v"), "star")
+
+    # Buckets whose members are still in several components: compare those outside the first one's with all others.
+    sofar = written(connected_components(links, "star-links"), "star-components")
+    of = lambda c: sofar.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+    placed = member.join(of("node").hint("merge"), "node", "left").join(of("first").hint("merge"), "first", "left").select(
+        "band", "node", F.coalesce("node_in", "node").alias("component"), F.coalesce("first_in", "first").alias("home"))
+    placed = written(placed.withColumn("joined", F.col("component") == F.col("home")), "placed")
+    size = placed.groupBy("band").agg(F.count_if("joined").alias("n_in"), F.count_if(~F.col("joined")).alias("n_open")).where("n_open > 0")
+    size = written(size.select("band", F.ceil(F.col("n_in") / block).cast("int").alias("in_cuts"), F.ceil(F.col("n_open") / block).cast("int").alias("open_cuts")), "open")
+    spots = placed.join(size.hint("merge"), "band").select(
+        "band", "node", "component", "joined", "in_cuts", "open_cuts",
+        F.pmod(F.xxhash64("node"), F.when(F.col("joined"), F.col("in_cuts")).otherwise(F.col("open_cuts"))).cast("int").alias("cut"))
     here = F.col("cut")
     settled = F.transform(F.sequence(F.lit(0), F.col("open_cuts") - 1), lambda o: F.struct(o.alias("a"), F.lit(0).alias("kind"), here.alias("b"), F.lit(0).alias("part")))
     to_in = F.transform(F.sequence(F.lit(0), F.col("in_cuts") - 1), lambda c: F.struct(here.alias("a"), F.lit(0).alias("kind"), c.alias("b"), F.lit(1).alias("part")))
     to_open = F.transform(F.sequence(F.lit(0), F.col("open_cuts") - 1), lambda o: F.struct(
         F.least(here, o).alias("a"), F.lit(1).alias("kind"), F.greatest(here, o).alias("b"), F.when(here <= o, F.lit(1)).otherwise(F.lit(2)).alias("part")))
-    dealt = place.select("grp", "id", "hashes", "sig", F.explode(F.when(F.col("joined"), settled).otherwise(F.concat(to_in, to_open))).alias("at"))
-    dealt = dealt.select("grp", "at.a", "at.kind", "at.b", "id", "at.part", "hashes", "sig")
-    by = ["grp", "a", "kind", "b"]
-    more = dealt.repartition(*by).sortWithinPartitions(*by, "part", "id").mapInArrow(_blocks(percent), "u long, v long")
+    dealt = spots.select("band", "node", "component", F.explode(F.when(F.col("joined"), settled).otherwise(F.concat(to_in, to_open))).alias("at"))
+    dealt = dealt.select("band", "at.a", "at.kind", "at.b", "node", "at.part", "component").join(sets.hint("merge"), "node")
+    dealt = dealt.select("band", "a", "kind", "b", "node", "part", "component", "hashes", "sig")
+    by = ["band", "a", "kind", "b"]
+    more = dealt.repartition(*by).sortWithinPartitions(*by, "part", "node").mapInArrow(_blocks(percent), "u long, v long")
 
-    links = star.where("linked").select(F.col("id").alias("u"), F.col("grp").alias("v")).union(more)
-    found = connected_components(links, "links").select(F.col("node").alias("rep"), "component")
-    reps = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    return sketch.select("id", "n_shingles", "set_key").join(reps, "set_key").select("id", "n_shingles", "component")
+    found = connected_components(links.union(more), "links").select("node", F.col("component").alias("root"))
+    reps = classes.select("set_key", "node", "rep.id").join(found, "node", "left").select("set_key", "id", F.coalesce("root", "node").alias("grp"))
+    least = reps.groupBy("grp").agg(F.min("id").alias("component"))
+    reps = written(reps.join(least, "grp").select("set_key", "grp", "component"), "group-of-set")
+    return sketch.select("id", "mark", "n_shingles", "set_key").join(reps.hint("merge"), "set_key").select("id", "mark", "n_shingles", "component", "grp")
 
 
 def document_ids(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``id``: doc_id, or for rows without one a number from the text (equal texts share it)."""
+    """``docs`` (doc_id, text) -> id, text: doc_id, or for rows without one a number from the text (equal texts share it)."""
     stand_in = F.lit(SURROGATE) + F.xxhash64("text").bitwiseAND(F.lit(SURROGATE - 1))
-    return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("id"), "text")
 
 
 def near_duplicate_report(docs: DataFrame, shingle_words: int = 3, percent: int = 85) -> DataFrame:
     """``documents`` -> doc_id, n_shingles, component_id (smallest doc_id reachable), kept (its own component).
 
     A row without doc_id is linked like any other; a component without any doc_id has a null id,
-    and its rows count as kept.
+    and its rows count as kept. Rows that share a doc_id each have the component of their own text.
     """
-    found = near_duplicates(document_ids(docs.select("doc_id", "text")).select("id", "text"), shingle_words, percent)
+    found = near_duplicates(document_ids(docs), shingle_words, percent)
     real = lambda c: F.when(F.col(c) < F.lit(SURROGATE), F.col(c))
     return found.select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"),
                         (F.col("id") == F.col("component")).alias("kept"))
 
 
 def one_of_each_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` (columns unchanged) whose id is their component's smallest; of rows that share an id, one."""
-    with_id = document_ids(docs.withColumnsRenamed({"id": "_doc_own_id"}) if "id" in docs.columns else docs)
-    found = near_duplicates(with_id.select("id", "text"), shingle_words, percent)
-    kept = found.where("id = component").select("id").distinct()
-    # Both sides grow with the corpus: a merge join at any size.
-    rows = with_id.join(kept.hint("merge"), "id")
-    first = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))).where("_nth = 1").drop("_nth")
-    if "id" not in docs.columns:
-        return first.select(*[f"`{c}`" for c in docs.columns])
-    return first.select(*[F.col("_doc_own_id").alias("id") if c == "id" else F.col(f"`{c}`") for c in docs.columns])
+    """One row of ``docs`` (columns unchanged, whatever their names) of every group of near-duplicate texts.
+
+    It is the row of the group's smallest id; of rows that share it, one text of the group, and of
+    repeated rows one. Every text without words is a group of its own per id. An empty table gives no rows.
+    """
+    found = near_duplicates(document_ids(docs), shingle_words, percent)
+    kept = written(found.groupBy("grp").agg(F.min(F.struct("id", "mark")).alias("rep")).select("rep.id", "rep.mark").distinct(), "kept")
+    # One struct holds the given columns, so no name of theirs can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id"), F.col("text"))
+    stand_in = F.lit(SURROGATE) + F.xxhash64("text").bitwiseAND(F.lit(SURROGATE - 1))
+    whole = whole.select("doc", F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("id"), F.xxhash64("text").alias("mark"))
+    # Both sides grow with the corpus: a merge join at any size. Repeated rows end in a partial aggregate.
+    rows = whole.join(kept.hint("merge"), ["id", "mark"])
+    return rows.groupBy("id", "mark").agg(F.first("doc").alias("doc")).select("doc.*")
