@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,7 +30,7 @@ from clickpulse.operators.joins import materialized_side
 BYTE_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_BYTES = 64 << 20  # of one generation of units that a worker remembers, by estimate
+CACHE_BYTES = 112 << 20  # of one generation of units that a worker remembers, by estimate
 LONGEST = 64  # characters of a unit that is remembered
 PAIR_BYTES = 16 << 20  # bytes on disk up to which the table of pair counts is broadcast
 
@@ -67,6 +68,7 @@ class Aligner:
         self.a_bytes: dict[int, bytes] = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         pieces = range(self.b.get_piece_size())
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace(MARK, " ").encode() for i in pieces]
+        self.a_text, self.b_text = [str(i) for i in range(self.a.get_vocab_size())], [str(i) for i in pieces]
         self.mark = self.b.piece_to_id(MARK)
         self.young: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
@@ -85,25 +87,31 @@ class Aligner:
         if b"".join(one) != text or b"".join(two) != text:
             return None
         groups, codes, extra = [], [], []
+        left_text, right_text = self.a_text, self.b_text
         i = j = 0
-        while i < len(a):
-            i0, j0 = i, j
-            x, y = len(one[i]), len(two[j])
+        n = len(a)
+        while i < n:
+            p, q, x, y = a[i], b[j], len(one[i]), len(two[j])
             i, j = i + 1, j + 1
+            if x == y:
+                groups.append(left_text[p] + "|" + right_text[q])
+                codes.append(p << 16 | q)
+                continue
+            i0, j0 = i - 1, j - 1
             while x != y:
                 if x < y:
                     x, i = x + len(one[i]), i + 1
                 else:
                     y, j = y + len(two[j]), j + 1
             left, right = a[i0:i], b[j0:j]
-            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+            groups.append(",".join([left_text[p] for p in left]) + "|" + ",".join([right_text[q] for q in right]))
             if len(left) * len(right) <= 4096:
                 codes += [p << 16 | q for p in left for q in right]
             else:  # by distinct ids: the occurrences of a long group are never listed
                 p, np_ = np.unique(np.array(left, np.uint32), return_counts=True)
                 q, nq = np.unique(np.array(right, np.uint32), return_counts=True)
                 extra.append(((p[:, None] << np.uint32(16) | q).ravel(), np.outer(np_, nq).ravel()))
-        return (";".join(groups), np.array(codes, np.uint32).tobytes(), extra or None, len(a) | len(b) << _PART | len(groups) << 2 * _PART)
+        return (";".join(groups), array("I", codes).tobytes(), extra or None, n | len(b) << _PART | len(groups) << 2 * _PART)
 
     def learn(self, units: set[str]) -> dict[str, tuple | None]:
         """Units missing in the young generation, from the older one or anew."""
