@@ -8,9 +8,9 @@ city, ad) counts with the day/area top-n (Q6, Q7) and the per-ad minute trend
 - ``fanout="stream"``: two more streaming queries read the accepted
   table as a file source and keep their running counts in Spark's state store;
   each has its own checkpoint.
-- ``fanout="inline"`` (default): the guard's batch also adds its accepted rows' counts to
-  the versioned result tables (previous version + this batch, touched days only).
-  One query, no re-listing of the accepted files, exact (no watermark).
+- ``fanout="inline"`` (default): the guard's batch also counts its accepted rows for all results in one
+  aggregate and adds the counts to the result tables as increments. One query, no re-listing of the
+  accepted files, exact (no watermark).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse import constants as C
+from clickpulse.functions.timefmt import minute_start
 from clickpulse.operators.ads import parse_ads_lines
 from clickpulse.session import stream_session
 from clickpulse.streaming.counts import DayAreaAdTables, day_area_city_counts_stream
@@ -45,7 +46,7 @@ class AdsApp:
         self.tz = tz
         self.trend_minutes = trend_minutes
         self.guard = AdClickGuard(spark, os.path.join(root, "guard"), threshold)
-        self.day_area = DayAreaAdTables(spark, os.path.join(root, "day_area"), top_n)
+        self.day_area = DayAreaAdTables(spark, os.path.join(root, "day_area"), top_n, increments=fanout == "inline")
         self.trend = TrendTables(spark, os.path.join(root, "trend"), trend_minutes)
         self.rejects_path = os.path.join(root, "rejects")
         spark.createDataFrame([], "line string, reason string, batch_id long").write.mode("append") \
@@ -72,14 +73,20 @@ class AdsApp:
             self._fan_out(int(batch_id))
 
     def _fan_out(self, n: int) -> None:
-        """Inline fan-out of batch ``n``'s accepted rows (read back from the accepted table)."""
-        from clickpulse.functions.timefmt import minute_start
-
-        acc = self.guard.accepted_of(n)
-        self.day_area.add_increments(
-            acc.groupBy("date", "area", "city", "adid").agg(F.count(F.lit(1)).alias("n")), n)
-        self.trend.add_increments(
-            acc.groupBy("adid", minute_start(F.col("ts")).alias("minute")).agg(F.count(F.lit(1)).alias("n")), n)
+        """Inline fan-out of batch ``n``: its accepted rows are read once and counted for all results at once.
+
+        One aggregate over two grouping sets (Spark expands each row to both before the partial
+        aggregation); a row belongs to a result by its grouping id, so null keys are keys like any other.
+        """
+        rows = self.guard.accepted_of(n).select("date", "area", "city", "adid", minute_start(F.col("ts")).alias("minute"))
+        cols = [F.col(c) for c in ("date", "area", "city", "adid", "minute")]
+        sets = rows.groupingSets([[F.col(c) for c in ("date", "area", "city", "adid")], [F.col("adid"), F.col("minute")]], *cols)
+        counts = sets.agg(F.count(F.lit(1)).alias("n"), F.grouping("minute").alias("without_minute")).persist()
+        try:
+            self.day_area.process(counts.where("without_minute = 1").select("date", "area", "city", "adid", "n"), n)
+            self.trend.add_increments(counts.where("without_minute = 0").select("adid", "minute", "n"), n)
+        finally:
+            counts.unpersist()
 
     def rejects(self) -> DataFrame:
         """Malformed lines with their reason and batch."""

@@ -2,7 +2,7 @@
 
 The running totals live in Spark's state store (streaming ``groupBy().count()``
 in *update* mode: each batch emits only the keys it changed, with their new
-totals). ``foreachBatch`` upserts them into a ``KeyedTable`` partitioned by
+totals). ``foreachBatch`` writes them to a ``KeyedTable`` partitioned by
 ``date``; Q7 (roll-up to area + top-n + JSON) then runs on that table for the
 days the batch touched only, because Structured Streaming rejects a second
 aggregation and a ranking window on the same stream.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.operators.ads import day_area_ad_counts, day_area_ad_top_n
-from clickpulse.sinks.keyed import KeyedTable
+from clickpulse.sinks.keyed import FAN_IN, KeyedTable
 
 DAY_AREA_CITY_SCHEMA = T.StructType(
     [
@@ -67,62 +67,58 @@ def word_count_stream(lines: DataFrame, column: str = "text", sep: str = " ") ->
 
 
 class DayAreaAdTables:
-    """Sinks of Q6 (per city) and Q7 (top-n per day and area)."""
+    """Sinks of Q6 (per city) and Q7 (top-n per day and area).
 
-    def __init__(self, spark: SparkSession, root: str, top_n: int = 3, compact_every: int = 50):
+    ``increments``: the batches bring counts to add (inline fan-out) instead of running totals from the state store.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, top_n: int = 3, compact_every: int = FAN_IN, increments: bool = False):
         self.spark = spark
         self.top_n = top_n
-        self.compact_every = compact_every
-        self.city_counts = KeyedTable(spark, os.path.join(root, "day_area_city_ads"),
-                                      ["date", "area", "city", "adid"], DAY_AREA_CITY_SCHEMA, partition_col="date")
-        self.top = KeyedTable(spark, os.path.join(root, "day_area_top"), ["date", "area"], TOP_SCHEMA,
-                              partition_col="date")
+        self.city_counts = KeyedTable(spark, os.path.join(root, "day_area_city_ads"), ["date", "area", "city", "adid"], DAY_AREA_CITY_SCHEMA,
+                                      "date", "sum" if increments else "latest", fan_in=compact_every)
+        self.top = KeyedTable(spark, os.path.join(root, "day_area_top"), ["date", "area"], TOP_SCHEMA, "date", fan_in=compact_every)
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
-        # One action on the micro-batch (the upsert); the days it changed are the date
-        # folders of the version just written (a listing, bounded by the batch's span).
+        """One batch's totals or increments, and the top lists of the days it touched."""
+        # One action on the micro-batch (the upsert); the days it changed are the partitions it wrote.
         self.city_counts.upsert(updates, batch_id)
         days = self.city_counts.partitions_of_version(batch_id)
         if not days:
             return
-        current = self.city_counts.read().where(F.col("date").isin(days))
-        top = day_area_ad_top_n(day_area_ad_counts(current), self.top_n)
-        self.top.upsert(top, batch_id)
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            # Only the days this batch touched are read again soon: fold those.
-            self.city_counts.compact(batch_id, days)
-            self.top.compact(batch_id, days)
-
-
-    def add_increments(self, inc: DataFrame, batch_id: int) -> None:
-        """Inline fan-out: add one batch's per-(date, area, city, ad) counts ``inc`` to the totals.
-
-        Previous totals are read as of version ``batch_id - 1`` and only for the days the
-        batch touched (partition pruning), so a replayed batch writes the same version.
-        """
-        keys = ["date", "area", "city", "adid"]
-        inc = inc.persist()
-        try:
-            days = [r[0] for r in inc.select("date").distinct().collect()]  # bounded by the batch's span
-            if not days:
-                return
-            prev = self.city_counts.read(upto_version=int(batch_id) - 1).where(F.col("date").isin(days))
-            totals = inc.join(prev.withColumnRenamed("n", "prev"), keys, "left").select(
-                *keys, (F.coalesce(F.col("prev"), F.lit(0)) + F.col("n")).cast("long").alias("n")
-            )
-            staged, folder = self.city_counts.staged(totals, f"add-{int(batch_id)}")
-            self.process(staged, batch_id)
-            self.city_counts.unstage(folder)
-        finally:
-            inc.unpersist()
+        current = self.city_counts.read(batch_id, days)
+        self.top.upsert(day_area_ad_top_n(day_area_ad_counts(current), self.top_n), batch_id)
+        self.city_counts.fold(batch_id, days)
+        self.top.fold(batch_id, days)
 
 
 class WordCountTable:
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 50):
-        self.table = KeyedTable(spark, os.path.join(root, "word_count"), ["word"], WORD_SCHEMA)
-        self.compact_every = compact_every
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = FAN_IN):
+        self.table = KeyedTable(spark, os.path.join(root, "word_count"), ["word"], WORD_SCHEMA, fan_in=compact_every)
 
     def process(self, updates: DataFrame, batch_id: int) -> None:
         self.table.upsert(updates, batch_id)
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.table.compact(batch_id)
+        self.table.fold(batch_id)
+
+
+def running_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What the state store of a running count holds: its key columns and ``n``, read from the checkpoint.
+
+    Reads the last committed batch through Spark's state source, with the store's own partitions, so
+    it works beside the stream and after a restart with any session settings.
+    """
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return state.select("key.*", F.element_at(F.map_values(F.from_json(F.to_json("value"), "map<string,long>")), 1).alias("n"))
+
+
+def audit_totals(state: DataFrame, totals: DataFrame) -> DataFrame:
+    """Keys whose count in the state store differs from the result table: the keys, ``in_state``, ``in_table``.
+
+    One aggregate over both sides, so null keys meet like any other.
+    """
+    keys = [c for c in totals.columns if c != "n"]
+    none = F.lit(None).cast("long")
+    both = state.select(*keys, F.col("n").alias("in_state"), none.alias("in_table")).unionByName(
+        totals.select(*keys, none.alias("in_state"), F.col("n").alias("in_table")))
+    sums = both.groupBy(*keys).agg(F.sum("in_state").alias("in_state"), F.sum("in_table").alias("in_table"))
+    return sums.where(~F.col("in_state").eqNullSafe(F.col("in_table")))

@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from clickpulse import storage
+
 
 def kafka_line_stream(
     spark: SparkSession,
@@ -68,17 +70,13 @@ class ReplayFeed:
         """
         stage = self.inbox + "-stage"
         df.write.mode("overwrite").partitionBy(batch_col).parquet(stage)
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        fs = path(stage).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.mkdirs(path(self.inbox))
+        storage.make_dirs(self.spark, self.inbox)
         folders = []
-        for st in fs.globStatus(path(f"{stage}/{batch_col}=*")) or []:
-            value = st.getPath().getName().split("=", 1)[1]
-            folders.append((int(value) if value.lstrip("-").isdigit() else value, st.getPath()))
+        for value in storage.list_folders(self.spark, stage, batch_col):
+            folders.append((int(value) if value.lstrip("-").isdigit() else value, f"{stage}/{batch_col}={value}"))
         q = None
         for b, folder in sorted(folders, key=lambda x: (isinstance(x[0], str), x[0])):
-            fs.rename(folder, path(f"{self.inbox}/b{b}"))
+            storage.rename(self.spark, folder, f"{self.inbox}/b{b}")
             if continuous:
                 if q is None:
                     q = start()
@@ -90,7 +88,7 @@ class ReplayFeed:
                 raise RuntimeError(f"stream failed at feed batch {b}: {q.exception()}")
         if continuous and q is not None and q.isActive:
             _stop_when_idle(q)
-        fs.delete(path(stage), True)
+        storage.delete(self.spark, stage)
         return len(folders)
 
 

@@ -5,20 +5,19 @@ batch n-1; accepted rows add to the running (date, user, ad) counts; a user
 whose count reaches ``threshold`` is blocked for all later batches, on all
 ads, for ever. One ``foreachBatch`` does the whole step:
 
-1. blocked users of versions < n -> broadcast ``left_anti`` (size-checked; the
-   set grows with the data) -> accepted rows;
+1. the batch's distinct users meet the blocked users of versions < n; the few that are blocked filter
+   the batch (``left_anti``; Spark broadcasts them when they are few, and splits a hot user if not);
 2. accepted rows -> ``accepted/batch_id=n`` (the fan-out table for Q6-Q8);
-3. per-batch increments per (date, user, ad) -> ``counts/date=d/batch_id=n``;
-4. totals for the days this batch touched only (partition pruning on ``date``)
-   -> users at or over the threshold and not yet blocked -> ``blocked/batch_id=n``;
-5. every ``compact_every`` batches the touched days' increments are folded into
-   one base snapshot per day, so a batch reads one snapshot plus a few increments
-   per day, not every increment since midnight.
-
-Every write replaces only its own ``batch_id`` partitions (dynamic partition
-overwrite), accepted rows are written once per batch, and every read takes
-versions <= n, so a replayed batch gives the same state: exactly-once on top
-of the checkpointed source offsets.
+3. per-batch increments per (date, user, ad) -> the counts table;
+4. totals of the days this batch touched -> users at or over the threshold and not yet blocked -> the
+   blocked table.
+
+Both state tables are bucketed by user (``sinks.keyed``): their rows are never shuffled, whole days
+and batches are pruned through the catalog, and runs of batches fold by size tiers.
+
+Every write replaces only its own batch, accepted rows are written once per batch (a marker is made
+after the write), and every read takes versions <= n, so a replayed batch gives the same state:
+exactly-once on top of the checkpointed source offsets.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from pyspark.sql import types as T
 
 from clickpulse import constants as C
 from clickpulse import storage
-from clickpulse.operators.joins import bounded_broadcast
+from clickpulse.sinks.keyed import FAN_IN, NO_DAY, KeyedTable
 
 ACCEPTED_SCHEMA = T.StructType(
     [
@@ -52,188 +51,86 @@ COUNTS_SCHEMA = T.StructType(
         T.StructField("adid", T.StringType()),
         T.StructField("n", T.LongType()),
         T.StructField("date", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-BLOCKED_SCHEMA = T.StructType(
-    [
-        T.StructField("userid", T.StringType()),
-        T.StructField("block_batch", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
     ]
 )
-BASE_SCHEMA = T.StructType(
-    [
-        T.StructField("userid", T.StringType()),
-        T.StructField("adid", T.StringType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("date", T.StringType()),
-        T.StructField("upto", T.LongType()),
-    ]
-)
-
-
-def _drop_below(spark: SparkSession, folder: str, key: str | None, bound: int) -> None:
-    """Delete ``folder/key=v`` for ``v < bound`` (or ``folder`` itself when ``key`` is None)."""
-    if key is None:
-        storage.delete(spark, folder)
-        return
-    for v in storage.list_folders(spark, folder, key):
-        if v.isdigit() and int(v) < bound:
-            storage.delete(spark, f"{folder}/{key}={v}")
-
-
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+BLOCKED_SCHEMA = T.StructType([T.StructField("userid", T.StringType()), T.StructField("block_batch", T.LongType())])
 
 
 class AdClickGuard:
     def __init__(self, spark: SparkSession, root: str, threshold: int = C.BLOCK_THRESHOLD,
-                 max_broadcast_rows: int = 2_000_000,
-                 compact_every: int = 20):
+                 compact_every: int = FAN_IN, buckets: int | None = None):
+        """``compact_every``: how many runs of one level fold into one (0: never); ``buckets``: of the state tables."""
         self.spark = spark
         self.threshold = threshold
-        self.max_broadcast_rows = max_broadcast_rows
-        self.compact_every = compact_every
         self.accepted_path = os.path.join(root, "accepted")
         self.commits_path = os.path.join(root, "commits")
-        self.counts_path = os.path.join(root, "counts")
-        self.base_path = os.path.join(root, "counts_base")
-        self.blocked_path = os.path.join(root, "blocked")
-        for path, schema, parts in (
-            (self.accepted_path, ACCEPTED_SCHEMA, ["batch_id"]),
-            (self.counts_path, COUNTS_SCHEMA, ["date", "batch_id"]),
-            (self.base_path, BASE_SCHEMA, ["date", "upto"]),
-            (self.blocked_path, BLOCKED_SCHEMA, ["batch_id"]),
-        ):
-            spark.createDataFrame([], schema).write.mode("append").partitionBy(*parts).parquet(path)
+        self.counts = KeyedTable(spark, os.path.join(root, "counts"), ["date", "userid", "adid"], COUNTS_SCHEMA, "date",
+                                 "sum", ["userid"], buckets, compact_every)
+        self.blocks = KeyedTable(spark, os.path.join(root, "blocked"), ["userid"], BLOCKED_SCHEMA, None, "min", ["userid"], buckets, compact_every)
+        spark.createDataFrame([], ACCEPTED_SCHEMA).write.mode("append").partitionBy("batch_id").parquet(self.accepted_path)
 
     # readers --------------------------------------------------------------
     def accepted(self) -> DataFrame:
         return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.accepted_path)
 
-    def _folders(self, schema: T.StructType, root: str, folders: list[str]) -> DataFrame:
-        """Rows of some partition folders of a table; only these are listed, and missing ones are empty."""
-        paths = [p for p in (f"{root}/{f}" for f in folders) if storage.exists(self.spark, p)]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
-
     def accepted_of(self, batch_id: int) -> DataFrame:
-        """The accepted rows of one batch."""
-        return self._folders(ACCEPTED_SCHEMA, self.accepted_path, [f"batch_id={int(batch_id)}"])
+        """The accepted rows of one batch; only its folder is listed."""
+        folder = f"{self.accepted_path}/batch_id={int(batch_id)}"
+        if not storage.exists(self.spark, folder):
+            return self.spark.createDataFrame([], ACCEPTED_SCHEMA)
+        return self.spark.read.schema(ACCEPTED_SCHEMA).option("basePath", self.accepted_path).parquet(folder)
 
     def blocked(self, before_batch: int | None = None) -> DataFrame:
         """``userid, block_batch`` (the batch after which the user is blocked)."""
-        rows = self.spark.read.schema(BLOCKED_SCHEMA).parquet(self.blocked_path)
-        if before_batch is not None:
-            rows = rows.where(F.col("batch_id") < before_batch)
-        return rows.groupBy("userid").agg(F.min("block_batch").alias("block_batch"))
+        return self.blocks.read(None if before_batch is None else int(before_batch) - 1)
 
     def user_day_counts(self, upto_batch: int | None = None, dates: list[str] | None = None) -> DataFrame:
-        """Running accepted clicks per (date, userid, adid).
-
-        = the newest base snapshot of each day (``upto <= upto_batch``) plus the per-batch
-        increments after it. With ``dates`` only the folders of these days are listed.
-        """
-        if dates is None:
-            inc = self.spark.read.schema(COUNTS_SCHEMA).parquet(self.counts_path)
-            base = self.spark.read.schema(BASE_SCHEMA).parquet(self.base_path)
-        else:
-            days = [f"date={d}" for d in dates]
-            inc = self._folders(COUNTS_SCHEMA, self.counts_path, days)
-            base = self._folders(BASE_SCHEMA, self.base_path, days)
-        if upto_batch is not None:
-            inc = inc.where(F.col("batch_id") <= upto_batch)
-            base = base.where(F.col("upto") <= upto_batch)
-        # One row per day: bounded by the days read, so broadcasting it is safe.
-        newest = F.broadcast(base.groupBy("date").agg(F.max("upto").alias("upto")))
-        base_rows = base.join(newest, ["date", "upto"], "left_semi").select("date", "userid", "adid", "n")
-        inc_rows = (
-            inc.join(newest, "date", "left")
-            .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
-            .select("date", "userid", "adid", "n")
-        )
-        return base_rows.unionByName(inc_rows).groupBy("date", "userid", "adid").agg(F.sum("n").cast("long").alias("n"))
-
-    def compact_days(self, batch_id: int, dates: list[str]) -> None:
-        """Fold the days' counts up to ``batch_id`` into ``counts_base/date=d/upto=batch_id``.
-
-        Keeps each batch's read to one snapshot plus < ``compact_every`` increments per day
-        (instead of every increment of the day). Rerunning it gives the same snapshot, and
-        readers ignore the folded increments even before they are deleted.
-        """
-        n = int(batch_id)
-        totals = self.user_day_counts(upto_batch=n, dates=dates)
-        staged = self.base_path + f".stage-{n}"
-        totals.write.mode("overwrite").parquet(staged)  # source and target must differ
-        folded = self.spark.read.schema(totals.schema).parquet(staged).withColumn("upto", F.lit(n).cast("long"))
-        _overwrite_partitions(folded, self.base_path, ["date", "upto"])
-        for d in dates:
-            _drop_below(self.spark, os.path.join(self.counts_path, f"date={d}"), "batch_id", n + 1)
-            _drop_below(self.spark, os.path.join(self.base_path, f"date={d}"), "upto", n)
-        _drop_below(self.spark, staged, None, 0)
+        """Running accepted clicks per (date, userid, adid); with ``dates`` of these days only."""
+        return self.counts.read(upto_batch, dates).select("date", "userid", "adid", "n")
 
     # the micro-batch step -------------------------------------------------------
     def accepted_written(self, batch_id: int) -> bool:
         """Whether all rows of the batch are in ``accepted`` (its marker is made after the write)."""
         return storage.exists(self.spark, f"{self.commits_path}/{int(batch_id)}")
 
+    def filtered(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The batch without users blocked before it (a null user is kept)."""
+        if not self.blocks.runs([NO_DAY]):
+            return batch
+        hit = batch.select("userid").distinct().join(self.blocked(batch_id).select("userid"), "userid", "left_semi")
+        return batch.join(hit, "userid", "left_anti")
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
         if "event_id" not in batch.columns:  # line sources (Kafka value, text files) carry no id
             batch = batch.withColumn("event_id", F.lit(None).cast("long"))
-        before = self.blocked(before_batch=n).select("userid")
         # Accepted rows are write-once: downstream file streams read this table, so a
         # replayed batch must not put new files next to the ones already read.
         if not self.accepted_written(n):
-            accepted = batch.join(bounded_broadcast(before, self.max_broadcast_rows), "userid", "left_anti")
-            accepted = accepted.select(*[f.name for f in ACCEPTED_SCHEMA.fields if f.name != "batch_id"]).withColumn(
-                "batch_id", F.lit(n).cast("long")
-            )
-            _overwrite_partitions(accepted, self.accepted_path, ["batch_id"])
+            columns = [f.name for f in ACCEPTED_SCHEMA.fields if f.name != "batch_id"]
+            self.filtered(batch, n).select(*columns).write.mode("overwrite").parquet(f"{self.accepted_path}/batch_id={n}")
             storage.make_dirs(self.spark, f"{self.commits_path}/{n}")
+            for old in storage.list_folders(self.spark, self.commits_path):
+                if old.isdigit() and int(old) < n:  # only batch n can still be replayed
+                    storage.delete(self.spark, f"{self.commits_path}/{old}")
 
         # Re-read what was just written instead of recomputing the batch.
-        written = self.accepted_of(n)
-        inc = written.groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("n"))
-        _overwrite_partitions(inc.withColumn("batch_id", F.lit(n).cast("long")), self.counts_path, ["date", "batch_id"])
-
-        # Days this batch touched: the date folders just written for batch n (a listing).
-        days = self._days_of_batch(n)
+        inc = self.accepted_of(n).groupBy("date", "userid", "adid").agg(F.count(F.lit(1)).alias("n"))
+        self.counts.upsert(inc, n)
+        days = self.counts.partitions_of_version(n)
         if days:
-            over = self.user_day_counts(upto_batch=n, dates=days).where(F.col("n") >= self.threshold)
-            newly = over.select("userid").distinct().join(before, "userid", "left_anti")
-            stamp = F.lit(n).cast("long")
-            _overwrite_partitions(newly.select("userid", stamp.alias("block_batch"), stamp.alias("batch_id")),
-                                  self.blocked_path, ["batch_id"])
-        if self.compact_every:
-            # By the increments a day has gathered, so days that are touched seldom fold too.
-            full = [d for d in days if len(storage.list_folders(self.spark, f"{self.counts_path}/date={d}", "batch_id")) >= self.compact_every]
-            if full:
-                self.compact_days(n, full)
-            if n > 0 and n % self.compact_every == 0:
-                self.compact_blocked(n)
-
-    def _days_of_batch(self, batch_id: int) -> list[str]:
-        found = storage.matching(self.spark, f"{self.counts_path}/date=*/batch_id={int(batch_id)}")
-        days = {p.split("/")[-2].split("=", 1)[1] for p in found}
-        return sorted(days - {"__HIVE_DEFAULT_PARTITION__"})
-
-    def compact_blocked(self, batch_id: int) -> None:
-        """Fold blocked-user partitions below ``batch_id`` into ``batch_id - 1``.
-
-        Keeps the per-batch read of the blocked set to a few files; ``block_batch`` is a
-        column, so folding keeps when each user was blocked. The current batch's own
-        partition is never touched, so a replay of it stays exact.
-        """
-        target = int(batch_id) - 1
-        if target < 0:
-            return
-        rows = self.blocked(before_batch=int(batch_id))
-        staged = self.blocked_path + f".stage-{target}"
-        rows.write.mode("overwrite").parquet(staged)
-        folded = self.spark.read.schema(rows.schema).parquet(staged).withColumn("batch_id", F.lit(target).cast("long"))
-        _overwrite_partitions(folded, self.blocked_path, ["batch_id"])
-        _drop_below(self.spark, self.blocked_path, "batch_id", target)
-        _drop_below(self.spark, staged, None, 0)
+            self.blocks.upsert(self.newly_blocked(n, days), n)
+            self.counts.fold(n, days)
+            self.blocks.fold(n)
+
+    def newly_blocked(self, batch_id: int, days: list[str | None]) -> DataFrame:
+        """Users whose count of some day of ``days`` reached the threshold by this batch and who were not blocked before."""
+        over = self.user_day_counts(batch_id, days).where(F.col("n") >= self.threshold).select("userid").distinct()
+        before = self.blocked(batch_id).select("userid")
+        return over.join(before, "userid", "left_anti").select("userid", F.lit(int(batch_id)).cast("long").alias("block_batch"))
+
+    def expire_accepted(self, before_batch: int) -> None:
+        """Delete accepted rows of older batches, once nothing downstream reads them any more; state stays."""
+        for b in storage.list_folders(self.spark, self.accepted_path, "batch_id"):
+            if b.isdigit() and int(b) < int(before_batch):
+                storage.delete(self.spark, f"{self.accepted_path}/batch_id={b}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.sinks.jdbc import jdbc_append, jdbc_execute_rows, jdbc_read, replace_table
-from clickpulse.sinks.keyed import KeyedTable, SnapshotTable
+from clickpulse.sinks.keyed import KeyedTable, Run, SnapshotTable, tier
 from clickpulse.sources.params import join_continued_lines, parse_conditions, read_properties_value
 
 # In-process Derby (no server, no port): the JDBC path end to end.
@@ -101,3 +101,46 @@ def test_snapshot_keeps_two_versions(spark, tmp_root):
     versions = sorted(os.listdir(os.path.join(tmp_root, "sv")))
     assert [v for v in versions if v.startswith("_version=")] == ["_version=3", "_version=4"]
     assert [r.k for r in s.read().collect()] == ["k4"]
+
+
+def test_keyed_table_ignores_what_a_cut_short_fold_left(spark, tmp_root, monkeypatch):
+    """A fold that wrote its run but did not drop the old ones: readers count every batch once, and the next fold clears up."""
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("date", T.StringType())])
+    t = KeyedTable(spark, os.path.join(tmp_root, "cut"), ["date", "k"], schema, "date", "sum", buckets=2, fan_in=2)
+    for b in range(4):
+        t.upsert(spark.createDataFrame([("a", 1, "d'1"), (None, 1, None)], schema), b)
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_drop", lambda self, runs: None)
+        t.fold(4)
+    assert len(t.runs()) == 10
+    want = [("a", 4, "d'1"), (None, 4, None)]
+    assert sorted(map(tuple, t.read().collect()), key=repr) == sorted(want, key=repr)
+    assert {r.n for r in t.read(upto_version=1).collect()} == {2}
+    t.upsert(spark.createDataFrame([("a", 1, "d'1")], schema), 4)
+    t.upsert(spark.createDataFrame([("a", 1, "d'1")], schema), 5)
+    t.compact(6)
+    assert sorted((r.day, r.lo, r.hi) for r in t.runs()) == [("-", 0, 3), ("d'1", 0, 5)]
+    assert sorted((r.n for r in t.read().collect())) == [4, 6]
+
+
+def test_keyed_table_is_found_by_a_new_application(spark, tmp_root):
+    """Another catalog finds the folder's runs and buckets again."""
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    t = KeyedTable(spark, os.path.join(tmp_root, "again"), ["k"], schema, merge="sum", buckets=3)
+    for b in range(3):
+        t.upsert(spark.createDataFrame([("a", 2)], schema), b)
+    spark.sql(f"DROP TABLE {t.name}")
+    back = KeyedTable(spark, os.path.join(tmp_root, "again"), ["k"], schema, merge="sum", buckets=8)
+    assert back.buckets == 3 and [tuple(r) for r in back.read().collect()] == [("a", 6)]
+
+
+def test_tiers_rewrite_a_row_a_logarithmic_number_of_times():
+    runs, merges = [], 0
+    for b in range(4 ** 4):
+        goal = tier(runs, 4)
+        if goal:
+            merges += sum(r.hi - r.lo + 1 for r in runs if r.lo >= goal.lo)
+            runs = [r for r in runs if r.lo < goal.lo] + [goal]
+        runs.append(Run("d", b, b, 0))
+        assert [r.lo for r in runs] == sorted(r.lo for r in runs) and len(runs) <= 13
+    assert merges <= 4 * 4 ** 4

@@ -125,23 +125,112 @@ def test_guard_compaction_keeps_counts_and_blocks(spark, tmp_root):
     assert key(folded) == key(plain)
     assert sorted(map(tuple, folded.blocked().collect())) == sorted(map(tuple, plain.blocked().collect()))
     assert folded.accepted().count() == plain.accepted().count()
-    left = [d for d in os.listdir(os.path.join(tmp_root, "folded", "counts", "date=2020-08-27")) if "=" in d]
-    assert all(int(d.split("=")[1]) > 4 for d in left)  # increments up to the last fold are gone
-    blocked_parts = [d for d in os.listdir(os.path.join(tmp_root, "folded", "blocked")) if "=" in d]
-    assert all(int(d.split("=")[1]) >= 5 for d in blocked_parts)  # folded into batch 5 (fold at 6)
+    assert len(plain.counts.runs()) > 4
+    assert len(folded.counts.runs()) <= 4 and all(r.hi < 7 for r in folded.counts.runs())  # at most one run per level, and the newest
 
 
 def test_guard_folds_days_by_their_own_increments(spark, tmp_root):
-    """A day touched only in odd batches folds as well; each day keeps fewer than ``compact_every`` increments."""
+    """A day touched only in odd batches folds as well."""
     guard = AdClickGuard(spark, tmp_root, threshold=100, compact_every=2)
     day = lambda ms: parse_ads_lines(spark.createDataFrame([(ms, f"{ms} A C u1 1")], "event_id long, value string"))[0]
     for b in range(6):
         guard.process(day(1598500000000 + (b % 2) * 86_400_000), b)
     for d in ("2020-08-27", "2020-08-28"):
-        assert len([x for x in os.listdir(os.path.join(tmp_root, "counts", f"date={d}")) if "=" in x]) < 2
+        assert len(guard.counts.runs([d])) <= 2
     assert {(r.date, r.n) for r in guard.user_day_counts().collect()} == {("2020-08-27", 3), ("2020-08-28", 3)}
 
 
+def test_guard_state_is_not_shuffled(spark, tmp_root):
+    """Blocked users and counts are read by bucket: every exchange lies on the batch's side of a join."""
+    guard = AdClickGuard(spark, tmp_root, threshold=2, buckets=4)
+    for b in range(3):
+        guard.process(_ads_df(spark, [("u1", "1"), ("u1", "1"), (f"u{b}", "2")]), b)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan, scans in ((guard.filtered(_ads_df(spark, [("u1", "1")]), 3), 1), (guard.newly_blocked(2, ["2020-08-27"]), 2)):
+            lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+            at = [i for i, x in enumerate(lines) if "FileScan parquet" in x]
+            assert len(at) == scans and all("Bucketed: true" in lines[i] for i in at)
+            for i in at:  # from the scan up to the join: no exchange at this depth of the plan's left edge
+                depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+                for x in reversed(lines[:i]):
+                    here = len(x) - len(x.lstrip(" :+-"))
+                    if here < depth:
+                        depth = here
+                        assert "Exchange" not in x, x
+                        if "Join" in x:
+                            break
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_state_files_stay_flat(spark, tmp_root):
+    """60 batches of one day: runs, and files per read, grow with the logarithm; values stay right at every step."""
+    from pyspark.sql import types as T
+
+    from clickpulse.sinks.keyed import KeyedTable
+
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("date", T.StringType())])
+    table = KeyedTable(spark, os.path.join(tmp_root, "t"), ["date", "k"], schema, "date", "sum", ["k"], buckets=2, fan_in=4)
+    most = 0
+    for b in range(60):
+        table.upsert(spark.createDataFrame([("a", 1, "d1"), (f"k{b % 5}", 1, "d1")], schema), b)
+        table.fold(b, ["d1"])
+        most = max(most, len(table.runs()))
+    assert most <= 10  # three of each of three levels, and the newest
+    assert {r.k: r.n for r in table.read().collect()} == {"a": 60, **{f"k{i}": 12 for i in range(5)}}
+    files = [f for _, _, names in os.walk(os.path.join(tmp_root, "t")) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * most  # folded runs are gone from the folder, too
+
+
+def test_running_state_equals_the_sink_after_a_restart(spark, tmp_root):
+    """The state store's counts, read from the checkpoint, equal the result table, also after a restart with other shuffle settings."""
+    from clickpulse.streaming.counts import audit_totals, running_state
+
+    tables = DayAreaAdTables(spark, os.path.join(tmp_root, "t"), 3)
+    build = lambda s: day_area_city_counts_stream(parse_ads_lines(s)[0])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, batch in (("3", [(0, "1"), (1, "1"), (9, "2")]), ("7", [(5, "1"), (90000, "3")])):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            run_replay(spark, "t", _feed(spark, [batch]), LINE_FEED_SCHEMA, build, tables.process, "update", root=tmp_root)
+            state = running_state(spark, os.path.join(tmp_root, "checkpoint"))
+            assert state.agg(F.sum("n")).first()[0] == tables.city_counts.read().agg(F.sum("n")).first()[0]
+            assert audit_totals(state, tables.city_counts.read()).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    wrong = tables.city_counts.read().withColumn("n", F.when(F.col("adid") == "3", F.col("n") + 1).otherwise(F.col("n")))
+    assert [(r.adid, r.in_state, r.in_table) for r in audit_totals(state, wrong.where("adid <> '2'")).orderBy("adid").collect()] == [("2", 1, None), ("3", 1, 2)]
+
+
+def test_trend_replay_hours_later_gives_the_same_trend(spark, tmp_root):
+    """A line dated two hours ahead does not move the clock at first, and not in a replay three hours later either."""
+    trend = TrendTables(spark, tmp_root, 60)
+    arrival = 1_598_500_000_000_000
+    batch = _feed(spark, [[(0, "a1"), (7200, "a2")]]).select("event_id", "value")
+    trend.add_rows(parse_ads_lines(batch)[0], 0, arrival)
+    first = sorted(map(tuple, trend.trend.read().collect()))
+    assert [x[0] for x in first] == ["a1"]
+    trend.add_rows(parse_ads_lines(batch)[0], 0, arrival + 3 * 3_600_000_000)
+    assert sorted(map(tuple, trend.trend.read().collect())) == first
+    assert trend.minutes.read().agg(F.sum("n")).first()[0] == 2
+
+
+def test_inline_fan_out_keeps_null_keys(spark, tmp_root):
+    """Two batches of five rows without an area: one aggregate feeds both results, and the totals are 10."""
+    from clickpulse.streaming.app import AdsApp
+
+    app = AdsApp(spark, tmp_root, threshold=100, fanout="inline")
+    for b in range(2):
+        rows = _ads_df(spark, [("u1", "1")] * 5).withColumn("area", F.lit(None).cast("string"))
+        app.guard.process(rows, b)
+        app._fan_out(b)
+        app._fan_out(b)  # a replay adds nothing
+    assert [(r.area, r.n) for r in app.day_area.city_counts.read().collect()] == [(None, 10)]
+    assert app.day_area.top.read().first().top_json == '[{"1":10}]'
+    assert app.trend.minutes.read().agg(F.sum("n")).first()[0] == 10
+
+
 def test_guard_rewrites_a_batch_that_was_cut_short(spark, tmp_root):
     """Rows of a batch without its marker are replaced when the batch is replayed."""
     guard = AdClickGuard(spark, tmp_root, threshold=100)
@@ -153,7 +242,11 @@ def test_guard_rewrites_a_batch_that_was_cut_short(spark, tmp_root):
     guard.process(batch, 0)
     guard.process(batch, 0)
     assert guard.accepted_written(0) and guard.accepted().count() == 3
-    assert sum(r.n for r in guard.user_day_counts().collect()) == 3
+    guard.process(_ads_df(spark, [("u4", "1")]), 1)
+    assert os.listdir(guard.commits_path) == ["1"]  # older markers are gone
+    guard.expire_accepted(1)
+    assert guard.accepted().count() == 1
+    assert sum(r.n for r in guard.user_day_counts().collect()) == 4
 
 
 def test_stream_tables_with_compaction_every_batch(spark, tmp_root):
