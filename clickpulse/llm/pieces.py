@@ -5,7 +5,8 @@ such a border. The distinct marked words of a batch are sorted, which is the dep
 their trie, and a forward pass keeps one state per character: words that share a prefix reuse its
 states. The vocabulary is a byte-pair one, so the plain sum of scores does not give its encoding;
 instead a step to a piece is admitted only if byte-pair merging of the pair (previous piece, piece)
-gives that same pair. Exactly one path per prefix is admitted, and it is the merge result.
+gives that same pair. Exactly one path per prefix is admitted, and it is the merge result. The pieces
+that end at a character come from an automaton over the vocabulary.
 """
 
 from __future__ import annotations
@@ -14,17 +15,21 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import small_arrow_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 300_000  # words of one generation, and pairs, a worker remembers
+CACHE_BYTES = 48 << 20  # of one generation of words that a worker remembers, by estimate
+LONGEST = 64  # characters of a word that is remembered
+PAIRS = 300_000  # pairs of pieces whose merging a worker remembers
 
 
 @dataclass
@@ -36,10 +41,40 @@ class Vocabulary:
     bytes_: list[int]
     texts: list[bytes | None]  # what an id stands for; None: control
     runs: list[str]
-    tails: dict[str, list[int]]  # last three characters (two: of the two alone) -> lengths of pieces that end so, longest first
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+
+
+@dataclass
+class Encoder:
+    """A vocabulary in a worker: automaton of the pieces of two characters or more, and what the worker remembers."""
+
+    v: Vocabulary
+    single: dict[str, int] = field(init=False)
+    pairs: dict[int, bool] = field(default_factory=dict)
     words: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)  # the generation of words before
+    held: int = 0
+
+    def __post_init__(self):
+        import ahocorasick
+
+        self.single = {p: self.v.ids[p] for p in self.v.scores if len(p) == 1}
+        self.piece = {self.v.ids[p]: p for p in self.v.scores}
+        self.found = ahocorasick.Automaton()
+        for p in self.v.scores:
+            if len(p) > 1:
+                self.found.add_word(p, (len(p), self.v.ids[p]))
+        self.found.make_automaton()
+        self.kind = "H" if len(self.v.texts) <= 1 << 16 else "I"
+
+    def admitted(self, a: int, b: int) -> bool:
+        """Whether byte-pair merging of two pieces' text gives these two; ``a`` -1: a character without a piece."""
+        if a < 0:
+            return True
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        x, y = self.piece[a], self.piece[b]
+        ok = self.pairs[a << 32 | b] = merged(x + y, self.v) == [x, y]
+        return ok
 
 
 def read_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
@@ -62,14 +97,7 @@ def read_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
                 runs.append(piece)
             else:
                 scores[piece] = sp.get_score(i)
-    tails: dict[str, set[int]] = {}
-    for piece in scores:
-        if len(piece) > 1:
-            tails.setdefault(piece[-3:], set()).add(len(piece))
-    for end in [k for k in tails if len(k) == 3 and k[1:] in scores]:
-        tails[end].add(2)
-    return Vocabulary(ids, scores, bytes_, texts, sorted(runs, key=len, reverse=True),
-                      {k: sorted(x, reverse=True) for k, x in tails.items()})
+    return Vocabulary(ids, scores, bytes_, texts, sorted(runs, key=len, reverse=True))
 
 
 def merged(text: str, v: Vocabulary) -> list[str]:
@@ -87,144 +115,156 @@ def merged(text: str, v: Vocabulary) -> list[str]:
     return parts
 
 
-def admitted(a: str, b: str, v: Vocabulary) -> bool:
-    if len(v.pairs) >= CACHE:
-        v.pairs.clear()
-    ok = v.pairs[a, b] = merged(a + b, v) == [a, b]
-    return ok
-
-
-def forward(word: str, v: Vocabulary, states: list, start: int) -> None:
-    """Extend ``states`` (per prefix length the last piece of its encoding) from ``start`` characters on."""
-    del states[start + 1:]
-    scores, tails, known = v.scores, v.tails, v.pairs
-    for end in range(start + 1, len(word) + 1):
-        for size in (end > 2 and tails.get(word[end - 3:end])) or (end > 1 and tails.get(word[end - 2:end])) or ():
-            if size > end:
-                continue
-            piece = word[end - size:end]
-            if piece in scores:
-                before = states[end - size]
-                if before is None:
-                    states.append(piece)
-                    break
-                ok = known.get((before, piece))
-                if ok or ok is None and admitted(before, piece, v):
-                    states.append(piece)
-                    break
-        else:
-            states.append(word[end - 1])  # a single character: in the vocabulary, or spelled in bytes
-
-
-def piece_ids(parts: list[str], v: Vocabulary) -> list[int]:
-    out: list[int] = []
-    for p in parts:
-        i = v.ids.get(p)
-        if i is None:
-            out.extend(v.bytes_[b] for b in p.encode())
-        else:
-            out.append(i)
-    return out
-
+def encode_words(words: list[str], e: Encoder) -> dict[str, bytes]:
+    """Packed ids of distinct marked words, visited in the depth-first order of their trie.
 
-def encode_words(words: list[str], v: Vocabulary) -> dict[str, bytes]:
-    """Ids (packed int32) of distinct marked words, visited in the depth-first order of their trie."""
-    out, last, states = {}, "", [None]
-    ids = v.ids
+    ``last`` and ``size`` hold, per prefix length, the last piece of the prefix's encoding and its length.
+    """
+    out: dict[str, bytes] = {}
+    v, known, single, matches = e.v, e.pairs, e.single, e.found.iter
+    before, last, size = "", [-1], [0]
     for word in sorted(words):
-        body = word.lstrip(MARK)
-        marks = len(word) - len(body)
-        lead = MARK + body if marks else body
-        same = 0
-        for a, b in zip(lead, last):
-            if a != b:
-                break
+        marks = len(word) - len(word.lstrip(MARK))
+        lead = word[marks - 1:] if marks else word
+        same, most = 0, min(len(lead), len(before))
+        while same < most and lead[same] == before[same]:
             same += 1
-        forward(lead, v, states, same)
-        last = lead
-        parts, end = [], len(lead)
+        new = lead[same:]
+        last[same + 1:] = [single.get(c, -1) for c in new]  # a single character: in the vocabulary, or spelled in bytes
+        size[same + 1:] = [1] * len(new)
+        before, settled = lead, same
+        for at, (n, p) in matches(lead):
+            end = at + 1
+            if end <= settled:
+                continue
+            if n < end:
+                a = last[end - n]
+                ok = known.get(a << 32 | p)
+                if not (e.admitted(a, p) if ok is None else ok):
+                    continue
+            last[end], size[end], settled = p, n, end
+        found, end = [], len(lead)
         while end:
-            part = states[end]
-            parts.append(part)
-            end -= len(part)
-        parts.reverse()
-        if marks > 1 or not body:
+            p = last[end]
+            if p < 0:
+                found += [v.bytes_[b] for b in reversed(lead[end - 1].encode())]
+            else:
+                found.append(p)
+            end -= size[end]
+        found.reverse()
+        if marks > 1 or marks == len(word):
             # Mark runs have the lowest score: they merge among themselves when all else is done.
-            alone = parts[0] == MARK
+            mark = single[MARK]
+            alone = found[0] == mark
             spare = marks if alone else marks - 1
-            run: list[str] = []
+            run: list[int] = []
             for r in v.runs:
-                run += [r] * (spare // len(r))
+                run += [v.ids[r]] * (spare // len(r))
                 spare %= len(r)
-            parts = run + [MARK] * spare + parts[alone:]
-        try:
-            found = [ids[p] for p in parts]
-        except KeyError:
-            found = piece_ids(parts, v)
-        out[word] = array("i", found).tobytes()
+            found = run + [mark] * spare + found[alone:]
+        out[word] = array(e.kind, found).tobytes()
     return out
 
 
 def marked_words(text: str, v: Vocabulary) -> list[str]:
-    """The text with marks for spaces and one in front, cut before every mark run and around line feeds."""
-    if not text:
-        return []
-    return (_WORDS if "\n" not in v.ids else _SPACED).findall(MARK + text.replace(" ", MARK))
+    """A marked text cut before every mark run and around line feeds."""
+    return (_WORDS if "\n" not in v.ids else _SPACED).findall(text)
 
 
 _WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
 _SPACED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
-def encode_batch(texts: list[str | None], v: Vocabulary) -> pa.ListArray:
-    cut = [marked_words(t, v) for t in texts]
-    distinct = set().union(*cut)
-    young, older = v.words, v.older
-    missing = [w for w in distinct if w not in young]
-    added = {w: older[w] for w in missing if w in older}
-    added.update(encode_words([w for w in missing if w not in added], v))
-    at = {w: i for i, w in enumerate(distinct)}
-    found = [young[w] if w in young else added[w] for w in at]
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat = np.frombuffer(b"".join(found), np.int32)
-    begins = np.cumsum(sizes) - sizes
-    order = np.fromiter((at[w] for words in cut for w in words), np.int64, sum(map(len, cut)))
-    lens = sizes[order]
-    ends = np.cumsum(lens)
-    total = int(ends[-1]) if len(ends) else 0
-    pick = np.repeat(begins[order] - (ends - lens), lens) + np.arange(total)
-    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(w) for w in cut])]).astype(np.int64)]
-    values = pa.array(flat[pick], pa.int32())
-    offsets = pa.array([None if t is None else int(b) for t, b in zip([*texts, ""], bounds)], pa.int32())
-    # Two generations: a full one becomes the older, from which words in use come back without a new pass.
-    if len(young) + len(added) > CACHE:
-        v.words, v.older = added, young
-    else:
-        young.update(added)
-    return pa.ListArray.from_arrays(offsets, values)
-
-
-def decode_ids(ids: np.ndarray, texts: list[bytes | None]) -> str:
-    raw = b"".join([texts[i] or b"" for i in ids])
-    out = raw.decode("utf-8", "replace")
-    return out[1:] if out.startswith(" ") else out
+def units_of(text: str, v: Vocabulary) -> list[str]:
+    """What a text's encoding is put together from: words without their mark, or, beginning with a mark or line feed, as they are.
+
+    A plain word stands for itself behind one mark; one after a line feed keeps the line feed.
+    """
+    if MARK in text or "  " in text or text[0] in " \n" or text[-1] == " " or "\n " in text or " \n" in text or "\n" in v.ids:
+        words = marked_words(MARK + text.replace(" ", MARK), v)
+        return [w[1:] if w[0] == MARK and w[1:2] not in (MARK, "", "\n") else w if w[0] in (MARK, "\n") else "\n\n" + w for w in words]
+    return text.replace("\n", " \n").split(" ")
+
+
+def learn(units: list[str], e: Encoder) -> dict[str, bytes]:
+    """Ids of units that the worker does not know."""
+    after, plain = {}, []
+    for u in units:
+        if u[0] == "\n":
+            after[u] = [u[2:]] if u[:2] == "\n\n" and u.strip("\n") else marked_words(u, e.v)
+        else:
+            plain.append(u if u[0] == MARK else MARK + u)
+    found = encode_words(list({*plain, *chain.from_iterable(after.values())}), e)
+    return {u: b"".join([found[w] for w in after[u]]) if u in after else found[u if u[0] == MARK else MARK + u] for u in units}
+
+
+def encode_batch(texts: list[str | None], e: Encoder) -> pa.ListArray:
+    """Ids of whole texts; null: null; empty: none."""
+    cut = [units_of(t, e.v) if t else () for t in texts]
+    young, older = e.words, e.older
+    missing = [u for u in set().union(*cut) if u not in young]
+    added = {u: older[u] for u in missing if u in older}
+    added.update(learn([u for u in missing if u not in added], e))
+    young.update(added)
+    packed = [b"".join([young[u] for u in words]) for words in cut]
+    # Two generations, each bounded in bytes: a full one becomes the older, from which words in use come back without a new pass.
+    for u in added:
+        if len(u) > LONGEST:
+            del young[u]
+    e.held += sum(210 + 2 * len(u) + len(added[u]) for u in added if len(u) <= LONGEST)
+    if e.held > CACHE_BYTES:
+        e.older, e.words, e.held = young, {}, 0
+    width = array(e.kind).itemsize
+    ends = np.cumsum([0, *[len(x) // width for x in packed]])
+    values = np.frombuffer(b"".join(packed), f"u{width}").astype(np.int32)
+    offsets = pa.array([None if t is None else int(b) for t, b in zip([*texts, ""], ends)], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values))
+
+
+def decode_batch(ids: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """Texts of lists of ids (``pieces``: the bytes of each id); null: null. Bytes that are no UTF-8 read back as replacement marks."""
+    ids = pa.concat_arrays([ids])  # without an offset into a larger array
+    starts = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+    offsets = pa.array(np.concatenate([[0], starts]), pa.int32())
+    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, pieces.take(ids.flatten())), b"")
+    try:
+        texts = joined.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+    texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
+    return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
+
+
+_ready: dict[int, Encoder] = {}
+
+
+def encoder_of(shared) -> Encoder:
+    """The worker's encoder of a broadcast vocabulary; it lives across tasks of one worker."""
+    v = shared.value
+    if id(v) not in _ready or _ready[id(v)].v is not v:
+        _ready.clear()
+        _ready[id(v)] = Encoder(v)
+    return _ready[id(v)]
+
+
+def _schema(rows: DataFrame, without: str = "") -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != without)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """docs (id, text, ...) -> id, ids array<int>: whole texts; null text: null; empty text: no pieces."""
+    """docs (id, text, ...) -> id, ids array<int>: whole texts; null text: null; empty text: no pieces; an empty table: no rows."""
     spark = docs.sparkSession
     small_arrow_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        e = encoder_of(shared)
         for batch in batches:
-            ids = encode_batch(batch.column("text").to_pylist(), v)
-            cols = [ids if n == "text" else batch.column(n) for n in batch.schema.names]
-            yield pa.record_batch(cols, names=["ids" if n == "text" else n for n in batch.schema.names])
+            ids = encode_batch(batch.column("text").to_pylist(), e)
+            names = batch.schema.names
+            yield pa.record_batch([*[batch.column(n) for n in names if n != "text"], ids], names=[*[n for n in names if n != "text"], "ids"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" if f.name != "text" else "ids array<int>" for f in docs.schema)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, _schema(docs, "text") + "ids array<int>")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -234,16 +274,30 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = spark.sparkContext.broadcast(vocabulary.texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array([x or b"" for x in shared.value], pa.binary())
         for batch in batches:
-            texts = [None if x.as_py() is None else decode_ids(x.values.to_numpy(), shared.value) for x in batch.column("ids")]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
+            yield pa.record_batch([*batch.columns, decode_batch(batch.column("ids"), pieces)], names=[*batch.schema.names, "text"])
 
-    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", text string")
+    return rows.mapInArrow(run, _schema(rows) + "text string")
 
 
 def piece_report(docs: DataFrame, path: str = MODEL_PATH) -> DataFrame:
-    """doc_id, n_pieces, ids, exact (decoding gives the text back) for every document; null text: all null."""
-    v = read_vocabulary(path)
-    rows = docs.select("doc_id", F.col("text").alias("_text"), "text")
-    back = decode(encode(rows, v), v)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", (F.col("text") == F.col("_text")).alias("exact"))
+    """doc_id, n_pieces, ids, exact (decoding gives the text back) for every document, in one pass over the texts.
+
+    Null text: all null but doc_id; empty text: no pieces; an empty table gives no rows; other columns are not read.
+    """
+    spark = docs.sparkSession
+    small_arrow_batches(spark)
+    shared = spark.sparkContext.broadcast(read_vocabulary(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder_of(shared)
+        pieces = pa.array([x or b"" for x in e.v.texts], pa.binary())
+        for batch in batches:
+            text = batch.column(1)
+            ids = encode_batch(text.to_pylist(), e)
+            exact = pc.equal(decode_batch(ids, pieces), text.cast(pa.string()))
+            yield pa.record_batch([batch.column(0), ids, exact], names=["doc_id", "ids", "exact"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, _schema(docs.select("doc_id")) + "ids array<int>, exact boolean")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "exact")

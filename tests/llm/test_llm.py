@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import random
 import re
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,15 +243,25 @@ def test_pieces_equal_the_library(docs, rows, messy, empty):
     got = pieces.piece_report(docs).collect()
     text = {r.doc_id: r.text for r in rows}
     assert len(got) == len(rows) and all(r.exact and r.ids == sp.encode(text[r.doc_id]) for r in got if text[r.doc_id] is not None)
-    v = pieces.read_vocabulary()
+    v = pieces.Encoder(pieces.read_vocabulary())
     odd = ["", " ", "   a", "a" + " " * 37 + "b", "漢字 🙂", "\n \n", "é" * 200, None]
     assert pieces.encode_batch(odd, v).to_pylist() == [None if t is None else sp.encode(t) for t in odd]
-    small = pieces.read_vocabulary()
+    small = pieces.Encoder(pieces.read_vocabulary())
     with pytest.MonkeyPatch.context() as patch:  # generations turn over many times
-        patch.setattr(pieces, "CACHE", 50)
+        patch.setattr(pieces, "CACHE_BYTES", 10_000)
         for r in rows[:60]:
             assert pieces.encode_batch([r.text, r.text], small).to_pylist() == [None if r.text is None else sp.encode(r.text)] * 2
     assert small.older
+    rng = random.Random(1)
+    mixed = ["".join(rng.choices(["a", "the", "\n", " ", "  ", "▁", "é", "\t", "ing", "漢", "🙂", "\n\n", "\x00"], k=rng.randint(1, 25))) for _ in range(700)]
+    mixed += ["▁a", "a ▁ b", " x", "x ", "a\nb", "a\n\nb", "\na", "a\n", "a \nb", "a\n b", "\n\nab", "a\n\nab cd\nab", "<0x0A>", "<s> </s>", "\x00a b"]
+    spelled = pa.array([x or b"" for x in v.v.texts], pa.binary())
+    for i in range(0, len(mixed), 7):
+        ids = pieces.encode_batch(mixed[i:i + 7], v)
+        assert ids.to_pylist() == [sp.encode(t) for t in mixed[i:i + 7]]
+        assert pieces.decode_batch(ids, spelled).to_pylist() == [t.replace("▁", " ") for t in mixed[i:i + 7]]
+    again = pieces.decode(pieces.encode(docs.select("doc_id", "text"), v.v), v.v)
+    assert {r.doc_id: r.text for r in again.collect()} == text
     out = pieces.piece_report(messy).collect()
     assert len(out) == messy.count() and all(r.exact in (True, None) for r in out)
     assert pieces.piece_report(empty).count() == 0
