@@ -8,8 +8,8 @@ Scale notes:
   user / ad / city costs one row per map task before the shuffle;
 - top-N per (date, area) uses ``row_number <= n`` (``WindowGroupLimit`` trims
   before the shuffle) and only collects the <= n survivors;
-- sliding windows pre-aggregate per slide bucket *before* expanding to the
-  windows a bucket belongs to, so the expansion works on counts, not rows;
+- sliding windows pre-aggregate per slide bucket and sweep over window edges, two rows a bucket
+  however many windows it belongs to;
 - the last-hour cut is a scalar subquery (one max), not a cross join.
 """
 
@@ -130,8 +130,8 @@ def ad_sliding_counts(ads: DataFrame, length_minutes: int = C.SLIDING_LENGTH_MIN
                       slide_minutes: int = C.SLIDING_SLIDE_MINUTES) -> DataFrame:
     """Clicks per (adid, sliding window) aligned to the epoch like ``F.window(ts, length, slide)``.
 
-    Rows are first counted per slide bucket; each bucket count then adds to the
-    ``length / slide`` windows that contain it. Only windows holding a click appear.
+    Rows are first counted per slide bucket; windows are then summed by a sweep over their edges.
+    Only windows holding a click appear.
     """
     counts = ads.groupBy("adid", slide_bucket(F.col("ts"), slide_minutes).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     return windows_of_buckets(counts, length_minutes, slide_minutes)
@@ -148,11 +148,19 @@ def windows_of_buckets(counts: DataFrame, length_minutes: int, slide_minutes: in
     if length_minutes % slide_minutes:
         raise ValueError("length must be a multiple of slide")
     k = length_minutes // slide_minutes
-    expanded = counts.select("adid", "n", F.explode(F.sequence(F.col("bucket") - (k - 1), F.col("bucket"))).alias("start_bucket"))
-    summed = expanded.groupBy("adid", "start_bucket").agg(F.sum("n").cast("long").alias("n"))
+    # Sweep: the count of bucket b enters at window start b-k+1 and leaves at b+1, so a running sum over an
+    # ad's edges is the count of every window that starts between two edges. Two rows a bucket, whatever k is.
+    edges = counts.select("adid", F.inline(F.array(
+        F.struct((F.col("bucket") - (k - 1)).alias("edge"), F.col("n").alias("d")), F.struct((F.col("bucket") + 1).alias("edge"), (-F.col("n")).alias("d")))))
+    by_ad = Window.partitionBy("adid").orderBy("edge")
+    upto = by_ad.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # Of edges at one place only the last has a next one beyond it.
+    swept = edges.select("adid", "edge", F.sum("d").over(upto).cast("long").alias("n"), F.lead("edge").over(by_ad).alias("until"))
+    runs = swept.where((F.col("n") > 0) & (F.col("until") > F.col("edge")))
+    windows = runs.select("adid", "n", F.explode(F.sequence(F.col("edge"), F.col("until") - 1)).alias("start_bucket"))
     start = F.timestamp_add("MICROSECOND", F.col("start_bucket") * (slide_minutes * 60 * 1_000_000), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     end = F.timestamp_add("MINUTE", F.lit(length_minutes), start)
-    return summed.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
+    return windows.select("adid", start.alias("window_start"), end.alias("window_end"), "n")
 
 
 def ad_last_hour_trend(minute_counts: DataFrame, length_minutes: int = C.TREND_MINUTES,

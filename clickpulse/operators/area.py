@@ -1,7 +1,7 @@
 """Top products per area with a per-city click share (job Q4).
 
 Plan: clicks (``click_product_id > 0`` pushed to the scan) join the city
-dimension (broadcast after a row-count check, else a shuffle join), then one partial+final aggregate per
+dimension (Spark chooses the join by its size), then one partial+final aggregate per
 (area, product, city). Everything after that works on aggregated rows:
 - one window per (area, product) ranks the cities and sums the product total;
   only the top 2 cities are collected (no per-group list larger than 2);

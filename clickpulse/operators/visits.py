@@ -32,18 +32,28 @@ def visit_filter(
     end_date: str | None = None,
     start_age: int | str | None = None,
     end_age: int | str | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Visits of users in an optional date range and age range (all bounds inclusive).
 
     ``None`` or ``""`` means "no predicate". Joined to ``users`` on ``user_id`` with
     inner-join semantics (a duplicated user id duplicates its visits), keeping only
-    the visit columns. Both ranges are pushed to their scans.
+    the visit columns. Both ranges are pushed to their scans: a ``date`` of text is compared as text
+    (``yyyy-MM-dd`` keeps its order), never converted row by row, so a table partitioned by it is pruned.
+    ``days`` (date, few rows, of the same type): only visits on these days; on a table partitioned by date
+    Spark prunes the folders with their dates at run time, as it may filter the visits by a Bloom filter of
+    the chosen users before the join.
     """
+    text = dict(visits.dtypes)["date"] == "string"
+
+    def bound(day: object) -> Column:
+        return F.lit(str(day).strip()) if text else F.to_date(F.lit(str(day)))
+
     vpreds: list[Column] = []
     if _present(start_date):
-        vpreds.append(F.col("date") >= F.to_date(F.lit(str(start_date))))
+        vpreds.append(F.col("date") >= bound(start_date))
     if _present(end_date):
-        vpreds.append(F.col("date") <= F.to_date(F.lit(str(end_date))))
+        vpreds.append(F.col("date") <= bound(end_date))
     upreds: list[Column] = []
     if _present(start_age):
         upreds.append(F.col("age") >= F.lit(int(start_age)))
@@ -52,8 +62,9 @@ def visit_filter(
     v = visits.where(reduce(lambda a, b: a & b, vpreds)) if vpreds else visits
     u = users.select("user_id", "age")
     u = u.where(reduce(lambda a, b: a & b, upreds)) if upreds else u
-    # The user dimension is broadcast only after a row-count check; beyond it a
-    # shuffle join (AQE splits a hot user's partition).
+    if days is not None:
+        v = v.join(days.select("date").distinct(), "date", "left_semi")
+    # Spark chooses the join by the users' size; in a shuffle join AQE splits a hot user's partition.
     return v.join(u.select("user_id"), "user_id", "inner").select(*visits.columns)
 
 

@@ -22,11 +22,19 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 from clickpulse import constants as C  # noqa: E402
 from clickpulse.plans.jobs import Conditions, area_job, category_jobs, jdbc_sink, jump_job, parquet_sink  # noqa: E402
+from clickpulse.schemas import CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, rescue  # noqa: E402
 from clickpulse.session import CLUSTER_CONF, get_spark  # noqa: E402
 
 
-def _table(spark, name_or_path: str):
-    return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
+def _table(spark, name_or_path: str, schema, rejects: str | None, optional: tuple[str, ...] = ()):
+    """A table with its declared types; rows that cannot be converted are written to ``rejects``, or fail the job."""
+    raw = spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
+    rows, bad = rescue(raw, schema, name_or_path, optional)
+    if rejects:
+        bad.write.mode("append").parquet(os.path.join(rejects, os.path.basename(name_or_path.rstrip("/"))))
+    elif not bad.isEmpty():
+        raise ValueError(f"{name_or_path}: {bad.first().reason}; --rejects keeps such rows aside")
+    return rows
 
 
 def _sink(args):
@@ -63,6 +71,7 @@ def build_parser() -> argparse.ArgumentParser:
     ap.add_argument("--start-age", dest="start_age")
     ap.add_argument("--end-age", dest="end_age")
     ap.add_argument("--target-page-flow", dest="target_page_flow")
+    ap.add_argument("--rejects", help="folder for rows whose values do not fit the declared types (default: they fail the job)")
     ap.add_argument("--out", default="clickpulse-out", help="parquet output folder (shared storage)")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-user")
@@ -70,6 +79,9 @@ def build_parser() -> argparse.ArgumentParser:
     # streaming
     ap.add_argument("--kafka-servers")
     ap.add_argument("--topic", default="ads_log")
+    ap.add_argument("--max-offsets", type=int, help="Kafka: offsets a micro-batch takes at most")
+    ap.add_argument("--min-partitions", type=int, help="Kafka: tasks a micro-batch is read with at least")
+    ap.add_argument("--allow-data-loss", action="store_true", help="Kafka: go on when offsets are gone")
     ap.add_argument("--lines-dir", help="folder of text files with ad lines (instead of Kafka)")
     ap.add_argument("--state-root", help="shared folder for the app's tables and checkpoints")
     ap.add_argument("--fanout", choices=["inline", "stream"], default="inline")
@@ -97,7 +109,8 @@ def main(argv: list[str] | None = None) -> None:
         app = AdsApp(spark, args.state_root, args.threshold, args.top_n, args.trend_minutes, retain_days=args.retain_days,
                      state_partitions=args.state_partitions, fanout=args.fanout)
         lines = (text_line_stream(spark, args.lines_dir) if args.lines_dir
-                 else kafka_line_stream(spark, args.kafka_servers, args.topic))
+                 else kafka_line_stream(spark, args.kafka_servers, args.topic, max_offsets_per_trigger=args.max_offsets,
+                                        min_partitions=args.min_partitions, fail_on_data_loss=not args.allow_data_loss))
         trigger = None if args.available_now else args.trigger
         queries = [app.start_guard(lines, args.available_now, trigger)]
         if args.available_now:
@@ -107,14 +120,14 @@ def main(argv: list[str] | None = None) -> None:
             q.awaitTermination()
         return
     cond = _conditions(spark, args)
-    visits = _table(spark, args.visits)
+    visits = _table(spark, args.visits, USER_VISIT_ACTION, args.rejects, ("event_id",))
     sink = _sink(args)
     if args.job == "category":
-        category_jobs(visits, _table(spark, args.users), cond, sink)
+        category_jobs(visits, _table(spark, args.users, USER_INFO, args.rejects), cond, sink)
     elif args.job == "jump":
         jump_job(visits, cond, sink)
     else:
-        area_job(visits, _table(spark, args.cities), _table(spark, args.products), sink)
+        area_job(visits, _table(spark, args.cities, CITY_INFO, args.rejects), _table(spark, args.products, PRODUCT_INFO, args.rejects), sink)
 
 
 if __name__ == "__main__":

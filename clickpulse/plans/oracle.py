@@ -121,6 +121,7 @@ SELECT '{P.TASK_ID}' AS task_id, category, session_id, n FROM (
     q["category_top10_sql"] = q["category_top10"]
     q["category_session_top10_sql"] = q["category_session_top10"]
     q["page_jump_ratio_sql"] = q["page_jump_ratio"]
+    q["city_click_share_sql"] = q["city_click_share"]
     q["session_next_page_hot"] = q["session_next_page"]
     q.update(_area_sql())
     q["area_product_top3_sql"] = q["area_product_top3"]

@@ -117,6 +117,12 @@ def q_area_product_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_product_top_n_sql(spark, P.TASK_ID, P.TOP_PRODUCTS)
 
 
+def q_city_click_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city share in one SQL call."""
+    _sql_views(spark, sf_dir)
+    return spark.sql("SELECT * FROM cp_city_click_share()")
+
+
 def q_area_city_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = TestTables(spark, sf_dir)
     return A.area_city_clicks(t.visits, t.cities)
@@ -243,6 +249,7 @@ def queries() -> dict[str, Query]:
         "area_product_top3_sql": q_area_product_top3_sql,
         "category_session_top10_sql": q_category_session_top10_sql,
         "page_jump_ratio_sql": q_page_jump_ratio_sql,
+        "city_click_share_sql": q_city_click_share_sql,
         "visit_profile": q_visit_profile,
         "visit_filter": q_visit_filter,
         "category_counts": q_category_counts,

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpulse.functions.sql import register_sql_functions
+from clickpulse.functions.sql import register_share_function, register_sql_functions
+from clickpulse.operators.area import area_city_clicks
 from clickpulse.operators.jumps import session_next_page
 
 
@@ -21,6 +22,8 @@ def register_views(visits: DataFrame, users: DataFrame, cities: DataFrame, produ
     users.createOrReplaceTempView("user_info")
     cities.createOrReplaceTempView("city_info")
     products.createOrReplaceTempView("product_info")
+    area_city_clicks(visits, cities).createOrReplaceTempView("area_city_clicks")
+    register_share_function(visits.sparkSession)
 
 
 def _lit(v) -> str:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # One row is one action (search | click | order | pay). "No click" is -1, not null;
@@ -91,3 +92,42 @@ def check_schema(df: DataFrame, schema: T.StructType, name: str = "table") -> Da
     if problems:
         raise ValueError(f"{name} does not match its schema: " + "; ".join(problems))
     return df.select(*[f.name for f in schema.fields])
+
+
+def rescue(df: DataFrame, schema: T.StructType, name: str = "table", optional: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Typed scan of a table as it comes: ``(rows, bad)``.
+
+    Each declared column is converted with ``try_cast`` (text dates and times, numbers in text,
+    wider numbers). A row in which some value is lost by that goes to ``bad`` with its values as text and a
+    ``reason`` that names the columns; nulls are no loss. A column that is missing fails, unless it is
+    ``optional``: then it is left out. Other columns are dropped.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in have and f.name not in optional]
+    if missing:
+        raise ValueError(f"{name} does not match its schema: missing column " + ", ".join(missing))
+    fields = [f for f in schema.fields if f.name in have]
+    same = [f for f in fields if have[f.name] == f.dataType]
+    changed = [f for f in fields if have[f.name] != f.dataType]
+
+    def typed(f: T.StructField) -> Column:
+        return F.col(f.name) if f in same else _converted(F.col(f.name), have[f.name], f.dataType).alias(f.name)
+
+    rows = df.select(*[typed(f) for f in fields])
+    if not changed:
+        return rows, df.select(*[F.col(f.name).cast("string").alias(f.name) for f in fields], F.lit("").alias("reason")).where(F.lit(False))
+    lost = {f.name: F.col(f.name).isNotNull() & _converted(F.col(f.name), have[f.name], f.dataType).isNull() for f in changed}
+    reason = F.concat_ws(", ", *[F.when(bad, F.lit(f"{c} is no {schema[c].dataType.simpleString()}")) for c, bad in lost.items()])
+    marked = df.withColumn("_reason", reason)
+    rows = marked.where("_reason = ''").select(*[typed(f) for f in fields])
+    bad = marked.where("_reason <> ''").select(*[F.col(f.name).cast("string").alias(f.name) for f in fields], F.col("_reason").alias("reason"))
+    return rows, bad
+
+
+def _converted(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
+        # A zoned instant is read as UTC, whatever the session's zone.
+        return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    whole = isinstance(have, (T.DoubleType, T.FloatType, T.DecimalType)) and isinstance(want, (T.LongType, T.IntegerType))
+    cast = c.try_cast(want)
+    return F.when(cast == c, cast) if whole else cast  # 1.5 is no number of a page

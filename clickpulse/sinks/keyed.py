@@ -75,8 +75,8 @@ class KeyedTable:
                  buckets: int | None = None, fan_in: int = FAN_IN):
         """``merge``: "latest", "sum" or "min" of the columns that are no keys. ``fan_in`` 0: never fold.
 
-        ``bucket_by`` defaults to the last key; ``buckets`` to half the cluster's cores, and to what the
-        folder was made with if it exists.
+        ``bucket_by`` defaults to the last key; ``buckets`` to half the cluster's cores. A folder that
+        exists keeps the number of buckets and the merge it was made with.
         """
         if merge not in ("latest", "sum", "min"):
             raise ValueError("merge must be 'latest', 'sum' or 'min'")
@@ -89,8 +89,11 @@ class KeyedTable:
         self.bucket_by = list(bucket_by or self.keys[-1:])
         self.fan_in = fan_in
         made = storage.list_folders(spark, path, "buckets")
-        self.buckets = int(made[0]) if made else buckets or max(1, spark.sparkContext.defaultParallelism // 2)
-        self.location = f"{path}/buckets={self.buckets}"
+        if made:  # how a table is bucketed and merged stays with its folder
+            count, self.merge = made[0].split("-")
+            buckets = int(count)
+        self.buckets = buckets or max(1, spark.sparkContext.defaultParallelism // 2)
+        self.location = f"{path}/buckets={self.buckets}-{self.merge}"
         self.name = "keyed_" + hashlib.md5(self.location.encode()).hexdigest()
         self.values = [f.name for f in schema.fields if f.name not in self.keys]
         self._define(bool(made))

@@ -21,22 +21,41 @@ from pyspark.sql.streaming import StreamingQuery
 from clickpulse import storage
 
 
-def kafka_line_stream(
-    spark: SparkSession,
+def kafka_options(
     bootstrap_servers: str,
     topic: str,
     starting_offsets: str = "latest",
     group_id: str | None = None,
-) -> DataFrame:
-    """Kafka topic as a stream of string ``value`` lines (needs the Kafka connector on the classpath)."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-    )
-    if group_id:
-        reader = reader.option("kafka.group.id", group_id)
+    max_offsets_per_trigger: int | None = None,
+    min_offsets_per_trigger: int | None = None,
+    max_trigger_delay: str | None = None,
+    min_partitions: int | None = None,
+    fail_on_data_loss: bool = True,
+) -> dict[str, str]:
+    """Options of the Kafka source.
+
+    Admission control: ``max_offsets_per_trigger`` bounds a micro-batch (a restart after a long stop then
+    works off its backlog in steps), ``min_offsets_per_trigger`` waits for that many, at most
+    ``max_trigger_delay``; ``min_partitions`` splits Kafka partitions that hold much. ``fail_on_data_loss``
+    stops the query when offsets are gone (the default; counts would be too low without notice).
+    """
+    if not bootstrap_servers or not topic:
+        raise ValueError("a Kafka source needs servers and a topic")
+    if min_offsets_per_trigger and max_offsets_per_trigger and min_offsets_per_trigger > max_offsets_per_trigger:
+        raise ValueError("min_offsets_per_trigger is above max_offsets_per_trigger")
+    if max_trigger_delay and not min_offsets_per_trigger:
+        raise ValueError("max_trigger_delay needs min_offsets_per_trigger")
+    options = {
+        "kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic, "startingOffsets": starting_offsets,
+        "failOnDataLoss": str(fail_on_data_loss).lower(), "kafka.group.id": group_id, "maxOffsetsPerTrigger": max_offsets_per_trigger,
+        "minOffsetsPerTrigger": min_offsets_per_trigger, "maxTriggerDelay": max_trigger_delay, "minPartitions": min_partitions,
+    }
+    return {k: str(v) for k, v in options.items() if v is not None}
+
+
+def kafka_line_stream(spark: SparkSession, bootstrap_servers: str, topic: str, **options) -> DataFrame:
+    """Kafka topic as a stream of string ``value`` lines (needs the Kafka connector on the classpath); see kafka_options."""
+    reader = spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, **options))
     return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
 
 
