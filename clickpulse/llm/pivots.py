@@ -154,7 +154,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIV
 
     A query meets every vector but those of its own id; ties go to the smaller vec_id; fewer than k
     are returned where there are fewer. Vectors of different length are compared as if padded with
-    zeros. Empty inputs give no rows.
+    zeros. Empty inputs give no rows. Vectors so long that a product might not fit 64-bit integers
+    (a squared length of 2^62 or more) are an error.
     """
     spark = vectors.sparkSession
     small_arrow_batches(spark, rows=256, megabytes=8)
@@ -164,6 +165,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIV
     out = "query_id long, rank int, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], out)
+    if most >= 2.0**62:
+        raise ValueError("vectors are too long: inner products would not fit 64-bit integers")
     dim = max(1, dim)
     # The pivots come from a bounded sample; every vector is indexed.
     some = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(sample).select("v").collect()
@@ -179,9 +182,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIV
 
     asked = written(queries.select(F.col("query_id").cast("long").alias("query_id"), "v").distinct(), "queries")
     reach = asked.mapInArrow(_query_cells(centres, dim), "query_id long, cell int, d double, length2 double")
-    bounds = reach.join(blocks.select("cell", "lo", "hi", "n", "block"), "cell")
-    # Triangle inequality: nothing in the ring is nearer to the query than this.
-    bounds = bounds.withColumn("nearest", F.greatest(F.lit(0.0), F.col("d") - F.col("hi"), F.col("lo") - F.col("d")))
+    reach = written(reach, "reach")
+    rings = blocks.select("cell", "lo", "hi", "n", "block")
+    # Triangle inequality: nothing in the ring, or in the whole cell, is nearer to the query than this.
+    nearest = F.greatest(F.lit(0.0), F.col("d") - F.col("hi"), F.col("lo") - F.col("d"))
+    cells = written(rings.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("in_cell")), "cells")
+    in_reach = reach.join(F.broadcast(cells), "cell").withColumn("nearest", nearest).drop("lo", "hi")  # one row per pivot
 
     def evaluate(pairs: DataFrame) -> DataFrame:
         """Best k of every (query, block) pair, then of every query; queries meet a block in bounded lists."""
@@ -193,13 +199,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = PIV
 
     len_asked = asked.count()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    first = bounds.groupBy("query_id").agg(F.min(F.struct((F.col("n") <= k).alias("few"), "nearest", "d", "block")).alias("at"))
+    # The first ring lies in the query's own cell; the radius it gives closes whole cells before any of their rings is listed.
+    home = in_reach.groupBy("query_id").agg(F.min(F.struct((F.col("in_cell") <= k).alias("few"), "d", "cell")).alias("at"))
+    own = home.select("query_id", "at.cell", "at.d").join(rings, "cell").withColumn("nearest", nearest)
+    first = own.groupBy("query_id").agg(F.min(F.struct((F.col("n") <= k).alias("few"), "nearest", "block")).alias("at"))
     first = written(first.select("query_id", F.col("at.block").alias("block")), "first-ring")
     near = written(evaluate(first).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "first-scores")
     kth = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-    open_rings = bounds.join(first.withColumnRenamed("block", "seen"), "query_id").where("block <> seen").join(kth, "query_id", "left")
     radius = F.sqrt(F.greatest(F.lit(0.0), F.col("length2") + F.lit(float(most)) - 2.0 * F.col("kth").cast("double")))
-    open_rings = open_rings.where(F.col("kth").isNull() | (F.col("nearest") <= radius + SLACK * (radius + 1)))
+    reached = F.col("kth").isNull() | (F.col("nearest") <= radius + SLACK * (radius + 1))
+    open_cells = in_reach.join(first.withColumnRenamed("block", "seen"), "query_id").join(kth, "query_id", "left").where(reached)
+    open_rings = open_cells.drop("nearest").join(rings.hint("merge"), "cell").withColumn("nearest", nearest).where(reached & (F.col("block") != F.col("seen")))
     found = near.select("query_id", "vec_id", "score").union(evaluate(open_rings.select("query_id", "block")))
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
