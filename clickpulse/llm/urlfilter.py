@@ -141,13 +141,14 @@ def cascade(universe: DataFrame, flag: str, max_megabytes: int = MAX_MEGABYTES)
     raise RuntimeError(f"no exact cascade after {MAX_LEVELS} levels")
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, max_megabytes: int = MAX_MEGABYTES) -> DataFrame:
     """pages (page_id, url) -> page_id, host, path, rule, verdict for every row.
 
     rules: (verdict, host, path); a rule fits its host and all subdomains if the path starts with
     its path; the longest wins. Urls that no rule fits are blocked if their host, or a domain above
     it, is listed (column ``key``), else allowed. Null urls or urls without ``://`` have empty host
-    and path and are allowed. Repeated rows are each judged; an empty table gives no rows.
+    and path and are allowed. Repeated rows are each judged; an empty table gives no rows. The levels are
+    sent to every executor: a list that needs more than ``max_megabytes`` is refused, not cut.
     """
     spark = pages.sparkSession
     small_arrow_batches(spark, rows=5000)
@@ -164,7 +165,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataF
     plain = rows.select(F.explode("keys").alias("key")).distinct().select("key", F.lit(False).alias("allow"), F.lit(False).alias("block"))
     universe = hashed(plain.union(named)).groupBy("h1", "h2").agg(F.max("allow").alias("allow"), F.max("block").alias("block"))
     universe = written(universe, "url-keys")
-    shared = spark.sparkContext.broadcast((cascade(universe, "allow"), cascade(universe, "block")))
+    shared = spark.sparkContext.broadcast((cascade(universe, "allow", max_megabytes), cascade(universe, "block", max_megabytes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allow, block = shared.value
@@ -188,5 +189,6 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataF
     return hashes.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
 
 
-def url_report(pages: DataFrame) -> DataFrame:
-    return judge(pages, RULES, listed_hosts(pages))
+def url_report(pages: DataFrame, listed: DataFrame | None = None, max_megabytes: int = MAX_MEGABYTES) -> DataFrame:
+    """Judge every page by the fixed rules and a list of hosts (column ``key``; default: listed_hosts); odd rows as in judge."""
+    return judge(pages, RULES, listed_hosts(pages) if listed is None else listed, max_megabytes)
