@@ -2,7 +2,7 @@
 
 Quote levels are the ``>`` marks in front of a line. A passage is a run of lines of one level; its
 normalised text is hashed and joined to what earlier messages of the conversation said in their own
-words (whole messages, runs, paragraphs, lines). Messages are then ordered by reply: a message
+words (whole messages, runs, paragraphs, lines, sentences). Messages are then ordered by reply: a message
 that quotes another one follows in that one's thread, and the quotes are left out.
 """
 
@@ -18,12 +18,18 @@ MARKS = r"^(?:[ \t]*>)+[ \t]?"
 ATTRIBUTION = r"(?:wrote|writes|said|schrieb|a écrit|escribió) ?:\s*$"
 WHOLE = 1 << 40  # a whole passage outweighs any single line of it
 MAX_ROUNDS = 40
+SENTENCE_END = r"(?<=[.!?…。！？])[ ]?(?=\S)"  # in normalised text; line breaks do not end a sentence
 
 
 def normalised(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
+def sentences(text: Column) -> Column:
+    """Normalised sentences of a text, whatever its line breaks."""
+    return F.transform(F.split(normalised(text), SENTENCE_END), lambda s: F.trim(s))
+
+
 def _held(df: DataFrame, *cols: str | Column) -> DataFrame:
     """Keep the columns and compute the others once per row (the optimiser does not merge across the generator)."""
     plain = df.select(F.explode(F.array(F.struct(*cols))).alias("_h"))
@@ -54,7 +60,8 @@ def said(parsed: DataFrame) -> DataFrame:
     """First turn of a conversation that says a text in its own words: conv_id, hash, first."""
     own = F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: r["lines"])
     joined = F.transform(own, lambda x: F.array_join(x, "\n"))
-    texts = F.concat(F.array(F.col("clean")), joined, F.flatten(F.transform(joined, lambda x: F.split(x, r"\n\s*\n"))), F.flatten(own))
+    texts = F.concat(F.array(F.col("clean")), joined, F.flatten(F.transform(joined, lambda x: F.split(x, r"\n\s*\n"))), F.flatten(own),
+                     F.flatten(F.transform(joined, sentences)))
     keys = F.array_distinct(F.transform(F.filter(F.transform(texts, normalised), lambda t: t != ""), lambda t: F.md5(t)))
     return parsed.select("conv_id", "turn", F.explode(keys).alias("hash")).groupBy("conv_id", "hash").agg(F.min("turn").alias("first"))
 
@@ -62,13 +69,14 @@ def said(parsed: DataFrame) -> DataFrame:
 def quote_links(parsed: DataFrame) -> DataFrame:
     """conv_id, turn, msg, passage, level, original: the earliest earlier turn that said the passage (null: not found).
 
-    The whole passage counts first; else its longest line that was said before.
+    The whole passage counts first; else its longest line or sentence that was said before.
     """
     quoted = parsed.select("conv_id", "turn", "msg", F.posexplode("runs").alias("passage", "run")).where("run.level > 0")
     quoted = quoted.select("conv_id", "turn", "msg", "passage", F.col("run.level").alias("level"), F.col("run.lines").alias("lines")).distinct()
     whole = normalised(F.array_join("lines", "\n"))
     tries = F.concat(F.array(F.struct((F.lit(WHOLE) + F.length(whole)).alias("weight"), whole.alias("text"))),
-                     F.transform("lines", lambda x: F.struct(F.length(normalised(x)).cast("long").alias("weight"), normalised(x).alias("text"))))
+                     F.transform("lines", lambda x: F.struct(F.length(normalised(x)).cast("long").alias("weight"), normalised(x).alias("text"))),
+                     F.transform(sentences(F.array_join("lines", "\n")), lambda x: F.struct(F.length(x).cast("long").alias("weight"), x.alias("text"))))
     one = quoted.select("conv_id", "turn", "msg", "passage", "level", F.explode(F.filter(tries, lambda t: t["text"] != "")).alias("try"))
     one = one.withColumn("hash", F.md5("try.text"))
     found = one.join(said(parsed), ["conv_id", "hash"]).where("first < turn")
