@@ -2,13 +2,13 @@
 
 Both models are trigram models over code points with one shared vocabulary, counted over whole
 texts: the target on documents of labelled quality, the background on all others, its counts scaled
-down to the mass of the target (or, on request, on a sample of that size).
+down to the mass of the target.
 A document's score is its mean loss per character under the target less that under the background;
 lower is more like the target.
 
-No model is broadcast. Documents are dealt out in blocks of consecutive ids; a block first lists its
-distinct trigrams with their counts, the counts of all blocks give the losses, and each block then
-joins just the losses that it needs.
+No model is broadcast. Documents are dealt out in blocks of about equally many characters; a block
+first lists its distinct trigrams with their counts, the counts of all blocks give the losses, and each
+block then joins just the losses that it needs.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import small_arrow_batches, uniform, written
+from clickpulse.llm.common import small_arrow_batches, written
 
-BLOCK_IDS = 1000  # consecutive ids in a block
+BLOCK_CHARS = 4_000_000  # characters in a block, about
 PRIOR = 20.0  # weight of the shorter context in each estimate
 CHUNK = 2_000_000  # characters handled at once
 START = 0x1FFFFF  # stands before a text, twice
@@ -28,9 +28,9 @@ BITS = 21
 LOW1, LOW2 = (1 << BITS) - 1, (1 << 2 * BITS) - 1
 
 
-def block_of(doc_id: Column, text: Column) -> Column:
-    """Block of a document: consecutive ids share one; rows without id are spread by their text."""
-    return F.coalesce(F.floor(doc_id / BLOCK_IDS).cast("long"), F.lit(-(1 << 62)) + F.pmod(F.xxhash64(text), F.lit(4096)))
+def block_of(doc_id: Column, text: Column, blocks: int) -> Column:
+    """Block of a document by its id and text, so that neither a hot id nor rows without one fill a block."""
+    return F.pmod(F.xxhash64(doc_id, text), F.lit(blocks))
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,11 +55,10 @@ def _chunks(texts: list[str]):
         yield start, len(texts)
 
 
-def _count(key, docs: pa.Table, targets: pa.Table) -> pa.Table:
-    wanted = set(targets.column("doc_id").to_pylist())
+def _count(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
     texts = [t or "" for t in docs.column("text").to_pylist()]
-    target = np.array([i in wanted for i in docs.column("doc_id").to_pylist()], bool)
-    background = docs.column("background").to_numpy(zero_copy_only=False).astype(bool) & ~target
+    target = docs.column("target").to_numpy(zero_copy_only=False).astype(bool)
+    background = ~target
     keys, counts = np.empty(0, np.int64), np.empty((0, 2), np.int64)
     for a, b in _chunks(texts):
         grams, sizes = trigrams(texts[a:b])
@@ -119,33 +118,36 @@ def losses(counts: DataFrame, prior: float = PRIOR, scale: float = 1.0) -> DataF
     return three.select("gram", (-F.log2(smooth("t"))).alias("loss_t"), (-F.log2(smooth("b"))).alias("loss_b"))
 
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, whole_background: bool = False) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """docs (doc_id, text), targets (doc_id) -> doc_id, n_tokens, target_loss, background_loss, score; one row per row.
 
     Losses are mean bits per character; null or empty texts have 0 tokens and null losses. Without
-    targets the target model is uniform over the vocabulary; an empty table gives no rows.
+    targets the target model is uniform over the vocabulary; an empty table gives no rows; repeated
+    rows are each counted and scored; other columns are not read.
 
-    The models are matched in mass. With ``whole_background`` all other documents are counted and the
-    counts scaled down; else a sample of them is counted, drawn by the id (without one, by the text).
+    The background is counted on all documents that are no target. The models are matched in mass: if
+    it has more characters than the target, its counts are scaled down.
     """
     small_arrow_batches(docs.sparkSession)
     wanted = written(targets.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
-    sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
-    sizes = sizes.join(wanted.withColumn("hit", F.lit(True)), "doc_id", "left")
-    in_target, others = sizes.agg(F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)), F.coalesce(F.sum(F.when(F.col("hit").isNull(), F.col("n"))), F.lit(0))).first()
+    hit = wanted.select(F.col("doc_id").alias("_target"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sizes = rows.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n")).join(hit, F.col("doc_id") == F.col("_target"), "left")
+    zero = F.lit(0)
+    in_target, others = sizes.agg(F.coalesce(F.sum(F.when(F.col("_target").isNotNull(), F.col("n"))), zero),
+                                  F.coalesce(F.sum(F.when(F.col("_target").isNull(), F.col("n"))), zero)).first()
     rate = 1.0 if not in_target else min(1.0, in_target / max(1, others))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", block_of(F.col("doc_id"), F.col("text")).alias("block"))
-    drawn = uniform(23, F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))) < F.lit(rate)
-    flagged = rows.withColumn("background", F.lit(True) if whole_background else drawn)
-    chosen = wanted.withColumn("block", block_of(F.col("doc_id"), F.lit("")))
-    grams = flagged.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(_count, "block long, gram long, t long, b long")
-    grams = written(grams, "block-trigrams")
+    blocks = max(1, -(-(in_target + others) // BLOCK_CHARS))
+    placed = rows.withColumn("block", block_of(F.col("doc_id"), F.col("text"), blocks))
+    flagged = placed.join(hit, F.col("doc_id") == F.col("_target"), "left").select("block", "text", F.col("_target").isNotNull().alias("target"))
+    grams = written(flagged.groupBy("block").applyInArrow(_count, "block long, gram long, t long, b long"), "block-trigrams")
     counts = written(grams.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "trigrams")
-    needed = grams.select("block", "gram").join(losses(counts, scale=rate if whole_background else 1.0).hint("merge"), "gram")
-    return rows.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
+    # Written, so that both sides are plain tables and a trigram that is in every block can be split.
+    needed = grams.select("block", "gram").join(written(losses(counts, scale=rate), "losses").hint("merge"), "gram")
+    return placed.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
         _score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def lm_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Target: documents labelled of quality, background: all others; score every document."""
-    return cross_entropy_difference(docs, labels.where("quality = 1").select("doc_id"), whole_background=True)
+    """Target: documents labelled of quality, background: all others; score every document; odd rows as above."""
+    return cross_entropy_difference(docs, labels.where("quality = 1").select("doc_id"))

@@ -165,6 +165,31 @@ def test_quotation_links(spark):
     assert quotes.reply_ordered(df.limit(0)).count() == 0
 
 
+def test_quotes_of_sentences(spark):
+    """The middle sentence of a one-line message, and part of a paragraph with other line breaks, are found; the longest match wins."""
+    data = [(1, 0, "a", "We met in May. The bridge was closed for repairs! Nobody knew why."), (1, 1, "b", "Short one. The river rose\nby two metres in a night. All boats\nwere lost."),
+            (1, 2, "c", "> The bridge was closed for repairs!\nReally?"), (1, 3, "d", "> The river rose by two\n> metres in a night. All\n> boats were lost.\nSad."),
+            (1, 4, "e", "> nobody knew why. The river rose by two metres in a night.\nBoth."), (1, 5, "f", "> bridge was closed\nNo sentence.")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.reply_to, r.n_linked) for r in quotes.reply_ordered(df).collect()}
+    assert got == {0: (None, 0), 1: (None, 0), 2: (0, 1), 3: (1, 1), 4: (1, 1), 5: (None, 0)}
+
+
+def test_products_beyond_64_bits_are_an_error(spark):
+    rows = [(i, [1e13 + i, 1e13]) for i in range(3)]
+    with pytest.raises(ValueError, match="64-bit"):
+        pivots.search_report(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).count()
+
+
+def test_level_bound_is_an_argument(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.casino.net/x") for i in range(50)], "page_id long, url string")
+    with pytest.raises(ValueError, match="max_megabytes"):
+        urlfilter.url_report(pages, max_megabytes=0).count()
+    listed = spark.createDataFrame([("h1.casino.net",)], "key string")
+    got = {r.page_id: r.verdict for r in urlfilter.url_report(pages, listed).collect()}
+    assert [i for i, v in got.items() if v == "block"] == [1]
+
+
 def test_language_held_out_accuracy(docs, rows, messy, empty):
     got = {r.doc_id: r for r in langid.language_report(docs).collect()}
     held = [r for r in rows if got[r.doc_id].held_out and r.text]
@@ -302,7 +327,7 @@ def test_cross_entropy(spark, rows, messy, empty):
     got = {r.doc_id: r for r in crossentropy.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in wanted], "doc_id long")).collect()}
     total = {True: sum(len(t) for i, t in data if i in wanted), False: sum(len(t) for i, t in data if i not in wanted)}
     rate = min(1.0, total[True] / total[False])
-    picked = {r[0] for r in df.where(crossentropy.uniform(23, F.col("doc_id")) < rate).select("doc_id").collect()} - wanted
+    others = {i for i, _ in data} - wanted
 
     def grams(t):
         s = "\0\0" + t
@@ -310,8 +335,8 @@ def test_cross_entropy(spark, rows, messy, empty):
 
     vocab = {c for _, t in data for c in t}
 
-    def model(ids):
-        c3 = Counter(g for i, t in data if i in ids for g in grams(t))
+    def model(ids, scale):
+        c3 = {g: n * scale for g, n in Counter(g for i, t in data if i in ids for g in grams(t)).items()}
         c2, c1, x2, x1 = Counter(), Counter(), Counter(), Counter()
         for g, n in c3.items():
             c2[g[1:]] += n
@@ -323,11 +348,11 @@ def test_cross_entropy(spark, rows, messy, empty):
         def loss(g):
             p = (c1[g[2]] + 1) / (n + len(vocab) + 1)
             p = (c2[g[1:]] + k * p) / (x1[g[1]] + k)
-            return -math.log2((c3[g] + k * p) / (x2[g[:2]] + k))
+            return -math.log2((c3.get(g, 0) + k * p) / (x2[g[:2]] + k))
 
         return loss
 
-    t, b = model(wanted), model(picked)
+    t, b = model(wanted, 1.0), model(others, rate)
     for i, text in data:
         g = grams(text)
         assert got[i].n_tokens == len(text)
@@ -338,6 +363,19 @@ def test_cross_entropy(spark, rows, messy, empty):
     assert crossentropy.lm_report(empty, labels).count() == 0
 
 
+def test_documents_like_the_target_score_lower(spark, docs, monkeypatch):
+    """Labels on half of one language's documents: the other half scores below all documents of other languages; many small blocks, one hot id."""
+    monkeypatch.setattr(crossentropy, "BLOCK_CHARS", 5_000)
+    data = [(r.doc_id, r.text, r.lang) for r in docs.where("lang in ('fr', 'en', 'de') and length(text) > 300").orderBy("doc_id").limit(90).collect()]
+    mine = [i for i, _, lang in data if lang == "fr"]
+    labels = spark.createDataFrame([(i, 1) for i in mine[::2]], "doc_id long, quality int")
+    hot = [(-7, t) for _, t, lang in data if lang == "en"]
+    got = crossentropy.lm_report(spark.createDataFrame([(i, t) for i, t, _ in data] + hot, "doc_id long, text string"), labels).collect()
+    assert len(got) == len(data) + len(hot)
+    score = {r.doc_id: r.score for r in got}
+    assert max(score[i] for i in mine[1::2]) < min([score[i] for i, _, lang in data if lang != "fr"] + [r.score for r in got if r.doc_id == -7])
+
+
 def test_cross_entropy_counts_the_whole_background(spark, rows):
     """Labels that stay few: the background is all other documents, rows without id too, at the target's mass."""
     data = [(None if n % 5 == 4 else r.doc_id, r.text) for n, r in enumerate(rows[:40])]
