@@ -152,21 +152,21 @@ class KeyedTable:
         n = F.lit(int(batch_id)).cast("long")
         self._insert(df.select(*[f.name for f in self.schema.fields], day.alias(DAY), n.alias("lo"), n.alias("hi"), F.lit(0).alias("level")))
 
-    def fold(self, batch_id: int, partitions: list | None = None) -> None:
+    def fold(self, batch_id: int, partitions: list | None = None, runs: list[Run] | None = None) -> None:
         """Fold full levels of the given partitions (default: all); call it inside batch ``batch_id``.
 
         Only batch ``batch_id`` can still be replayed, and its own run is never folded. Readers
-        get the same values before, during and after.
+        get the same values before, during and after. ``runs``: of these partitions, if the caller has them.
         """
         if self.fan_in:
-            self._fold(batch_id, partitions, lambda runs: tier(runs, max(2, self.fan_in)))
+            self._fold(batch_id, partitions, lambda rs: tier(rs, max(2, self.fan_in)), runs)
 
     def compact(self, batch_id: int, partitions: list | None = None) -> None:
         """Fold every run below ``batch_id`` into one per partition, whatever its level (housekeeping)."""
         self._fold(batch_id, partitions, lambda runs: Run(runs[0].day, runs[0].lo, runs[-1].hi, max(r.level for r in runs) + 1) if len(runs) > 1 else None)
 
-    def _fold(self, batch_id: int, partitions: list | None, choose) -> None:
-        runs = self.runs(self._days(partitions))
+    def _fold(self, batch_id: int, partitions: list | None, choose, runs: list[Run] | None = None) -> None:
+        runs = self.runs(self._days(partitions)) if runs is None else runs
         seen = set(visible(runs))
         self._drop([r for r in runs if r not in seen])  # what a fold that was cut short left behind
         by_day: dict[str, list[Run]] = {}
@@ -222,10 +222,14 @@ class KeyedTable:
         n = int(batch_id)
         return self.spark.table(self.name).where((F.col("lo") == n) & (F.col("hi") == n) & (F.col("level") == 0)).select(*[f.name for f in self.schema.fields])
 
-    def read(self, upto_version: int | None = None, partitions: list | None = None) -> DataFrame:
-        """The merged value of every key, from batches up to ``upto_version`` and, if given, some partitions."""
+    def read(self, upto_version: int | None = None, partitions: list | None = None, runs: list[Run] | None = None) -> DataFrame:
+        """The merged value of every key, from batches up to ``upto_version`` and, if given, some partitions.
+
+        ``runs``: of these partitions, if the caller has them.
+        """
         days = self._days(partitions)
-        runs = self.runs(days if partitions is not None else None)
+        if runs is None:
+            runs = self.runs(days if partitions is not None and self.partition_col else None)
         taken = set(visible(runs, upto_version))
         known = [r for r in runs if upto_version is None or r.hi <= upto_version]
         rows = self._rows(None, [r for r in known if r not in taken])

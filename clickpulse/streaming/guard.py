@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from clickpulse import constants as C
 from clickpulse import storage
-from clickpulse.sinks.keyed import FAN_IN, NO_DAY, KeyedTable
+from clickpulse.sinks.keyed import FAN_IN, NO_DAY, KeyedTable, Run
 
 ACCEPTED_SCHEMA = T.StructType(
     [
@@ -80,35 +80,37 @@ class AdClickGuard:
             return self.spark.createDataFrame([], ACCEPTED_SCHEMA)
         return self.spark.read.schema(ACCEPTED_SCHEMA).option("basePath", self.accepted_path).parquet(folder)
 
-    def blocked(self, before_batch: int | None = None) -> DataFrame:
+    def blocked(self, before_batch: int | None = None, runs: list[Run] | None = None) -> DataFrame:
         """``userid, block_batch`` (the batch after which the user is blocked)."""
-        return self.blocks.read(None if before_batch is None else int(before_batch) - 1)
+        return self.blocks.read(None if before_batch is None else int(before_batch) - 1, runs=runs)
 
-    def user_day_counts(self, upto_batch: int | None = None, dates: list[str] | None = None) -> DataFrame:
+    def user_day_counts(self, upto_batch: int | None = None, dates: list[str] | None = None, runs: list[Run] | None = None) -> DataFrame:
         """Running accepted clicks per (date, userid, adid); with ``dates`` of these days only."""
-        return self.counts.read(upto_batch, dates).select("date", "userid", "adid", "n")
+        return self.counts.read(upto_batch, dates, runs).select("date", "userid", "adid", "n")
 
     # the micro-batch step -------------------------------------------------------
     def accepted_written(self, batch_id: int) -> bool:
         """Whether all rows of the batch are in ``accepted`` (its marker is made after the write)."""
         return storage.exists(self.spark, f"{self.commits_path}/{int(batch_id)}")
 
-    def filtered(self, batch: DataFrame, batch_id: int) -> DataFrame:
+    def filtered(self, batch: DataFrame, batch_id: int, runs: list[Run] | None = None) -> DataFrame:
         """The batch without users blocked before it (a null user is kept)."""
-        if not self.blocks.runs([NO_DAY]):
+        runs = self.blocks.runs([NO_DAY]) if runs is None else runs
+        if not runs:
             return batch
-        hit = batch.select("userid").distinct().join(self.blocked(batch_id).select("userid"), "userid", "left_semi")
+        hit = batch.select("userid").distinct().join(self.blocked(batch_id, runs).select("userid"), "userid", "left_semi")
         return batch.join(hit, "userid", "left_anti")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
         if "event_id" not in batch.columns:  # line sources (Kafka value, text files) carry no id
             batch = batch.withColumn("event_id", F.lit(None).cast("long"))
+        block_runs = self.blocks.runs([NO_DAY])  # asked of the catalog once a batch
         # Accepted rows are write-once: downstream file streams read this table, so a
         # replayed batch must not put new files next to the ones already read.
         if not self.accepted_written(n):
             columns = [f.name for f in ACCEPTED_SCHEMA.fields if f.name != "batch_id"]
-            self.filtered(batch, n).select(*columns).write.mode("overwrite").parquet(f"{self.accepted_path}/batch_id={n}")
+            self.filtered(batch, n, block_runs).select(*columns).write.mode("overwrite").parquet(f"{self.accepted_path}/batch_id={n}")
             storage.make_dirs(self.spark, f"{self.commits_path}/{n}")
             for old in storage.list_folders(self.spark, self.commits_path):
                 if old.isdigit() and int(old) < n:  # only batch n can still be replayed
@@ -119,14 +121,15 @@ class AdClickGuard:
         self.counts.upsert(inc, n)
         days = self.counts.partitions_of_version(n)
         if days:
-            self.blocks.upsert(self.newly_blocked(n, days), n)
-            self.counts.fold(n, days)
-            self.blocks.fold(n)
+            runs = self.counts.runs([NO_DAY if d is None else d for d in days])
+            self.blocks.upsert(self.newly_blocked(n, days, runs, block_runs), n)
+            self.counts.fold(n, days, runs)
+            self.blocks.fold(n, runs=block_runs)
 
-    def newly_blocked(self, batch_id: int, days: list[str | None]) -> DataFrame:
+    def newly_blocked(self, batch_id: int, days: list[str | None], runs: list[Run] | None = None, block_runs: list[Run] | None = None) -> DataFrame:
         """Users whose count of some day of ``days`` reached the threshold by this batch and who were not blocked before."""
-        over = self.user_day_counts(batch_id, days).where(F.col("n") >= self.threshold).select("userid").distinct()
-        before = self.blocked(batch_id).select("userid")
+        over = self.user_day_counts(batch_id, days, runs).where(F.col("n") >= self.threshold).select("userid").distinct()
+        before = self.blocked(batch_id, block_runs).select("userid")
         return over.join(before, "userid", "left_anti").select("userid", F.lit(int(batch_id)).cast("long").alias("block_batch"))
 
     def expire_accepted(self, before_batch: int) -> None:
