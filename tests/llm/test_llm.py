@@ -82,7 +82,7 @@ def brute_components(ids, texts, k, percent):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name])
     cols = sorted(want.columns)
