@@ -26,7 +26,7 @@ SAMPLE_DOCS = 2000  # expected per language
 ORDER = 5
 SMOOTH = 0.5
 LEAST_MASS = 1000  # added to each language's count, so that a few words do not weigh like a language
-CACHE_BYTES = 56 << 20  # of unknown words that a worker remembers, by estimate
+CACHE_BYTES = 28 << 20  # of unknown words that a worker remembers, by estimate
 LONGEST = 64  # characters of a word that is remembered
 
 _WORD = regex.compile(r"\p{L}+")
@@ -217,8 +217,9 @@ def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     @F.pandas_udf("lang string, score double, sure boolean")
     def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cache: dict[str, np.ndarray] = {}
+        known = shared.value
         for batch in texts:
-            yield pd.DataFrame([predict_text(t, shared.value, cache) for t in batch], columns=["lang", "score", "sure"])
+            yield pd.DataFrame([predict_text(t, known, cache) for t in batch], columns=["lang", "score", "sure"])
 
     # One struct holds the given columns, so no name of theirs can clash.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), guess(F.col("text")).alias("guess"))

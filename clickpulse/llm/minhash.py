@@ -2,10 +2,10 @@
 
 Per document one pass over the whole text gives its set of word shingles (64-bit hashes), the
 minima of many universal hash functions, and band keys. Documents with the same set form a class,
-and only one text of each class goes on. Classes that share a band key are candidates: every
-member of such a bucket is first compared with the bucket's first one, by signature, then on the
-full sets. Members that do not match it are compared with the others of the same bucket, in blocks of
-bounded size and only where the links so far leave them in different components. Blocks emit only
+and only one text of each class goes on. Classes that share a band key are candidates. A
+member is first compared with the bucket's first one with which it shares most buckets, by signature,
+then on the full sets. Buckets whose members are then still in several components are compared
+within, in blocks of bounded size, and only between components. Blocks emit only
 links that join two parts, never all pairs. Components of the confirmed links are the result.
 """
 
@@ -224,12 +224,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     # Members of buckets; a hot bucket is one key of a plain join, which Spark can split.
     member = written(keys.join(written(shared, "buckets").hint("merge"), "band"), "members")
 
+    # Each member meets the first one that it shares most buckets with: a near copy, if it has one.
+    often = member.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
+    pairs = often.groupBy(F.col("node").alias("u")).agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("v"))
+    pairs = written(pairs, "star-pairs")
+
     # The list of members grows with the corpus: never broadcast it, at any size.
     wanted = member.select("node").distinct().join(classes.select("node", "rep.id", "rep.mark"), "node")
     chosen = source.join(wanted.hint("merge"), ["id", "mark"]).select("id", "mark", "node", "text").dropDuplicates(["id", "mark"])
     sets = written(chosen.select("node", "text").mapInArrow(_sets(shingle_words, hashes), "node long, hashes binary, sig binary"), "sets")
-    first_sets = sets.select(F.col("node").alias("v"), F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
-    pairs = member.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    first_sets = sets.join(pairs.select(F.col("v").alias("node")).distinct(), "node", "left_semi")
+    first_sets = first_sets.select(F.col("node").alias("v"), F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
     star = pairs.join(sets.withColumnRenamed("node", "u").hint("merge"), "u").join(first_sets.hint("merge"), "v")
     star = star.select("u", "v", "hashes", "sig", "first_hashes", "first_sig").mapInArrow(_star(percent), "u long, v long, linked boolean")
     links = written(star.where("linked").select("u", "v"), "star")

@@ -27,7 +27,7 @@ from clickpulse.llm.common import small_arrow_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_BYTES = 48 << 20  # of one generation of words that a worker remembers, by estimate
+CACHE_BYTES = 40 << 20  # of one generation of words that a worker remembers, by estimate
 LONGEST = 64  # characters of a word that is remembered
 PAIRS = 300_000  # pairs of pieces whose merging a worker remembers
 
