@@ -75,8 +75,8 @@ def mixture(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float =
     """rows (doc_id, source, size, key) -> (rows, plan); plan has one row per source.
 
     plan: source, source_size, target, epochs, last (the greatest place() that the fractional
-    selection takes, null if none) and equals (how many of the rows at that place it takes). A document
-    is taken ``epochs`` times, and once more if it comes before ``last`` or is one of ``equals`` there.
+    selection takes, null if none), equals and total (how many of the rows at that place it takes, of how
+    many). A document is taken ``epochs`` times, and once more if it comes before ``last`` or is one of ``equals`` there.
     """
     order = [F.asc_nulls_last("source"), F.asc("key"), F.asc_nulls_last("doc_id"), F.asc("mark"), F.asc("size")]
     run = written(running_sums(rows, order, {"upto": F.col("size")}, "mix-order"), "mix-sums")
@@ -86,11 +86,13 @@ def mixture(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float =
     full = plan.join(starts, F.col("source").eqNullSafe(F.col("_s"))).select(F.col("source").alias("_s"), "rest", "start")
     near = run.join(full, F.col("source").eqNullSafe(F.col("_s"))).where(
         F.col("upto") - F.col("size") - F.col("start") + F.col("size") / 2 <= F.col("rest")).where("size > 0")
-    # The last place first, then how many rows stand there: both combine before the shuffle.
-    last = near.groupBy(F.col("source").alias("_l")).agg(F.max(place()).alias("last"))
-    there = near.join(last, F.col("source").eqNullSafe(F.col("_l"))).where(place() == F.col("last"))
-    equals = there.groupBy(F.col("_l").alias("_s")).agg(F.first("last").alias("last"), F.count("*").alias("equals"))
-    plan = plan.join(equals, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_size", "target", "epochs", "last", "equals")
+    # The last place first, then how many rows stand there and how many of them are taken: all combine before the shuffle.
+    last = near.groupBy(F.col("source").alias("_s")).agg(F.max(place()).alias("last"))
+    ends = full.join(last.withColumnRenamed("_s", "_l"), F.col("_s").eqNullSafe(F.col("_l"))).drop("_l")
+    there = run.join(ends, F.col("source").eqNullSafe(F.col("_s"))).where(place() == F.col("last"))
+    inside = F.col("upto") - F.col("size") - F.col("start") + F.col("size") / 2 <= F.col("rest")
+    equals = there.groupBy("_s").agg(F.first("last").alias("last"), F.count_if(inside).alias("equals"), F.count("*").alias("total"))
+    plan = plan.join(equals, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_size", "target", "epochs", "last", "equals", "total")
     return rows, written(plan, "mix-plan")
 
 
@@ -99,22 +101,32 @@ def place():
     return F.struct(F.col("key").alias("key"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("mark").alias("mark"), F.col("size").alias("size"))
 
 
-def copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` with source_size, target and ``copies``, how often the mix takes the document (0 up).
+def copies(rows: DataFrame, weights: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with key, source_size, target and ``copies``, how often the mix takes the document (0 up).
 
-    Only the rows at a source's last place are numbered: mostly one, but a document may be given very often.
+    Where only some of the rows at a source's last place are taken, which are copies of one document, these
+    rows alone are numbered; they are picked out before the keys are joined, so other texts move once.
     """
-    p = plan.withColumnRenamed("source", "_s")
-    out = rows.join(p, rows["source"].eqNullSafe(p["_s"]))
-    plain = [*rows.columns, "source_size", "target"]
-    at_last = F.coalesce(place() == F.col("last"), F.lit(False))
-    before = out.where(~at_last).select(*plain, (F.col("epochs") + F.coalesce((place() < F.col("last")).cast("long"), F.lit(0))).alias("copies"))
-    tied = out.where(at_last).withColumn("_row", F.monotonically_increasing_id())
+    split = plan.where("equals < total").select(F.col("source").alias("_s"), F.col("last.mark").alias("_mark"), F.col("last.size").alias("_size"))
+    spot = F.col("source").eqNullSafe(F.col("_s")) & (F.col("mark") == F.col("_mark")) & (F.col("size") == F.col("_size"))
+    plain = [*rows.columns, "key", "source_size", "target"]
+
+    def placed(part: DataFrame) -> DataFrame:
+        own = keyed(part, weights)
+        p = plan.withColumnRenamed("source", "_s")
+        return own.join(p, own["source"].eqNullSafe(p["_s"])).drop("_s")
+
+    numbered = (F.col("equals") < F.col("total")) & (place() == F.col("last"))
+    every = placed(rows).where(~F.coalesce(numbered, F.lit(False)))
+    every = every.select(*plain, (F.col("epochs") + F.coalesce((place() <= F.col("last")).cast("long"), F.lit(0))).alias("copies"))
+    if split.isEmpty():  # one row per source
+        return every
+    tied = placed(rows.join(split, spot, "left_semi")).where(numbered).withColumn("_row", F.monotonically_increasing_id())
     tied = running_sums(tied, [F.asc_nulls_last("source"), F.col("_row")], {"_nth": F.lit(1)}, "mix-ties")
     first = tied.groupBy(F.col("source").alias("_f")).agg(F.min("_nth").alias("_first"))
     tied = tied.join(first, F.col("source").eqNullSafe(F.col("_f")))
     tied = tied.select(*plain, (F.col("epochs") + (F.col("_nth") - F.col("_first") < F.col("equals")).cast("long")).alias("copies"))
-    return before.unionByName(tied)
+    return every.unionByName(tied)
 
 
 def mix_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -124,9 +136,9 @@ def mix_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     no rows; documents of size 0 are taken with 0 words. Rows without a doc_id are drawn by their
     text; of repeated rows as many are taken as the target needs.
     """
-    rows = written(keyed(sized(docs), quality_weights(labels)), "mix-rows")
-    rows, plan = mixture(rows)
-    return copies(rows, plan).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    slim, weights = written(sized(docs), "mix-rows"), quality_weights(labels)
+    _, plan = mixture(keyed(slim, weights))
+    return copies(slim, weights, plan).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -139,5 +151,5 @@ def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # The decision is a function of a document's own key and its source's row: the texts are not sorted.
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id"), F.col("source"),
                         F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("mark"))
-    taken = copies(keyed(whole, quality_weights(labels)), plan)
+    taken = copies(whole, quality_weights(labels), plan)
     return taken.where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
