@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import small_arrow_batches, written
+from clickpulse.operators.joins import materialized_side
 
 BLOCK_CHARS = 4_000_000  # characters in a block, about
+TARGET_BYTES = 8 << 20  # bytes on disk up to which the list of targets is broadcast
 PRIOR = 20.0  # weight of the shorter context in each estimate
 CHUNK = 2_000_000  # characters handled at once
 START = 0x1FFFFF  # stands before a text, twice
@@ -129,8 +131,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     it has more characters than the target, its counts are scaled down.
     """
     small_arrow_batches(docs.sparkSession)
-    wanted = written(targets.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
-    hit = wanted.select(F.col("doc_id").alias("_target"))
+    # The list of targets grows with the labels: broadcast while its files are small, else the texts are shuffled once by id.
+    hit = materialized_side(targets.select(F.col("doc_id").cast("long").alias("_target")).where("_target is not null").distinct(), TARGET_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sizes = rows.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n")).join(hit, F.col("doc_id") == F.col("_target"), "left")
     zero = F.lit(0)
