@@ -12,20 +12,28 @@ from clickpulse.session import scratch_dir
 
 # Words of the documents: runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+ROWS_A_FILE = 1 << 18  # of a narrow table (a few numbers a row) whose number of files is chosen
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def files_for(rows: int) -> int:
+    """Files for a narrow table of about ``rows`` rows."""
+    return max(1, -(-rows // ROWS_A_FILE))
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` once under the shared scratch folder and read it back.
 
-    Later steps then see one fixed result (lineage is cut; a lost executor loses nothing).
+    Later steps then see one fixed result (lineage is cut; a lost executor loses nothing). Without
+    ``files`` every task writes one. Hadoop's local file system launches processes from the executor
+    for each file (``chmod``), so narrow tables are dealt out evenly to ``files`` tasks instead.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    (df if files is None else df.repartition(files)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import small_arrow_batches, written
+from clickpulse.llm.common import files_for, small_arrow_batches, written
 from clickpulse.llm.components import connected_components
 
 HASHES = 384  # universal hash functions per signature
@@ -215,19 +215,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     rows = band_rows(percent / 100, hashes)
     source = docs.select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
     sketch = written(source.mapInArrow(_sketches(shingle_words, hashes, rows), "id long, mark long, n_shingles long, set_key binary, bands array<long>"), "sketch")
+    few = files_for(sketch.count())  # files of the narrow tables below
 
     # Classes of equal sets; one text of each, that of the smallest id, goes on under the class's number.
     classes = sketch.groupBy("set_key").agg(F.min(F.struct("id", "mark")).alias("rep"), F.first("bands").alias("bands"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     keys = classes.where("bands is not null").select(F.explode("bands").alias("band"), "node")
-    shared = keys.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
+    shared = keys.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = written(shared, "buckets", few)
+    in_buckets = files_for(shared.agg(F.sum("n")).first()[0] or 0)  # files of tables with a row per member
     # Members of buckets; a hot bucket is one key of a plain join, which Spark can split.
-    member = written(keys.join(written(shared, "buckets").hint("merge"), "band"), "members")
+    member = written(keys.join(shared.select("band", "first").hint("merge"), "band"), "members", in_buckets)
 
     # Each member meets the first one that it shares most buckets with: a near copy, if it has one.
     often = member.where("node <> first").groupBy("node", "first").agg(F.count("*").alias("n"))
     pairs = often.groupBy(F.col("node").alias("u")).agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("v"))
-    pairs = written(pairs, "star-pairs")
+    pairs = written(pairs, "star-pairs", few)
 
     # The list of members grows with the corpus: never broadcast it, at any size.
     wanted = member.select("node").distinct().join(classes.select("node", "rep.id", "rep.mark"), "node")
@@ -237,16 +240,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     first_sets = first_sets.select(F.col("node").alias("v"), F.col("hashes").alias("first_hashes"), F.col("sig").alias("first_sig"))
     star = pairs.join(sets.withColumnRenamed("node", "u").hint("merge"), "u").join(first_sets.hint("merge"), "v")
     star = star.select("u", "v", "hashes", "sig", "first_hashes", "first_sig").mapInArrow(_star(percent), "u long, v long, linked boolean")
-    links = written(star.where("linked").select("u", "v"), "star")
+    links = written(star.where("linked").select("u", "v"), "star", few)
 
     # Buckets whose members are still in several components: compare those outside the first one's with all others.
-    sofar = written(connected_components(links, "star-links"), "star-components")
+    sofar = written(connected_components(links, "star-links", files=few), "star-components", few)
     of = lambda c: sofar.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
     placed = member.join(of("node").hint("merge"), "node", "left").join(of("first").hint("merge"), "first", "left").select(
         "band", "node", F.coalesce("node_in", "node").alias("component"), F.coalesce("first_in", "first").alias("home"))
-    placed = written(placed.withColumn("joined", F.col("component") == F.col("home")), "placed")
+    placed = written(placed.withColumn("joined", F.col("component") == F.col("home")), "placed", in_buckets)
     size = placed.groupBy("band").agg(F.count_if("joined").alias("n_in"), F.count_if(~F.col("joined")).alias("n_open")).where("n_open > 0")
-    size = written(size.select("band", F.ceil(F.col("n_in") / block).cast("int").alias("in_cuts"), F.ceil(F.col("n_open") / block).cast("int").alias("open_cuts")), "open")
+    size = written(size.select("band", F.ceil(F.col("n_in") / block).cast("int").alias("in_cuts"), F.ceil(F.col("n_open") / block).cast("int").alias("open_cuts")), "open", few)
     spots = placed.join(size.hint("merge"), "band").select(
         "band", "node", "component", "joined", "in_cuts", "open_cuts",
         F.pmod(F.xxhash64("node"), F.when(F.col("joined"), F.col("in_cuts")).otherwise(F.col("open_cuts"))).cast("int").alias("cut"))
@@ -261,10 +264,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     by = ["band", "a", "kind", "b"]
     more = dealt.repartition(*by).sortWithinPartitions(*by, "part", "node").mapInArrow(_blocks(percent), "u long, v long")
 
-    found = connected_components(links.union(more), "links").select("node", F.col("component").alias("root"))
+    found = connected_components(links.union(more), "links", files=few).select("node", F.col("component").alias("root"))
     reps = classes.select("set_key", "node", "rep.id").join(found, "node", "left").select("set_key", "id", F.coalesce("root", "node").alias("grp"))
     least = reps.groupBy("grp").agg(F.min("id").alias("component"))
-    reps = written(reps.join(least, "grp").select("set_key", "grp", "component"), "group-of-set")
+    reps = written(reps.join(least, "grp").select("set_key", "grp", "component"), "group-of-set", few)
     return sketch.select("id", "mark", "n_shingles", "set_key").join(reps.hint("merge"), "set_key").select("id", "mark", "n_shingles", "component", "grp")
 
 

@@ -16,6 +16,8 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from typing import Any
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -235,16 +237,17 @@ def decode_batch(ids: pa.ListArray, pieces: pa.Array) -> pa.Array:
     return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
 
 
-_ready: dict[int, Encoder] = {}
+_ready: WeakKeyDictionary[Any, Encoder] = WeakKeyDictionary()
 
 
 def encoder_of(shared) -> Encoder:
-    """The worker's encoder of a broadcast vocabulary; it lives across tasks of one worker."""
-    v = shared.value
-    if id(v) not in _ready or _ready[id(v)].v is not v:
-        _ready.clear()
-        _ready[id(v)] = Encoder(v)
-    return _ready[id(v)]
+    """The worker's encoder of a broadcast vocabulary; it lives across tasks of one worker, as long as the broadcast.
+
+    A worker drops a broadcast with its first task that does not read it, so idle words do not weigh on later steps.
+    """
+    if shared not in _ready:
+        _ready[shared] = Encoder(shared.value)
+    return _ready[shared]
 
 
 def _schema(rows: DataFrame, without: str = "") -> str:

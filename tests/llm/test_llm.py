@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import os
+import pathlib
 import random
 import re
+import weakref
 from collections import Counter
 
 import duckdb
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from clickpulse.llm import crossentropy, langid, lzprint, minhash, mixing, pieces, pivots, queries, quotes, tokencounts, urlfilter
 from clickpulse.llm.components import connected_components
+from clickpulse.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -426,6 +430,47 @@ def test_near_duplicates_in_blocks(spark):
     assert got == brute_components(list(range(len(texts))), texts, 3, 85)
 
 
+def test_encoder_goes_with_its_broadcast():
+    """Words that a worker remembers do not outlive the broadcast vocabulary."""
+
+    class Shared:
+        value = pieces.read_vocabulary(pieces.MODEL_PATH)
+
+    shared = Shared()
+    e = pieces.encoder_of(shared)
+    assert pieces.encode_batch(["some words", None], e).to_pylist()[1] is None
+    assert pieces.encoder_of(shared) is e
+    gone = weakref.ref(e)
+    del e, shared
+    gc.collect()
+    assert gone() is None
+
+
+def test_narrow_tables_are_few_files(spark):
+    """Hadoop launches processes for each file that a task writes: small tables are one file, however many partitions."""
+    scratch = pathlib.Path(re.sub("^file:/*", "/", ensure_checkpoint_dir(spark))) / "clickpulse"
+    before = set(scratch.glob("*"))
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:i] + [f"x{k}"] + words[i:]) for k in range(40) for i in (30, 31 + k % 3)]
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+        got = {r.id: r.component for r in minhash.near_duplicates(df, 3, 85).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == brute_components(list(range(len(texts))), texts, 3, 85)
+    files = {}
+    for d in set(scratch.glob("*")) - before:
+        name = d.name.rsplit("-", 1)[0]
+        files[name] = max(files.get(name, 0), len(list(d.glob("part-*"))))
+    narrow = {"buckets", "members", "star-pairs", "star", "star-links", "star-components", "placed", "open", "links", "least", "group-of-set"}
+    assert {k: v for k, v in files.items() if k in narrow} == dict.fromkeys(narrow, 1)
+
+
 def test_near_duplicates_messy(spark, messy, empty):
     got = minhash.near_duplicate_report(messy).collect()
     assert len(got) == messy.count()
